@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing
+from . import mixing, packing
 
-QUERIES = {"op2_mix": mixing.op2_mix}
+QUERIES = {"op2_mix": mixing.op2_mix, "op10_pack": packing.op10_pack}
 SQL = {"op2_mix": mixing.OP2_SQL}
