@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
-from . import mixing, packing
+from . import mixing, packing, simhash, topk
 
-QUERIES = {"op2_mix": mixing.op2_mix, "op10_pack": packing.op10_pack}
-SQL = {"op2_mix": mixing.OP2_SQL}
+QUERIES = {
+    "op1_topk": topk.op1_topk,
+    "op2_mix": mixing.op2_mix,
+    "op3_simhash": simhash.op3_simhash,
+    "op10_pack": packing.op10_pack,
+}
+SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL}
