@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, simhash, topk
+from . import mixing, packing, simhash, substring, topk
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op2_mix": mixing.op2_mix,
     "op3_simhash": simhash.op3_simhash,
+    "op9_substring": substring.op9_substring,
     "op10_pack": packing.op10_pack,
 }
 SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL}
