@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -32,3 +33,12 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     path = shared_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+#: Rows of ids that may be broadcast (some 16 bytes each); larger tables are joined by shuffle.
+BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """``ids`` with a broadcast hint if it has been counted to hold at most ``most`` rows."""
+    return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
