@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import mixing, packing, simhash, substring, topk
+from . import langid, mixing, packing, rules, simhash, substring, topk
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op2_mix": mixing.op2_mix,
     "op3_simhash": simhash.op3_simhash,
+    "op4_rules": rules.op4_rules,
+    "op8_language": langid.op8_language,
     "op9_substring": substring.op9_substring,
     "op10_pack": packing.op10_pack,
 }

@@ -15,6 +15,17 @@ def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def words(text: Column) -> Column:
+    """The words of a text as an array; empty for a null."""
+    trimmed = F.btrim(F.coalesce(text, F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
+    return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
+
+
+def held_out(doc_id: Column) -> Column:
+    """Documents from which nothing is learnt: one in five, by the CRC-32 of the id as text."""
+    return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
+
+
 def hash_unit(*keys: Column) -> Column:
     """A reproducible number strictly between 0 and 1 for the keys (52 bits of their MD5)."""
     text = F.concat_ws("\x1f", *[F.coalesce(k.cast("string"), F.lit("\x00")) for k in keys])
