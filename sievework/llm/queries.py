@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from . import langid, mixing, packing, rules, simhash, substring, topk
+from . import langid, mixing, packing, quality, rules, secrets, simhash, substring, topk, warc
 
 QUERIES = {
     "op1_topk": topk.op1_topk,
     "op2_mix": mixing.op2_mix,
     "op3_simhash": simhash.op3_simhash,
     "op4_rules": rules.op4_rules,
+    "op5_warc": warc.op5_warc,
+    "op6_secrets": secrets.op6_secrets,
+    "op7_quality": quality.op7_quality,
     "op8_language": langid.op8_language,
     "op9_substring": substring.op9_substring,
     "op10_pack": packing.op10_pack,
 }
-SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL}
+SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op5_warc": warc.OP5_SQL}
