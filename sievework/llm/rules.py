@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..shared import broadcast_if_small
+from ..shared import broadcast_if_small, materialize
 from .text import words
 
 #: Buckets into which words and pairs of words are hashed; the table of ratios has this many rows.
@@ -76,7 +76,7 @@ def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothin
     ids = broadcast_if_small(trusted.select(F.col("doc_id").alias("trusted_id")).filter("trusted_id IS NOT NULL").distinct())
     flagged = docs.select("doc_id", "text").join(ids, F.col("doc_id") == F.col("trusted_id"), "left")
     grams = _hashed(flagged).select(F.explode(_grams(buckets)).alias("bucket"), F.col("trusted_id").isNotNull().cast("long").alias("trusted"))
-    counts = grams.groupBy("bucket").agg(F.sum("trusted").alias("in_trusted"), F.count("*").alias("in_all"))
+    counts = materialize(grams.groupBy("bucket").agg(F.sum("trusted").alias("in_trusted"), F.count("*").alias("in_all")), "rule-counts")
     totals = counts.agg(F.sum("in_trusted").alias("all_trusted"), F.sum("in_all").alias("all_grams"))
     pad = smoothing * buckets
     of_trusted = (F.col("in_trusted") + smoothing) / (totals.select("all_trusted").scalar() + pad)
