@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 #: Every difference modulo 13 is one of two positions of this cover, so two equal stretches, wherever they
 #: begin, both have a cover position at one of their first 13 places.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: Text that is hashed at a time.
-CHUNK_BYTES = 1 << 20
+#: Text that is hashed at a time, hashes that are dealt at a time, and buckets for each partition of a shuffle
+#: (one bucket of hashes is held in memory at a time).
+CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH = 1 << 20, 500_000, 16
 
 _ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 _SPACE = np.zeros(256, bool)
@@ -86,37 +87,65 @@ def chunks(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         a = b
 
 
-def _route(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, first_only: bool) -> tuple[np.ndarray, np.ndarray]:
-    """What of one chunk needs to meet other chunks: (hash to be dealt by, what is known already).
-
-    Of equal hashes in a chunk only the earliest place goes on under the hash; the others are known to be
-    repeats and are dealt evenly, so a passage that fills a third of the corpus meets no task whole.
-    """
-    order = np.lexsort((pos, doc, h))
-    same = np.r_[False, h[order][1:] == h[order][:-1]] if len(h) else np.zeros(0, bool)
-    later = np.zeros(len(h), bool)
-    later[order[same]] = True
-    known = later.copy()
-    if not first_only and len(h):
-        known[order[:-1][same[1:]]] = True
-    spread = _mixed((doc.view(np.uint64) * np.uint64(_ODD[2])) ^ pos.astype(np.uint64))
-    return np.where(later, spread, h), known.astype(np.int8) + later.astype(np.int8)
+def _equal(h: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order by hash, equal ones by place, and which rows in it equal the one before."""
+    order = np.argsort(h, kind="stable")
+    same = h[order][1:] == h[order][:-1] if len(h) else np.zeros(0, bool)
+    shared = np.flatnonzero(np.r_[same, False] | np.r_[False, same]) if len(h) else np.zeros(0, np.int64)
+    mine = order[shared]
+    order[shared] = mine[np.lexsort((pos[mine], doc[mine], h2[mine], h[mine]))]
+    return order, np.r_[False, (h[order][1:] == h[order][:-1]) & (h2[order][1:] == h2[order][:-1])] if len(h) else same
 
 
-_FOUND = "h long, h2 int, doc_id long, pos int, known byte"
+_DEALT = "bucket int, h binary, h2 binary, doc_id binary, low binary, high binary, known binary"
+_TYPES = (np.uint64, np.int32, np.int64, np.uint16, np.uint16, np.bool_)
 
 
-def _found(h: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray, first_only: bool) -> pa.RecordBatch:
-    to, known = _route(h, doc, pos, first_only)
-    arrays = [pa.array(to.view(np.int64)), pa.array(h2.astype(np.int32)), pa.array(doc), pa.array(pos.astype(np.int32)), pa.array(known)]
-    return pa.RecordBatch.from_arrays(arrays, ["h", "h2", "doc_id", "pos", "known"])
+class _Dealer:
+    """Deals found hashes with their places to buckets, many to a row.
 
+    Of equal hashes only the earliest place goes on under its hash; the others are known to be repeats and
+    are dealt evenly, so a passage that fills a third of the corpus meets no task whole.
+    """
 
-def _anchors(window: int) -> Callable:
+    def __init__(self, buckets: int, first_only: bool):
+        self.buckets, self.first_only, self.held, self.n = buckets, first_only, [], 0
+
+    def add(self, *found: np.ndarray) -> Iterator[pa.RecordBatch]:
+        self.held.append(found)
+        self.n += len(found[0])
+        if self.n >= DEAL_ROWS:
+            yield self.flush()
+
+    def flush(self) -> pa.RecordBatch:
+        empty = [np.zeros(0, t) for t in (np.uint64, np.int32, np.int64, np.int64)]
+        h, h2, doc, pos = (np.concatenate([e, *x]) for e, x in zip(empty, zip(*self.held, strict=True) if self.held else [()] * 4, strict=True))
+        self.held, self.n = [], 0
+        order, same = _equal(h, h2, doc, pos)
+        known = np.zeros(len(h), bool)
+        known[order[same]] = True
+        spread = _mixed((doc.view(np.uint64) * np.uint64(_ODD[2])) ^ pos.astype(np.uint64))
+        h = np.where(known, spread, h)
+        if not self.first_only and len(same):
+            known[order[:-1][same[1:]]] = True
+        bucket = (h % np.uint64(self.buckets)).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]]) if len(h) else np.zeros(0, np.int64)
+        ends = np.r_[cuts[1:], len(h)]
+        columns = [pa.array(bucket[order][cuts], pa.int32())]
+        for x, t in zip((h, h2, doc, pos & 0xFFFF, pos >> 16, known), _TYPES, strict=True):
+            data = x[order].astype(t)
+            offsets = (np.r_[cuts, len(h)] if len(cuts) else np.zeros(1, np.int64)) * data.itemsize
+            columns.append(pa.Array.from_buffers(pa.binary(), len(ends) if len(cuts) else 0, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes())]))
+        return pa.RecordBatch.from_arrays(columns, [x.split()[0] for x in _DEALT.split(", ")])
+
+
+def _anchors(window: int, buckets: int) -> Callable:
     """Hashes of the words at cover positions: long enough to be telling, short enough to lie in the window."""
     length = window - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = _Dealer(buckets, first_only=False)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             for a, _, data, offsets in chunks(batch.column(1)):
@@ -124,45 +153,43 @@ def _anchors(window: int) -> Callable:
                 at = w.full(length)
                 at = at[np.isin(w.place[at] % PERIOD, COVER) & (w.count[w.text[at]] >= window)]
                 h = w.windows(at, length)
-                yield _found(h, np.zeros(len(h)), ids[a + w.text[at]], w.place[at], first_only=False)
+                yield from dealer.add(h, np.zeros(len(h), np.int32), ids[a + w.text[at]], w.place[at])
+        yield dealer.flush()
 
     return run
 
 
 def _repeats(first_only: bool) -> Callable:
-    """Rows sorted by hash and place: those whose hash is not alone (first_only: not the first)."""
+    """Rows sorted by bucket: places whose hash is not alone (first_only: not the first)."""
+
+    def judged(held: list[list[bytes]]) -> pa.RecordBatch:
+        h, h2, doc, low, high, known = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held, strict=True), _TYPES, strict=True))
+        pos = high.astype(np.int64) << 16 | low
+        order, same = _equal(h, h2, doc, pos)
+        repeated = known.copy()
+        repeated[order[same]] = True
+        if not first_only:
+            repeated[order[:-1][same[1:]]] = True
+        return pa.RecordBatch.from_arrays([pa.array(doc[repeated]), pa.array(pos[repeated], pa.int32())], ["doc_id", "pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry, told = None, False
-        for batch in _with_end(batches):
-            if batch is not None:
-                new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
-                carry = new if carry is None else [np.concatenate(x) for x in zip(carry, new, strict=True)]
-            if carry is None or len(carry[0]) < (1 if batch is None else 2):
-                continue
-            h, h2, doc, pos, known = carry
-            later = np.r_[told, (h[1:] == h[:-1]) & (h2[1:] == h2[:-1])]
-            repeated = later | (known > 0)
-            if not first_only:
-                repeated |= np.r_[later[1:], False]
-            stop = len(h) - (batch is not None)  # whether the last row is alone shows with the next
-            told = bool(later[stop]) if stop < len(h) else False
-            carry = [x[stop:] for x in carry]
-            kept = repeated[:stop]
-            if kept.any():
-                yield pa.RecordBatch.from_arrays([pa.array(doc[:stop][kept]), pa.array(pos[:stop][kept])], ["doc_id", "pos"])
+        bucket, held = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != bucket and held:
+                    yield judged(held)
+                    held = []
+                bucket = row[0]
+                held.append(row[1:])
+        if held:
+            yield judged(held)
 
     return run
 
 
-def _with_end(batches: Iterator) -> Iterator:
-    yield from batches
-    yield None
-
-
 def _places(found: DataFrame, first_only: bool) -> DataFrame:
     """Repeated places per document, as one list."""
-    dealt = found.repartition("h").sortWithinPartitions("h", "h2", "doc_id", "pos")
+    dealt = found.repartition("bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_repeats(first_only), "doc_id long, pos int").groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
 
 
@@ -180,11 +207,12 @@ def _cover(first: np.ndarray, total: int, starts: np.ndarray, before: int, lengt
     return np.cumsum(marks[:-1]) > 0
 
 
-def _candidates(window: int) -> Callable:
+def _candidates(window: int, buckets: int) -> Callable:
     """Windows that hold a repeated anchor, hashed whole."""
     length = window - PERIOD + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        dealer = _Dealer(buckets, first_only=True)
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             places, rows = _lists(batch.column(2))
@@ -197,7 +225,8 @@ def _candidates(window: int) -> Callable:
                 near = _cover(begins, len(w.start), begins + places[mine], window - length, 1)
                 at = np.flatnonzero(near & (w.place + window <= w.count[w.text]))
                 h, h2 = w.windows(at, window), w.windows(at, window, _ODD[2]) & np.uint64(0x7FFFFFFF)
-                yield _found(h, h2, ids[a + w.text[at]], w.place[at], first_only=True)
+                yield from dealer.add(h, h2.astype(np.int32), ids[a + w.text[at]], w.place[at])
+        yield dealer.flush()
 
     return run
 
@@ -208,11 +237,13 @@ def _remaining(window: int) -> Callable:
             places, rows = _lists(batch.column(2))
             ends = np.searchsorted(rows, np.arange(len(batch) + 1))
             out: list[list] = [[], [], [], []]
-            for i, (doc, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), strict=True)):
+            for i, (doc, text, copy) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1), batch.column(3).to_pylist(), strict=True)):
                 words = (text.as_py() or "").encode().split()
                 mine = places[ends[i] : ends[i + 1]]
                 kept = words
-                if len(mine):
+                if copy and len(words) >= window:
+                    kept = []
+                elif len(mine):
                     gone = _cover(np.zeros(len(mine), np.int64), len(words), mine, 0, window)
                     kept = [words[j] for j in np.flatnonzero(~gone).tolist()]
                 joined = b" ".join(kept)
@@ -233,19 +264,28 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     A word goes if a window of ``window`` words that covers it also starts earlier: in a document of
     smaller doc_id, or earlier in its own. All windows are judged on the input.
 
-    Anchors, windows of ``window - 12`` words, are hashed at cover positions only. Where an anchor comes
-    twice, the windows around it are hashed whole; the first place of each hash stays. The texts are dealt
-    by doc_id once for both steps. A null text has no words; null ids count as one document before all
-    others. Rows that repeat a doc_id are parts of one document that begin at the same place: none is
-    earlier than the other. Other columns are left out; an empty table gives an empty one.
+    Of equal texts only those of the smallest doc_id are searched: every window of the others starts
+    earlier there. Anchors, windows of ``window - 12`` words, are hashed at cover positions only. Where an
+    anchor comes twice, the windows around it are hashed whole; the first place of each hash stays. The
+    texts are dealt by doc_id once for all steps. A null text has no words; null ids count as one document
+    before all others. Rows that repeat a doc_id are parts of one document that begin at the same place:
+    none is earlier than the other. Other columns are left out; an empty table gives an empty one.
     """
     if window < PERIOD:
         raise ValueError(f"a window has {PERIOD} words at least")
+    buckets = BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
-    anchors = _places(texts.mapInArrow(_anchors(window), _FOUND), first_only=False)
-    candidates = texts.join(anchors, "doc_id").mapInArrow(_candidates(window), _FOUND)
+    sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+    prints = texts.select("doc_id", sha.alias("print"))
+    firsts = prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("print", "first")
+    copies = prints.join(firsts, "print").filter("doc_id > first").groupBy("doc_id").agg(F.collect_set("print").alias("prints"))
+    texts = texts.join(copies, "doc_id", "left").select("doc_id", "text", F.coalesce(F.array_contains("prints", sha), F.lit(False)).alias("copy"))
+    searched = texts.filter(~F.col("copy")).select("doc_id", "text")
+    anchors = _places(searched.mapInArrow(_anchors(window, buckets), _DEALT), first_only=False)
+    candidates = searched.join(anchors, "doc_id").mapInArrow(_candidates(window, buckets), _DEALT)
     repeats = _places(candidates, first_only=True)
-    out = texts.join(repeats, "doc_id", "left").mapInArrow(_remaining(window), "doc_id long, n_words long, n_removed long, kept binary")
+    found = texts.join(repeats, "doc_id", "left").select("doc_id", "text", "places", "copy")
+    out = found.mapInArrow(_remaining(window), "doc_id long, n_words long, n_removed long, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 
 
