@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: Text that is hashed at a time, hashes that are dealt at a time, and buckets for each partition of a shuffle
 #: (one bucket of hashes is held in memory at a time).
-CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH = 1 << 20, 500_000, 16
+CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH = 1 << 20, 500_000, 4
 
 _ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 _SPACE = np.zeros(256, bool)
