@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -17,6 +17,26 @@ def canonical_members(records: DataFrame, key: str, content: str) -> DataFrame:
     return hashed.join(groups, "content_sha")
 
 
+def signature(boxes: Column, digits: int = 4) -> Column:
+    """An order-insensitive signature of box arrays, rounded."""
+    return F.to_json(F.array_sort(F.transform(boxes, lambda b: F.transform(b, lambda v: F.bround(v, digits)))))
+
+
+def conflicts(records: DataFrame, content: str, sign: str) -> DataFrame:
+    """Contents that come more than once, with the number of their distinct signatures and whether they conflict."""
+    sha = F.sha2(F.coalesce(F.col(content), F.lit("")).cast("binary"), 256).alias("content_sha")
+    parts = records.select(sha, F.col(sign).alias("sign")).groupBy("content_sha", "sign").agg(F.count("*").alias("n"))
+    groups = parts.groupBy("content_sha").agg(F.sum("n").alias("copies"), F.count("sign").alias("n_signatures")).filter("copies > 1")
+    return groups.withColumn("conflict", F.col("n_signatures") > 1)
+
+
+def across_groups(records: DataFrame, content: str, group: str) -> DataFrame:
+    """Contents that lie in more than one group."""
+    sha = F.sha2(F.coalesce(F.col(content), F.lit("")).cast("binary"), 256).alias("content_sha")
+    parts = records.select(sha, F.col(group).alias("g")).groupBy("content_sha", "g").agg(F.count("*").alias("n"))
+    return parts.groupBy("content_sha").agg(F.count("g").alias("n_groups"), F.sum("n").alias("copies")).filter("n_groups > 1")
+
+
 def dedup_canonical(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     out = canonical_members(docs, "doc_id", "text")

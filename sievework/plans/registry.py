@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from ..operators import dedup
+from .analogues import QUERIES, SQL
 
-QUERIES = {"dedup_canonical": dedup.dedup_canonical}
-SQL = {"dedup_canonical": dedup.DEDUP_CANONICAL_SQL}
+__all__ = ["QUERIES", "SQL"]
