@@ -8,8 +8,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .text import held_out, hash_unit
@@ -24,7 +23,7 @@ MAX_LANGUAGES = 1000
 #: Standard deviations above a language's usual cross-entropy at which a document is rejected.
 REJECT_AT = 10.0
 #: N-grams whose probabilities a worker remembers, and characters scored at a time.
-MEMO, CHUNK = 2_000_000, 1 << 20
+MEMO, CHUNK = 1_000_000, 1 << 17
 
 _SPACE, _WIDE = 32, 0xFFFF
 _CLASSES: list[np.ndarray] = []
@@ -299,22 +298,6 @@ def _calibrate(spark: SparkSession, model: Model, sample: DataFrame) -> None:
     model.within = np.array([np.sqrt(r["var"] or 1.0) if r else 1.0 for r in told], float)
 
 
-def _identify(sent, row: Column, docs: DataFrame, kept_only: bool) -> DataFrame:
-    """Rows (``row``, ``text``) with their prediction."""
-    schema = docs.select(row.alias("row")).schema.add("lang_pred", "string").add("score", "double").add("cross_entropy", "double").add("rejected", "boolean")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(sent.value)
-        for batch in batches:
-            found = [scorer.predict(t.as_py()) for t in batch.column(1)]
-            cols = list(zip(*found, strict=True)) or [(), (), (), ()]
-            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
-            out = pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["row", "lang_pred", "score", "cross_entropy", "rejected"])
-            yield out.filter(pa.compute.invert(out.column(4))) if kept_only else out
-
-    return docs.select(row.alias("row"), "text").mapInArrow(run, schema)
-
-
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id``, ``lang_pred``, ``score`` (0 to 1), ``cross_entropy`` and ``rejected`` of every document.
 
@@ -323,13 +306,29 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
     if no language was learnt. Repeated rows are judged each; a null id stays null. Other columns are left out.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
-    return _identify(sent, F.col("doc_id").cast("long"), docs, kept_only=False).withColumnRenamed("row", "doc_id")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            found = [scorer.predict(t.as_py()) for t in batch.column(1)]
+            cols = list(zip(*found, strict=True)) or [(), (), (), ()]
+            kinds = (pa.string(), pa.float64(), pa.float64(), pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, k) for c, k in zip(cols, kinds, strict=True))], ["doc_id", "lang_pred", "score", "cross_entropy", "rejected"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, cross_entropy double, rejected boolean")
 
 
 def drop_unidentified(docs: DataFrame, model: Model) -> DataFrame:
     """The documents whose language is not rejected, with all their columns."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    return _identify(sent, F.struct("*"), docs, kept_only=True).select("row.*")
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(sent.value)
+        for batch in batches:
+            yield batch.filter(pa.array([not scorer.predict(t.as_py())[3] for t in batch.column(at)], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -236,21 +236,22 @@ def find_secrets(docs: DataFrame, forest: Forest, cut: float = 0.5) -> DataFrame
 def redact(docs: DataFrame, forest: Forest, cut: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
     """The documents with every secret in ``text`` replaced by ``mark``; all rows and all other columns stay."""
     sent = docs.sparkSession.sparkContext.broadcast(forest)
-    schema = docs.select(F.struct("*").alias("row"), F.col("text").alias("clean_")).schema
+    at, path_at = docs.columns.index("text"), docs.columns.index("source")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, path in zip(batch.column(1), batch.column(2).to_pylist(), strict=True):
+            for value, path in zip(batch.column(at), batch.column(path_at).to_pylist(), strict=True):
                 text = value.as_py()
-                for a, b, _, p in reversed(scan(text, path, sent.value)):
+                for a, b, _, p in reversed(scan(text, path and str(path), sent.value)):
                     if p >= cut:
                         text = text[:a] + mark + text[b:]
                 out.append(text)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], ["row", "clean_"])
+            columns = list(batch.columns)
+            columns[at] = pa.array(out, batch.column(at).type)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
-    done = docs.select(F.struct("*").alias("row"), "text", F.col("source").cast("string").alias("path_")).mapInArrow(run, schema)
-    return done.select(*[F.col("clean_").alias(c) if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])
+    return docs.mapInArrow(run, docs.schema)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
