@@ -1,0 +1,378 @@
+"""Each operator on awkward rows (nulls, empty and long texts, ties, repeats, no rows, odd columns), held against brute force."""
+
+import bisect
+import hashlib
+import re
+import struct
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from sievework.llm import langid, mixing, packing, quality, rules, secrets, simhash, substring, text, topk, warc
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, h long, fp string, bucket int"
+PROSE = " ".join(f"w{i * 7 % 53} and{i % 11}" for i in range(60))
+TEXTS = [
+    None, "", "   \n\t ", "one", "One TWO", "ends here.", PROSE, PROSE, PROSE + " tail", "x\x0by z q äö \U0001f600", "a\n\nb\na\n \na",
+    "the cat sat on the mat " * 12, "spam | spam | # $ % & < > spam " * 9, PROSE.upper(), "word " * 30_000, 'token = "f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda" ok',
+]
+
+
+def rows():
+    out = [(i, t, ["en", "de", None][i % 3], ["a", "b", None, "a"][i % 4], 0, 1.0, 5, "f", 2) for i, t in enumerate(TEXTS)]
+    return out + [out[6], out[6], (None, PROSE, "en", "a", 0, None, None, None, None), (None, None, None, None, None, None, None, None, None), (99, TEXTS[11], "en", "a", 1, 1.0, 1, "f", 1)]
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return spark.createDataFrame(rows(), SCHEMA).repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(t):
+    return WORD.findall(t or "")
+
+
+# 1
+
+
+def test_top_k_is_exact_with_ties_nulls_and_repeats(spark):
+    rng = np.random.default_rng(1)
+    data = [(int(i), [float(x) for x in rng.integers(-3, 4, 6) / 64]) for i in range(120)]
+    data += [(200, None), (201, [1.0, None, 1.0]), (202, [float("nan")] * 6), (203, [float("inf")] * 6), (204, []), (5, data[5][1]), (40, data[40][1]), (None, data[3][1])]
+    table = spark.createDataFrame(data, "vec_id long, embedding array<float>").select("vec_id", topk.quantised(F.col("embedding")).alias("q"), F.lit(1).alias("score"))
+    got = topk.top_k(table, table.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 7).collect()
+    fine = [(i, np.floor(np.array(v, float) * 64)) for i, v in data if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = set()
+    for qid, q in {i: v for i, v in fine if i % 20 == 0}.items():
+        scored = sorted(((-int(sum(a * b for a, b in zip(q, v, strict=False))), i) for i, v in fine if i != qid))[:7]
+        want |= {(qid, r, i, -s) for r, (s, i) in enumerate(scored, 1)}
+    assert {tuple(r[c] for c in ("query_id", "rank", "vec_id", "score")) for r in got} == want
+    assert topk.top_k(table.limit(0), table.limit(0).withColumnRenamed("vec_id", "query_id")).count() == 0
+
+
+# 2
+
+
+def test_mixture_comes_near_its_targets(docs, none):
+    got = mixing.mix(docs).collect()
+    assert len(got) == len(rows()) and set(docs.columns) - {"size", "copies"} <= set(got[0].asDict())
+    assert all(r["size"] == len(words(r["text"])) and 0 <= r["copies"] <= 2 for r in got)
+    by = {}
+    for r in got:
+        s = by.setdefault(r["source"], [0, 0, r["target"], r["source_size"]])
+        s[0] += r["size"]
+        s[1] += r["size"] * r["copies"]
+    largest = max(r["size"] for r in got)
+    assert all(size == told and taken <= target + 1e-6 and target - taken <= largest + 1 for size, taken, target, told in by.values())
+    assert sum(s[2] for s in by.values()) == pytest.approx(1.5 * sum(s[0] for s in by.values()))
+    assert sorted(map(str, got)) == sorted(map(str, mixing.mix(docs.repartition(5)).collect()))
+    assert mixing.mix(none).count() == 0
+
+
+def test_excess_is_dealt_again(spark):
+    totals = spark.createDataFrame([("a", 10), ("b", 1000), (None, 1000)], "source string, source_size long")
+    got = {r["source"]: r["target"] for r in mixing.source_targets(totals, (5.0, 2.0, 1.0), 1.5, 2.0).collect()}
+    assert got["a"] == 20 and got["b"] == pytest.approx(2995 * 2 / 3) and got[None] == pytest.approx(2995 / 3)
+
+
+# 3
+
+
+def slow_fingerprint(t):
+    ws = re.findall(WORD, re.sub("[A-Z]", lambda m: m.group().lower(), t or ""))
+    grams = [" ".join(ws[i : i + 3]) for i in range(len(ws) - 2)] or ([" ".join(ws)] if ws else [])
+    hs = [xxhash.xxh64_intdigest(g.encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def test_components_equal_brute_force(docs, none):
+    got = simhash.near_duplicates(docs).collect()
+    prints = [(r[0], slow_fingerprint(r[1])) for r in rows()]
+    label = {p: p for _, p in prints}
+    for _ in prints:
+        for a in label:
+            for b in label:
+                if (a ^ b).bit_count() <= 3:
+                    label[a] = label[b] = min(label[a], label[b])
+    least = {}
+    for d, p in prints:
+        if d is not None:
+            least[label[p]] = min(least.get(label[p], d), d)
+    want = Counter((d, f"{p:016x}", least[label[p]]) for d, p in prints)
+    assert Counter((r["doc_id"], r["fingerprint"], r["component_id"]) for r in got) == want
+    kept = simhash.drop_near_duplicates(docs).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(least.values()))
+    assert simhash.near_duplicates(none).count() == 0
+
+
+def test_pairs_at_every_distance_link_only_within_three(spark):
+    rng = np.random.default_rng(2)
+    prints, truth = [], set()
+    for base in rng.integers(0, 1 << 63, 40).tolist():
+        for flips in range(6):
+            p = base
+            for b in rng.choice(64, flips, replace=False).tolist():
+                p ^= 1 << b
+            prints.append(p)
+    prints = sorted(set(prints))
+    table = spark.createDataFrame([(struct.unpack("<q", struct.pack("<Q", p))[0],) for p in prints], "fp long")
+    parent = {p: p for p in prints}
+
+    def root(p):
+        while parent[p] != p:
+            p = parent[p]
+        return p
+
+    for r in simhash.links(table).collect():
+        parent[root(r["a"] & (1 << 64) - 1)] = root(r["b"] & (1 << 64) - 1)
+    truth = {p: p for p in prints}
+    for _ in range(4):
+        for i, a in enumerate(prints):
+            for b in prints[i + 1 :]:
+                if (a ^ b).bit_count() <= 3:
+                    truth[a] = truth[b] = min(truth[a], truth[b])
+    assert len({root(p) for p in prints}) == len(set(truth.values()))
+
+
+# 4
+
+
+def slow_rules(t):
+    ws = words(t)
+    lines = [x for x in (t or "").split("\n") if words(x)]
+    windows = [tuple(ws[i : i + 5]) for i in range(len(ws) - 4)]
+    seen = Counter(windows)
+    inside = {j for i, w in enumerate(windows) if seen[w] > 1 for j in range(i, i + 5)}
+    failed = len(ws) < 10 or 100 * len(inside) > 20 * len(ws)
+    return len(ws), sum(map(len, ws)), len(re.findall("[#*$%&|<>]", t or "")), len(lines) - len(set(lines)), len(inside), failed
+
+
+def grams(t, buckets):
+    signed = lambda h: h - (1 << 64) if h >> 63 else h
+    hs = [xxhash.xxh64_intdigest(w.encode(), 42) for w in words(t)]
+    pairs = [xxhash.xxh64_intdigest(struct.pack("<Q", b), xxhash.xxh64_intdigest(struct.pack("<Q", a), 42)) for a, b in zip(hs, hs[1:], strict=False)]
+    return [signed(h) % buckets for h in hs + pairs]
+
+
+def test_rules_equal_brute_force(spark, docs, none):
+    trusted = spark.createDataFrame([(6,), (7,), (8,), (3,), (None,)], "doc_id long")
+    got = rules.quality_rules(docs, trusted, buckets=512).collect()
+    every, good = Counter(), Counter()
+    for r in rows():
+        every.update(grams(r[1], 512))
+        if r[0] in (6, 7, 8, 3):
+            good.update(grams(r[1], 512))
+    n_all, n_good = sum(every.values()), sum(good.values())
+    ratio = {b: round(float(np.log(((good[b] + 1) / (n_good + 512.0)) / ((every[b] + 1) / (n_all + 512.0)))) * rules.UNIT) for b in every}
+    want = Counter()
+    for r in rows():
+        base, g = slow_rules(r[1]), grams(r[1], 512)
+        want[(r[0], *base, not base[-1] and sum(ratio[b] for b in g) >= len(g) * round(rules.THRESHOLD * rules.UNIT))] += 1
+    names = ("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+    assert Counter(tuple(r[c] for c in names) for r in got) == want
+    assert rules.quality_rules(none, trusted).count() == 0
+    assert rules.quality_rules(docs, trusted.limit(0)).count() == len(rows())
+
+
+# 5
+
+
+def test_archives_give_back_every_page(spark, tmp_path):
+    long_, other = "<p>é" + "x" * 1200, "y" * 5000
+    pages = [(i, f"https://www.host{i % 3}.example.org/p{i % 4}?q={i}", [long_, other, "short", "", None][i % 5]) for i in range(40)]
+    pages += [(3, pages[3][1], pages[3][2]), (7, None, long_), (None, "http://a.b:80/", long_), (None, None, None), (41, "http://[bad", "z")]
+    table = spark.createDataFrame([(*p, "x") for p in pages], "page_id long, url string, html string, digest string").repartition(4)
+    got = warc.archive(table, f"file://{tmp_path}").collect()
+    last = {}
+    for i, _, html in pages:
+        if i is not None and len((html or "").encode()) >= 1000:
+            last[html] = max(last.get(html, i), i)
+    want = Counter()
+    for i, _, html in pages:
+        data = (html or "").encode()
+        to = last.get(html)
+        revisit = to is not None and to != i
+        want[(i, len(data), hashlib.sha1(data).hexdigest(), "revisit" if revisit else "response", to if revisit else None)] += 1
+    assert Counter((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got) == want
+    assert all(r["payload"] is None or hashlib.sha1(r["payload"]).hexdigest() == r["payload_digest"] for r in got)
+    assert warc.archive(table.limit(0), f"file://{tmp_path}/none").count() == 0
+
+
+def test_index_finds_keys_over_block_and_file_bounds(spark, tmp_path, monkeypatch):
+    keys = [(f"org,h{i % 7})/", i // 3) for i in range(500)]
+    table = spark.createDataFrame([(s, p, "a", i, 1) for i, (s, p) in enumerate(keys)], warc._INDEX)
+    top = warc.write_index(table, f"file://{tmp_path}")
+    index = warc.Index(f"file://{tmp_path}", top)
+    for key in set(keys):
+        assert sorted(x[1] for x in index.find(key)) == [i for i, k in enumerate(keys) if k == key]
+    assert not list(index.find(("org,h9)/", 1))) and not list(index.find(("", 0)))
+    assert warc.surt_key("http://WWW.a.Example.org:8080/x?y=1") == "org,example,a:8080)/x?y=1" and warc.surt_key(None) == ")/"
+
+
+# 6
+
+
+def test_forest_tells_unseen_findings_apart(spark):
+    forest = secrets.fit(spark, secrets.example_findings(1500, seed=1))
+    unseen = secrets.labelled_features(secrets.example_findings(800, seed=2))
+    right = [(p >= 0.5) == bool(y) for p, y in zip(forest.probability(np.array([x for x, _ in unseen])), [y for _, y in unseen], strict=True)]
+    assert np.mean(right) > 0.95
+
+
+def test_secrets_are_found_and_redacted_in_place(spark, docs, none):
+    forest = secrets.fit(spark)
+    found = secrets.find_secrets(docs, forest).filter("is_secret").collect()
+    assert [r["doc_id"] for r in found] == [15] and found[0]["value_sha256"] == hashlib.sha256(b"f3ef4d6b2755a36d7d9c25bd72c4d5f67e061fda").hexdigest()
+    clean = secrets.redact(docs, forest)
+    assert clean.columns == docs.columns
+    want = Counter((r[0], 'token = "[SECRET]" ok' if r[0] == 15 else r[1]) for r in rows())
+    assert Counter((r["doc_id"], r["text"]) for r in clean.collect()) == want
+    assert secrets.redact(none, forest).count() == 0 and secrets.find_secrets(none, forest).count() == 0
+
+
+# 7
+
+
+def test_machine_scores_held_out_documents(spark, docs, none):
+    data = [(i, "the plain words of a quiet sentence go on here " * 5 if i % 3 else "buy NOW!! $$$ ### cheap | pills | " * 6, int(i % 3 > 0)) for i in range(400)]
+    table = spark.createDataFrame(data, "doc_id long, text string, label int").withColumn("held", text.held_out(F.col("doc_id")))
+    machine = quality.fit(table.select("doc_id", "text"), table.select("doc_id", "label"), 200)
+    got = quality.score(table, machine).join(table, "doc_id").filter("held").collect()
+    assert got and all(r["predicted"] == r["label"] for r in got)
+    odd = quality.score(docs, machine).collect()
+    assert len(odd) == len(rows()) and all(0 <= r["score"] <= 1 for r in odd)
+    assert quality.score(none, machine).count() == 0
+    empty = quality.fit(table.select("doc_id", "text"), table.select("doc_id", "label").limit(0))
+    assert {r["score"] for r in quality.score(docs, empty).collect()} == {0.5}
+
+
+def test_sum_of_squares_equals_all_pairs():
+    rng = np.random.default_rng(3)
+    m = len(quality.STATS)
+    machine = quality.Machine(0.1, rng.normal(size=quality.BUCKETS), rng.normal(size=(quality.BUCKETS, 2)), rng.normal(size=m), rng.normal(size=(m, 2)), np.zeros(m), np.ones(m))
+    buckets, stats = rng.integers(0, quality.BUCKETS, 9), rng.normal(size=(1, m))
+    x = [1 / 9] * 9 + list(machine.scaled(stats)[0])
+    w = [*machine.word[buckets], *machine.stat]
+    v = [*machine.word_factor[buckets], *machine.stat_factor]
+    y = 0.1 + sum(a * b for a, b in zip(x, w, strict=True)) + sum(v[i] @ v[j] * x[i] * x[j] for i in range(len(x)) for j in range(i))
+    assert machine.score(buckets, np.array([0, 9]), stats)[0] == pytest.approx(1 / (1 + np.exp(-y)))
+
+
+# 8
+
+
+def test_languages_are_told_and_noise_is_rejected(spark, docs, none):
+    said = {"en": "the quick brown fox jumps over the lazy dog and then it sleeps in the house ", "de": "der schnelle braune fuchs springt über den faulen hund und schläft dann im haus "}
+    data = [(i, " ".join(np.random.default_rng(i).permutation((said[k] * 4).split())), k) for i in range(300) for k in [["en", "de"][i % 2]]]
+    table = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = langid.fit(table, 100)
+    got = langid.identify(table, model).join(table, "doc_id").collect()
+    assert all(r["lang_pred"] == r["lang"] and not r["rejected"] for r in got)
+    odd = {r["doc_id"]: r for r in langid.identify(docs, model).collect()}
+    assert [odd[i]["lang_pred"] for i in (0, 1, 2)] == ["und"] * 3 and odd[0]["rejected"]
+    noise = spark.createDataFrame([(1, "xqzv kjwq pzxv " * 40)], "doc_id long, text string")
+    assert langid.identify(noise, model).first()["rejected"] and langid.drop_unidentified(noise, model).count() == 0
+    assert langid.drop_unidentified(table, model).count() == 300
+    assert langid.identify(none, langid.fit(none)).count() == 0
+    assert {r["lang_pred"] for r in langid.identify(docs, langid.fit(none)).collect()} == {"und"}
+
+
+def test_probabilities_sum_to_one():
+    seq = langid.letters("abracadabra alakazam abra")
+    model = langid.Model.fit({"x": np.unique(langid._keys(seq), return_counts=True)})
+    alphabet = sorted(set(seq.tolist()))
+    context = [ord(c) for c in "abr"]
+    keys = np.concatenate([langid._keys(np.array([*context, c], np.uint16)) for c in alphabet])
+    assert 0.9 < np.exp2(-model.bits(keys)[:, 0]).sum() <= 1.0 + 1e-6
+    assert (langid._unhash(langid._hash(keys)) == keys).all()
+
+
+# 9
+
+
+def slow_repeats(pairs, window=20):
+    starts = {}
+    for d, t in pairs:
+        ws = words(t)
+        for i in range(len(ws) - window + 1):
+            key = tuple(ws[i : i + window])
+            starts[key] = min(starts.get(key, (d, i)), (d, i))
+    out = Counter()
+    for d, t in pairs:
+        ws = words(t)
+        gone = {j for i in range(len(ws) - window + 1) if starts[tuple(ws[i : i + window])] < (d, i) for j in range(i, i + window)}
+        out[(d, len(ws), len(gone), hashlib.sha256(" ".join(w for j, w in enumerate(ws) if j not in gone).encode()).hexdigest())] += 1
+    return out
+
+
+def test_repeats_equal_brute_force(spark, docs, none):
+    rng = np.random.default_rng(4)
+    vocabulary = [f"v{i}" for i in range(40)]
+    passage = rng.choice(vocabulary, 33).tolist()
+    extra = [(200 + i, " ".join([*rng.choice(vocabulary, int(rng.integers(0, 30))), *passage[int(rng.integers(0, 14)) :], *rng.choice(vocabulary, 25)]), None, None, 0, None, None, None, None) for i in range(60)]
+    table = docs.unionByName(spark.createDataFrame(extra, SCHEMA))
+    got = substring.drop_repeats(table).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    pairs = [(-1 if r[0] is None else r[0], r[1]) for r in [*rows(), *extra]]
+    assert Counter(map(tuple, got)) == Counter({(None if k[0] == -1 else k[0], *k[1:]): n for k, n in slow_repeats(pairs).items()})
+    assert substring.drop_repeats(none).count() == 0
+    with pytest.raises(ValueError):
+        substring.drop_repeats(none, 5)
+
+
+# 10
+
+
+def test_packing_is_gapless_and_whole(docs, none):
+    from tokenizers import Tokenizer
+
+    got = packing.pack(docs, 512).collect()
+    tok = Tokenizer.from_file(packing.tokenizer_path())
+    sizes = Counter((r[0], len(tok.encode(r[1] or "", add_special_tokens=False).ids) + 1) for r in rows())
+    told = {}
+    for r in got:
+        told.setdefault(r["doc_id"], 0)
+        told[r["doc_id"]] += r["length"]
+    want = {}
+    for (d, n), k in sizes.items():
+        want[d] = want.get(d, 0) + n * k
+    assert told == want
+    held = {}
+    for r in got:
+        held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for parts in held.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 512
+    assert len(held) <= -(-sum(r["length"] for r in got) // 512) + 2
+    assert packing.pack(none).count() == 0
+
+
+def test_solution_meets_every_count():
+    rng = np.random.default_rng(5)
+    lengths = np.unique(rng.integers(1, 4097, 300))
+    counts = rng.integers(1, 60, len(lengths))
+    used = np.zeros(len(lengths), int)
+    total = 0
+    for n, which, times in packing.solve(lengths, counts, 4096):
+        used[which] += n * times
+        total += n
+        assert (lengths[which] * times).sum() <= 4096
+    assert (used == counts).all()
+    rooms, bins = [], 0
+    for size in np.repeat(lengths, counts)[::-1].tolist():  # best fit, longest first
+        at = bisect.bisect_left(rooms, size)
+        bins += at == len(rooms)
+        room = 4096 if at == len(rooms) else rooms.pop(at)
+        bisect.insort(rooms, room - size)
+    assert total <= bins
