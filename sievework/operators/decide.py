@@ -67,9 +67,13 @@ def region_audit(evaluations: DataFrame) -> DataFrame:
 
 def safety_margin(passed: Column) -> Column:
     """Mean of six margins in [0, 1] where the gate is passed, else 0."""
+    higher = F.col("risk") == "higher"
+    limit = lambda rule: F.when(higher, LOCAL_LIMITS[rule][3]).otherwise(LOCAL_LIMITS[rule][2])
+    above = lambda metric, least: clamp((F.col(metric) - least) / (1 - least), 0.0, 1.0)
     parts = [
-        clamp((F.col("detail_retention") - 0.85) / 0.15, 0.0, 1.0), clamp((F.col("edge_recall") - 0.72) / 0.28, 0.0, 1.0),
-        closeness_to_one(F.col("sharpness_ratio")), closeness_to_one(F.col("noise_ratio")), clamp(1 - F.col("lab_shift") / 55.0, 0.0, 1.0), clamp(1 - F.col("extra_clip") / 0.05, 0.0, 1.0),
+        above("detail_retention", F.lit(GLOBAL_LIMITS["detail_loss"][2])), above("edge_recall", F.lit(GLOBAL_LIMITS["edge_loss"][2])),
+        above("detail_p10", limit("local_detail_loss")), above("edge_p10", limit("local_edge_loss")), closeness_to_one(F.col("sharpness_p50")),
+        clamp(1 - (F.col("noise_p90") - 1) / (limit("local_noise_increase") - 1), 0.0, 1.0),
     ]
     return F.when(passed, sum(parts[1:], parts[0]) / len(parts)).otherwise(0.0)
 
