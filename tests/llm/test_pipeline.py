@@ -32,3 +32,47 @@ def test_stages_keep_the_columns_and_take_effect(spark, docs):
 def test_an_empty_table_passes_through(spark, docs):
     for _, stage in c.STAGES:
         assert stage(spark, docs.limit(0), "").count() == 0
+
+
+def test_run_equals_brute_force(spark, docs, tmp_path):
+    """Every stage worked out row by row in plain Python (the mixture in SQL), with the same fitted models."""
+    from collections import Counter
+
+    import duckdb
+    from tokenizers import Tokenizer
+
+    from sievework.llm import langid, mixing, packing, secrets
+    from tests.llm.test_operators import slow_fingerprint, words
+
+    table = docs.filter("doc_id IS NOT NULL AND length(trim(text)) > 2").dropDuplicates(["doc_id"]).select(COLUMNS)
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = Counter((r["doc_id"], r["piece"], r["start"], r["length"]) for r in c.run(spark, str(tmp_path)).collect())
+
+    scorer = langid.Scorer(langid.fit(spark.read.parquet(f"{tmp_path}/documents.parquet")))
+    left = [r.asDict() for r in table.collect() if not scorer.predict(r["text"])[3]]
+    prints = {r["doc_id"]: slow_fingerprint(r["text"]) for r in left}
+    label = {d: d for d in prints}
+    for _ in prints:
+        for a in label:
+            for b in label:
+                if (prints[a] ^ prints[b]).bit_count() <= 3:
+                    label[a] = label[b] = min(label[a], label[b])
+    left = [r for r in left if label[r["doc_id"]] == r["doc_id"]]
+    forest = secrets.fit(spark)
+    for r in left:
+        for a, b, _, p in reversed(secrets.scan(r["text"], r["source"], forest)):
+            if p >= 0.5:
+                r["text"] = r["text"][:a] + "[SECRET]" + r["text"][b:]
+    db = duckdb.connect()
+    db.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, source VARCHAR)")
+    db.executemany("INSERT INTO documents VALUES (?, ?, ?)", [(r["doc_id"], r["text"], r["source"]) for r in left])
+    found = db.execute(mixing.OP2_SQL)
+    names = [d[0] for d in found.description]
+    copies = {r[names.index("doc_id")]: r[names.index("taken")] // r[names.index("size")] for r in found.fetchall()}
+    tok, want = Tokenizer.from_file(packing.tokenizer_path()), Counter()
+    for r in left:
+        assert words(r["text"])
+        n = len(tok.encode(r["text"], add_special_tokens=False).ids) + 1
+        for piece, start in enumerate(range(0, n, 4096)):
+            want[(r["doc_id"], piece, start, min(4096, n - start))] += copies[r["doc_id"]]
+    assert got == +want
