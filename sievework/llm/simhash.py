@@ -193,10 +193,14 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Documents of which each component keeps the one with the smallest doc_id (one row, if that repeats)."""
-    kept = near_duplicates(docs).select(F.col("component_id").alias("kept_id")).distinct()
-    stays = docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_id"]), "left_semi")
-    return stays.dropDuplicates(["doc_id"])
+    """Documents of which each component keeps the one with the smallest doc_id (one row, if that repeats).
+
+    The smallest long stands for a null doc_id, so join and deduplication share one dealing of the texts.
+    """
+    key = lambda c: F.coalesce(c.cast("long"), F.lit(-(2**63))).alias("kept_key_")
+    kept = near_duplicates(docs).select(key(F.col("component_id"))).distinct()
+    stays = docs.select("*", key(F.col("doc_id"))).join(kept, "kept_key_", "left_semi")
+    return stays.dropDuplicates(["kept_key_"]).select(docs.columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
