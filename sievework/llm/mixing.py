@@ -10,6 +10,8 @@ from .text import hash_unit, n_words
 
 #: Bins of the sampling order in which sizes are first summed; only the bin that holds a cut is sorted.
 BINS = 4096
+#: Sources up to which the plan, a row for each, is broadcast to the documents; more are joined by shuffle.
+BROADCAST_SOURCES = 100_000
 
 
 def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -43,9 +45,14 @@ def _order(p: Column, unit: Column) -> Column:
     return q / (1.0 + q)
 
 
-def _ordered(sized: DataFrame, plan: DataFrame) -> DataFrame:
+def _few(plan: DataFrame) -> bool:
+    return plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+
+
+def _ordered(sized: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     """Every document with its source's plan, its place in the sampling order and that place's bin."""
     plan = plan.withColumnRenamed("source", "plan_source")
+    plan = F.broadcast(plan) if few else plan
     out = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     out = out.withColumn("v", F.when(F.col("p") > 0, _order(F.col("p"), F.col("unit"))))
     return out.withColumn("bin", F.floor(F.col("v") * BINS).cast("int"))
@@ -88,14 +95,15 @@ def mixing_plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap:
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     plan = plan.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
     plan = materialize(plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-plan")
+    few = _few(plan)
     for n in (1, 2):
-        open_docs = _ordered(sized, plan).filter(F.col("p") > 0)
+        open_docs = _ordered(sized, plan, few).filter(F.col("p") > 0)
         if n == 2:
             open_docs = open_docs.filter(~_within(F.col("bin"), F.col("bin_1"), F.col("place_1")) & (F.col("size") <= F.col("gap_1")))
         cut = _cut(open_docs, "rest" if n == 1 else "gap_1").select("cut_source", F.col("cut_bin").alias(f"bin_{n}"), F.col("place").alias(f"place_{n}"))
         plan = plan.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
         if n == 1:
-            taken = _ordered(sized, plan).filter(_within(F.col("bin"), F.col("bin_1"), F.col("place_1")))
+            taken = _ordered(sized, plan, few).filter(_within(F.col("bin"), F.col("bin_1"), F.col("place_1")))
             taken = taken.groupBy(F.col("source").alias("taken_source")).agg(F.sum("size").alias("taken_1"))
             plan = plan.join(taken, F.col("source").eqNullSafe(F.col("taken_source")), "left").drop("taken_source")
             plan = plan.withColumn("gap_1", F.col("rest") - F.coalesce(F.col("taken_1"), F.lit(0)))
@@ -123,7 +131,7 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
 def _copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     first = _within(F.col("bin"), F.col("bin_1"), F.col("place_1"))
     second = (F.col("size") <= F.col("gap_1")) & _within(F.col("bin"), F.col("bin_2"), F.col("place_2"))
-    return _ordered(sized, plan).withColumn("copies", (F.col("whole") + F.coalesce(first | second, F.lit(False)).cast("int")).cast("long"))
+    return _ordered(sized, plan, _few(plan)).withColumn("copies", (F.col("whole") + F.coalesce(first | second, F.lit(False)).cast("int")).cast("long"))
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
