@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 from .text import hash_unit, n_words
 
-#: Bins of the sampling order in which sizes are first summed; only the bin that holds a cut is sorted.
+#: Bins of the sampling order in which sizes are first summed; only the bin that holds a cut is sorted. They
+#: are even in the random number, which orders a source's documents as the ranking variable does, so they
+#: hold alike many documents whatever the inclusion odds.
 BINS = 4096
 #: Sources up to which the plan, a row for each, is broadcast to the documents; more are joined by shuffle.
 BROADCAST_SOURCES = 100_000
@@ -40,9 +42,8 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float,
 
 
 def _order(p: Column, unit: Column) -> Column:
-    """Pareto's ranking variable, random odds over inclusion odds, mapped to [0, 1)."""
-    q = (unit / (1.0 - unit)) / (p / (1.0 - p))
-    return q / (1.0 + q)
+    """Pareto's ranking variable: random odds over inclusion odds."""
+    return (unit / (1.0 - unit)) / (p / (1.0 - p))
 
 
 def _few(plan: DataFrame) -> bool:
@@ -55,7 +56,7 @@ def _ordered(sized: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     plan = F.broadcast(plan) if few else plan
     out = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
     out = out.withColumn("v", F.when(F.col("p") > 0, _order(F.col("p"), F.col("unit"))))
-    return out.withColumn("bin", F.floor(F.col("v") * BINS).cast("int"))
+    return out.withColumn("bin", F.floor(F.col("unit") * BINS).cast("int"))
 
 
 def _cut(open_docs: DataFrame, budget: str) -> DataFrame:
