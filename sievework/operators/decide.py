@@ -21,10 +21,11 @@ MODES = {
 NEAR_TIE, HIGHER_EXTRA, HIGHER_OVER_SAFE = 5e-4, 0.003, 0.002
 #: Fixed limits of the gate over the whole image.
 GLOBAL_LIMITS = {
-    "detail_loss": ("detail_retention", "<", 0.85), "edge_loss": ("edge_recall", "<", 0.72), "blur": ("sharpness_ratio", "<", 0.65),
-    "over_sharpening": ("sharpness_ratio", ">", 3.00), "noise_increase": ("noise_ratio", ">", 2.00), "edge_explosion": ("edge_density_ratio", ">", 2.50),
-    "black_clipping": ("black_clip", ">", 0.10), "white_clipping": ("white_clip", ">", 0.10), "extra_clipping": ("extra_clip", ">", 0.05),
-    "too_dark": ("brightness", "<", 0.06), "too_bright": ("brightness", ">", 0.94), "lab_shift": ("lab_shift", ">", 55.0), "saturation_shift": ("saturation_shift", ">", 0.25),
+    "geometry_changed": ("geometry_preserved", "<", 1.0), "global_detail_loss": ("detail_retention", "<", 0.85), "global_edge_loss": ("edge_recall", "<", 0.72),
+    "global_blur": ("sharpness_ratio", "<", 0.65), "global_over_sharpening": ("sharpness_ratio", ">", 3.00), "global_noise_increase": ("noise_ratio", ">", 2.00),
+    "edge_explosion_or_artifacts": ("edge_density_ratio", ">", 2.50), "excessive_black_clipping": ("black_clip", ">", 0.10), "excessive_white_clipping": ("white_clip", ">", 0.10),
+    "added_clipping_above_limit": ("extra_clip", ">", 0.05), "image_too_dark": ("brightness", "<", 0.06), "image_too_bright": ("brightness", ">", 0.94),
+    "extreme_colour_shift": ("lab_shift", ">", 55.0), "extreme_saturation_shift": ("saturation_shift", ">", 0.25),
 }
 #: Fixed limits over tiles: for normal risk, for higher risk.
 LOCAL_LIMITS = {
@@ -34,11 +35,13 @@ LOCAL_LIMITS = {
 }
 #: Fixed limits around boxes: of any size, and of tiny ones where there are some.
 REGION_LIMITS = {
-    "blur": ("sharpness", "<", 0.80, 0.85), "over_sharpening": ("sharpness", ">", 2.50, 2.20), "detail_loss": ("detail", "<", 0.82, 0.88),
-    "edge_loss": ("edge", "<", 0.76, 0.82), "noise_increase": ("noise", ">", 1.80, 1.60), "lab_shift": ("lab", ">", 45.0, 40.0),
+    "detail_loss": ("detail", "<", 0.82, 0.88), "edge_loss": ("edge", "<", 0.76, 0.82), "blur": ("sharpness", "<", 0.80, 0.85),
+    "over_sharpening": ("sharpness", ">", 2.50, 2.20), "noise_increase": ("noise", ">", 1.80, 1.60), "colour_shift": ("lab", ">", 45.0, 40.0),
 }
 #: What a threshold needs to be eligible, and the one to fall back on.
 LEAST_PROCESSED, LEAST_RATE, DEFAULT_THRESHOLD = 10, 0.05, 0.020
+#: Thresholds that one replay takes, for each image is held once for each; more are an error.
+MAX_THRESHOLDS = 1000
 
 
 def _broken(metric: str, side: str, limit: Column | float) -> Column:
@@ -59,9 +62,14 @@ def gate(evaluations: DataFrame, rules: Rules) -> DataFrame:
 
 
 def region_audit(evaluations: DataFrame) -> DataFrame:
-    """Adds ``region_reasons`` and ``region_passed`` from ``any_*`` and ``tiny_*`` metrics; without boxes it passes."""
-    rules = [(f"fish_roi_{k}", (F.col("boxes") > 0) & _broken(f"any_{m}", side, F.lit(a))) for k, (m, side, a, _) in REGION_LIMITS.items()]
-    rules += [(f"tiny_roi_{k}", (F.col("tiny_boxes") > 0) & _broken(f"tiny_{m}", side, F.lit(b))) for k, (m, side, _, b) in REGION_LIMITS.items()]
+    """Adds ``region_reasons`` and ``region_passed`` from ``boxes``, ``tiny_boxes``, ``any_*`` and ``tiny_*`` metrics.
+
+    Without boxes that could be measured it passes; a metric that is missing breaks no rule.
+    """
+    measured = lambda metric, side, limit: F.col(metric).isNotNull() & _broken(metric, side, F.lit(limit))
+    some = F.coalesce(F.col("boxes"), F.lit(0)) > 0
+    rules = [(f"fish_roi_{k}", some & measured(f"any_{m}", side, a)) for k, (m, side, a, _) in REGION_LIMITS.items()]
+    rules += [(f"tiny_fish_{k}", some & (F.col("tiny_boxes") > 0) & measured(f"tiny_{m}", side, b)) for k, (m, side, _, b) in REGION_LIMITS.items()]
     return evaluations.withColumn("region_reasons", all_failing(rules)).withColumn("region_passed", F.size("region_reasons") == 0)
 
 
@@ -71,7 +79,7 @@ def safety_margin(passed: Column) -> Column:
     limit = lambda rule: F.when(higher, LOCAL_LIMITS[rule][3]).otherwise(LOCAL_LIMITS[rule][2])
     above = lambda metric, least: clamp((F.col(metric) - least) / (1 - least), 0.0, 1.0)
     parts = [
-        above("detail_retention", F.lit(GLOBAL_LIMITS["detail_loss"][2])), above("edge_recall", F.lit(GLOBAL_LIMITS["edge_loss"][2])),
+        above("detail_retention", F.lit(GLOBAL_LIMITS["global_detail_loss"][2])), above("edge_recall", F.lit(GLOBAL_LIMITS["global_edge_loss"][2])),
         above("detail_p10", limit("local_detail_loss")), above("edge_p10", limit("local_edge_loss")), closeness_to_one(F.col("sharpness_p50")),
         clamp(1 - (F.col("noise_p90") - 1) / (limit("local_noise_increase") - 1), 0.0, 1.0),
     ]
@@ -94,7 +102,9 @@ def winners(evaluations: DataFrame, thresholds: DataFrame) -> DataFrame:
     safe one. Images none of whose modes qualify stay raw, with benefit 0 and margin 1.
     """
     images = evaluations.select("image").distinct()
-    grid = [r["threshold"] for r in thresholds.select("threshold").distinct().orderBy("threshold").limit(1000).collect()]
+    grid = [r["threshold"] for r in thresholds.select("threshold").distinct().orderBy("threshold").limit(MAX_THRESHOLDS + 1).collect()]
+    if len(grid) > MAX_THRESHOLDS:
+        raise ValueError(f"at most {MAX_THRESHOLDS} thresholds can be replayed at once")
     each = F.explode(F.array(*[F.lit(float(t)) for t in grid])).alias("threshold")
     keys = ["image", "threshold"]
     able = evaluations.filter("passed").select("*", each).filter(F.col("benefit") >= F.col("threshold"))
@@ -145,3 +155,16 @@ def mode_report(gated: DataFrame) -> DataFrame:
 def winners_by_split(won: DataFrame, modes: list[str]) -> DataFrame:
     """Winners of each mode by split, zero where there are none."""
     return won.groupBy("split").pivot("mode", modes).count().na.fill(0)
+
+
+def rejections(gated: DataFrame) -> DataFrame:
+    """Per image, how often each reason rejected one of its modes, as a map."""
+    counts = gated.select("image", F.explode("reasons").alias("reason")).groupBy("image", "reason").agg(F.count("*").alias("n"))
+    return counts.groupBy("image").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("rejections"))
+
+
+def run_status(calibration_safe: bool, damaged: int) -> str:
+    """The status of a trial run: an unsafe calibration goes before damaged regions; else people review it."""
+    if not calibration_safe:
+        return "CALIBRATION_NOT_APPROVABLE"
+    return "DETAIL_AUDIT_FAILED" if damaged else "REVIEW_REQUIRED"

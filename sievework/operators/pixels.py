@@ -14,7 +14,9 @@ from numpy.lib.stride_tricks import sliding_window_view
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .decide import MODES, RAW
+from ..functions.boxes import area_ratio, protected_region, size_class
+from ..functions.rules import weighted_mean
+from .decide import MODES
 
 #: Fixed weights of the benefit score.
 BENEFIT_WEIGHTS = {"uciqe_proxy": 0.24, "uiqm_proxy": 0.18, "brightness_quality": 0.16, "contrast_quality": 0.14, "entropy_quality": 0.10, "color_balance": 0.10, "sharpness_quality": 0.08}
@@ -268,13 +270,13 @@ def local_ratios(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -
 def structure(raw: np.ndarray, other: np.ndarray, raw_quality: dict, quality_: dict) -> dict[str, float]:
     """How far a candidate keeps the structure of the raw image, whole and over its most detailed tiles."""
     if raw.shape != other.shape:
-        return {"detail_retention": 0.0, "edge_recall": 0.0, "sharpness_ratio": np.inf, "noise_ratio": np.inf, "edge_density_ratio": np.inf, "extra_clip": 1.0, "lab_shift": np.inf, "saturation_shift": 1.0}
+        return {"geometry_preserved": 0.0, "detail_retention": 0.0, "edge_recall": 0.0, "sharpness_ratio": np.inf, "noise_ratio": np.inf, "edge_density_ratio": np.inf, "extra_clip": 1.0, "lab_shift": np.inf, "saturation_shift": 1.0}
     wa, wb = shrink(raw), shrink(other)
     a, b = gray(wa), gray(wb)
     ga, gb = gradient(a), gradient(b)
     q, p = quality_, raw_quality
     out = {
-        "detail_retention": detail_kept(ga, gb), "edge_recall": edges_kept(ga, gb), "sharpness_ratio": _ratio(q["sharpness"], p["sharpness"], 1.0),
+        "geometry_preserved": 1.0, "detail_retention": detail_kept(ga, gb), "edge_recall": edges_kept(ga, gb), "sharpness_ratio": _ratio(q["sharpness"], p["sharpness"], 1.0),
         "noise_ratio": _ratio(q["noise"], p["noise"], 0.25), "edge_density_ratio": _ratio(q["edge_density"], p["edge_density"], 1e-4),
         "extra_clip": max(q["black_clip"] - p["black_clip"], 0) + max(q["white_clip"] - p["white_clip"], 0),
         "lab_shift": float(np.linalg.norm(to_lab(wa) - to_lab(wb), axis=-1).mean()), "saturation_shift": abs(q["saturation"] - p["saturation"]),
@@ -295,7 +297,7 @@ def structure(raw: np.ndarray, other: np.ndarray, raw_quality: dict, quality_: d
     return out
 
 
-METRICS = ["brightness", "black_clip", "white_clip", "benefit", "detail_retention", "edge_recall", "sharpness_ratio", "noise_ratio", "edge_density_ratio", "extra_clip", "lab_shift", "saturation_shift", *[f"{r}_p{q}" for r in RATIOS for q in (10, 50, 90)]]
+METRICS = ["brightness", "black_clip", "white_clip", "benefit", "geometry_preserved", "detail_retention", "edge_recall", "sharpness_ratio", "noise_ratio", "edge_density_ratio", "extra_clip", "lab_shift", "saturation_shift", *[f"{r}_p{q}" for r in RATIOS for q in (10, 50, 90)]]
 
 
 def evaluate(image: np.ndarray) -> list[dict]:
@@ -311,32 +313,90 @@ def evaluate(image: np.ndarray) -> list[dict]:
     return out
 
 
-def region_ratios(image: np.ndarray, mode: str, box: tuple[int, int, int, int]) -> dict[str, float] | None:
+def pixels_of(data: bytes | None, height: int | None, width: int | None) -> np.ndarray | None:
+    """An image in BGR from its bytes: three channels as they are, one repeated, of four the first three; else none."""
+    if not data or not height or not width or height < 0 or width < 0 or len(data) not in (height * width, 3 * height * width, 4 * height * width):
+        return None
+    x = np.frombuffer(data, np.uint8).reshape(height, width, -1)
+    return np.ascontiguousarray(np.repeat(x, 3, axis=2) if x.shape[2] == 1 else x[..., :3])
+
+
+def region_ratios(raw: np.ndarray, made: np.ndarray, box: tuple[int, int, int, int]) -> dict[str, float] | None:
     """Ratios of a candidate inside one region (left, top, right, bottom); none for one below three pixels."""
     left, top, right, bottom = box
-    a = as_bgr(image)[top:bottom, left:right]
+    a, b = raw[top:bottom, left:right], made[top:bottom, left:right]
     if min(a.shape[:2]) < 3:
         return None
-    b = (TRANSFORMS[mode](image) if mode != RAW else image)[top:bottom, left:right]
     found = dict(zip(RATIOS, local_ratios(gray(a), gray(b), gradient(gray(a)), gradient(gray(b))), strict=True))
-    return found | {"lab": float(np.linalg.norm(to_lab(a) - to_lab(b), axis=-1).mean())}
+    return found | {"lab": float(np.linalg.norm(to_lab(shrink(a)) - to_lab(shrink(b)), axis=-1).mean())}
+
+
+def scene_profile(image: np.ndarray) -> dict[str, float]:
+    """Brightness, contrast, sharpness and colour cast of a scene."""
+    g, means = gray(image), image.reshape(-1, 3).mean(axis=0)
+    return {"brightness": float(g.mean() / 255), "contrast": float(g.std()), "sharpness": laplacian_variance(g), "colour_cast": float(means.std() / max(means.mean(), 1e-6))}
+
+
+def _per_image(images: DataFrame, more: list[str], make: Callable[..., list[dict]], schema: str) -> DataFrame:
+    """Rows that ``make`` gives for each decodable image, from its pixels and the columns ``more``."""
+    kinds = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[t]) for n, t in (x.split() for x in schema.split(", "))])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, h, w, data, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if (image := pixels_of(data, h, w)) is not None:
+                    yield pa.RecordBatch.from_pylist([r | {"image": key} for r in make(image, *rest)], kinds)
+
+    return images.select(F.col("image").cast("string"), "height", "width", "data", *more).mapInArrow(run, schema)
 
 
 def evaluate_images(images: DataFrame) -> DataFrame:
     """``image``, ``mode``, ``risk``, ``priority`` and the metrics of every decodable image.
 
-    ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (BGR bytes), as the readers of
+    ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (bytes), as the readers of
     ``sources.images`` give them. Each image is decoded once for all modes; rows with a null or short
     ``data`` or fewer than one pixel are left out.
     """
     schema = "image string, mode string, risk string, priority int, " + ", ".join(f"{m} double" for m in METRICS)
-    kinds = pa.schema([("image", pa.string()), ("mode", pa.string()), ("risk", pa.string()), ("priority", pa.int32()), *[(m, pa.float64()) for m in METRICS]])
+    return _per_image(images, [], evaluate, schema)
+
+
+def profile_images(images: DataFrame) -> DataFrame:
+    """``image`` and its scene profile, for every decodable image."""
+    return _per_image(images, [], lambda image: [scene_profile(image)], "image string, brightness double, contrast double, sharpness double, colour_cast double")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, h, w, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if data and h > 0 and w > 0 and len(data) == 3 * h * w:
-                    rows = evaluate(np.frombuffer(data, np.uint8).reshape(h, w, 3))
-                    yield pa.RecordBatch.from_pylist([r | {"image": key} for r in rows], kinds)
 
-    return images.select(F.col("image").cast("string"), "height", "width", "data").mapInArrow(run, schema)
+#: Weights of regions by the size of their boxes.
+REGION_WEIGHTS = {"tiny": 2.0, "small": 1.5, "medium_large": 1.0}
+
+
+def region_metrics(images: DataFrame, boxes: DataFrame) -> DataFrame:
+    """Per image and mode: ``boxes`` (measured), boxes of each size class, and weighted means of the region ratios.
+
+    ``boxes``: ``image`` and ``bbox`` (x, y, width, height), any number per image. Boxes that are not four
+    numbers are skipped; each other counts by size, and is measured with its surroundings unless those are
+    below three pixels. ``any_*`` weighs tiny and small boxes more, ``tiny_*`` is the mean over tiny ones;
+    both are null without such boxes. Regions leave the tasks as rows and are averaged map-side.
+    """
+    sized = images.select("image", F.col("height").alias("h_"), F.col("width").alias("w_"))
+    box = boxes.filter(F.size("bbox") == 4).filter(~F.exists("bbox", lambda v: v.isNull() | F.isnan(v))).join(sized, "image")
+    size = size_class(area_ratio(F.col("bbox"), F.col("w_"), F.col("h_")))
+    region = protected_region(F.col("bbox"), F.col("w_"), F.col("h_"))
+    lists = box.select("image", F.struct(region.alias("at"), size.alias("size")).alias("b")).groupBy("image").agg(F.collect_list("b").alias("regions"))  # the boxes of one image
+
+    def measure(image: np.ndarray, regions: list[dict]) -> list[dict]:
+        out = []
+        for mode in MODES:
+            made = TRANSFORMS[mode](image)
+            for r in regions:
+                at = tuple(max(int(r["at"][k]), 0) for k in ("left", "top", "right", "bottom"))
+                out.append({"mode": mode, "size": r["size"], **(region_ratios(image, made, at) or {})})
+        return out
+
+    names = [*RATIOS, "lab"]
+    rows = _per_image(images.join(lists, "image"), ["regions"], measure, "image string, mode string, size string, " + ", ".join(f"{n} double" for n in names))
+    weight = F.coalesce(*[F.when(F.col("size") == k, w) for k, w in REGION_WEIGHTS.items()])
+    seen = F.col("detail").isNotNull()
+    rows = rows.withColumn("weight", F.when(seen, weight)).withColumn("tiny_weight", F.when(seen & (F.col("size") == "tiny"), 1.0))
+    means = [weighted_mean(F.col(n), F.col("weight")).alias(f"any_{n}") for n in names] + [weighted_mean(F.when(F.col("size") == "tiny", F.col(n)), F.col("tiny_weight")).alias(f"tiny_{n}") for n in names]
+    return rows.groupBy("image", "mode").agg(F.count_if(seen).alias("boxes"), *[F.count_if(F.col("size") == k).alias(f"{k}_boxes") for k in REGION_WEIGHTS], *means)

@@ -2,18 +2,23 @@
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Iterator
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.fs
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import group_name
 from ..operators import decide, dedup, split
-from ..operators.certify import canonical_hash
-from ..operators.pixels import TRANSFORMS, evaluate_images
-from ..sources.images import encode_png, write_files
+from ..operators.certify import canonical_hash, require_policy, require_verified, valid_checkpoints, verify
+from ..operators.pixels import TRANSFORMS, evaluate_images, pixels_of, region_metrics
+from ..shared import materialize
+from ..sources.images import encode_png, list_images, read_files, read_images, remove_files, write_files
+from ..sources.progress import latest
+from ..sources.reports import write_json, write_manifest
 
 
 def prepare(records: DataFrame, attempts: int = 300, seed: int = 42) -> DataFrame:
@@ -35,6 +40,11 @@ def evaluated(images: DataFrame) -> DataFrame:
     return gated.withColumn("margin", decide.safety_margin(F.col("passed")))
 
 
+def audited_regions(evaluations: DataFrame, images: DataFrame, boxes: DataFrame) -> DataFrame:
+    """The evaluations with the audit of the regions around boxes, which only judges and never selects."""
+    return decide.region_audit(evaluations.join(region_metrics(images, boxes), ["image", "mode"], "left"))
+
+
 def calibrate(evaluations: DataFrame, thresholds: DataFrame) -> DataFrame:
     """The chosen threshold; ``evaluations`` has ``region_passed`` from the audit of boxes."""
     return decide.choose_threshold(decide.replay(decide.winners(evaluations, thresholds), evaluations))
@@ -46,25 +56,145 @@ def policy(threshold: float) -> dict:
     return rules | {"policy_fingerprint_sha256": canonical_hash(rules)}
 
 
-def process(images: DataFrame, won: DataFrame, folder: str) -> DataFrame:
-    """Write each image as its winning mode has it and return a manifest row per image.
+def process(images: DataFrame, won: DataFrame, folder: str, files: DataFrame | None = None) -> DataFrame:
+    """Write each image as its winning mode has it; returns ``image``, ``mode``, ``name``, ``length`` and ``sha256``.
 
-    ``won``: ``image`` and ``mode``. Raw winners keep their pixels; all outputs are lossless PNG.
+    ``won``: ``image``, ``mode`` and, if wanted, ``name`` (where the output goes below ``folder``, without its
+    suffix; else the file's name). With ``files`` (``image``, ``content``) raw winners keep their file byte for byte;
+    all others are lossless PNG. Names that repeat and images that cannot be decoded stop the run.
     """
-    joined = images.join(won.select("image", "mode"), "image")
+    base = F.regexp_replace(F.element_at(F.split("image", "/"), -1), r"(?<=.)\.[^.]*$", "")
+    won = won.select("image", "mode", (F.col("name") if "name" in won.columns else base).alias("name"))
+    if twice := won.groupBy("name").count().filter("count > 1").limit(1).collect():
+        raise ValueError(f"several images would be written to {twice[0]['name']}")
+    kept = won.filter(F.lit(files is not None) & (F.col("mode") == decide.RAW))
+    made = won.join(kept.select("image"), "image", "left_anti")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for key, h, w, data, mode in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                raw = np.frombuffer(data, np.uint8).reshape(h, w, 3)
-                made = TRANSFORMS[mode](raw) if mode in TRANSFORMS else raw
-                if made.shape != raw.shape:
+            for key, h, w, data, mode, name in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                raw = pixels_of(data, h, w)
+                if raw is None:
+                    raise ValueError(f"{key} cannot be decoded")
+                out = TRANSFORMS[mode](raw) if mode in TRANSFORMS else raw
+                if out.shape != raw.shape:
                     raise ValueError(f"{mode} changed the size of {key}")
-                name = key.rsplit("/", 1)[-1].rsplit(".", 1)[0] + ".png"
-                yield pa.RecordBatch.from_pylist([{"name": name, "content": encode_png(made)}])
+                yield pa.RecordBatch.from_pylist([{"image": key, "mode": mode, "name": name + ".png", "content": encode_png(out)}])
+
+    schema = "image string, mode string, name string, content binary"
+    outputs = images.join(made, "image").select("image", "height", "width", "data", "mode", "name").mapInArrow(run, schema)
+    if files is not None:
+        suffix = F.regexp_extract("image", r"\.[^./]*$", 0)
+        outputs = outputs.unionByName(files.join(kept, "image").select("image", "mode", F.concat("name", suffix).alias("name"), "content"))
+    return write_files(outputs, folder, ["image", "mode"])
+
 
-    encoded = joined.select("image", "height", "width", "data", "mode").filter("data IS NOT NULL").mapInArrow(run, "name string, content binary")
-    return write_files(encoded, folder)
+#: Columns by which a finished record is known again: its file, its label, and the policy.
+MARKS = {"source_sha256": "source_sha256", "label_sha256": "label_sha256"}
+
+
+def run(spark: SparkSession, records: DataFrame, root: str, out: str, threshold: float = decide.DEFAULT_THRESHOLD, reset: bool = False) -> DataFrame:
+    """Select and write the winner of every record's image; a run that was stopped goes on where it ended.
+
+    ``records``: ``image`` (path below ``root``), ``split``, ``group``, ``target_count``, ``width``, ``height``, ``label`` (text). Outputs go to
+    ``out``/``split``/images and labels, the manifest to ``out``/manifest. Finished records whose files and labels are
+    unchanged are kept, others are done anew; records of another policy stop the run. At the end all outputs are
+    read back and compared. Returns the manifest; any failure leaves a report and is raised.
+    """
+    rules, began = policy(threshold), time.time()
+    try:
+        manifest, resumed = _continued(spark, records, root, out, rules, reset)
+        require_verified(_faults(spark, records, manifest, root, out))
+        won = manifest.select("split", F.col("selected_mode").alias("mode"))
+        by_split = decide.winners_by_split(won, [decide.RAW, *decide.MODES]).orderBy("split")
+        reasons = manifest.select(F.explode("rejections").alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")
+        write_manifest(manifest.withColumn("rejections", F.to_json("rejections")), f"{out}/manifests")
+        write_json(f"{out}/reports/run.json", {
+            "status": "PASS", "seconds": round(time.time() - began, 3), "resumed": resumed, "policy": rules,
+            "winners_by_split": [r.asDict() for r in by_split.collect()], "rejections": {r["reason"]: r["n"] for r in reasons.collect()},
+        })
+        return manifest
+    except Exception as failure:
+        write_json(f"{out}/reports/failure.json", {"status": "FAIL", "seconds": round(time.time() - began, 3), "error": f"{type(failure).__name__}: {failure}"[:4000]})
+        raise
+
+
+def _is_file(uri: str) -> bool:
+    fs, path = pyarrow.fs.FileSystem.from_uri(uri)
+    return fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound
+
+
+def _clear(out: str, splits: list[str]) -> None:
+    """Removes the outputs of an earlier run, split by split, and nothing else."""
+    for split_ in splits:
+        fs, path = pyarrow.fs.FileSystem.from_uri(f"{out}/{split_}")
+        if fs.get_file_info(path).type == pyarrow.fs.FileType.Directory:
+            fs.delete_dir(path)
+
+
+def _output_files(spark: SparkSession, out: str) -> DataFrame:
+    found = list_images(spark, out)
+    return found.select(F.regexp_extract("path", r"([^/]+/images/[^/]+)$", 1).alias("name"), "sha256")
+
+
+def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rules: dict, reset: bool) -> tuple[DataFrame, int]:
+    """The manifest of all records, and how many of them an earlier run had finished."""
+    place = f"{out}/manifest"
+    stem = F.regexp_replace(F.element_at(F.split("image", "/"), -1), r"(?<=.)\.[^.]*$", "")
+    sha = lambda c: F.sha2(F.coalesce(c, F.lit("")).cast("binary"), 256)
+    files = read_files(spark, root)
+    full = records.withColumn("image", F.concat(F.lit(_plain(root) + "/"), "image"))
+    full = full.join(files.select("image", F.sha2("content", 256).alias("source_sha256")), "image").withColumn("label_sha256", sha(F.col("label")))
+    todo, done = full, None
+    if reset:
+        _clear(out, [r["split"] for r in records.select("split").distinct().collect()])
+    if not reset and _is_file(place):
+        earlier = require_policy(latest(spark.read.parquet(place), "image", ["finished"]), rules["policy_fingerprint_sha256"])
+        done = materialize(valid_checkpoints(earlier, full, _output_files(spark, out), "image", MARKS), "resumed")
+        todo = full.join(done.select("image"), "image", "left_anti")
+    todo = materialize(todo, "todo")
+    images = read_images(spark, root).join(todo.select("image"), "image", "left_semi")
+    gated = materialize(evaluated(images), "evaluated")
+    grid = spark.createDataFrame([(float(rules["threshold"]),)], "threshold double")
+    won = decide.winners(gated, grid).drop("threshold").join(todo.select("image", F.concat_ws("/", "split", F.lit("images"), stem).alias("name")), "image")
+    written = process(images, won, out, files)
+    label_name = F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt")))
+    labels = write_files(todo.select(label_name.alias("name"), F.coalesce("label", F.lit("")).cast("binary").alias("content"), "image"), out, ["image"])
+    marked = todo.select("image", "split", F.col("group").alias("deployment"), "target_count", "width", "height", "source_sha256", "label_sha256")
+    fresh = (
+        written.withColumnRenamed("mode", "selected_mode").drop("length").join(marked, "image").join(won.select("image", "benefit", "margin"), "image")
+        .join(labels.select("image", F.col("name").alias("output_label"), F.col("sha256").alias("output_label_sha256")), "image")
+        .join(decide.rejections(gated), "image", "left")
+        .withColumn("policy_fingerprint_sha256", F.lit(rules["policy_fingerprint_sha256"])).withColumn("finished", F.current_timestamp())
+    )
+    fresh.write.mode("overwrite" if reset else "append").parquet(place)
+    manifest = latest(spark.read.parquet(place), "image", ["finished"]).join(full.select("image"), "image", "left_semi")
+    renamed = {"source_prepared_image": "image", "output_image": "name", "winner_benefit_score": "benefit", "winner_safety_margin": "margin", "source_image_sha256": "source_sha256", "output_image_sha256": "sha256", "source_label_sha256": "label_sha256"}
+    manifest = manifest.withColumn("processed", F.col("selected_mode") != decide.RAW).withColumnsRenamed({v: k for k, v in renamed.items()})
+    # An image that was written anew may have another suffix than before: its earlier file goes.
+    stem_of = lambda c: F.regexp_replace(c, r"\.[^./]*$", "")
+    stems = manifest.select(stem_of(F.col("output_image")).alias("stem"), F.col("output_image").alias("now"))
+    stale = _output_files(spark, out).withColumn("stem", stem_of(F.col("name"))).join(stems, "stem").filter("name <> now")
+    remove_files(stale, out)
+    return manifest, 0 if done is None else done.count()
+
+
+def _plain(root: str) -> str:
+    """The folder as the readers name it."""
+    return re.sub("^file:/+", "file:/", root).rstrip("/")
+
+
+def _faults(spark: SparkSession, records: DataFrame, manifest: DataFrame, root: str, out: str) -> DataFrame:
+    """(key, reason) of every record without an output, and of every output that is not as the manifest or the record has it."""
+    wanted = records.select(F.concat(F.lit(_plain(root) + "/"), "image").alias("image"), "width", "height")
+    got = manifest.select(F.col("source_prepared_image").alias("image"), "width", "height")
+    listed = verify(wanted, got, "image", ["width", "height"])
+    named = manifest.select(F.col("output_image").alias("name"), F.col("output_image_sha256").alias("sha256"), "width", "height")
+    shape = read_images(spark, out).select(F.regexp_extract("image", r"([^/]+/images/[^/]+)$", 1).alias("name"), "width", "height")
+    now = _output_files(spark, out).join(shape, "name", "left")
+    changed = manifest.filter("source_label_sha256 <> output_label_sha256").select(F.col("output_label").alias("key"), F.lit("label differs").alias("reason"))
+    changed = changed.unionByName(manifest.filter("NOT processed AND source_image_sha256 <> output_image_sha256").select(F.col("output_image").alias("key"), F.lit("raw image differs").alias("reason")))
+    return listed.withColumnRenamed("image", "key").unionByName(verify(named, now, "name", ["sha256", "width", "height"]).withColumnRenamed("name", "key")).unionByName(changed)
 
 
 def duplicates(records: DataFrame) -> DataFrame:

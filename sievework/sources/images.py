@@ -9,7 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 EXTENSIONS = "*.{jpg,jpeg,png,bmp,JPG,JPEG,PNG,BMP}"
@@ -22,10 +22,23 @@ def list_images(spark: SparkSession, root: str) -> DataFrame:
 
 
 def read_images(spark: SparkSession, root: str) -> DataFrame:
-    """``image`` (path), ``height``, ``width`` and ``data`` (BGR bytes); undecodable files have null data."""
+    """``image`` (path), ``height``, ``width`` and ``data`` (bytes of one, three or four channels, BGR first).
+
+    Undecodable files have null data.
+    """
     read = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
-    colour = F.when((F.col("image.height") > 0) & (F.col("image.nChannels") == 3), F.col("image.data"))
-    return read.select(F.col("image.origin").alias("image"), "image.height", "image.width", colour.alias("data"))
+    return read.select(_uri(F.col("image.origin")).alias("image"), "image.height", "image.width", F.when(F.col("image.height") > 0, F.col("image.data")).alias("data"))
+
+
+def _uri(path: Column) -> Column:
+    """A file's path as both readers should name it: they differ in the slashes after ``file:``."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def read_files(spark: SparkSession, root: str) -> DataFrame:
+    """``image`` (path) and ``content`` of every image file below ``root``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
+    return files.select(_uri(F.col("path")).alias("image"), "content")
 
 
 def encode_png(image: np.ndarray, level: int = 3) -> bytes:
@@ -36,26 +49,42 @@ def encode_png(image: np.ndarray, level: int = 3) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw, level)) + chunk(b"IEND", b"")
 
 
-def write_files(files: DataFrame, folder: str) -> DataFrame:
-    """Write each row's ``content`` to ``folder``/``name``, whole or not at all; returns name, length and SHA-256.
+def write_files(files: DataFrame, folder: str, keep: list[str] | None = None) -> DataFrame:
+    """Write each row's ``content`` to ``folder``/``name``, whole or not at all; returns name, length, SHA-256 and the text columns ``keep``.
 
     A task that runs again replaces what it wrote, so lost executors do no harm.
     """
     import hashlib
     import uuid
 
+    keep = keep or []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pa.fs.FileSystem.from_uri(folder)
         for batch in batches:
             out = []
-            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for name, content, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 to = f"{root}/{name}"
                 fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
                 part = f"{to}.{uuid.uuid4().hex}.part"
                 with fs.open_output_stream(part) as f:
                     f.write(content)
                 fs.move(part, to)
-                out.append({"name": name, "length": len(content), "sha256": hashlib.sha256(content).hexdigest()})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("name", pa.string()), ("length", pa.int64()), ("sha256", pa.string())]))
+                out.append({"name": name, "length": len(content), "sha256": hashlib.sha256(content).hexdigest(), **dict(zip(keep, rest, strict=True))})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("name", pa.string()), ("length", pa.int64()), ("sha256", pa.string()), *[(k, pa.string()) for k in keep]]))
+
+    return files.select("name", "content", *keep).mapInArrow(run, "name string, length long, sha256 string" + "".join(f", {k} string" for k in keep))
+
+
+def remove_files(names: DataFrame, folder: str) -> int:
+    """Remove the files ``folder``/``name`` of all rows; those that are gone already do no harm. Returns their number."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fs, root = pa.fs.FileSystem.from_uri(folder)
+        for batch in batches:
+            for name in batch.column(0).to_pylist():
+                if fs.get_file_info(f"{root}/{name}").type == pa.fs.FileType.File:
+                    fs.delete_file(f"{root}/{name}")
+            yield batch
 
-    return files.select("name", "content").mapInArrow(run, "name string, length long, sha256 string")
+    return names.select("name").mapInArrow(run, "name string").count()

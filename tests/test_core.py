@@ -13,7 +13,8 @@ from sievework.functions import boxes, naming, rules
 from sievework.operators import certify, decide, pixels, sampling, split
 from sievework.plans import curation
 from sievework.plans.registry import QUERIES, SQL
-from sievework.sources import coco, images, progress
+from sievework import __main__ as command
+from sievework.sources import coco, images, progress, reports
 from sievework.streaming import incremental
 
 SF = "/root/testdata/sf0.001"
@@ -107,6 +108,7 @@ def test_samplers(spark):
     assert not any(r["g"] == "g0" for r in sampling.capped_by_group(table, "g", "k", 6, 20, 7, used).collect())
     assert [r["k"] for r in sampling.evenly_spaced(table, "k", 5).orderBy("k").collect()] == [round(i * 99 / 4) for i in range(5)]
     assert sampling.evenly_spaced(table, "k", 1).first()["k"] == 50 and sampling.evenly_spaced(table, "k", 200).count() == 100
+    assert sampling.evenly_spaced(table.repartition(7), "k", 40).count() == 40
     assert sampling.random_fill(table, table.filter("k < 95"), "k", 9, 1).count() == 5
 
 
@@ -203,3 +205,131 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
         stream = incremental.once_per_key(incremental.read_stream(spark, str(source), schema), "key", "at")
         incremental.append_available(stream, str(tmp_path / "out"), str(tmp_path / "mark")).awaitTermination()
     assert sorted(r["key"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
+
+
+def test_regions_are_weighed_by_size(spark, tmp_path):
+    raw = picture(3, 64, 800)
+    table = spark.createDataFrame([("a", 64, 800, raw.tobytes()), ("b", 64, 800, raw.tobytes())], "image string, height int, width int, data binary")
+    given = [[100.0, 20.0, 6.0, 6.0], [300.0, 10.0, 15.0, 15.0], [500.0, 5.0, 50.0, 50.0], [1.0, 2.0]]  # tiny, small, larger, malformed
+    got = {r["mode"]: r for r in pixels.region_metrics(table, spark.createDataFrame([("a", x) for x in given], "image string, bbox array<double>")).collect()}
+    assert set(got) == set(decide.MODES)
+    for mode in ("clahe_very_mild", "mild_dehaze_low"):
+        made, r = pixels.TRANSFORMS[mode](raw), got[mode]
+        assert (r["image"], r["boxes"], r["tiny_boxes"], r["small_boxes"], r["medium_large_boxes"]) == ("a", 3, 1, 1, 1)
+        parts = []
+        for (x, y, w, h), weight in zip(given[:3], (2.0, 1.5, 1.0), strict=True):
+            px, py = max(0.2 * w, 24), max(0.2 * h, 24)
+            at = (int(max(np.floor(x - px), 0)), int(max(np.floor(y - py), 0)), int(min(np.ceil(x + w + px), 800)), int(min(np.ceil(y + h + py), 64)))
+            parts.append((pixels.region_ratios(raw, made, at), weight))
+        for name in (*pixels.RATIOS, "lab"):
+            assert r[f"any_{name}"] == pytest.approx(sum(p[name] * w for p, w in parts) / 4.5)
+            assert r[f"tiny_{name}"] == pytest.approx(parts[0][0][name])
+    evaluations = pixels.evaluate_images(table)
+    audited = {(r["image"], r["mode"]): r for r in curation.audited_regions(evaluations, table, spark.createDataFrame([("a", x) for x in given], "image string, bbox array<double>")).collect()}
+    assert all(r["region_passed"] for (image, _), r in audited.items() if image == "b") and len(audited) == 14
+
+
+def test_region_limits(spark):
+    columns = ["boxes", "tiny_boxes", *[f"{a}_{m}" for a in ("any", "tiny") for m in ("detail", "edge", "sharpness", "noise", "lab")]]
+    good = [0.9, 0.9, 1.0, 1.0, 1.0]
+    rows = [(1, 1, *good, *good), (1, 1, 0.85, *good[1:], 0.85, *good[1:]), (0, 1, 0.1, *good[1:], *good), (2, 1, 0.9, 0.9, 2.6, 1.0, 46.0, *[None] * 5)]
+    table = spark.createDataFrame(rows, ", ".join(f"{c} {'int' if 'boxes' in c else 'double'}" for c in columns))
+    assert [r["region_reasons"] for r in decide.region_audit(table).collect()] == [[], ["tiny_fish_detail_loss"], [], ["fish_roi_over_sharpening", "fish_roi_colour_shift"]]
+    assert decide.run_status(False, 3) == "CALIBRATION_NOT_APPROVABLE" and decide.run_status(True, 1) == "DETAIL_AUDIT_FAILED" and decide.run_status(True, 0) == "REVIEW_REQUIRED"
+
+
+def test_other_numbers_of_channels():
+    g = np.arange(12, dtype=np.uint8).reshape(3, 4)
+    assert (pixels.pixels_of(g.tobytes(), 3, 4) == g[..., None]).all()
+    four = np.arange(48, dtype=np.uint8).reshape(3, 4, 4)
+    assert (pixels.pixels_of(four.tobytes(), 3, 4) == four[..., :3]).all()
+    assert pixels.pixels_of(b"12", 3, 4) is None and pixels.pixels_of(None, -1, -1) is None
+
+
+def test_trial_and_calibration_samples(spark):
+    rows = [(f"i{i:04}", f"g{i % 60}", i % 4, int(i % 4 > 0 and i % 5 == 0), int(i % 4 > 0 and i % 7 == 0)) for i in range(1200)]
+    records = spark.createDataFrame(rows, "image string, group string, target_count int, tiny_count int, small_count int")
+    profile = lambda pool: pool.withColumns({c: F.conv(F.substring(F.md5(F.concat("image", F.lit(c))), 1, 8), 16, 10).cast("double") for c in ("brightness", "contrast", "sharpness", "colour_cast")})
+    trial = sampling.trial_sample(records, profile)
+    got = trial.join(records, "image").collect()
+    assert len({r["image"] for r in got}) == len(got) == 20 and sum(r["target_count"] > 0 for r in got) == 14
+    assert {r["reason"] for r in got} >= {r[0] for r in (*sampling.POSITIVE_RANKS, *sampling.NEGATIVE_RANKS)}
+    chosen = sampling.calibration_sample(records, trial, positives=60, negatives=20, with_tiny=24, with_small=18)
+    found = chosen.join(records.drop("group"), "image").collect()
+    groups = [r["group"] for r in found]
+    assert len({r["image"] for r in found}) == 80 and not {r["group"] for r in got} & set(groups) and max(map(groups.count, groups)) <= 6
+    count = lambda s: sum(r["stratum"] == s for r in found)
+    assert (count("tiny"), count("small"), count("positive"), count("negative")) == (24, 18, 18, 20)
+    assert all(r["tiny_count"] > 0 for r in found if r["stratum"] == "tiny") and all(r["target_count"] == 0 for r in found if r["stratum"] == "negative")
+    with pytest.raises(ValueError, match="only"):
+        sampling.calibration_sample(records, trial, positives=5000)
+
+
+def test_reports_are_written_whole(spark, tmp_path):
+    reports.write_json(f"file://{tmp_path}/a/r.json", {"b": 1, "a": "ü"})
+    assert reports.read_json(f"file://{tmp_path}/a/r.json") == {"b": 1, "a": "ü"} and reports.read_object(f"file://{tmp_path}/none.json") == {}
+    with pytest.raises(FileNotFoundError):
+        reports.read_json(f"file://{tmp_path}/none.json")
+    assert reports.dataset_yaml("/data/x", {0: "fish"}, True) == 'path: "/data/x"\ntrain: train/images\nval: val/images\ntest: test/images\nnames:\n  0: "fish"\nnc: 1\n'
+    one = spark.createDataFrame([(2, "b"), (1, "a")], "sample_number int, sample_type string").select("*", *[F.lit("v").alias(c) for c in reports.DECISION_COLUMNS[2:]])
+    reports.write_decisions(one, str(tmp_path / "d"))
+    lines = next((tmp_path / "d").glob("*.csv")).read_text().splitlines()
+    assert lines[0] == ",".join(reports.DECISION_COLUMNS) and [x[:3] for x in lines[1:]] == ["1,a", "2,b"]
+
+
+VERSION = "v"
+TRIAL = {"policy_version": VERSION, "calibrated_minimum_improvement": 0.02, "runtime_selector_label_free": True, "winner_roi_audit_failures": 0}
+CALIBRATION = {
+    "policy_version": VERSION, "selected_threshold": 0.02, "runtime_selector": "label_free", "annotations_used_for_runtime_selection": False, "class_labels_used_for_threshold_reward": False,
+    "positive_images_rewarded": False, "negative_images_penalized": False, "calibration_safe": True, "threshold_analysis": [{"threshold": 0.02, "roi_unsafe_selected": 0, "eligible_for_selection": True}],
+}
+SAMPLING = {
+    "policy_version": VERSION, "status": "pass", "policy": {"smoke_deployments_excluded_from_calibration": True, "group_aware_round_robin": True, "positive_and_negative_share_deployment_cap": True, "maximum_calibration_images_per_deployment": 6},
+    "counts": {"smoke_images": 20}, "checks": {"image_overlap_count": 0, "image_overlap_passed": True, "image_overlap": [], "deployment_overlap_count": 0, "deployment_overlap_passed": True},
+}
+
+
+def test_preflight_tells_the_check_that_fails(spark):
+    records = spark.createDataFrame([("train/images/a.png", "train/labels/a.txt", "train"), ("val/images/b.png", "val/labels/b.txt", "val")], "image string, label string, split string")
+    config = {"policy_version": VERSION, "threshold": 0.02, "modes": 8, "cap": 6, "trial_images": 20, "splits": {"train": 1, "val": 1}}
+    failed = lambda t=TRIAL, c=CALIBRATION, s=SAMPLING, r=records, g=config: [n for n, _, ok in certify.preflight(t, c, s, r, g) if not ok]
+    assert failed() == []
+    assert failed(t={}) == [3, 4, 5, 6, 9] and failed(c=CALIBRATION | {"threshold_analysis": []}) == [8]
+    assert failed(s=SAMPLING | {"status": "FAIL"}) == [10] and failed(g=config | {"trial_images": 21, "splits": {"train": 2}}) == [11, 13]
+    assert failed(r=records.unionByName(records.limit(1))) == [12, 13]
+    with pytest.raises(RuntimeError, match="check 8"):
+        certify.require_passed(certify.preflight(TRIAL, CALIBRATION | {"calibration_safe": False}, SAMPLING, records, config))
+
+
+def test_run_goes_on_where_it_ended(spark, tmp_path):
+    root, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    rows = []
+    for i in range(6):
+        split_ = ("train", "val", "test")[i % 3]
+        (tmp_path / "in" / split_ / "images").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / split_ / "images" / f"i{i}.png").write_bytes(images.encode_png(picture(i) // 4 if i % 2 else np.full((48, 64, 3), 122, np.uint8)))
+        rows.append((f"{split_}/images/i{i}.png", f"{split_}/labels/i{i}.txt", f"0 0.5 0.5 0.{i + 1} 0.1\n", split_, f"g{i}", 1, 64, 48))
+    records = spark.createDataFrame(rows, "image string, label_path string, label string, split string, group string, target_count int, width int, height int")
+    first = {r["output_image"]: r for r in curation.run(spark, records, root, out, 0.005).collect()}
+    assert len(first) == 6 and any(r["processed"] for r in first.values()) and not all(r["processed"] for r in first.values())
+    for name, r in first.items():
+        same = (tmp_path / "out" / name).read_bytes() == (tmp_path / "in" / name).read_bytes()
+        assert same != r["processed"] and (tmp_path / "out" / r["output_label"]).read_text().startswith("0 0.5 0.5")
+    (tmp_path / "out" / "val/images/i1.png").write_bytes(b"damaged")
+    again = {r["output_image"]: r for r in curation.run(spark, records, root, out, 0.005).collect()}
+    assert reports.read_json(f"{out}/reports/run.json")["resumed"] == 5
+    assert {n for n in first if again[n]["finished"] != first[n]["finished"]} == {"val/images/i1.png"}
+    assert all(again[n]["output_image_sha256"] == first[n]["output_image_sha256"] for n in first)
+    with pytest.raises(Exception, match="another policy"):
+        curation.run(spark, records, root, out, 0.02)
+    assert reports.read_json(f"{out}/reports/failure.json")["status"] == "FAIL"
+
+    records.write.parquet(str(tmp_path / "records"))
+    config = {"policy_version": VERSION, "threshold": 0.02, "cap": 6, "splits": {"train": 2, "val": 2, "test": 2}}
+    for name, value in (("trial", TRIAL | {"decisions": [{"prepared_image": "train/images/i3.png", "processed_selected": True}]}), ("calibration", CALIBRATION), ("sampling", SAMPLING), ("config", config)):
+        reports.write_json(f"file://{tmp_path}/reports/{name}.json", value)
+    given = ["--records", str(tmp_path / "records"), "--images", root, "--reports", f"file://{tmp_path}/reports", "--out", out]
+    assert command.main(["--preflight", *given], spark) == 0 and command.main(["--smoke-test", "1", *given], spark) == 0
+    assert (tmp_path / "out-smoke/train/images/i3.png").exists() and not (tmp_path / "out-smoke/train/images/i0.png").exists()
+    with pytest.raises(SystemExit):
+        command.arguments(["--preflight", "--full", *given])
