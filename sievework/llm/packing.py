@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import bisect
 import re
 import zlib
 from collections.abc import Iterator
@@ -15,8 +16,9 @@ from ..shared import materialize
 
 #: Words whose tokens a worker remembers; more are encoded again each time they come.
 MEMO_WORDS = 200_000
-#: Rounds of multiplicative weights, and the share of a length's demand that a round may meet.
-ROUNDS, STEP = 150, 0.2
+#: Share of the lower bound by which the linear program's solution may exceed it, the rounds in a row that
+#: must better nothing to end it sooner, and the strength with which empty room raises prices.
+GAP, STALL, STEP = 0.002, 20, 1.0
 #: Groups in which the documents of one length are numbered, so that a common length is no single task.
 SALTS = 64
 
@@ -97,24 +99,97 @@ def tokenize_pieces(docs: DataFrame, capacity: int, path: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
 
-def _best_pattern(lengths: np.ndarray, worth: np.ndarray, capacity: int) -> np.ndarray:
-    """How often each length stands in the most valuable sequence (knapsack by dynamic programming)."""
+Patterns = list[tuple[int, np.ndarray, np.ndarray]]
+#: A sequence's content: (which length, how often) pairs.
+Pattern = tuple[tuple[int, int], ...]
+
+
+def _knapsack(lengths: np.ndarray, worth: np.ndarray, which: np.ndarray, capacity: int) -> tuple[np.ndarray, list[int]]:
+    """The worth of the best filling of every room up to ``capacity`` by the lengths ``which``, and one length in it (-1: none)."""
+    lengths, worth = lengths[which], worth[which]
     best, last = np.zeros(capacity + 1), np.full(capacity + 1, -1)
     upto = np.searchsorted(lengths, np.arange(capacity + 1), side="right")
     for c in range(1, capacity + 1):
-        best[c] = best[c - 1]
+        best[c], last[c] = best[c - 1], last[c - 1]
         if k := upto[c]:
             value = best[c - lengths[:k]] + worth[:k]
             if value[i := int(value.argmax())] > best[c]:
-                best[c], last[c] = value[i], i
-    times, c = np.zeros(len(lengths), np.int64), capacity
-    while c > 0:
-        if last[c] < 0:
-            c -= 1
-        else:
-            times[last[c]] += 1
-            c -= lengths[last[c]]
-    return times
+                best[c], last[c] = value[i], which[i]
+    return best, last.tolist()
+
+
+def _least(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> float:
+    """A number of sequences that no fractional solution goes below (Martello and Toth, over all thresholds).
+
+    At threshold k lengths over ``capacity - k`` need a sequence each, lengths under k cost nothing, and what
+    lies between costs its share, a sequence at least for each length over one half.
+    """
+    number = np.zeros(capacity + 2)
+    number[lengths + 1] = counts
+    upto, mass = np.cumsum(number), np.cumsum(number * np.maximum(np.arange(capacity + 2) - 1, 0))
+    half = capacity // 2
+    k = np.arange(half + 1)
+    alone, pairs = upto[-1] - upto[capacity - k + 1], upto[capacity - k + 1] - upto[half + 1]
+    spare = pairs * capacity - (mass[capacity - k + 1] - mass[half + 1])
+    small = mass[half + 1] - mass[k]
+    return float((alone + pairs + np.maximum(small - spare, 0) / capacity).max())
+
+
+def _covering(lengths: np.ndarray, counts: np.ndarray, capacity: int, worth: np.ndarray) -> tuple[dict[Pattern, float], np.ndarray, float]:
+    """A fractional solution that covers each length exactly, each length's mean empty share, and a lower bound.
+
+    From the longest length down, a sequence takes that length and then what the knapsack prices highest
+    among lengths still open; it is used as often as all its lengths are. The knapsack is solved again
+    whenever a tenth of the lengths have closed. Where its choice has closed since, the longest open
+    length that fits stands in.
+    """
+    sizes, most, left = lengths.tolist(), counts.tolist(), counts.astype(float).tolist()
+    best, last = _knapsack(lengths, worth, np.arange(len(lengths)), capacity)
+    bound = float(worth @ counts / best[capacity])
+    open_, solved, use, empty = list(range(len(lengths))), len(lengths), {}, np.zeros(len(lengths))
+    while open_:
+        if len(open_) < 0.9 * solved:
+            (_, last), solved = _knapsack(lengths, worth, np.array(open_), capacity), len(open_)
+        often, room, i = {}, capacity, open_[-1]
+        while i >= 0:
+            often[i] = often.get(i, 0) + 1
+            room -= sizes[i]
+            i = last[room]
+            if i < 0 or often.get(i, 0) >= left[i]:
+                at = bisect.bisect_right(open_, room, key=sizes.__getitem__) - 1
+                while at >= 0 and often.get(open_[at], 0) >= left[open_[at]]:
+                    at -= 1
+                i = open_[at] if at >= 0 else -1
+        times = min(left[j] / k for j, k in often.items())
+        pattern = tuple(sorted(often.items()))
+        use[pattern] = use.get(pattern, 0.0) + times
+        for j, k in pattern:
+            left[j] -= times * k
+            empty[j] += times * k / most[j] * room / capacity
+            if left[j] <= 1e-9 * most[j]:
+                left[j] = 0.0
+                del open_[bisect.bisect_left(open_, j)]
+    return use, empty, bound
+
+
+def linear_program(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> tuple[dict[Pattern, float], float]:
+    """How often each pattern is used, fractionally, and a lower bound on the number of sequences.
+
+    Every round covers each length exactly. The rounds go on, prices rising by multiplicative weights where
+    sequences stay emptier, until the best of them is within ``GAP`` of the bound, or within one sequence;
+    they also end when ``STALL`` of them in a row better neither side, and the gap is then larger.
+    """
+    worth, bound, found, value, idle = lengths / capacity, _least(lengths, counts, capacity), {}, np.inf, 0
+    while value - bound > max(1.0, GAP * bound) and idle < STALL:
+        use, empty, below = _covering(lengths, counts, capacity, worth)
+        idle += 1
+        if below > bound + 1e-9:
+            bound, idle = below, 0
+        if (total := sum(use.values())) < value - 1e-9:
+            found, value, idle = use, total, 0
+        worth = worth * np.exp(STEP * empty)
+        worth /= worth.max()
+    return found, bound
 
 
 def _fill(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
@@ -132,54 +207,38 @@ def _fill(lengths: np.ndarray, left: np.ndarray, capacity: int) -> np.ndarray:
         room -= n * int(lengths[i])
 
 
-Patterns = list[tuple[int, np.ndarray, np.ndarray]]
-
-
 def solve(lengths: np.ndarray, counts: np.ndarray, capacity: int) -> Patterns:
     """How many sequences have each pattern: (number, which lengths, how often each stands in a sequence).
 
     Together they hold each length exactly ``counts`` times.
 
-    The linear program covers all counts with as few sequences as it can. In each round of multiplicative
-    weights the knapsack prices the best pattern and the weights of what it covers fall. The solution is
-    rounded down to whole sequences within the counts; what is left is filled best-fit, longest first,
-    each such pattern as often as it fits. The work depends on the number of lengths, at most
+    The linear program is solved at every size. Its solution is rounded down to whole sequences; then, the
+    largest rest first and the fuller of equal ones, patterns whose rest is one half or more are used once
+    more where the counts allow. Only what remains is filled best-fit, longest first. The work depends on the number of lengths, at most
     ``capacity``, not on the number of documents.
     """
     lengths, left = np.asarray(lengths, np.int64), np.asarray(counts, np.int64).copy()
-    demand = left.astype(float)
-    worth, use = 1.0 / demand, {}
-    patterns, scale = [], 0.0
-    if left.sum() > 4 * len(left):  # else no pattern can be used a whole time
-        for _ in range(ROUNDS):
-            times = np.minimum(_best_pattern(lengths, worth, capacity), left)
-            most = (demand[times > 0] / times[times > 0]).min() * STEP
-            use[times.tobytes()] = use.get(times.tobytes(), 0.0) + most
-            worth *= np.exp(-times * most / demand * 4)
-            worth /= worth.max()
-        patterns = sorted(((x, np.frombuffer(k, np.int64)) for k, x in use.items()), key=lambda y: -y[0])
-        covered = sum(x * p for x, p in patterns)
-        scale = (lengths * demand).sum() / (lengths * covered).sum()
-    # A share below one leaves the last, best-fit part short documents to fill up with.
-    rounded = [_rounded(lengths, left, capacity, patterns, scale * share) for share in ((0.95, 0.8, 0.5, 0.0) if patterns else (0.0,))]
-    return min(rounded, key=lambda r: sum(n for n, _, _ in r))
-
-
-def _rounded(lengths: np.ndarray, left: np.ndarray, capacity: int, patterns: list, scale: float) -> Patterns:
-    out, left = [], left.copy()
-
-    def use(n: int, p: np.ndarray) -> None:
-        which = np.flatnonzero(p)
-        out.append((n, which, p[which]))
-        left[which] -= n * p[which]
-
-    for x, p in patterns:
-        if (n := int(min(x * scale, (left[p > 0] // p[p > 0]).min()))) > 0:
-            use(n, p)
+    out: Patterns = []
+    if not len(lengths):
+        return out
+
+    def use(n: int, which: np.ndarray, often: np.ndarray) -> None:
+        out.append((n, which, often))
+        left[which] -= n * often
+
+    found, _ = linear_program(lengths, left, capacity)
+    patterns = [(x + 1e-6, *np.array(p, np.int64).T) for p, x in found.items()]
+    for x, which, often in patterns:
+        if x >= 1:
+            use(int(x), which, often)
+    rests = [(x % 1, int(lengths[which] @ often), which, often) for x, which, often in patterns if x % 1 >= 0.5]
+    for _, _, which, often in sorted(rests, key=lambda r: (-round(r[0], 6), -r[1])):
+        if (left[which] >= often).all():
+            use(1, which, often)
     while left.any():
         p = _fill(lengths, left, capacity)
-        n = int((left[p > 0] // p[p > 0]).min())
-        use(n, p)
+        which = np.flatnonzero(p)
+        use(int((left[which] // p[which]).min()), which, p[which])
     return out
 
 

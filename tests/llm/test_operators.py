@@ -376,3 +376,19 @@ def test_solution_meets_every_count():
         room = 4096 if at == len(rooms) else rooms.pop(at)
         bisect.insort(rooms, room - size)
     assert total <= bins
+
+
+def test_linear_program_covers_every_length_at_every_size():
+    rng = np.random.default_rng(6)
+    for lengths, counts in ((np.unique(rng.integers(1, 4097, 170)), None), (np.arange(1, 2400), rng.integers(1, 9, 2399)), (np.array([1366, 1400]), np.array([71, 50]))):
+        counts = np.ones(len(lengths), np.int64) if counts is None else counts
+        found, bound = packing.linear_program(lengths, counts, 4096)
+        held, room = np.zeros(len(lengths)), [sum(lengths[i] * k for i, k in p) for p in found]
+        for p, x in found.items():
+            for i, k in p:
+                held[i] += x * k
+        assert np.allclose(held, counts) and max(room) <= 4096
+        assert bound <= sum(found.values()) <= bound + (2 if counts.max() == 1 else max(1.0, packing.GAP * bound))
+        shipped = packing.solve(lengths, counts, 4096)
+        priced = sum(n for n, which, often in shipped if tuple(zip(which.tolist(), often.tolist(), strict=True)) in found)
+        assert priced >= 0.6 * sum(n for n, _, _ in shipped)
