@@ -44,15 +44,19 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view("<u8")[0])
 
 
+def _print() -> Column:
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
+
+
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and ``fp`` (the fingerprint's 64 bits as a long) of every document."""
+    """``doc_id``, ``print`` (the text's SHA-256) and ``fp`` (the fingerprint's 64 bits as a long) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = np.array([fingerprint(t.as_py()) for t in batch.column(1)], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array(found.view(np.int64))], ["doc_id", "print", "fp"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", _print().alias("print")).mapInArrow(run, "doc_id long, print string, fp long")
 
 
 def _segment(fp: Column, i: int, width: int = WIDTH) -> Column:
@@ -183,24 +187,34 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     doc_id keeps its row and gives no component its name, unless all in it are null. Repeated rows each stay. Other
     columns are left out; an empty table gives an empty one.
     """
-    prints = materialize(fingerprints(docs), "simhash")
+    prints = materialize(fingerprints(docs).drop("print"), "simhash")
+    return prints.join(_components(prints), "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def _components(prints: DataFrame) -> DataFrame:
+    """Every distinct ``fp`` with the ``root`` fingerprint of its component and the smallest doc_id there."""
     distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
     found = roots(links(distinct))
     classes = distinct.join(found, distinct["fp"] == found["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     named = classes.groupBy("root").agg(F.min("least").alias("component_id"))
-    of_print = classes.join(named, "root").select("fp", "component_id")
-    return prints.join(of_print, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return classes.join(named, "root").select("fp", "root", "component_id")
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """Documents of which each component keeps the one with the smallest doc_id (one row, if that repeats).
+    """One row of each component: that of the smallest doc_id (null last), then of the smallest SHA-256 of its text.
 
-    The smallest long stands for a null doc_id, so join and deduplication share one dealing of the texts.
+    Rows are chosen on ids and hashes; rows alike in both are in one component and count as one. The
+    smallest long stands for a null doc_id, so join and deduplication share one dealing of the texts.
     """
     key = lambda c: F.coalesce(c.cast("long"), F.lit(-(2**63))).alias("kept_key_")
-    kept = near_duplicates(docs).select(key(F.col("component_id"))).distinct()
-    stays = docs.select("*", key(F.col("doc_id"))).join(kept, "kept_key_", "left_semi")
-    return stays.dropDuplicates(["kept_key_"]).select(docs.columns)
+    prints = materialize(fingerprints(docs), "simhash")
+    row = F.struct(F.col("doc_id").isNull(), "doc_id", "print")
+    least = prints.groupBy("fp").agg(F.min(row).alias("row"))  # few rows to a join, however many are alike
+    kept = least.join(_components(prints), "fp").groupBy("root").agg(F.min("row").alias("row"))
+    kept = kept.select(key(F.col("row.doc_id")), F.col("row.print").alias("kept_print_"))
+    keys = ["kept_key_", "kept_print_"]
+    stays = docs.select("*", key(F.col("doc_id")), _print().alias("kept_print_")).join(kept, keys, "left_semi")
+    return stays.dropDuplicates(keys).select(docs.columns)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -392,3 +392,15 @@ def test_linear_program_covers_every_length_at_every_size():
         shipped = packing.solve(lengths, counts, 4096)
         priced = sum(n for n, which, often in shipped if tuple(zip(which.tolist(), often.tolist(), strict=True)) in found)
         assert priced >= 0.6 * sum(n for n, _, _ in shipped)
+
+
+def test_each_component_keeps_one_row_whatever_its_ids(spark):
+    apart = [" ".join(f"{k}{i}x" for i in range(40)) for k in "abcdef"]
+    rows_ = [(None, apart[0]), (None, apart[1]), (None, apart[1]), (None, None), (5, apart[2]), (5, apart[3]), (6, apart[2]), (4, apart[4]), (5, apart[4]), (None, apart[5]), (9, apart[5])]
+    prints = [slow_fingerprint(t) for _, t in rows_]
+    assert all((p ^ q).bit_count() > 3 for p in prints for q in prints if p != q)
+    want = {}
+    for (d, t), p in zip(rows_, prints, strict=True):
+        want[p] = min(want.get(p, (True, 1, "", "")), (d is None, d or 0, hashlib.sha256((t or "").encode()).hexdigest(), t))
+    got = simhash.drop_near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((None if n else d, t) for n, d, _, t in want.values())
