@@ -97,15 +97,21 @@ def _equal(h: np.ndarray, h2: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> t
     return order, np.r_[False, (h[order][1:] == h[order][:-1]) & (h2[order][1:] == h2[order][:-1])] if len(h) else same
 
 
-_DEALT = "bucket int, h binary, h2 binary, doc_id binary, low binary, high binary, known binary"
-_TYPES = (np.uint64, np.int32, np.int64, np.uint16, np.uint16, np.bool_)
+def _later(order: np.ndarray, same: np.ndarray, doc: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    """Which rows in an order by ``_equal`` lie at a later place than the first of their equals."""
+    first = order[np.maximum.accumulate(np.where(same, 0, np.arange(len(order))))]
+    return same & ((doc[order] != doc[first]) | (pos[order] != pos[first]))
+
+
+_DEALT = "bucket int, h binary, h2 binary, doc_id binary, tag binary, low binary, high binary, known binary"
+_TYPES = (np.uint64, np.int32, np.int64, np.int64, np.uint16, np.uint16, np.bool_)
 
 
 class _Dealer:
     """Deals found hashes with their places to buckets, many to a row.
 
-    Of equal hashes only the earliest place goes on under its hash; the others are known to be repeats and
-    are dealt evenly, so a passage that fills a third of the corpus meets no task whole.
+    Of equal hashes only the earliest place (in several rows, if they share it) goes on under its hash; the
+    others are known to be repeats and are dealt evenly, so a passage that fills a third of the corpus meets no task whole.
     """
 
     def __init__(self, buckets: int, first_only: bool):
@@ -118,12 +124,12 @@ class _Dealer:
             yield self.flush()
 
     def flush(self) -> pa.RecordBatch:
-        empty = [np.zeros(0, t) for t in (np.uint64, np.int32, np.int64, np.int64)]
-        h, h2, doc, pos = (np.concatenate([e, *x]) for e, x in zip(empty, zip(*self.held, strict=True) if self.held else [()] * 4, strict=True))
+        empty = [np.zeros(0, t) for t in (np.uint64, np.int32, np.int64, np.int64, np.int64)]
+        h, h2, doc, pos, tag = (np.concatenate([e, *x]) for e, x in zip(empty, zip(*self.held, strict=True) if self.held else [()] * 5, strict=True))
         self.held, self.n = [], 0
         order, same = _equal(h, h2, doc, pos)
         known = np.zeros(len(h), bool)
-        known[order[same]] = True
+        known[order[_later(order, same, doc, pos) if self.first_only else same]] = True
         spread = _mixed((doc.view(np.uint64) * np.uint64(_ODD[2])) ^ pos.astype(np.uint64))
         h = np.where(known, spread, h)
         if not self.first_only and len(same):
@@ -133,7 +139,7 @@ class _Dealer:
         cuts = np.flatnonzero(np.r_[True, bucket[order][1:] != bucket[order][:-1]]) if len(h) else np.zeros(0, np.int64)
         ends = np.r_[cuts[1:], len(h)]
         columns = [pa.array(bucket[order][cuts], pa.int32())]
-        for x, t in zip((h, h2, doc, pos & 0xFFFF, pos >> 16, known), _TYPES, strict=True):
+        for x, t in zip((h, h2, doc, tag, pos & 0xFFFF, pos >> 16, known), _TYPES, strict=True):
             data = x[order].astype(t)
             offsets = (np.r_[cuts, len(h)] if len(cuts) else np.zeros(1, np.int64)) * data.itemsize
             columns.append(pa.Array.from_buffers(pa.binary(), len(ends) if len(cuts) else 0, [None, pa.py_buffer(offsets.astype(np.int32)), pa.py_buffer(data.tobytes())]))
@@ -147,13 +153,13 @@ def _anchors(window: int, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = _Dealer(buckets, first_only=False)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
             for a, _, data, offsets in chunks(batch.column(1)):
                 w = Words(data, offsets)
                 at = w.full(length)
                 at = at[np.isin(w.place[at] % PERIOD, COVER) & (w.count[w.text[at]] >= window)]
                 h = w.windows(at, length)
-                yield from dealer.add(h, np.zeros(len(h), np.int32), ids[a + w.text[at]], w.place[at])
+                yield from dealer.add(h, np.zeros(len(h), np.int32), ids[a + w.text[at]], w.place[at], tags[a + w.text[at]])
         yield dealer.flush()
 
     return run
@@ -163,14 +169,14 @@ def _repeats(first_only: bool) -> Callable:
     """Rows sorted by bucket: places whose hash is not alone (first_only: not the first)."""
 
     def judged(held: list[list[bytes]]) -> pa.RecordBatch:
-        h, h2, doc, low, high, known = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held, strict=True), _TYPES, strict=True))
+        h, h2, doc, tag, low, high, known = (np.frombuffer(b"".join(x), t) for x, t in zip(zip(*held, strict=True), _TYPES, strict=True))
         pos = high.astype(np.int64) << 16 | low
         order, same = _equal(h, h2, doc, pos)
         repeated = known.copy()
-        repeated[order[same]] = True
+        repeated[order[_later(order, same, doc, pos) if first_only else same]] = True
         if not first_only:
             repeated[order[:-1][same[1:]]] = True
-        return pa.RecordBatch.from_arrays([pa.array(doc[repeated]), pa.array(pos[repeated], pa.int32())], ["doc_id", "pos"])
+        return pa.RecordBatch.from_arrays([pa.array(doc[repeated]), pa.array(tag[repeated]), pa.array(pos[repeated], pa.int32())], ["doc_id", "tag", "pos"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bucket, held = None, []
@@ -188,9 +194,9 @@ def _repeats(first_only: bool) -> Callable:
 
 
 def _places(found: DataFrame, first_only: bool) -> DataFrame:
-    """Repeated places per document, as one list."""
+    """Repeated places per row key, as one list."""
     dealt = found.repartition("bucket").sortWithinPartitions("bucket")
-    return dealt.mapInArrow(_repeats(first_only), "doc_id long, pos int").groupBy("doc_id").agg(F.collect_list("pos").alias("places"))
+    return dealt.mapInArrow(_repeats(first_only), "doc_id long, tag long, pos int").groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("places"))
 
 
 def _lists(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +220,7 @@ def _candidates(window: int, buckets: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dealer = _Dealer(buckets, first_only=True)
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
+            ids, tags = (batch.column(i).to_numpy(zero_copy_only=False) for i in (0, 3))
             places, rows = _lists(batch.column(2))
             for a, b, data, offsets in chunks(batch.column(1)):
                 mine = (rows >= a) & (rows < b)
@@ -225,7 +231,7 @@ def _candidates(window: int, buckets: int) -> Callable:
                 near = _cover(begins, len(w.start), begins + places[mine], window - length, 1)
                 at = np.flatnonzero(near & (w.place + window <= w.count[w.text]))
                 h, h2 = w.windows(at, window), w.windows(at, window, _ODD[2]) & np.uint64(0x7FFFFFFF)
-                yield from dealer.add(h, h2.astype(np.int32), ids[a + w.text[at]], w.place[at])
+                yield from dealer.add(h, h2.astype(np.int32), ids[a + w.text[at]], w.place[at], tags[a + w.text[at]])
         yield dealer.flush()
 
     return run
@@ -267,7 +273,8 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     Of equal texts only those of the smallest doc_id are searched: every window of the others starts
     earlier there. Anchors, windows of ``window - 12`` words, are hashed at cover positions only. Where an
     anchor comes twice, the windows around it are hashed whole; the first place of each hash stays. The
-    texts are dealt by doc_id once for all steps. A null text has no words; null ids count as one document
+    texts are dealt once for all steps, by doc_id and ``tag`` (60 bits of the text's SHA-256), which tell
+    rows of one doc_id with different texts apart. A null text has no words; null ids count as one document
     before all others. Rows that repeat a doc_id are parts of one document that begin at the same place:
     none is earlier than the other. Other columns are left out; an empty table gives an empty one.
     """
@@ -276,15 +283,17 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     buckets = BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
-    prints = texts.select("doc_id", sha.alias("print"))
+    texts = texts.withColumn("print", sha).withColumn("tag", F.coalesce(F.conv(F.substring("print", 1, 15), 16, 10).cast("long"), F.lit(0)))  # no null: a filter on it would part the dealings
+    prints = texts.select("doc_id", "tag", "print")
     firsts = prints.groupBy("print").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last").select("print", "first")
-    copies = prints.join(firsts, "print").filter("doc_id > first").groupBy("doc_id").agg(F.collect_set("print").alias("prints"))
-    texts = texts.join(copies, "doc_id", "left").select("doc_id", "text", F.coalesce(F.array_contains("prints", sha), F.lit(False)).alias("copy"))
-    searched = texts.filter(~F.col("copy")).select("doc_id", "text")
+    key = ["doc_id", "tag"]
+    copies = prints.join(firsts, "print").filter("doc_id > first").select(key).distinct().withColumn("copy", F.lit(True))
+    texts = texts.join(copies, key, "left").select(*key, "text", F.coalesce("copy", F.lit(False)).alias("copy"))
+    searched = texts.filter(~F.col("copy")).select("doc_id", "text", "tag")
     anchors = _places(searched.mapInArrow(_anchors(window, buckets), _DEALT), first_only=False)
-    candidates = searched.join(anchors, "doc_id").mapInArrow(_candidates(window, buckets), _DEALT)
+    candidates = searched.join(anchors, key).select("doc_id", "text", "places", "tag").mapInArrow(_candidates(window, buckets), _DEALT)
     repeats = _places(candidates, first_only=True)
-    found = texts.join(repeats, "doc_id", "left").select("doc_id", "text", "places", "copy")
+    found = texts.join(repeats, key, "left").select("doc_id", "text", "places", "copy")
     out = found.mapInArrow(_remaining(window), "doc_id long, n_words long, n_removed long, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
 

@@ -404,3 +404,18 @@ def test_each_component_keeps_one_row_whatever_its_ids(spark):
         want[p] = min(want.get(p, (True, 1, "", "")), (d is None, d or 0, hashlib.sha256((t or "").encode()).hexdigest(), t))
     got = simhash.drop_near_duplicates(spark.createDataFrame(rows_, "doc_id long, text string").repartition(3)).collect()
     assert Counter((r["doc_id"], r["text"]) for r in got) == Counter((None if n else d, t) for n, d, _, t in want.values())
+
+
+def test_rows_of_one_id_keep_their_own_places(spark):
+    rng = np.random.default_rng(7)
+    twenty, other = ([f"{k}{i}" for i in range(20)] for k in ("p", "q"))
+    fresh = lambda n: [f"f{x}" for x in rng.integers(0, 1 << 40, n)]
+    clean = " ".join(fresh(70))
+    texts = [
+        (None, " ".join([*fresh(5), *twenty, *fresh(9), *twenty])), (None, None), (None, " ".join(fresh(60))), (None, "short"),
+        (7, " ".join([*other, *fresh(3), *other])), (7, " ".join(fresh(44))), (7, clean), (7, clean),
+        (8, " ".join([*fresh(2), *twenty])), (8, " ".join([*other, *fresh(30)])), (8, " ".join([*other, *fresh(31)])), (9, clean), (9, clean + " more"),
+    ]
+    got = substring.drop_repeats(spark.createDataFrame(texts, "doc_id long, text string").repartition(3)).select("doc_id", "n_words", "n_removed", F.sha2("kept", 256)).collect()
+    want = slow_repeats([(-1 if d is None else d, t) for d, t in texts])
+    assert Counter(map(tuple, got)) == Counter({(None if k[0] == -1 else k[0], *k[1:]): n for k, n in want.items()})
