@@ -18,13 +18,14 @@ from pyspark.sql import functions as F
 
 from ..shared import shared_path
 
-#: Candidates: a private key block, a credential in a URL, a value assigned to a telling name, or a long run.
+#: Candidates besides private key blocks: a credential in a URL, a value assigned to a telling name, or a long run.
 PATTERN = re.compile(
-    r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----(?:[^-]{0,8000}-----END [A-Z ]{0,30}PRIVATE KEY-----)?"
-    r"|(?<=://)[^\s:/@]{1,64}:[^\s:/@]{3,128}(?=@)"
+    r"(?<=://)[^\s:/@]*:[^\s:/@]{3,}(?=@)"
     r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}"
-    r"|(?<=[:=])[ \t]{0,4}[\"'][^\"'\s]{6,128}[\"']"
+    r"|(?<=[:=])[ \t]*[\"'][^\"'\s]{6,}[\"']"
 )
+#: The first and the last line of a private key block; all between is the key, headers and hyphens too.
+KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z ]*PRIVATE KEY-----")
 KINDS = ("private_key", "url_credential", "assigned", "token")
 #: Prefixes by which issuers mark their keys.
 ISSUED = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk_live_", "sk-", "rk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "npm_", "pypi-", "SG.", "hf_")
@@ -83,11 +84,35 @@ def describe(value: str, kind: str, before: str, after: str, path: str) -> list[
 
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, kind) of everything in the text that might be a secret."""
-    for m in PATTERN.finditer(text):
+    at = 0
+    for a, b in _key_blocks(text):
+        yield from _others(text, at, a)
+        yield a, b, KINDS[0]
+        at = b
+    yield from _others(text, at, len(text))
+
+
+def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
+    """From each BEGIN to the END that follows it; a BEGIN before another, or before none, stands alone."""
+    begin = None
+    for m in KEY_MARK.finditer(text):
+        if m.group(1) == "END":
+            if begin:
+                yield begin.start(), m.end()
+            begin = None
+        else:
+            if begin:
+                yield begin.span()
+            begin = m
+    if begin:
+        yield begin.span()
+
+
+def _others(text: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
+    """Candidates of the other kinds between two places."""
+    for m in PATTERN.finditer(text, start, stop):
         a, b = m.span()
-        if text[a] == "-" and text.startswith("-----BEGIN ", a):
-            yield a, b, KINDS[0]
-        elif b < len(text) and text[b] == "@" and ":" in text[a:b] and text[max(0, a - 3) : a] == "://":
+        if b < len(text) and text[b] == "@" and ":" in text[a:b] and text[max(0, a - 3) : a] == "://":
             yield a, b, KINDS[1]
         elif text[b - 1] in "\"'" and b - a > 2:
             yield text.index(text[b - 1], a) + 1, b - 1, KINDS[2]
