@@ -57,8 +57,8 @@ def _class(c: str) -> int:
 
 
 def describe(value: str, kind: str, before: str, after: str, path: str) -> list[float]:
-    """The features of one candidate. Of a very long value the first 512 characters are described."""
-    v = value[:512]
+    """The features of one candidate, over its whole value."""
+    v = value
     n = max(len(v), 1)
     classes = [_class(c) for c in v]
     shares = [classes.count(k) / n for k in range(4)]

@@ -435,3 +435,9 @@ def test_long_encrypted_and_userless_secrets_are_taken_whole(spark):
     table = spark.createDataFrame([(i, t, "src0") for i, t in enumerate(texts[:3])], "doc_id long, text string, source string")
     clean = {r["doc_id"]: r["text"] for r in secrets.redact(table, secrets.fit(spark)).collect()}
     assert clean == {0: "x [SECRET] y [SECRET] z", 1: "at http://[SECRET]@host/x", 2: "at redis://[SECRET]@host:1"}
+
+
+def test_features_see_the_whole_value():
+    short, long_ = (dict(zip(secrets.FEATURES, secrets.describe("a" * 600 + tail, "token", "", "", ""), strict=True)) for tail in ("", "Z9" * 300))
+    assert (short["digits"], short["distinct"], short["hex_only"]) == (0, 1 / 600, 1)
+    assert (long_["digits"], long_["upper"], long_["distinct"], long_["hex_only"]) == (0.25, 0.25, 3 / 1200, 0)
