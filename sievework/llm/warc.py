@@ -23,6 +23,8 @@ from ..shared import materialize, shared_path
 BLOCK_LINES, LEAST_BYTES = 1000, 1000
 #: Bytes that may lie unread between two records that are fetched in one range read, and bytes of such a read.
 GAP_BYTES, READ_BYTES = 16_384, 4 << 20
+#: Bytes of archives that one task reads back, and tasks at least.
+TASK_BYTES, LEAST_TASKS = 32 << 20, 12
 
 _INDEX = "surt string, page_id long, archive string, offset long, length long"
 
@@ -111,7 +113,10 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _files(folder)
-        name = f"part-{TaskContext.get().partitionId():06d}.warc.gz"
+        task = TaskContext.get()
+        # Each attempt writes a file of its own: a second one may see its rows in another order, and the index
+        # holds the offsets of the attempt that Spark commits.
+        name = f"part-{task.partitionId():06d}-{task.taskAttemptId()}.warc.gz"
         rows, offset = [], 0
         part = f"{root}/{name}.{uuid.uuid4().hex}.part"
         out = None
@@ -149,7 +154,7 @@ def write_index(entries: DataFrame, folder: str) -> list[tuple[str, int, str]]:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = _files(folder)
-        name = f"index-{TaskContext.get().partitionId():06d}.gz"
+        name = f"index-{TaskContext.get().partitionId():06d}-{TaskContext.get().taskAttemptId()}.gz"
         blocks: list[bytes] = []
         directory: list[list] = []
         held: list[list] = []
@@ -250,8 +255,12 @@ def look_up(keys: DataFrame, folder: str, top: list[tuple[str, int, str]]) -> Da
 _FIELDS = [("page_id", pa.int64()), ("url", pa.string()), ("payload", pa.binary()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("record_type", pa.string()), ("refers_to", pa.int64())]
 
 
-def read_records(places: DataFrame, folder: str) -> DataFrame:
-    """The records at ``archive``, ``offset``, ``length``, read by ranges; neighbours share a read."""
+def read_records(places: DataFrame, folder: str, tasks: int = LEAST_TASKS) -> DataFrame:
+    """The records at ``archive``, ``offset``, ``length``, read by ranges; neighbours share a read.
+
+    The rows are few bytes beside the records to which they point, so the number of ``tasks`` is given: it follows
+    the bytes of the records.
+    """
 
     def members(rows: list[tuple[str, int, int]], fs: pa.fs.FileSystem, root: str) -> Iterator[bytes]:
         i = 0
@@ -280,8 +289,8 @@ def read_records(places: DataFrame, folder: str) -> DataFrame:
             if held:
                 yield pa.RecordBatch.from_pylist(held, pa.schema(_FIELDS))
 
-    stretch = F.floor(F.col("offset") / (16 * READ_BYTES))  # an archive may be large: its stretches are dealt apart
-    dealt = places.repartition("archive", stretch).sortWithinPartitions("archive", "offset")
+    stretch = F.floor(F.col("offset") / READ_BYTES)  # an archive may be large: its stretches are dealt apart
+    dealt = places.repartition(tasks, "archive", stretch).sortWithinPartitions("archive", "offset")
     return dealt.mapInArrow(run, "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long")
 
 
@@ -297,6 +306,7 @@ def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
     spark = pages.sparkSession
     folder = folder or shared_path(spark, "warc")
     entries = materialize(write_archives(pages, folder), "warc-entries")
+    size = entries.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
     top = write_index(entries, f"{folder}/index")
     wanted = pages.select(F.coalesce("url", F.lit("")).alias("url"), F.col("page_id").cast("long").alias("page_id"))
 
@@ -305,7 +315,7 @@ def archive(pages: DataFrame, folder: str | None = None) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([surt_key(u) for u in batch.column(0).to_pylist()], pa.string()), batch.column(1)], ["surt", "page_id"])
 
     keys = wanted.mapInArrow(keyed, "surt string, page_id long")
-    return read_records(look_up(keys, f"{folder}/index", top), folder)
+    return read_records(look_up(keys, f"{folder}/index", top), folder, max(LEAST_TASKS, -(-size // TASK_BYTES)))
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
