@@ -19,8 +19,9 @@ MEMO_WORDS = 200_000
 #: Share of the lower bound by which the linear program's solution may exceed it, the rounds in a row that
 #: must better nothing to end it sooner, and the strength with which empty room raises prices.
 GAP, STALL, STEP = 0.002, 20, 1.0
-#: Groups in which the documents of one length are numbered, so that a common length is no single task.
-SALTS = 64
+#: Groups in which the pieces of one length are numbered, at least, and pieces of such a group beyond which there
+#: are more groups: a common length is no single task, however many pieces have it.
+SALTS, SALT_ROWS = 64, 10_000
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 #: Letters whose lower case, composed form and byte-level form are plain, then marks that form one run.
@@ -246,13 +247,14 @@ def place(pieces: DataFrame, capacity: int) -> DataFrame:
     """Adds ``sequence_id`` and ``offset`` to pieces (any rows with ``doc_id``, ``piece``, ``length``).
 
     The histogram of lengths, at most ``capacity`` rows, goes to the driver; its solution gives, for every
-    length, ranges of numbered slots. Pieces of one length are numbered in salted groups.
+    length, ranges of numbered slots. Pieces of one length are numbered in salted groups, more for a common length.
     """
     spark = pieces.sparkSession
-    salt = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int")
-    pieces = pieces.withColumn("salt", salt)
-    groups = materialize(pieces.groupBy("length", "salt").count(), "pack-lengths")
-    hist = np.array([(r[0], r[1]) for r in groups.groupBy("length").agg(F.sum("count")).orderBy("length").collect()], np.int64).reshape(-1, 2)
+    lengths = materialize(pieces.groupBy("length").count(), "pack-lengths")
+    hist = np.array(lengths.orderBy("length").collect(), np.int64).reshape(-1, 2)
+    salts = F.broadcast(lengths.select("length", F.greatest(F.lit(SALTS), F.ceil(F.col("count") / SALT_ROWS)).alias("salts")))  # ``capacity`` rows at most
+    pieces = pieces.join(salts, "length").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.col("salts")).cast("int")).drop("salts")
+    groups = pieces.groupBy("length", "salt").count()
     slots, seen, base = [], dict.fromkeys(hist[:, 0].tolist(), 0), 0
     for n, which, often in solve(hist[:, 0], hist[:, 1], capacity):
         offset = 0

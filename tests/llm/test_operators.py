@@ -4,6 +4,7 @@ import bisect
 import hashlib
 import re
 import struct
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -331,9 +332,12 @@ def test_repeats_equal_brute_force(spark, docs, none):
 # 10
 
 
-def test_packing_is_gapless_and_whole(docs, none):
+@pytest.mark.parametrize("salt_rows", [10_000, 1])
+def test_packing_is_gapless_and_whole(docs, none, monkeypatch, salt_rows):
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(packing, "SALT_ROWS", salt_rows)
+    monkeypatch.setattr(packing, "SALTS", 1)
     got = packing.pack(docs, 512).collect()
     tok = Tokenizer.from_file(packing.tokenizer_path())
     sizes = Counter((r[0], len(tok.encode(r[1] or "", add_special_tokens=False).ids) + 1) for r in rows())
@@ -345,6 +349,13 @@ def test_packing_is_gapless_and_whole(docs, none):
     for (d, n), k in sizes.items():
         want[d] = want.get(d, 0) + n * k
     assert told == want
+    cut = Counter()
+    for d, t, *_ in rows():
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 1]
+        for piece, at in enumerate(range(0, len(ids), 512)):
+            part = ids[at : at + 512]
+            cut[(d, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes()))] += 1
+    assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in got) == cut
     held = {}
     for r in got:
         held.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
