@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 #: Every difference modulo 13 is one of two positions of this cover, so two equal stretches, wherever they
 #: begin, both have a cover position at one of their first 13 places.
 PERIOD, COVER = 13, (0, 1, 3, 9)
-#: Text that is hashed at a time, hashes that are dealt at a time, and buckets for each partition of a shuffle
-#: (one bucket of hashes is held in memory at a time).
-CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH = 1 << 20, 500_000, 4
+#: Text that is hashed at a time, hashes that are dealt at a time, buckets for each partition of a shuffle (one
+#: bucket of hashes is held in memory at a time), and bytes of text for a bucket at most: their hashes take some twice that.
+CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH, BUCKET_BYTES = 1 << 20, 500_000, 4, 32 << 20
 
 _ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 _SPACE = np.zeros(256, bool)
@@ -57,15 +57,20 @@ class Words:
         after = np.r_[space[1:], True] if len(data) else space
         self.start = np.flatnonzero(word & (before | edge[:-1]))
         self.end = np.flatnonzero(word & (after | edge[1:])) + 1
-        self.hash = _mixed(_ranges(data.astype(np.uint64) + np.uint64(1), self.start, self.end, _ODD[0]) ^ (self.end - self.start).astype(np.uint64))
+        self.data = data
+        self.hash = self.hashed(_ODD[0])
         self.first = np.searchsorted(self.start, offsets)  # each text's first word; its end is the next text's
         self.count = np.diff(self.first)
         self.text = np.repeat(np.arange(len(self.count)), self.count)
         self.place = np.arange(len(self.start)) - self.first[:-1][self.text]
 
-    def windows(self, at: np.ndarray, length: int, odd: int = _ODD[1]) -> np.ndarray:
+    def hashed(self, odd: int) -> np.ndarray:
+        """A hash of every word."""
+        return _mixed(_ranges(self.data.astype(np.uint64) + np.uint64(1), self.start, self.end, odd) ^ (self.end - self.start).astype(np.uint64))
+
+    def windows(self, at: np.ndarray, length: int, odd: int = _ODD[1], words: np.ndarray | None = None) -> np.ndarray:
         """Hash of the ``length`` words from each index in ``at``."""
-        return _mixed(_ranges(self.hash, at, at + length, odd))
+        return _mixed(_ranges(self.hash if words is None else words, at, at + length, odd))
 
     def full(self, length: int) -> np.ndarray:
         """Indexes at which ``length`` words of one text begin."""
@@ -193,9 +198,9 @@ def _repeats(first_only: bool) -> Callable:
     return run
 
 
-def _places(found: DataFrame, first_only: bool) -> DataFrame:
+def _places(found: DataFrame, first_only: bool, tasks: int) -> DataFrame:
     """Repeated places per row key, as one list."""
-    dealt = found.repartition("bucket").sortWithinPartitions("bucket")
+    dealt = found.repartition(tasks, "bucket").sortWithinPartitions("bucket")
     return dealt.mapInArrow(_repeats(first_only), "doc_id long, tag long, pos int").groupBy("doc_id", "tag").agg(F.collect_list("pos").alias("places"))
 
 
@@ -230,7 +235,7 @@ def _candidates(window: int, buckets: int) -> Callable:
                 begins = w.first[rows[mine] - a]
                 near = _cover(begins, len(w.start), begins + places[mine], window - length, 1)
                 at = np.flatnonzero(near & (w.place + window <= w.count[w.text]))
-                h, h2 = w.windows(at, window), w.windows(at, window, _ODD[2]) & np.uint64(0x7FFFFFFF)
+                h, h2 = w.windows(at, window), w.windows(at, window, _ODD[2], w.hashed(_ODD[2])) & np.uint64(0x7FFFFFFF)
                 yield from dealer.add(h, h2.astype(np.int32), ids[a + w.text[at]], w.place[at], tags[a + w.text[at]])
         yield dealer.flush()
 
@@ -277,10 +282,15 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     rows of one doc_id with different texts apart. A null text has no words; null ids count as one document
     before all others. Rows that repeat a doc_id are parts of one document that begin at the same place:
     none is earlier than the other. Other columns are left out; an empty table gives an empty one.
+
+    Windows count as equal if 95 bits of two hashes are, each over words hashed on their own; the words are
+    not compared. Buckets, and the tasks that hold them, follow the bytes of all texts.
     """
     if window < PERIOD:
         raise ValueError(f"a window has {PERIOD} words at least")
-    buckets = BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = docs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    buckets = max(BUCKETS_EACH * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    tasks = -(-buckets // BUCKETS_EACH)
     texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)).alias("doc_id"), "text")
     sha = F.sha2(F.coalesce(F.col("text"), F.lit("")).cast("binary"), 256)
     texts = texts.withColumn("print", sha).withColumn("tag", F.coalesce(F.conv(F.substring("print", 1, 15), 16, 10).cast("long"), F.lit(0)))  # no null: a filter on it would part the dealings
@@ -290,9 +300,9 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
     copies = prints.join(firsts, "print").filter("doc_id > first").select(key).distinct().withColumn("copy", F.lit(True))
     texts = texts.join(copies, key, "left").select(*key, "text", F.coalesce("copy", F.lit(False)).alias("copy"))
     searched = texts.filter(~F.col("copy")).select("doc_id", "text", "tag")
-    anchors = _places(searched.mapInArrow(_anchors(window, buckets), _DEALT), first_only=False)
+    anchors = _places(searched.mapInArrow(_anchors(window, buckets), _DEALT), False, tasks)
     candidates = searched.join(anchors, key).select("doc_id", "text", "places", "tag").mapInArrow(_candidates(window, buckets), _DEALT)
-    repeats = _places(candidates, first_only=True)
+    repeats = _places(candidates, True, tasks)
     found = texts.join(repeats, key, "left").select("doc_id", "text", "places", "copy")
     out = found.mapInArrow(_remaining(window), "doc_id long, n_words long, n_removed long, kept binary")
     return out.withColumn("doc_id", F.when(F.col("doc_id") != _NO_ID, F.col("doc_id")))
