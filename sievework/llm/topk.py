@@ -9,11 +9,11 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows of a block of vectors and of a block of queries; a task scores one block against another.
-ITEM_BLOCK, QUERY_BLOCK = 65_536, 4_096
+ITEM_BLOCK, QUERY_BLOCK = 65_536, 16_384
 #: Parts into which the components are divided; each is a node with its own list of partial scores.
 NODES = 4
-#: Scores held at a time.
-CHUNK_CELLS = 4_000_000
+#: Scores held at a time, and the share of them up to which the rest of each is worked out on its own.
+CHUNK_CELLS, FEW = 4_000_000, 0.05
 
 
 def quantised(embedding: Column) -> Column:
@@ -34,7 +34,7 @@ def _matrix(lists: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 class _Pair:
-    """A block of queries and a block of vectors, with their partial scores node by node."""
+    """A block of queries and a block of vectors, divided into nodes by components."""
 
     def __init__(self, queries: pa.Table, items: pa.Table):
         width = max(1, *(int(pa.compute.max(pa.compute.list_value_length(x)).as_py() or 0) for x in (queries["q"], items["vector"])))
@@ -42,63 +42,81 @@ class _Pair:
         self.query_ids, self.ids = queries["query_id"].to_numpy(), items["vec_id"].to_numpy()
         order = np.argsort(self.ids, kind="stable")
         v, self.ids = v[order], self.ids[order]
-        bound = float(np.abs(q).max(initial=0)) * float(np.abs(v).max(initial=0)) * width
+        largest = lambda x: max(float(x.max(initial=0)), -float(x.min(initial=0)))
+        bound = largest(q) * largest(v) * width
+        if bound >= 2**63:
+            raise OverflowError("inner products of these vectors can pass 64 bits")
         kind = np.float32 if bound < 2**24 else np.float64 if bound < 2**53 else np.int64  # whole numbers, kept exactly
         cuts = np.linspace(0, width, min(NODES, width) + 1).astype(int)
         self.parts = [(np.ascontiguousarray(q[:, a:b].astype(kind)), np.ascontiguousarray(v[:, a:b].T.astype(kind))) for a, b in zip(cuts, cuts[1:], strict=False)]
-        self.lowest = -np.inf if kind != np.int64 else np.iinfo(np.int64).min // 4
+        #: Norms of the components after each node: no sum over those exceeds their product.
+        self.rests = [tuple(np.sqrt((x[:, b:].astype(float) ** 2).sum(axis=1)) for x in (q, v)) for b in cuts[1:]]
+        self.lowest = -np.inf if kind != np.int64 else np.iinfo(np.int64).min
 
     def chunks(self):
-        """Rows of queries, the partial scores of each node for them, and which cells are the query's own row."""
+        """Rows of queries, and which cells are the query's own row."""
         step = max(1, CHUNK_CELLS // max(1, len(self.ids)))
         for a in range(0, len(self.query_ids), step):
             rows = slice(a, a + step)
-            own = self.query_ids[rows, None] == self.ids[None, :] if len(self.ids) else np.zeros((0, 0), bool)
-            yield rows, [q[rows] @ v for q, v in self.parts], own
+            yield rows, self.query_ids[rows, None] == self.ids[None, :] if len(self.ids) else np.zeros((len(self.query_ids[rows]), 0), bool)
 
 
 def _gather(k: int):
-    """Phase 1: the best k of each node's local list, and the k best whole scores among those rows."""
+    """Phase 1: the rows that lead each node's local list, and the k best whole scores among them."""
 
     def run(queries: pa.Table, items: pa.Table) -> pa.Table:
         pair, out = _Pair(queries, items), []
         n = len(pair.ids)
-        for _, scores, own in pair.chunks():
-            total = sum(scores)
-            total[own] = pair.lowest
-            if n > k * len(scores) * 2:
-                near = np.concatenate([np.argpartition(s, n - k - 1, axis=1)[:, n - k - 1 :] for s in scores], axis=1)
-                near.sort(axis=1)
-                found = np.take_along_axis(total, near, axis=1)
-                found[:, 1:][near[:, 1:] == near[:, :-1]] = pair.lowest  # listed by several nodes
-            else:
-                found = total
-            found = -np.sort(-found, axis=1)[:, :k]
+        m = min(k + 1, n)  # one may be the query itself
+        for rows, own in pair.chunks():
+            scores = [q[rows] @ v for q, v in pair.parts]
+            near = np.concatenate([np.argpartition(s, n - m, axis=1)[:, n - m :] for s in scores], axis=1) if n else np.zeros((len(own), 0), int)
+            near.sort(axis=1)
+            found = sum(np.take_along_axis(s, near, axis=1) for s in scores)
+            found[np.take_along_axis(own, near, axis=1)] = pair.lowest
+            found[:, 1:][near[:, 1:] == near[:, :-1]] = pair.lowest  # listed by several nodes
+            found = np.sort(found, axis=1)[:, ::-1][:, :k]
             out += [[int(x) for x in row if x > pair.lowest] for row in found]
         return pa.table({"query_id": queries["query_id"], "query_row": queries["query_row"], "scores": pa.array(out, pa.list_(pa.int64()))})
 
     return run
 
 
+def _survivors(pair: _Pair, rows: slice, own: np.ndarray, cutoff: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Queries, vectors and whole scores of the pairs that reach the cutoff, node by node.
+
+    After each node, pairs go whose score so far and largest rest stay below. Once few are left, only their
+    missing parts are worked out. Pairs that no node lists, at a part of at least its share of the cutoff, go too.
+    """
+    share, last = cutoff / len(pair.parts) - 1, len(pair.parts) - 1
+    total, listed, q, i = 0, np.zeros(own.shape, bool), None, None
+    for j, ((part_q, part_v), (rest_q, rest_v)) in enumerate(zip(pair.parts, pair.rests, strict=True)):
+        if q is None:
+            part = part_q[rows] @ part_v
+            total = total + part
+            listed |= part >= share[:, None]
+            alive = total >= cutoff[:, None] - rest_q[rows][:, None] * rest_v[None, :]
+            if j == last or np.count_nonzero(alive) <= FEW * alive.size:
+                q, i = np.nonzero(alive & ~own)
+                total, listed = total[q, i], listed[q, i]
+        else:
+            part = np.einsum("ij,ji->i", part_q[rows][q], part_v[:, i])
+            total = total + part
+            listed |= part >= share[q]
+            alive = total >= cutoff[q] - rest_q[rows][q] * rest_v[i]
+            q, i, total, listed = q[alive], i[alive], total[alive], listed[alive]
+    return q[listed], i[listed], total[listed].astype(np.int64)
+
+
 def _resolve(k: int):
-    """Phases 2 and 3: what reaches the cutoff at any node is collected, bounded, and resolved exactly."""
+    """Phases 2 and 3: what reaches the cutoff at any node is collected, and its missing parts are resolved."""
 
     def run(queries: pa.Table, items: pa.Table) -> pa.Table:
         pair, out = _Pair(queries, items), []
-        cutoffs = np.nextafter(queries["cutoff"].to_pandas().to_numpy(dtype=float, na_value=-np.inf), -np.inf)  # never above the whole number
-        for rows, scores, own in pair.chunks():
-            cutoff = cutoffs[rows, None]
-            share = cutoff / len(scores)  # a score that reaches the cutoff has a part that reaches this
-            listed = np.zeros(own.shape, bool)
-            for s in scores:
-                listed |= s >= share
-            half = len(scores) // 2
-            bound = sum(scores[:half], np.zeros((1, 1), scores[0].dtype)) + sum(np.maximum(s, share) for s in scores[half:])
-            slack = 0 if scores[0].dtype != np.int64 else 1e-9 * np.abs(bound) + 1
-            q, i = np.nonzero(listed & (bound + slack >= cutoff) & ~own)
-            exact = sum(s[q, i] for s in scores)
-            kept = exact >= cutoff[q, 0]
-            q, i, exact = q[kept], i[kept], exact[kept].astype(np.int64)
+        cutoffs = queries["cutoff"].to_pandas().to_numpy(dtype=float, na_value=-np.inf)
+        cutoffs = np.where(np.isinf(cutoffs), cutoffs, cutoffs - 1e-9 * np.abs(cutoffs) - 1)  # never above the whole number
+        for rows, own in pair.chunks():
+            q, i, exact = _survivors(pair, rows, own, cutoffs[rows])
             order = np.lexsort((pair.ids[i], -exact, q))
             q, i, exact = q[order], i[order], exact[order]
             first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]]) if len(q) else np.zeros(0, int)
@@ -115,14 +133,17 @@ def top_k(items: DataFrame, queries: DataFrame, k: int = 20) -> DataFrame:
 
     ``queries``: ``query_id``, ``q``; a row of items with the query's id is no candidate of that query, all
     others are. Ties go to the smaller ``vec_id``. Equal query rows count once; rows of ``items`` that
-    repeat are candidates each. Shorter vectors count as padded with zeros. Other columns are left out.
-
-    Both sides are hashed into blocks and every block of queries meets every block of vectors. The
-    components are divided into nodes, each with a list of partial scores. Phase 1 gathers, per pair of
-    blocks, the rows that lead a node's list; the k-th best whole score seen anywhere is a safe cutoff,
-    for k rows reach it. Phase 2 gives it back to all blocks: a row that reaches the cutoff has at some
-    node at least the cutoff over the number of nodes, so rows that no node lists go, as do rows whose
-    bound stays below. Phase 3 resolves the missing parts of the rest.
+    repeat are candidates each. Shorter vectors count as padded with zeros. Null vectors and ids take no part,
+    other columns are left out, and an empty table gives an empty one. Components so large that a score might
+    pass 64 bits stop the query with an ``OverflowError``.
+
+    Both sides are hashed into blocks and every block of queries meets every block of vectors; a vector is
+    sent once for each block of ``QUERY_BLOCK`` queries. The components are divided into nodes, each with a list
+    of partial scores. Phase 1 gathers, per pair of blocks, the rows that lead a node's list, and sums theirs
+    only; the k-th best whole score seen anywhere is a safe cutoff, for k rows reach it. Phase 2 gives it back to
+    all blocks: a row that reaches the cutoff has at some node at least the cutoff over the number of nodes, so
+    rows that no node lists go, as do rows whose parts so far and largest rest stay below. Phase 3 resolves
+    the missing parts of what is left.
     """
     spark = items.sparkSession
     items = items.filter(F.col("q").isNotNull() & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("q").alias("vector"))

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -60,6 +61,33 @@ def test_top_k_is_exact_with_ties_nulls_and_repeats(spark):
     assert topk.top_k(table.limit(0), table.limit(0).withColumnRenamed("vec_id", "query_id")).count() == 0
 
 
+@pytest.mark.parametrize(("few", "scale"), [(0.0, 1), (1.0, 1), (0.05, 2_000), (0.5, 10**6), (0.05, 10**7)])
+def test_cutoffs_prune_nothing_that_counts(spark, monkeypatch, few, scale):
+    """Thousands of vectors in clusters, with scores of few and of many bits; whatever the share that is resolved one by one."""
+    monkeypatch.setattr(topk, "FEW", few)
+    rng = np.random.default_rng(9)
+    v = (rng.normal(size=(40, 24))[rng.integers(0, 40, 3000)] * 9 + rng.normal(size=(3000, 24)) * 3).round().astype(np.int64) * scale
+    ids = rng.permutation(3000)
+    pair = topk._Pair(pa.table({"query_id": ids[:50], "q": list(v[:50])}), pa.table({"vec_id": ids, "vector": list(v)}))
+    gathered = topk._gather(20)(pa.table({"query_id": ids[:50], "query_row": ids[:50], "q": list(v[:50])}), pa.table({"vec_id": ids, "vector": list(v)}))
+    scores = v[:50] @ v.T
+    scores[np.arange(50), np.arange(50)] = np.iinfo(np.int64).min
+    best = np.sort(scores, axis=1)[:, ::-1][:, :20]
+    cutoff = np.array([x[19] for x in gathered["scores"].to_pylist()], float)
+    assert (cutoff <= best[:, 19] * (1 + 1e-9) + 1).all()
+    place = np.argsort(ids)
+    q, i, exact = topk._survivors(pair, slice(0, 50), ids[:50, None] == pair.ids[None, :], cutoff - 1e-9 * np.abs(cutoff) - 1)
+    assert (exact == scores[q, place[i]]).all() and len(q) < 0.3 * scores.size
+    for j in range(50):
+        assert sorted(exact[q == j].tolist(), reverse=True)[:20] == best[j].tolist()
+
+
+def test_scores_beyond_64_bits_are_refused(spark):
+    table = spark.createDataFrame([(0, [1e18, 2.0]), (20, [3e30, 1.0]), (3, [1.0, 1.0])], "vec_id long, embedding array<double>").select("vec_id", topk.quantised(F.col("embedding")).alias("q"))
+    with pytest.raises(Exception, match="can pass 64 bits"):
+        topk.top_k(table, table.filter("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id")).collect()
+
+
 # 2
 
 
