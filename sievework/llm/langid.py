@@ -18,19 +18,20 @@ ORDER, BITS = 4, 16
 #: Documents of each language from which the model is fitted (the expected number; chosen by a hash of the
 #: id), of which one in four only calibrates the rejection.
 DOCS_PER_LANGUAGE = 400
-#: Languages that one model may hold.
-MAX_LANGUAGES = 1000
-#: Standard deviations above a language's usual cross-entropy at which a document is rejected.
-REJECT_AT = 10.0
-#: N-grams whose probabilities a worker remembers, and characters scored at a time.
-MEMO, CHUNK = 1_000_000, 1 << 17
+#: Languages that one model may hold: each is some megabytes, on the driver and in every worker.
+MAX_LANGUAGES = 200
+#: Standard deviations above a language's usual cross-entropy at which a document is rejected, and documents from
+#: which a language's own deviation is taken; with fewer, it is the largest of all languages.
+REJECT_AT, CALIBRATORS = 10.0, 5
+#: Probabilities that a worker remembers (one for each n-gram and language), and characters scored at a time.
+MEMO, CHUNK = 4_000_000, 1 << 17
 
 _SPACE, _WIDE = 32, 0xFFFF
 _CLASSES: list[np.ndarray] = []
 
 
-def _classes() -> np.ndarray:
-    """Each character below 65,536: its lower case if it is a letter (or a mark on one), else a space."""
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """Each character below 65,536: its lower case if it is a letter (or a mark on one), else a space; and whether it is a letter."""
     if not _CLASSES:
         out = np.full(1 << BITS, _SPACE, np.uint16)
         for c in range(128, 0xD800):
@@ -42,24 +43,26 @@ def _classes() -> np.ndarray:
         for c in range(128):
             if chr(c).isalpha():
                 out[c] = ord(chr(c).lower())
-        _CLASSES.append(out)
-    return _CLASSES[0]
+        _CLASSES.extend((out, np.array([unicodedata.category(chr(c))[0] == "L" for c in range(1 << BITS)])))
+    return _CLASSES[0], _CLASSES[1]
 
 
 def letters(text: str | None) -> np.ndarray:
     """The text as lower-case letters, every run of other characters one space, after three spaces.
 
-    Empty if there is no letter. Letters beyond 65,536 count as one letter.
+    Empty if there is no letter: marks alone are none. Letters beyond 65,536 count as one letter.
     """
     code = np.frombuffer((text or "").encode("utf-32-le", "replace"), np.uint32)
-    out = _classes()[np.minimum(code, (1 << BITS) - 1)]
+    lower, is_letter = _classes()
+    low = np.minimum(code, (1 << BITS) - 1)
+    out = lower[low]
     wide = np.flatnonzero(code >= 1 << BITS)
     if len(wide):
         kinds, which = np.unique(code[wide], return_inverse=True)
         out[wide] = np.array([_WIDE if chr(c).isalpha() else _SPACE for c in kinds.tolist()], np.uint16)[which]
-    space = out == _SPACE
-    if space.all():
+    if not is_letter[low].any() and not (out[wide] == _WIDE).any():
         return out[:0]
+    space = out == _SPACE
     keep = ~space
     keep[1:] |= ~space[:-1]  # the first of each run of spaces
     keep[0] = not space[0]
@@ -110,50 +113,59 @@ def kneser_ney(keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
     return out[::-1]
 
 
+def language_tables(keys: np.ndarray, counts: np.ndarray) -> list[list[np.ndarray]]:
+    """A language's sorted hash arrays: for each order n-grams, their shares, contexts and their weights."""
+    out = []
+    for grams, shares, contexts, weights in kneser_ney(keys, counts):
+        a, b = _hash(grams), _hash(contexts)
+        i, j = np.argsort(a), np.argsort(b)
+        out.append([a[i], shares[i].astype(np.float32), b[j], weights[j].astype(np.float32)])
+    return out
+
+
 @dataclass
 class Model:
-    """Sorted hash arrays per order: n-grams with a share per language, contexts with a weight per language."""
+    """Of each language the sorted hash arrays of every order, and how its texts usually score.
+
+    A language holds its own n-grams only, so the model grows with the n-grams that it has seen.
+    """
 
     languages: list[str]
-    grams: list[tuple[np.ndarray, np.ndarray]]
-    contexts: list[tuple[np.ndarray, np.ndarray]]
-    floor: float
+    tables: list[list[list[np.ndarray]]]
     usual: np.ndarray | None = None
     between: np.ndarray | None = None
     within: np.ndarray | None = None
 
+    def __post_init__(self):
+        letters_ = np.unique(np.concatenate([np.zeros(0, np.uint64), *(t[0][0] for t in self.tables)]))
+        self.floor = 1.0 / (1 + len(letters_))
+
     @staticmethod
     def fit(per_language: dict[str, tuple[np.ndarray, np.ndarray]]) -> Model:
         """From each language's distinct n-grams and their counts."""
-        languages = sorted(per_language)
-        fitted = [kneser_ney(*per_language[x]) for x in languages]
-        tables: list[list] = [[], []]
-        for n in range(ORDER):
-            for table, at, default in ((tables[0], 0, 0.0), (tables[1], 2, 1.0)):
-                hashes = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_hash(m[n][at]) for m in fitted)]))
-                values = np.full((len(hashes), len(languages)), default, np.float32)
-                for j, m in enumerate(fitted):
-                    values[np.searchsorted(hashes, _hash(m[n][at])), j] = m[n][at + 1]
-                table.append((hashes, values))
-        return Model(languages, tables[0], tables[1], 1.0 / (1 + len(tables[0][0][0])))
+        return Model(sorted(per_language), [language_tables(*per_language[x]) for x in sorted(per_language)])
+
+    def known(self) -> np.ndarray:
+        """All n-grams of the highest order."""
+        return _unhash(np.unique(np.concatenate([np.zeros(0, np.uint64), *(t[-1][0] for t in self.tables)])))
 
     def bits(self, keys: np.ndarray) -> np.ndarray:
         """Minus log2 of each n-gram's interpolated probability, per language."""
-        p = np.full((len(keys), len(self.languages)), self.floor)
-        for n in range(1, ORDER + 1):
-            gram = keys & _mask(n)
-            share, _ = _look_up(*self.grams[n - 1], _hash(gram), 0.0)
-            weight, _ = _look_up(*self.contexts[n - 1], _hash(gram >> np.uint64(BITS)), 1.0)
-            p = share + weight * p
-        return -np.log2(p)
+        wanted = [(_hash(keys & _mask(n)), _hash((keys & _mask(n)) >> np.uint64(BITS))) for n in range(1, ORDER + 1)]
+        out = np.empty((len(keys), len(self.languages)))
+        for j, table in enumerate(self.tables):
+            p = np.full(len(keys), self.floor)
+            for (gram, context), (grams, shares, contexts, weights) in zip(wanted, table, strict=True):
+                p = _look_up(grams, shares, gram, 0.0) + _look_up(contexts, weights, context, 1.0) * p
+            out[:, j] = p
+        return -np.log2(out)
 
 
-def _look_up(hashes: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> tuple[np.ndarray, np.ndarray]:
+def _look_up(hashes: np.ndarray, values: np.ndarray, wanted: np.ndarray, default: float) -> np.ndarray:
     if not len(hashes):
-        return np.full((len(wanted), values.shape[1]), default), np.zeros(len(wanted), bool)
+        return np.full(len(wanted), default)
     at = np.minimum(np.searchsorted(hashes, wanted), len(hashes) - 1)
-    there = hashes[at] == wanted
-    return np.where(there[:, None], values[at], default), there
+    return np.where(hashes[at] == wanted, values[at], default)
 
 
 class Scorer:
@@ -162,9 +174,9 @@ class Scorer:
     def __init__(self, model: Model):
         self.model = model
         self._remember(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros((0, len(model.languages))))
-        if model.grams:
-            known = _unhash(model.grams[-1][0])
-            self._add(known, model.bits(known))
+        known = model.known()[: MEMO // max(1, len(model.languages))]
+        for a in range(0, len(known), CHUNK):
+            self._add(known[a : a + CHUNK], model.bits(known[a : a + CHUNK]))
 
     def _remember(self, hashes: np.ndarray, keys: np.ndarray, values: np.ndarray) -> None:
         bits = max(4, int(len(hashes)).bit_length() + 2)
@@ -173,7 +185,7 @@ class Scorer:
         np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits), out=self.start[1:])
 
     def _add(self, keys: np.ndarray, values: np.ndarray) -> None:
-        if len(self.keys) + len(keys) > MEMO:
+        if len(self.keys) + len(keys) > MEMO // max(1, len(self.model.languages)):
             self._remember(self.hashes[:0], self.keys[:0], self.values[:0])
         hashes = _hash(keys)
         order = np.argsort(hashes)
@@ -230,7 +242,7 @@ class Scorer:
         best = int(bits.argmin())
         share = np.exp2(-(total - total[best]) * min(1.0, 60 / n))  # of characters beyond 60, more is not surer
         limit = np.inf
-        if m.usual is not None and np.isfinite(m.usual[best]):
+        if m.usual is not None:
             limit = m.usual[best] + REJECT_AT * np.sqrt(m.between[best] ** 2 + m.within[best] ** 2 / n)
         return m.languages[best], float(1 / share.sum()), float(bits[best]), bool(bits[best] > limit)
 
@@ -244,12 +256,25 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys)), pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "gram", "n"])
 
 
+#: Hashes of n-grams, shares, hashes of contexts, weights.
+_TABLE = (np.uint64, np.float32, np.uint64, np.float32)
+
+
+def _fitted(rows: pa.Table) -> pa.Table:
+    """The tables of one language, a row for each order."""
+    tables = language_tables(rows["gram"].to_numpy().view(np.uint64), rows["n"].to_numpy())
+    columns = [pa.array([t[i].tobytes() for t in tables], pa.binary()) for i in range(len(_TABLE))]
+    return pa.table([pa.array([rows["lang"][0].as_py()] * len(tables)), *columns, pa.array(range(len(tables)), pa.int32())], ["lang", "t0", "t1", "t2", "t3", "level"])
+
+
 def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     """A model of the languages in ``lang``, from whole texts that are not held out.
 
-    The number of documents of each language is bounded by ``docs_per_language``, so the counts of
-    n-grams, summed on the executors, are bounded too before they come to the driver. The rest of the
-    sample is scored with the model on the executors to learn each language's usual cross-entropy.
+    The number of documents of each language is bounded by ``docs_per_language``. Their n-grams are counted
+    and each language's tables are worked out on the executors, a task for a language; the driver gathers the
+    tables of at most ``MAX_LANGUAGES``. One in four of the sample is scored with the model to learn each
+    language's usual cross-entropy; if all of these are missing, nothing is rejected but texts without a letter.
+    Rows with a null id, text or language teach nothing; without any a model of no language results.
     """
     spark = docs.sparkSession
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
@@ -261,15 +286,12 @@ def fit(docs: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
     rates = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], min(1.0, docs_per_language / r["count"]))])
     sample = known.filter(F.col("text").isNotNull() & (hash_unit(F.lit("language"), F.col("doc_id")) < F.element_at(rates, F.col("lang"))))
     spare = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 1
-    counts = sample.filter(~spare).select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
-    names = np.asarray(counts["lang"].to_pylist(), dtype=object)
-    grams, n = counts["gram"].to_numpy().view(np.uint64), counts["n"].to_numpy()
-    per_language = {}
-    for lang in sorted(set(names.tolist())):
-        mine = names == lang
-        order = np.argsort(grams[mine])
-        per_language[lang] = (grams[mine][order], n[mine][order])
-    model = Model.fit(per_language)
+    counts = sample.filter(~spare).select("lang", "text").mapInArrow(_counted, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    fitted = counts.groupBy("lang").applyInArrow(_fitted, "lang string, t0 binary, t1 binary, t2 binary, t3 binary, level int").orderBy("lang", "level").collect()
+    per_language: dict[str, list] = {}
+    for row in fitted:
+        per_language.setdefault(row["lang"], []).append([np.frombuffer(row[f"t{i}"], t) for i, t in enumerate(_TABLE)])
+    model = Model(sorted(per_language), [per_language[x] for x in sorted(per_language)])
     _calibrate(spark, model, sample.filter(spare))
     return model
 
@@ -292,10 +314,14 @@ def _calibrate(spark: SparkSession, model: Model, sample: DataFrame) -> None:
     seen = sample.select("lang", "text").mapInArrow(run, "lang string, n long, bits double, var double")
     long = F.when(F.col("n") >= 100, F.col("bits"))
     rows = {r["lang"]: r for r in seen.groupBy("lang").agg(F.count("*").alias("docs"), F.median(F.coalesce(long, F.col("bits"))).alias("usual"), F.stddev_pop(long).alias("between"), F.avg("var").alias("var")).collect()}
-    told = [rows.get(x) for x in model.languages]
-    model.usual = np.array([r["usual"] if r and r["docs"] >= 5 else np.inf for r in told], float)
-    model.between = np.array([max(r["between"] or 0.0, 0.05) if r else 1.0 for r in told], float)
-    model.within = np.array([np.sqrt(r["var"] or 1.0) if r else 1.0 for r in told], float)
+    if not rows:
+        return
+    most = {k: max(r[k] or 0.0 for r in rows.values()) for k in ("usual", "between", "var")}
+    few = {"docs": 0, "usual": most["usual"], "between": 0.0, "var": most["var"]}
+    told = [rows.get(x, few) for x in model.languages]
+    model.usual = np.array([r["usual"] for r in told], float)
+    model.between = np.array([max(r["between"] or 0.0, 0.05, most["between"] if r["docs"] < CALIBRATORS else 0.0) for r in told], float)
+    model.within = np.array([np.sqrt(r["var"] or 1.0) for r in told], float)
 
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
@@ -303,7 +329,8 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
     The language with the lowest cross-entropy per character of the whole text wins; equal ones go to the
     first by name. A null text or one without a letter is ``und``, score 0 and rejected, as is every text
-    if no language was learnt. Repeated rows are judged each; a null id stays null. Other columns are left out.
+    if no language was learnt. Repeated rows are judged each; a null id stays null. Other columns are left out;
+    an empty table gives an empty one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample
 
@@ -319,7 +346,7 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def drop_unidentified(docs: DataFrame, model: Model) -> DataFrame:
-    """The documents whose language is not rejected, with all their columns."""
+    """The documents whose language is not rejected, with all their columns; each row is judged on its own text."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 

@@ -315,6 +315,52 @@ def test_languages_are_told_and_noise_is_rejected(spark, docs, none):
     assert {r["lang_pred"] for r in langid.identify(docs, langid.fit(none)).collect()} == {"und"}
 
 
+def slow_kneser_ney(text, floor, n=4):
+    """Probability of a character after three, by dictionaries of strings."""
+    counts = Counter(text[i : i + n] for i in range(len(text) - n + 1))
+    levels = {}
+    for k in range(n, 0, -1):
+        ones, twos = (sum(c == x for c in counts.values()) for x in (1, 2))
+        levels[k] = counts, min(max(ones / (ones + 2 * twos), 0.1), 0.95) if ones else 0.5
+        counts = Counter(g[1:] for g in counts)
+
+    def p(gram):
+        if not gram:
+            return floor
+        counts, d = levels[len(gram)]
+        after = {g: c for g, c in counts.items() if g[:-1] == gram[:-1]}
+        total = sum(after.values())
+        return max(after.get(gram, 0) - d, 0) / total + d * len(after) / total * p(gram[1:]) if total else p(gram[1:])
+
+    return p
+
+
+def test_models_equal_brute_force_kneser_ney(spark):
+    said = {"x": "abracadabra alakazam abra sesame", "y": "zum abend brach das rad am haus ab"}
+    seqs = {k: langid.letters(t) for k, t in said.items()}
+    model = langid.Model.fit({k: np.unique(langid._keys(s), return_counts=True) for k, s in seqs.items()})
+    floor = 1 / (1 + len({c for t in said.values() for c in t}))
+    tried = "   " + "abraxas am alaska zu haus qq"
+    got = model.bits(langid._keys(np.array([ord(c) for c in tried], np.uint16)))
+    for j, k in enumerate(sorted(said)):
+        p = slow_kneser_ney("   " + said[k], floor)
+        assert got[:, j] == pytest.approx([-np.log2(p(tried[i : i + 4])) for i in range(len(tried) - 3)], rel=1e-5)
+    table = spark.createDataFrame([(i, said[k] + " " + said[k], k) for i in range(1, 60) for k in said], "doc_id long, text string, lang string")
+    fitted = langid.fit(table, 1000)
+    kept = [t for i in range(1, 60) for t in [i] if zlib.crc32(str(i).encode()) % 5 > 1]
+    for j, k in enumerate(sorted(said)):
+        want = langid.language_tables(*(lambda g, c: (g, c * len(kept)))(*np.unique(langid._keys(langid.letters(said[k] + " " + said[k])), return_counts=True)))
+        assert all((a == b).all() for x, y in zip(want, fitted.tables[j], strict=True) for a, b in zip(x, y, strict=True))
+
+
+def test_marks_alone_are_no_letters_and_few_calibrators_still_reject(spark):
+    assert [len(langid.letters(t)) for t in ("\u0301\u0308", "1\u0301 2", "\U0001f600")] == [0, 0, 0] and len(langid.letters("e\u0301")) > 0 and len(langid.letters("\U00020000")) > 0
+    model = langid.fit(spark.createDataFrame([(i, "plain words of one language go on and on " * 3, "en") for i in range(12)], "doc_id long, text string, lang string"), 100)
+    noise = spark.createDataFrame([(1, "xqzv kjwq pzxv " * 40), (2, "\u0301\u0308")], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in langid.identify(noise, model).collect()}
+    assert model.usual is not None and got[1]["rejected"] and (got[2]["lang_pred"], got[2]["score"]) == ("und", 0.0)
+
+
 def test_probabilities_sum_to_one():
     seq = langid.letters("abracadabra alakazam abra")
     model = langid.Model.fit({"x": np.unique(langid._keys(seq), return_counts=True)})
