@@ -212,6 +212,15 @@ def test_rules_equal_brute_force(spark, docs, none):
     assert rules.quality_rules(docs, trusted.limit(0)).count() == len(rows())
 
 
+def test_rules_tell_held_out_labels_apart(spark):
+    """On rows that neither the ratios nor the threshold have seen: good ones stay unless a base rule fails, most others go."""
+    sf = "/root/testdata/sf0.01"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    got = rules.op4_rules(spark, sf).join(labels, "doc_id").filter(text.held_out(F.col("doc_id"))).collect()
+    good, bad = ([r["kept"] for r in got if r["quality"] == q and (q == 0 or not r["base_failed"])] for q in (1, 0))
+    assert len(good) > 30 and np.mean(good) > 0.97 and np.mean(bad) < 0.1
+
+
 # 5
 
 
