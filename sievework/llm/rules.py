@@ -11,12 +11,12 @@ from .text import held_out, words
 #: Buckets into which words and pairs of words are hashed; the table of ratios has this many rows.
 BUCKETS = 1 << 16
 #: Added to every bucket's count.
-SMOOTHING = 1.0
+SMOOTHING = 4.0
 #: Ratios are whole numbers of this unit, so that sums do not depend on their order.
 UNIT = 1 << 20
-#: Mean log-likelihood ratio (natural, per n-gram) below which a document goes. Of labelled rows from which the ratios
-#: are learnt, cuts from -0.2 to -0.1 tell the labels apart best; held-out rows have no part in the ratios or in this choice.
-THRESHOLD = -0.15
+#: Mean log-likelihood ratio (natural, per n-gram) below which a document goes. It was chosen on labelled rows that are
+#: not held out: of those, cuts from -0.25 to -0.1 tell the labels apart about equally well.
+THRESHOLD = -0.2
 WINDOW = 5
 
 
@@ -74,6 +74,9 @@ def _buckets(hashes: Column, buckets: int) -> Column:
 def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> DataFrame:
     """One row with ``ratios``: for each bucket the log of its smoothed share among trusted documents over that among all.
 
+    The raw counts are first scaled to as many n-grams as the trusted documents have, so that smoothing weighs alike
+    on both sides, however much smaller the trusted one is; then both shares have one denominator, which drops out.
+
     Every n-gram of every document counts; the counts are summed map-side, at most ``buckets`` rows a task. The row
     has ``buckets`` numbers, however large the corpus is.
     """
@@ -84,10 +87,9 @@ def ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothin
     grams = _hashed(flagged).select(F.explode(grams).alias("bucket"), F.col("trusted_id").isNotNull().cast("long").alias("trusted"))
     counts = materialize(grams.groupBy("bucket").agg(F.sum("trusted").alias("in_trusted"), F.count("*").alias("in_all")), "rule-counts")
     totals = counts.agg(F.sum("in_trusted").alias("all_trusted"), F.sum("in_all").alias("all_grams"))
-    pad = smoothing * buckets
-    of_trusted = (F.col("in_trusted") + smoothing) / (totals.select("all_trusted").scalar() + pad)
-    of_all = (F.col("in_all") + smoothing) / (totals.select("all_grams").scalar() + pad)
-    known = counts.select("bucket", F.round(F.log(of_trusted / of_all) * UNIT).cast("long").alias("ratio"))
+    part = totals.select((F.col("all_trusted") / F.col("all_grams")).alias("part")).scalar()
+    ratio = (F.col("in_trusted") + smoothing) / (F.col("in_all") * part + smoothing)
+    known = counts.select("bucket", F.round(F.log(ratio) * UNIT).cast("long").alias("ratio"))
     every = spark.range(buckets).withColumnRenamed("id", "slot").join(F.broadcast(known), F.col("slot") == F.col("bucket"), "left")
     pairs = F.array_sort(F.collect_list(F.struct("slot", F.coalesce("ratio", F.lit(0)).cast("long").alias("ratio"))))
     return materialize(every.agg(F.transform(pairs, lambda x: x["ratio"]).alias("ratios")), "rule-ratios")

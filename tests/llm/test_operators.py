@@ -201,7 +201,8 @@ def test_rules_equal_brute_force(spark, docs, none):
         if r[0] in (6, 7, 8, 3):
             good.update(grams(r[1], 512))
     n_all, n_good = sum(every.values()), sum(good.values())
-    ratio = {b: round(float(np.log(((good[b] + 1) / (n_good + 512.0)) / ((every[b] + 1) / (n_all + 512.0)))) * rules.UNIT) for b in every}
+    part = n_good / n_all
+    ratio = {b: round(float(np.log((good[b] + rules.SMOOTHING) / (every[b] * part + rules.SMOOTHING))) * rules.UNIT) for b in every}
     want = Counter()
     for r in rows():
         base, g = slow_rules(r[1]), grams(r[1], 512)
