@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 PERIOD, COVER = 13, (0, 1, 3, 9)
 #: Text that is hashed at a time, hashes that are dealt at a time, buckets for each partition of a shuffle (one
 #: bucket of hashes is held in memory at a time), and bytes of text for a bucket at most: their hashes take some twice that.
-CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH, BUCKET_BYTES = 1 << 20, 500_000, 4, 32 << 20
+CHUNK_BYTES, DEAL_ROWS, BUCKETS_EACH, BUCKET_BYTES = 1 << 19, 250_000, 4, 32 << 20
 
 _ODD = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93, 0xC2B2AE3D27D4EB4F)
 _SPACE = np.zeros(256, bool)
@@ -41,7 +41,8 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def _ranges(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, odd: int) -> np.ndarray:
     """Polynomial hash of values[start:end] for every pair, from running sums."""
     sums = np.zeros(len(values) + 1, np.uint64)
-    np.cumsum(values * _powers(odd, False, len(values)), out=sums[1:])
+    np.multiply(values, _powers(odd, False, len(values)), out=sums[1:])
+    np.cumsum(sums[1:], out=sums[1:])
     return (sums[ends] - sums[starts]) * _powers(odd, True, len(values) + 1)[starts]
 
 
@@ -66,7 +67,7 @@ class Words:
 
     def hashed(self, odd: int) -> np.ndarray:
         """A hash of every word."""
-        return _mixed(_ranges(self.data.astype(np.uint64) + np.uint64(1), self.start, self.end, odd) ^ (self.end - self.start).astype(np.uint64))
+        return _mixed(_ranges(np.add(self.data, 1, dtype=np.uint64), self.start, self.end, odd) ^ (self.end - self.start).astype(np.uint64))
 
     def windows(self, at: np.ndarray, length: int, odd: int = _ODD[1], words: np.ndarray | None = None) -> np.ndarray:
         """Hash of the ``length`` words from each index in ``at``."""
