@@ -8,12 +8,14 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 from .text import hash_unit, n_words
 
-#: Bins of the sampling order in which sizes are first summed; only the bin that holds a cut is sorted. They
-#: are even in the random number, which orders a source's documents as the ranking variable does, so they
-#: hold alike many documents whatever the inclusion odds.
-BINS = 4096
-#: Sources up to which the plan, a row for each, is broadcast to the documents; more are joined by shuffle.
-BROADCAST_SOURCES = 100_000
+#: Bins of the sampling order to one unit of the logarithm of the ranking variable. Sizes are first summed by bin, and
+#: only the bin that holds a cut is sorted. Logarithms of random odds are densest about even odds, one in four to a unit,
+#: so a bin holds one in 4,096 of the documents of equal inclusion odds at most.
+BINS = 1024
+#: Weight of a document's inclusion odds: this, and the tilt times the binary digits of its size.
+LEAST_LEAN, TILT = 8, 1
+#: Rows up to which the plan, one for each source and binary length of a size, is broadcast to the documents; more are joined by shuffle.
+BROADCAST_PLAN = 100_000
 
 
 def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
@@ -41,22 +43,48 @@ def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float,
     return level.select("source", "source_size", F.when(F.col("full"), limit).otherwise(F.least(limit, F.col("final") * F.col("weight"))).alias("target"))
 
 
+def size_kind(size: Column) -> Column:
+    """Binary digits of a size: documents of one kind have equal inclusion odds."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0)
+
+
+def inclusion_rates(kinds: DataFrame, cap: float, tilt: int) -> DataFrame:
+    """Adds ``whole`` and ``p`` to one row per source and kind (``source``, ``kind``, ``kind_size``, ``source_size``, ``target``).
+
+    Within a source the expected copies of a document are in proportion to its lean, up to ``cap``, and the sizes
+    times the expected copies sum to the target. Kinds of the largest lean reach the cap first; one pass of running
+    sums over a source's few kinds tells which do. Whole copies are certain, ``p`` is the inclusion odds of one more.
+    """
+    of_source, by_fill = Window.partitionBy("source"), Window.partitionBy("source").orderBy(F.desc("lean"))
+    earlier = F.coalesce(F.sum("kind_size").over(by_fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    level = (
+        kinds.withColumn("lean", LEAST_LEAN + tilt * F.col("kind") if tilt else LEAST_LEAN - F.col("kind") * 0)
+        .withColumn("left", F.sum(F.col("lean") * F.col("kind_size")).over(by_fill.rowsBetween(0, Window.unboundedFollowing)))
+        .withColumn("level", F.when(F.col("left") > 0, (F.col("target") - float(cap) * earlier) / F.col("left")))
+        .withColumn("full", F.col("level") * F.col("lean") >= float(cap))
+        .withColumn("final", F.min(F.when(~F.col("full"), F.struct((-F.col("lean")).alias("o"), "level"))).over(of_source)["level"])
+    )
+    rate = F.when(F.col("full"), F.lit(float(cap))).otherwise(F.coalesce(F.least(F.lit(float(cap)), F.col("final") * F.col("lean")), F.lit(0.0)))
+    rated = level.withColumn("rate", rate).withColumn("whole", F.floor("rate")).withColumn("p", F.col("rate") - F.col("whole"))
+    return rated.withColumn("rest", F.col("target") - F.sum(F.col("whole") * F.col("kind_size")).over(of_source)).drop("lean", "left", "level", "full", "final", "rate", "kind_size")
+
+
 def _order(p: Column, unit: Column) -> Column:
     """Pareto's ranking variable: random odds over inclusion odds."""
     return (unit / (1.0 - unit)) / (p / (1.0 - p))
 
 
 def _few(plan: DataFrame) -> bool:
-    return plan.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    return plan.limit(BROADCAST_PLAN + 1).count() <= BROADCAST_PLAN
 
 
 def _ordered(sized: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
-    """Every document with its source's plan, its place in the sampling order and that place's bin."""
-    plan = plan.withColumnRenamed("source", "plan_source")
+    """Every document with its source's and kind's plan, its place in the sampling order and that place's bin."""
+    plan = plan.withColumnsRenamed({"source": "plan_source", "kind": "plan_kind"})
     plan = F.broadcast(plan) if few else plan
-    out = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source"))).drop("plan_source")
+    out = sized.join(plan, F.col("source").eqNullSafe(F.col("plan_source")) & (F.col("kind") == F.col("plan_kind"))).drop("plan_source", "plan_kind")
     out = out.withColumn("v", F.when(F.col("p") > 0, _order(F.col("p"), F.col("unit"))))
-    return out.withColumn("bin", F.floor(F.col("unit") * BINS).cast("int"))
+    return out.withColumn("bin", F.floor(F.log("v") * BINS).cast("int"))
 
 
 def _cut(open_docs: DataFrame, budget: str) -> DataFrame:
@@ -85,17 +113,16 @@ def _within(bin_: Column, cut_bin: Column, place: Column) -> Column:
     return F.col("v").isNotNull() & (cut_bin.isNull() | (bin_ < cut_bin) | ((bin_ == cut_bin) & F.coalesce(key <= place, F.lit(False))))
 
 
-def mixing_plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
-    """One row per source: target, whole copies that are certain, and the cuts of the sampling order.
+def mixing_plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, tilt: int) -> DataFrame:
+    """One row per source and kind: target, whole copies that are certain, odds of one more, and the cuts of the order.
 
-    ``sized``: source, id, size, unit. A second cut takes from what the first left, among documents no
+    ``sized``: source, id, size, kind, unit. A second cut takes from what the first left, among documents no
     larger than the gap, so the words taken come near the target.
     """
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    plan = source_targets(totals, weights, share, cap)
-    ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    plan = plan.withColumn("whole", F.floor(ratio)).withColumn("p", ratio - F.col("whole"))
-    plan = materialize(plan.withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size")), "mix-plan")
+    kinds = materialize(sized.groupBy("source", "kind").agg(F.sum("size").alias("kind_size")), "mix-kinds")
+    targets = source_targets(kinds.groupBy("source").agg(F.sum("kind_size").alias("source_size")), weights, share, cap).withColumnRenamed("source", "target_source")
+    rated = kinds.join(targets, F.col("source").eqNullSafe(F.col("target_source"))).drop("target_source")
+    plan = materialize(inclusion_rates(rated, cap, tilt), "mix-plan")
     few = _few(plan)
     for n in (1, 2):
         open_docs = _ordered(sized, plan, few).filter(F.col("p") > 0)
@@ -112,23 +139,31 @@ def mixing_plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap:
     return plan
 
 
-def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, cap: float = 2.0, seed: str = "mix") -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: float = 1.5, cap: float = 2.0, seed: str = "mix", tilt: int = TILT) -> DataFrame:
     """Adds to each document ``size``, ``source_size``, ``target`` and ``copies`` (how often the mix takes it).
 
-    Each source's target over its size is the expected number of copies of its documents. The whole part
-    is certain; for the rest, documents are ranked by Pareto's variable and taken in that order while
-    their sizes fit. Only the plan, one row per source, is joined to the documents.
+    Each source's target is dealt to its documents as expected copies, more to long ones: in proportion to
+    ``LEAST_LEAN`` and ``tilt`` times the binary digits of the size (0: alike), up to ``cap``. The whole part is
+    certain; for the rest, documents are ranked by Pareto's variable, random odds over their own inclusion odds,
+    and taken in that order while their sizes fit. A last cut among documents that fit the gap adds a few more
+    than their odds say. Only the plan, a few rows per source, is joined to the documents.
 
     A null text has size 0, a null source is a source of its own, a null id counts as the smallest.
     Rows with equal id and size have one place in the order and are taken or left together. An empty
     table gives an empty one. Other columns are kept; those four names are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies")
-    row = docs.select(F.struct("*").alias("row"), F.col("source"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), n_words(F.col("text")).alias("size"), hash_unit(F.lit(seed), F.col("doc_id")).alias("unit"))
-    plan = mixing_plan(materialize(row.drop("row"), "mix-sizes"), weights, share, cap)
+    row = _sized(docs, seed, F.struct("*").alias("row"))
+    plan = mixing_plan(materialize(row.drop("row"), "mix-sizes"), weights, share, cap, tilt)
     return _copies(row, plan).select("row.*", "size", "source_size", "target", "copies")
 
 
+def _sized(docs: DataFrame, seed: str, more: Column) -> DataFrame:
+    size = n_words(F.col("text"))
+    row = docs.select(more, "source", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), size.alias("size"), hash_unit(F.lit(seed), F.col("doc_id")).alias("unit"))
+    return row.withColumn("kind", size_kind(F.col("size")))
+
+
 def _copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
     first = _within(F.col("bin"), F.col("bin_1"), F.col("place_1"))
     second = (F.col("size") <= F.col("gap_1")) & _within(F.col("bin"), F.col("bin_2"), F.col("place_2"))
@@ -137,18 +172,19 @@ def _copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source")
-    sized = materialize(docs.select("doc_id", "source", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("id"), n_words(F.col("text")).alias("size"), hash_unit(F.lit("mix"), F.col("doc_id")).alias("unit")), "mix-sizes")
-    mixed = _copies(sized, mixing_plan(sized, (5.0, 2.0, 1.0), 1.5, 2.0))
+    sized = materialize(_sized(docs, "mix", F.col("doc_id")), "mix-sizes")
+    mixed = _copies(sized, mixing_plan(sized, (5.0, 2.0, 1.0), 1.5, 2.0, TILT))
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 _OPEN_2 = "NOT coalesce(t1, false) AND p > 0 AND size <= gap"
 OP2_SQL = f"""
-WITH sized AS (
+WITH counted AS (
   SELECT doc_id, source, coalesce(doc_id, -9223372036854775808) AS id,
     coalesce(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')), 0)::BIGINT AS size,
     (('0x' || substr(md5('mix' || chr(31) || coalesce(doc_id::VARCHAR, chr(0))), 1, 13))::BIGINT::DOUBLE + 0.5) / 4503599627370496.0 AS unit
   FROM documents),
+sized AS (SELECT *, CASE WHEN size > 0 THEN length(bin(size)) ELSE 0 END AS kind FROM counted),
 totals AS (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source),
 weighed AS (
   SELECT *, CASE (row_number() OVER (ORDER BY source ASC NULLS LAST) - 1) % 3 WHEN 0 THEN 5.0::DOUBLE WHEN 1 THEN 2.0::DOUBLE ELSE 1.0::DOUBLE END AS weight,
@@ -162,16 +198,24 @@ final AS (SELECT arg_min(level, fills_at) AS final FROM levelled WHERE level < f
 targets AS (
   SELECT source, source_size, CASE WHEN level >= fills_at THEN source_size * 2.0::DOUBLE ELSE least(source_size * 2.0::DOUBLE, final * weight) END AS target
   FROM levelled LEFT JOIN final ON true),
-plan AS (
-  SELECT *, floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS whole,
-    CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END - floor(CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END) AS p FROM targets),
+kinds AS (SELECT source, kind, sum(size)::BIGINT AS kind_size FROM sized GROUP BY 1, 2),
+leaning AS (
+  SELECT kinds.*, source_size, target, {LEAST_LEAN} + {TILT} * kind AS lean,
+    coalesce(sum(kind_size) OVER (PARTITION BY kinds.source ORDER BY kind DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE AS earlier,
+    sum(({LEAST_LEAN} + {TILT} * kind) * kind_size) OVER (PARTITION BY kinds.source ORDER BY kind DESC ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)::DOUBLE AS rest_lean
+  FROM kinds JOIN targets ON kinds.source IS NOT DISTINCT FROM targets.source),
+lifted AS (SELECT *, CASE WHEN rest_lean > 0 THEN (target - 2.0::DOUBLE * earlier) / rest_lean END AS lift FROM leaning),
+lasts AS (SELECT source, arg_max(lift, lean) AS last_lift FROM lifted WHERE lift * lean < 2.0::DOUBLE GROUP BY source),
+rated AS (
+  SELECT lifted.*, CASE WHEN lift * lean >= 2.0::DOUBLE THEN 2.0::DOUBLE ELSE coalesce(least(2.0::DOUBLE, last_lift * lean), 0.0::DOUBLE) END AS rate
+  FROM lifted LEFT JOIN lasts ON lifted.source IS NOT DISTINCT FROM lasts.source),
+plan AS (SELECT *, floor(rate) AS whole, rate - floor(rate) AS p, target - sum(floor(rate) * kind_size) OVER (PARTITION BY source) AS rest FROM rated),
 ordered AS (
-  SELECT s.*, plan.source_size, target, whole, p, target - whole * plan.source_size AS rest,
-    CASE WHEN p > 0 THEN (unit / (1.0::DOUBLE - unit)) / (p / (1.0::DOUBLE - p)) END AS q
-  FROM sized s JOIN plan ON s.source IS NOT DISTINCT FROM plan.source),
-placed AS (SELECT *, q / (1.0::DOUBLE + q) AS v FROM ordered),
+  SELECT s.*, plan.source_size, target, whole, p, rest,
+    CASE WHEN p > 0 THEN (unit / (1.0::DOUBLE - unit)) / (p / (1.0::DOUBLE - p)) END AS v
+  FROM sized s JOIN plan ON s.source IS NOT DISTINCT FROM plan.source AND s.kind = plan.kind),
 first AS (
-  SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source, p > 0 ORDER BY v, id, size) <= rest AS t1 FROM placed),
+  SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source, p > 0 ORDER BY v, id, size) <= rest AS t1 FROM ordered),
 gaps AS (SELECT *, rest - coalesce(sum(size) FILTER (WHERE t1) OVER (PARTITION BY source), 0) AS gap FROM first),
 second AS (
   SELECT *, {_OPEN_2} AND sum(size) OVER (PARTITION BY source, {_OPEN_2} ORDER BY v, id, size) <= gap AS t2 FROM gaps)

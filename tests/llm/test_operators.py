@@ -107,6 +107,30 @@ def test_mixture_comes_near_its_targets(docs, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_documents_are_taken_as_often_as_their_odds_say(spark):
+    """Over many sources alike in all but their ids, the mean copies of each kind against its rate: whole copies, then one more at odds p."""
+    sizes = [int(x) for x in np.random.default_rng(12).integers(5, 500, 80)]
+    table = spark.createDataFrame([(100 * k + i, "w " * n, f"s{k:03}") for k in range(90) for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    got = mixing.mix(table, share=1.2).select("doc_id", "source", "size", "copies", "target").collect()
+    kinds = table.select("source", mixing.n_words(F.col("text")).alias("size")).withColumn("kind", mixing.size_kind(F.col("size"))).groupBy("source", "kind").agg(F.sum("size").alias("kind_size"))
+    target = {r["source"]: r["target"] for r in got}
+    rated = kinds.withColumn("source_size", F.lit(sum(sizes))).withColumn("target", F.element_at(F.create_map(*[F.lit(x) for s in target.items() for x in s]), F.col("source")))
+    rates = mixing.inclusion_rates(rated, 2.0, mixing.TILT).collect()
+    rate = {(r["target"], r["kind"]): r["whole"] + r["p"] for r in rates}
+    by = {}
+    for r in got:
+        by.setdefault((r["target"], r["size"].bit_length()), []).append(r["copies"])
+    assert len(set(target.values())) == 3 and max(rate.values()) <= 2 and sum(x % 1 > 0 for x in rate.values()) > 12
+    for (t, kind), found in by.items():
+        p = rate[(t, kind)] % 1
+        assert min(found) >= int(rate[(t, kind)]) and max(found) <= 2
+        assert abs(np.mean(found) - rate[(t, kind)]) < 0.03 + 4 * np.sqrt(p * (1 - p) / len(found))
+    for t in set(target.values()):
+        assert sum(rate[(t, n.bit_length())] * n for n in sizes) == pytest.approx(t)
+    low, high = (np.mean(by[(min(target.values()), k)]) for k in (5, 9))
+    assert high > 1.15 * low
+
+
 def test_excess_is_dealt_again(spark):
     totals = spark.createDataFrame([("a", 10), ("b", 1000), (None, 1000)], "source string, source_size long")
     got = {r["source"]: r["target"] for r in mixing.source_targets(totals, (5.0, 2.0, 1.0), 1.5, 2.0).collect()}
