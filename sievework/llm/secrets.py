@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import shared_path
@@ -236,8 +236,9 @@ def find_secrets(docs: DataFrame, forest: Forest, cut: float = 0.5) -> DataFrame
     """One row per candidate: ``doc_id``, ``finding`` (from 0 in each text), ``start``, ``length``, ``kind``,
     ``value_sha256``, ``score`` and ``is_secret``.
 
-    ``source`` is the path; it may be null. Places count characters. The values are given as hashes only.
-    A null or empty text has no candidate; repeated rows are scanned each; a null doc_id stays null.
+    ``source`` is the path; it may be null or missing. Places count characters. The values are given as hashes only.
+    A null or empty text has no candidate; repeated rows are scanned each; a null doc_id stays null. Other columns are
+    left out; an empty table gives an empty one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(forest)
     schema = "doc_id long, finding int, start long, length long, kind string, value_sha256 string, score double"
@@ -254,29 +255,37 @@ def find_secrets(docs: DataFrame, forest: Forest, cut: float = 0.5) -> DataFrame
             cols = list(zip(*out, strict=True)) or [()] * len(names)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
-    found = docs.select(F.col("doc_id").cast("long"), "text", F.col("source").cast("string")).mapInArrow(run, schema)
+    found = docs.select(F.col("doc_id").cast("long"), "text", _path(docs)).mapInArrow(run, schema)
     return found.withColumn("is_secret", F.col("score") >= cut)
 
 
+def _path(docs: DataFrame) -> Column:
+    return (F.col("source").cast("string") if "source" in docs.columns else F.lit(None).cast("string")).alias("path_")
+
+
 def redact(docs: DataFrame, forest: Forest, cut: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """The documents with every secret in ``text`` replaced by ``mark``; all rows and all other columns stay."""
+    """The documents with every secret in ``text`` replaced by ``mark``; all rows and all other columns stay.
+
+    ``source`` is the path; it may be null or missing. Null and empty texts stay as they are, repeated rows are
+    redacted each, and an empty table gives an empty one.
+    """
     sent = docs.sparkSession.sparkContext.broadcast(forest)
-    at, path_at = docs.columns.index("text"), docs.columns.index("source")
+    at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for value, path in zip(batch.column(at), batch.column(path_at).to_pylist(), strict=True):
+            for value, path in zip(batch.column(at), batch.column(len(batch.columns) - 1).to_pylist(), strict=True):
                 text = value.as_py()
-                for a, b, _, p in reversed(scan(text, path and str(path), sent.value)):
+                for a, b, _, p in reversed(scan(text, path, sent.value)):
                     if p >= cut:
                         text = text[:a] + mark + text[b:]
                 out.append(text)
-            columns = list(batch.columns)
+            columns = list(batch.columns)[:-1]
             columns[at] = pa.array(out, batch.column(at).type)
-            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
+            yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names[:-1])
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.select("*", _path(docs)).mapInArrow(run, docs.schema)
 
 
 def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
