@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .substring import Words, chunks
@@ -22,7 +23,7 @@ PASSES, STEP, DECAY = 80, 0.05, 1e-4
 #: A score from which a document counts as good.
 CUT = 0.3
 
-STATS = ("log_words", "word_length", "word_length_spread", "log_lines", "line_words", "upper", "digits", "marks", "symbols", "bars", "not_ascii", "spaces", "one_letter", "same_as_last", "distinct")
+STATS = ("log_words", "word_length", "word_length_spread", "log_lines", "line_words", "upper", "digits", "marks", "symbols", "bars", "not_ascii", "spaces", "one_letter", "same_as_last", "distinct", "log_n_chars", "n_chars_off")
 _KINDS = np.zeros((7, 256), bool)
 _KINDS[0, ord("A") : ord("Z") + 1] = True
 _KINDS[1, ord("0") : ord("9") + 1] = True
@@ -39,8 +40,18 @@ def _per_text(mask: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return sums[offsets[1:]] - sums[offsets[:-1]]
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of the texts in ``data``: each word's bucket, the words' bounds by text, and the statistics."""
+def _told(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    chars = _per_text((data & 0xC0) != 0x80, offsets)
+    told = np.log1p(np.where(n_chars < 0, chars, n_chars))
+    return told, np.abs(told - np.log1p(chars))
+
+
+def features(data: np.ndarray, offsets: np.ndarray, n_chars: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts in ``data``: each word's bucket, the words' bounds by text, and the statistics.
+
+    The last two are metadata: the length that the table tells, and how far it is from the text's own, as logarithms.
+    A length that is not told (negative) counts as the text's own.
+    """
     w = Words(data, offsets)
     n, size = np.maximum(w.count, 1), np.maximum(np.diff(offsets), 1)
     lengths = (w.end - w.start).astype(float)
@@ -54,7 +65,7 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
     distinct = np.bincount((keys[new] >> np.uint64(44)).astype(np.int64), minlength=len(n))
-    stats = np.stack([np.log1p(w.count), mean, np.sqrt(np.maximum(square - mean**2, 0)), np.log(lines), np.log1p(w.count / lines), *shares, _per_text(lengths == 1, w.first) / n, _per_text(same, w.first) / n, distinct / n**0.9], axis=1)
+    stats = np.stack([np.log1p(w.count), mean, np.sqrt(np.maximum(square - mean**2, 0)), np.log(lines), np.log1p(w.count / lines), *shares, _per_text(lengths == 1, w.first) / n, _per_text(same, w.first) / n, distinct / n**0.9, *_told(data, offsets, n_chars)], axis=1)
     return (w.hash % np.uint64(BUCKETS)).astype(np.int64), w.first, stats
 
 
@@ -149,9 +160,9 @@ def fit_machine(rows: np.ndarray, buckets: np.ndarray, counts: np.ndarray, stats
 def _featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per labelled document: its words' buckets with their counts, its statistics and its label."""
     for batch in batches:
-        labels = batch.column(1).to_numpy(zero_copy_only=False)
+        labels, told = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
         for a, b, data, offsets in chunks(batch.column(0)):
-            buckets, first, stats = features(data, offsets)
+            buckets, first, stats = features(data, offsets, told[a:b])
             found = [np.unique(buckets[i:j], return_counts=True) for i, j in zip(first, first[1:], strict=False)]
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in found], pa.list_(pa.int64())), pa.array([x[1] for x in found], pa.list_(pa.int64())), pa.array(list(stats), pa.list_(pa.float64())), pa.array(labels[a:b].astype(np.int32))], ["buckets", "counts", "stats", "label"])
 
@@ -159,37 +170,55 @@ def _featurised(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """A machine from at most ``sample`` labelled documents (``doc_id``, ``label`` 0 or 1) that are not held out.
 
-    The sample is taken by a hash of the id; its whole texts are turned into counts on the executors, and
-    only those come to the driver. An id with several labels counts as its largest.
+    The sample is taken by a hash of the id; its whole texts are turned into counts on the executors. One task
+    fits the machine from the counts, which the sample bounds, and only the machine, of fixed size, comes to the
+    driver. An id with several labels counts as its largest. Null ids and labels teach nothing; without labels, or with
+    labels of one kind, all documents score alike. ``docs`` may have ``n_chars``.
     """
     known = labels.filter(F.col("label").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("label").alias("label"))
     chosen = known.orderBy(hash_unit(F.lit("quality"), F.col("doc_id")), "doc_id").limit(sample).withColumnRenamed("doc_id", "label_id")
-    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label")
-    found = texts.select("text", F.col("label").cast("int")).mapInArrow(_featurised, "buckets array<long>, counts array<long>, stats array<double>, label int").toArrow().combine_chunks()
-    lists = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (found["buckets"], found["counts"], found["stats"])]
-    sizes = np.diff(np.asarray(lists[0].offsets)) if len(found) else np.zeros(0, np.int64)
-    flat = [np.asarray(x.flatten().to_numpy(zero_copy_only=False)) for x in lists]
-    return fit_machine(np.repeat(np.arange(len(sizes)), sizes), flat[0], flat[1], flat[2].reshape(-1, len(STATS)), found["label"].to_numpy().astype(float))
+    texts = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).select("doc_id", "text", F.col("label").cast("int").alias("label"), _n_chars(docs).alias("told"))
+    found = texts.select("text", "label", "told").mapInArrow(_featurised, "buckets array<long>, counts array<long>, stats array<double>, label int")
+    rows = found.repartition(1).sortWithinPartitions("label", "stats").mapInArrow(_machines, "machine binary").collect()
+    return pickle.loads(rows[0]["machine"]) if rows else fit_machine(*[np.zeros(0, np.int64)] * 3, np.zeros((0, len(STATS))), np.zeros(0))
+
+
+def _n_chars(docs: DataFrame) -> Column:
+    return F.coalesce(F.col("n_chars").cast("long"), F.lit(-1)) if "n_chars" in docs.columns else F.lit(-1).cast("long")
+
+
+def _machines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One machine from all rows of ``_featurised``."""
+    held = [b for b in batches if len(b)]
+    if held:
+        found = pa.Table.from_batches(held).combine_chunks()
+        lists = [x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (found["buckets"], found["counts"], found["stats"])]
+        sizes = np.diff(np.asarray(lists[0].offsets))
+        flat = [np.asarray(x.flatten().to_numpy(zero_copy_only=False)) for x in lists]
+        machine = fit_machine(np.repeat(np.arange(len(sizes)), sizes), flat[0], flat[1], flat[2].reshape(-1, len(STATS)), found["label"].to_numpy().astype(float))
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(machine)], pa.binary())], ["machine"])
 
 
 def score(docs: DataFrame, machine: Machine, cut: float = CUT) -> DataFrame:
     """``doc_id``, ``score`` (0 to 1, higher: better) and ``predicted`` (1 from ``cut`` on) of every document.
 
-    Whole texts are read and nothing else. A null or empty text has no words and the statistics of an empty
-    text. Repeated rows are scored each; a null id stays null; other columns are left out.
+    Whole texts are read, and ``n_chars`` if ``docs`` has it; nothing else. A null or empty text has no words and the
+    statistics of an empty text. Repeated rows are scored each; a null id stays null; other columns are left out; an
+    empty table gives an empty one.
     """
     sent = docs.sparkSession.sparkContext.broadcast(machine)  # a table of fixed size
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            told = batch.column(2).to_numpy(zero_copy_only=False)
             for a, b, data, offsets in chunks(batch.column(1)):
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sent.value.score(*features(data, offsets)))], ["doc_id", "score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(sent.value.score(*features(data, offsets, told[a:b])))], ["doc_id", "score"])
 
-    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _n_chars(docs).alias("told")).mapInArrow(run, "doc_id long, score double")
     return found.withColumn("predicted", (F.col("score") >= cut).cast("int"))
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "n_chars")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", F.col("quality").alias("label"))
     return score(docs, fit(docs, labels)).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
