@@ -1,7 +1,7 @@
-"""Pixel kernels in NumPy and their use in Arrow batches: candidates and their metrics in long form.
+"""Quality, structure and regions of image candidates: tasks give raw sums over areas, Spark works out all metrics.
 
-Images are uint8 arrays of height x width x 3 in BGR order. Kernels follow the public definitions of the
-common image libraries; results may differ from those in the last digits.
+A task decodes an image once, makes each candidate and gives a row of sums for the whole image, for each tile and for
+each region around a box. Ratios, the choice of tiles, percentiles, benefit and weighted means are columns and groupings.
 """
 
 from __future__ import annotations
@@ -10,360 +10,234 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from numpy.lib.stride_tricks import sliding_window_view
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.boxes import area_ratio, protected_region, size_class
-from ..functions.rules import weighted_mean
-from .decide import MODES
+from ..functions.rules import clamp, safe_ratio, weighted_mean, weighted_sum
+from ..shared import materialize
+from .decide import MODES, RAW
+from .kernels import TRANSFORMS, Side, gray, image_sums, lab_distance, pair_sums, pixels_of, shrink, tile_bounds
 
 #: Fixed weights of the benefit score.
 BENEFIT_WEIGHTS = {"uciqe_proxy": 0.24, "uiqm_proxy": 0.18, "brightness_quality": 0.16, "contrast_quality": 0.14, "entropy_quality": 0.10, "color_balance": 0.10, "sharpness_quality": 0.08}
 #: Longest side at which structure is compared, tile grids, least tile side, share and least number of tiles kept.
 WORK_SIDE, GRIDS, TILE_SIDE, TILE_SHARE, TILE_LEAST = 640, (4, 8), 8, 0.6, 8
 RATIOS = ("detail", "edge", "sharpness", "noise", "contrast")
+#: Sums of a whole image, and those of an area of a raw image and its candidate.
+IMAGE_SUMS = ("n", "b_sum", "g_sum", "r_sum", "edges", "light_1", "light_99", *[f"{k}_{s}" for k in ("lap", "noise", "rg", "yb", "chroma") for s in ("sum", "sq")], "purity_sum", "hsv_sum")
+PAIR_SUMS = ("n", *[f"{side}_{k}_{s}" for side in "ab" for k in ("gray", "lap", "noise", "size") for s in ("sum", "sq")], "size_both", "alike", "strong", "strong_kept")
+
+
+def candidates(image: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+    """The raw image and each candidate, one at a time."""
+    yield RAW, image
+    for mode in MODES:
+        yield mode, TRANSFORMS[mode](image)
+
+
+def _image_rows(image: np.ndarray, grids: tuple[int, ...]) -> Iterator[dict]:
+    """Columns of rows: the whole sums of each candidate (grid 0), and its sums with the raw image over the areas of each grid."""
+    work = shrink(image, WORK_SIDE)
+    areas: dict[tuple, list] = {}
+    for n in grids:
+        for i, at in enumerate(tile_bounds(*work.shape[:2], n, 1 if n == 1 else TILE_SIDE)):
+            areas.setdefault((n, at[1] - at[0], at[3] - at[2]), []).append((i, at))
+    stack = lambda g, group: Side(np.stack([g[a:b, c:d] for _, (a, b, c, d) in group]))
+    raw = None
+    for mode, made in candidates(image):
+        sums = image_sums(made)
+        if made.shape != image.shape:
+            yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 0.0, "whole": sums}
+            continue
+        small = shrink(made, WORK_SIDE)
+        lab = lab_distance(work, small) / (small.size // 3) if mode != RAW else 0.0
+        yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 1.0, "whole": sums, "lab": lab}
+        g = gray(small)
+        sides = {key: stack(g, group) for key, group in areas.items()}
+        raw = raw or sides
+        if mode != RAW:
+            for key, group in areas.items():
+                yield {"mode": mode, "grid": [key[0]] * len(group), "tile": [i for i, _ in group], "pair": pair_sums(raw[key], sides[key])}
+
+
+def _records(image: str, parts: Iterator[dict], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
+    for part in parts:
+        n = len(part["grid"])
+        given = {"image": [image] * n, "mode": [part["mode"]] * n, "grid": part["grid"], "tile": part["tile"]}
+        for name in ("same_shape", "lab"):
+            given[name] = [part.get(name)] * n
+        given |= {f"w_{k}": [v] for k, v in part.get("whole", {}).items()} | {f"p_{k}": v for k, v in part.get("pair", {}).items()}
+        yield pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in kinds], schema=kinds)
+
+
+def _per_image(images: DataFrame, more: list[str], make: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Record batches that ``make`` gives for each decodable image, from its key, its pixels and the columns ``more``."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(len(batch)):
+                key, h, w, data, *rest = (c[row].as_py() for c in batch.columns)
+                if (image := pixels_of(data, h, w)) is not None:
+                    yield from make(key, image, *rest)
 
-def as_bgr(image: np.ndarray | None) -> np.ndarray:
-    if image is None or image.ndim != 3 or image.shape[2] != 3 or not image.size:
-        raise ValueError("an image has height, width and three channels")
-    return image if image.dtype == np.uint8 else np.clip(image, 0, 255).astype(np.uint8)
-
-
-def _padded(x: np.ndarray, r: int) -> np.ndarray:
-    small = min(x.shape[:2]) <= r
-    return np.pad(x, ((r, r), (r, r)) + ((0, 0),) * (x.ndim - 2), mode="edge" if small else "reflect")
-
-
-def convolve(x: np.ndarray, kernel: np.ndarray) -> np.ndarray:
-    r = kernel.shape[0] // 2
-    p = _padded(x.astype(float), r)
-    h, w = x.shape[:2]
-    return sum(kernel[i, j] * p[i : i + h, j : j + w] for i in range(2 * r + 1) for j in range(2 * r + 1) if kernel[i, j])
-
-
-def gaussian(x: np.ndarray, size: int) -> np.ndarray:
-    sigma = 0.3 * ((size - 1) * 0.5 - 1) + 0.8
-    k = np.exp(-((np.arange(size) - size // 2) ** 2) / (2 * sigma**2))
-    return convolve(x, np.outer(k, k) / k.sum() ** 2)
-
-
-def erode(x: np.ndarray, size: int) -> np.ndarray:
-    p = np.pad(x, size // 2, mode="constant", constant_values=np.inf)
-    return sliding_window_view(sliding_window_view(p, size, axis=0).min(axis=-1), size, axis=1).min(axis=-1)
-
-
-def dilate3(x: np.ndarray) -> np.ndarray:
-    p = np.pad(x, 1)
-    return np.maximum.reduce([p[i : i + x.shape[0], j : j + x.shape[1]] for i in range(3) for j in range(3)])
-
+    return images.select(F.col("image").cast("string"), "height", "width", "data", *more).mapInArrow(run, schema)
 
-def gray(image: np.ndarray) -> np.ndarray:
-    b, g, r = (image[..., i].astype(float) for i in range(3))
-    return np.floor(0.114 * b + 0.587 * g + 0.299 * r + 0.5)
 
+def _schema(fields: dict[str, pa.DataType]) -> tuple[pa.Schema, str]:
+    names = {pa.string(): "string", pa.int32(): "int", pa.float64(): "double", pa.list_(pa.int64()): "array<bigint>"}
+    return pa.schema(list(fields.items())), ", ".join(f"{k} {names[t]}" for k, t in fields.items())
 
-def to_lab(image: np.ndarray) -> np.ndarray:
-    """CIE Lab with L in 0..255 and a, b around 128."""
-    x = image[..., ::-1] / 255.0
-    x = np.where(x > 0.04045, ((x + 0.055) / 1.055) ** 2.4, x / 12.92)
-    xyz = x @ np.array([[0.412453, 0.357580, 0.180423], [0.212671, 0.715160, 0.072169], [0.019334, 0.119193, 0.950227]]).T / np.array([0.950456, 1.0, 1.088754])
-    f = np.where(xyz > 0.008856, np.cbrt(xyz), 7.787 * xyz + 16 / 116)
-    lum = np.where(xyz[..., 1] > 0.008856, 116 * f[..., 1] - 16, 903.3 * xyz[..., 1])
-    return np.stack([lum * 255 / 100, 500 * (f[..., 0] - f[..., 1]) + 128, 200 * (f[..., 1] - f[..., 2]) + 128], axis=-1)
-
-
-def from_lab(lab: np.ndarray) -> np.ndarray:
-    fy = (lab[..., 0] * 100 / 255 + 16) / 116
-    f = np.stack([fy + (lab[..., 1] - 128) / 500, fy, fy - (lab[..., 2] - 128) / 200], axis=-1)
-    xyz = np.where(f**3 > 0.008856, f**3, (f - 16 / 116) / 7.787) * np.array([0.950456, 1.0, 1.088754])
-    x = xyz @ np.array([[3.240479, -1.53715, -0.498535], [-0.969256, 1.875991, 0.041556], [0.055648, -0.204043, 1.057311]]).T
-    x = np.where(x > 0.0031308, 1.055 * np.maximum(x, 0) ** (1 / 2.4) - 0.055, 12.92 * x)
-    return np.clip(np.rint(x[..., ::-1] * 255), 0, 255).astype(np.uint8)
-
-
-def white_balance(image: np.ndarray) -> np.ndarray:
-    means = image.reshape(-1, 3).mean(axis=0)
-    gains = np.clip(means.mean() / np.maximum(means, 1e-6), 0.85, 1.15)
-    return np.clip(image * gains, 0, 255).astype(np.uint8)
-
-
-def adaptive_gamma(image: np.ndarray, strength: float) -> np.ndarray:
-    b = min(max(gray(image).mean() / 255, 0.01), 0.99)
-    g = min(max(np.log(0.48) / np.log(b), 0.75), 1.25)
-    g = min(max(1 + strength * (g - 1), 0.75), 1.25)
-    return np.clip((np.arange(256) / 255.0) ** g * 255, 0, 255).astype(np.uint8)[image]
 
+def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS)) -> DataFrame:
+    """Rows of raw sums: per image and mode one of the whole image (grid 0, columns ``w_``) and those of areas (``p_``).
 
-def clahe(image: np.ndarray, clip: float = 1.25, tiles: int = 8) -> np.ndarray:
-    """Contrast-limited equalisation of the lightness, tile by tile, blended between tile centres."""
-    lab = to_lab(image)
-    light = np.clip(np.rint(lab[..., 0]), 0, 255).astype(int)
-    h, w = light.shape
-    th, tw = -(-h // tiles), -(-w // tiles)
-    full = np.pad(light, ((0, th * tiles - h), (0, tw * tiles - w)), mode="edge")
-    limit = max(int(clip * th * tw / 256), 1)
-    tables = np.zeros((tiles, tiles, 256))
-    for i in range(tiles):
-        for j in range(tiles):
-            hist = np.bincount(full[i * th : (i + 1) * th, j * tw : (j + 1) * tw].ravel(), minlength=256)
-            extra = int(np.maximum(hist - limit, 0).sum())
-            hist = np.minimum(hist, limit) + extra // 256
-            if rest := extra % 256:
-                hist[:: max(256 // rest, 1)][:rest] += 1
-            tables[i, j] = np.clip(np.rint(np.cumsum(hist) * 255 / (th * tw)), 0, 255)
-    y, x = np.arange(h) / th - 0.5, np.arange(w) / tw - 0.5
-    y0, x0 = np.floor(y).astype(int), np.floor(x).astype(int)
-    fy, fx = (y - y0)[:, None], (x - x0)[None, :]
-    at = lambda a, b: tables[np.clip(a, 0, tiles - 1)[:, None], np.clip(b, 0, tiles - 1)[None, :], light]
-    lab[..., 0] = (1 - fy) * ((1 - fx) * at(y0, x0) + fx * at(y0, x0 + 1)) + fy * ((1 - fx) * at(y0 + 1, x0) + fx * at(y0 + 1, x0 + 1))
-    return from_lab(lab)
-
-
-def bilateral(image: np.ndarray, sigma: float = 20.0) -> np.ndarray:
-    """Edge-keeping blur over the neighbours at a distance of one."""
-    p, x = _padded(image.astype(float), 1), image.astype(float)
-    h, w = image.shape[:2]
-    total, weights = np.zeros_like(x), np.zeros((h, w, 1))
-    for dy, dx in ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)):
-        near = p[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w]
-        k = np.exp(-(np.abs(near - x).sum(axis=2, keepdims=True) ** 2) / (2 * sigma**2) - (dy * dy + dx * dx) / (2 * sigma**2))
-        total, weights = total + k * near, weights + k
-    return np.clip(np.rint(total / weights), 0, 255).astype(np.uint8)
-
-
-def dehaze(image: np.ndarray, blend: float, omega: float) -> np.ndarray:
-    x = image / 255.0
-    dark = erode(x.min(axis=2), 15)
-    n = max(1, int(dark.size * 0.001))
-    air = np.maximum(x.reshape(-1, 3)[np.argsort(-dark.ravel(), kind="stable")[:n]].mean(axis=0), 0.10)
-    through = np.clip(gaussian(1 - omega * erode((x / air).min(axis=2), 15), 5), 0.6, 1.0)[..., None]
-    clear = np.clip((x - air) / through + air, 0, 1)
-    return np.clip(((1 - blend) * x + blend * clear) * 255, 0, 255).astype(np.uint8)
-
-
-TRANSFORMS: dict[str, Callable[[np.ndarray], np.ndarray]] = {
-    "adaptive_gamma_light": lambda x: adaptive_gamma(x, 0.55),
-    "adaptive_gamma_standard": lambda x: adaptive_gamma(x, 1.0),
-    "mild_dehaze_low": lambda x: dehaze(x, 0.20, 0.40),
-    "mild_dehaze_medium": lambda x: dehaze(x, 0.35, 0.50),
-    "white_balance_conservative": white_balance,
-    "clahe_very_mild": clahe,
-    "bilateral_denoise_mild": bilateral,
-}
-
-
-def sobel(g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    k = np.array([[-1, 0, 1], [-2, 0, 2], [-1, 0, 1]], float)
-    return convolve(g, k), convolve(g, k.T)
-
-
-def gradient(g: np.ndarray) -> np.ndarray:
-    return np.hypot(*sobel(g))
-
-
-def edge_density(g: np.ndarray, low: float = 50, high: float = 150) -> float:
-    """Share of edge pixels: gradient peaks along their direction, strong ones and weak ones joined to them."""
-    gx, gy = sobel(g)
-    size = np.abs(gx) + np.abs(gy)
-    p = np.pad(size, 1)
-    h, w = g.shape
-    turn = np.round(np.arctan2(gy, gx) / (np.pi / 4)).astype(int) % 4
-    steps = ((0, 1), (1, 1), (1, 0), (1, -1))
-    peak = np.zeros_like(size, bool)
-    for k, (dy, dx) in enumerate(steps):
-        a, b = p[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w], p[1 - dy : 1 - dy + h, 1 - dx : 1 - dx + w]
-        peak |= (turn == k) & (size >= a) & (size > b)
-    weak, edges = peak & (size > low), peak & (size > high)
-    while True:
-        grown = dilate3(edges.astype(np.uint8)).astype(bool) & weak
-        if grown.sum() == edges.sum():
-            return float(edges.mean())
-        edges = grown
-
-
-def saturation(image: np.ndarray) -> np.ndarray:
-    top = image.max(axis=2).astype(float)
-    return np.where(top > 0, (top - image.min(axis=2)) / np.maximum(top, 1), 0.0)
-
-
-def laplacian_variance(g: np.ndarray) -> float:
-    return float(convolve(g, np.array([[0, 1, 0], [1, -4, 1], [0, 1, 0]], float)).var())
-
-
-def noise(g: np.ndarray) -> float:
-    return float((g - gaussian(g, 3)).std())
-
-
-def entropy(g: np.ndarray) -> float:
-    p = np.bincount(g.astype(int).ravel(), minlength=256) / g.size
-    return float(-(p[p > 0] * np.log2(p[p > 0])).sum())
-
-
-def quality(image: np.ndarray) -> dict[str, float]:
-    """The quality vector of one image."""
-    g, unit = gray(image), lambda v: float(min(max(v, 0.0), 1.0))
-    b, gr, r = (image[..., i].astype(float) for i in range(3))
-    means = image.reshape(-1, 3).mean(axis=0)
-    balance = unit(1 - means.std() / means.mean()) if means.mean() > 1e-6 else 0.0
-    rg, yb = r - gr, 0.5 * (r + gr) - b
-    colorfulness = unit((np.hypot(rg.std(), yb.std()) + 0.3 * np.hypot(rg.mean(), yb.mean())) / 100)
-    lab = to_lab(image)
-    chroma = np.hypot(lab[..., 1] - 128, lab[..., 2] - 128)
-    light = np.percentile(lab[..., 0], [1, 99]) / 255
-    sharp, s = laplacian_variance(g), saturation(image).mean()
-    bright = g.mean() / 255
-    out = {
-        "brightness": bright, "brightness_quality": unit(1 - abs(bright - 0.5) / 0.5), "contrast": g.std(), "contrast_quality": unit(g.std() / 64),
-        "sharpness": sharp, "sharpness_quality": unit(np.log1p(sharp) / np.log1p(1500)), "entropy": entropy(g), "entropy_quality": unit(entropy(g) / 8),
-        "black_clip": (g <= 5).mean(), "white_clip": (g >= 250).mean(), "color_balance": balance, "colorfulness": colorfulness, "saturation": s,
-        "noise": noise(g), "edge_density": edge_density(g), "uciqe_proxy": unit(0.4680 * chroma.std() / 64 + 0.2745 * (light[1] - light[0]) + 0.2576 * s),
-    }
-    out["uiqm_proxy"] = unit(0.35 * colorfulness + 0.35 * out["sharpness_quality"] + 0.30 * out["contrast_quality"])
-    return {k: float(v) for k, v in out.items()}
-
-
-def shrink(image: np.ndarray, side: int = WORK_SIDE) -> np.ndarray:
-    """The image with its longest side at most ``side``, by means over areas."""
-    h, w = image.shape[:2]
-    f = side / max(h, w)
-    if f >= 1:
-        return image.astype(float)
-
-    def along(x: np.ndarray, n: int, m: int) -> np.ndarray:
-        cuts = np.linspace(0, n, m + 1)
-        sums = np.concatenate([np.zeros((1, *x.shape[1:])), np.cumsum(x, axis=0)])
-        low = np.minimum(np.floor(cuts).astype(int), n - 1)
-        part = sums[low] + (cuts - low).reshape(-1, *[1] * (x.ndim - 1)) * x[low]
-        return np.diff(part, axis=0) * m / n
-
-    nh, nw = max(1, round(h * f)), max(1, round(w * f))
-    return along(along(image.astype(float), h, nh).swapaxes(0, 1), w, nw).swapaxes(0, 1)
-
-
-def _ratio(a: float, b: float, floor: float) -> float:
-    return float(a / max(b, floor))
-
-
-def detail_kept(a: np.ndarray, b: np.ndarray) -> float:
-    """Correlation of two gradient images, clamped; of flat ones 1 if they are alike."""
-    da, db = a - a.mean(), b - b.mean()
-    under = np.sqrt((da**2).sum() * (db**2).sum())
-    if under < 1e-9:
-        return float(np.allclose(a, b))
-    c = float((da * db).sum() / under)
-    return min(max(c, 0.0), 1.0) if np.isfinite(c) else 0.0
-
-
-def edges_kept(a: np.ndarray, b: np.ndarray) -> float:
-    """Share of the strong gradients of ``a`` that ``b`` has within a pixel; each side by its own upper quartile."""
-    strong = lambda g: g >= np.percentile(g[g > 0], 75) if (g > 0).any() else np.zeros_like(g, bool)
-    sa, sb = strong(a), dilate3(strong(b).astype(np.uint8)).astype(bool)
-    return float((sa & sb).sum() / sa.sum()) if sa.any() else 1.0
-
-
-def local_ratios(a: np.ndarray, b: np.ndarray, ga: np.ndarray, gb: np.ndarray) -> list[float]:
-    return [detail_kept(ga, gb), edges_kept(ga, gb), _ratio(laplacian_variance(b), laplacian_variance(a), 1.0), _ratio(noise(b), noise(a), 0.25), _ratio(b.std(), a.std(), 1.0)]
-
-
-def structure(raw: np.ndarray, other: np.ndarray, raw_quality: dict, quality_: dict) -> dict[str, float]:
-    """How far a candidate keeps the structure of the raw image, whole and over its most detailed tiles."""
-    if raw.shape != other.shape:
-        return {"geometry_preserved": 0.0, "detail_retention": 0.0, "edge_recall": 0.0, "sharpness_ratio": np.inf, "noise_ratio": np.inf, "edge_density_ratio": np.inf, "extra_clip": 1.0, "lab_shift": np.inf, "saturation_shift": 1.0}
-    wa, wb = shrink(raw), shrink(other)
-    a, b = gray(wa), gray(wb)
-    ga, gb = gradient(a), gradient(b)
-    q, p = quality_, raw_quality
-    out = {
-        "geometry_preserved": 1.0, "detail_retention": detail_kept(ga, gb), "edge_recall": edges_kept(ga, gb), "sharpness_ratio": _ratio(q["sharpness"], p["sharpness"], 1.0),
-        "noise_ratio": _ratio(q["noise"], p["noise"], 0.25), "edge_density_ratio": _ratio(q["edge_density"], p["edge_density"], 1e-4),
-        "extra_clip": max(q["black_clip"] - p["black_clip"], 0) + max(q["white_clip"] - p["white_clip"], 0),
-        "lab_shift": float(np.linalg.norm(to_lab(wa) - to_lab(wb), axis=-1).mean()), "saturation_shift": abs(q["saturation"] - p["saturation"]),
-    }
-    tiles = []
-    for n in GRIDS:
-        ys, xs = ([round(i * s / n) for i in range(n + 1)] for s in a.shape)
-        for y0, y1 in zip(ys, ys[1:], strict=False):
-            for x0, x1 in zip(xs, xs[1:], strict=False):
-                if y1 - y0 >= TILE_SIDE and x1 - x0 >= TILE_SIDE:
-                    t = np.s_[y0:y1, x0:x1]
-                    tiles.append((float(ga[t].mean()), t))
-    tiles = sorted(tiles, key=lambda t: -t[0])[: max(TILE_LEAST, int(np.ceil(TILE_SHARE * len(tiles))))]
-    found = np.array([local_ratios(a[t], b[t], ga[t], gb[t]) for _, t in tiles] or [[1.0] * len(RATIOS)])
-    for name, column in zip(RATIOS, found.T, strict=True):
-        for q_ in (10, 50, 90):
-            out[f"{name}_p{q_}"] = float(np.percentile(column, q_))
-    return out
+    ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (bytes), as the readers of ``sources.images`` give
+    them. Each image is decoded once for all modes; rows whose pixels are missing or too few give nothing.
+    """
+    fields = {"image": pa.string(), "mode": pa.string(), "grid": pa.int32(), "tile": pa.int32(), "same_shape": pa.float64(), "lab": pa.float64()}
+    fields |= {f"w_{k}": pa.float64() for k in IMAGE_SUMS} | {"w_hist": pa.list_(pa.int64())} | {f"p_{k}": pa.float64() for k in PAIR_SUMS}
+    kinds, schema = _schema(fields)
+    return _per_image(images, [], lambda key, image: _records(key, _image_rows(image, grids), kinds), schema)
+
+
+def _sd(total: Column, square: Column, n: Column) -> Column:
+    return F.sqrt(F.greatest(square / n - (total / n) ** 2, F.lit(0.0)))
+
+
+def quality(sums: DataFrame) -> DataFrame:
+    """The quality of whole images from their sums (``w_``): ``image``, ``mode``, ``same_shape``, ``lab`` and 17 measures."""
+    w, n = lambda k: F.col(f"w_{k}"), F.col("w_n")
+    sd = lambda k: _sd(w(f"{k}_sum"), w(f"{k}_sq"), n)
+    levels = F.sequence(F.lit(0), F.lit(255))
+    over = lambda f: F.aggregate(F.zip_with(w("hist"), levels, f), F.lit(0.0), lambda s, x: s + x)
+    gray_sum, gray_sq = over(lambda c, v: (c * v).cast("double")), over(lambda c, v: (c * v * v).cast("double"))
+    bits = -over(lambda c, v: F.when(c > 0, c / n * F.log2(c / n)).otherwise(0.0))
+    means = [w(f"{c}_sum") / n for c in "bgr"]
+    mean = (means[0] + means[1] + means[2]) / 3
+    spread = F.sqrt(((means[0] - mean) ** 2 + (means[1] - mean) ** 2 + (means[2] - mean) ** 2) / 3)
+    unit = lambda c: clamp(c, 0.0, 1.0)
+    first = sums.filter("grid = 0").withColumns({
+        "brightness": gray_sum / n / 255, "contrast": _sd(gray_sum, gray_sq, n), "sharpness": sd("lap") ** 2, "entropy": bits, "noise": sd("noise"), "edge_density": w("edges") / n,
+        "black_clip": F.aggregate(F.slice("w_hist", 1, 6), F.lit(0).cast("long"), lambda s, x: s + x) / n,
+        "white_clip": F.aggregate(F.slice("w_hist", 251, 6), F.lit(0).cast("long"), lambda s, x: s + x) / n,
+        "color_balance": F.when(mean > 1e-6, unit(1 - spread / mean)).otherwise(0.0), "saturation": w("hsv_sum") / n,
+        "colorfulness": unit((F.hypot(sd("rg"), sd("yb")) + 0.3 * F.hypot(w("rg_sum") / n, w("yb_sum") / n)) / 100),
+        "uciqe_proxy": unit(0.4680 * unit(sd("chroma") / 64) + 0.2745 * (w("light_99") - w("light_1")) / 255 + 0.2576 * unit(w("purity_sum") / n)),
+    })
+    second = first.withColumns({
+        "brightness_quality": unit(1 - F.abs(F.col("brightness") - 0.5) / 0.5), "contrast_quality": unit(F.col("contrast") / 64),
+        "sharpness_quality": unit(F.log1p("sharpness") / F.log1p(F.lit(1500.0))), "entropy_quality": unit(F.col("entropy") / 8),
+    })
+    uiqm = 0.35 * F.col("colorfulness") + 0.35 * F.col("sharpness_quality") + 0.30 * F.col("contrast_quality")
+    return second.withColumn("uiqm_proxy", unit(uiqm)).select("image", "mode", "same_shape", "lab", *QUALITY)
+
+
+QUALITY = ["brightness", "brightness_quality", "contrast", "contrast_quality", "sharpness", "sharpness_quality", "entropy", "entropy_quality", "black_clip", "white_clip", "color_balance", "colorfulness", "saturation", "noise", "edge_density", "uciqe_proxy", "uiqm_proxy"]
+
+
+def with_ratios(areas: DataFrame) -> DataFrame:
+    """Adds ``energy`` and the five ratios of candidate over raw to rows of sums of areas (``p_``).
+
+    ``detail`` is the correlation of the gradients within [0, 1], of flat ones 1 if they are alike; ``edge`` the share of
+    strong raw gradients that the candidate has within a pixel, 1 without any.
+    """
+    p, n = lambda k: F.col(f"p_{k}"), F.col("p_n")
+    sd = lambda k: _sd(p(f"{k}_sum"), p(f"{k}_sq"), n)
+    under = sd("a_size") * sd("b_size")
+    both = p("size_both") / n - p("a_size_sum") * p("b_size_sum") / (n * n)
+    return areas.withColumns({
+        "energy": p("a_size_sum") / n,
+        "detail": F.when(under < 1e-9, p("alike")).otherwise(clamp(both / under, 0.0, 1.0)),
+        "edge": F.when(p("strong") > 0, p("strong_kept") / p("strong")).otherwise(1.0),
+        "sharpness": safe_ratio(sd("b_lap") ** 2, sd("a_lap") ** 2, 1.0), "noise": safe_ratio(sd("b_noise"), sd("a_noise"), 0.25), "contrast": safe_ratio(sd("b_gray"), sd("a_gray"), 1.0),
+    })
+
+
+def local_detail(areas: DataFrame) -> DataFrame:
+    """Per image and mode the 10th, 50th and 90th percentile of each ratio over its most detailed tiles.
+
+    Of all tiles of the grids, ``TILE_SHARE`` of the highest energy count, ``TILE_LEAST`` at least.
+    """
+    tiles = with_ratios(areas.filter("grid > 1"))
+    key = ["image", "mode"]
+    place = F.row_number().over(Window.partitionBy(key).orderBy(F.desc("energy"), "grid", "tile"))
+    ranked = tiles.withColumn("place", place).withColumn("n_tiles", F.count("*").over(Window.partitionBy(key)))
+    kept = ranked.filter(F.col("place") <= F.greatest(F.lit(TILE_LEAST), F.ceil(TILE_SHARE * F.col("n_tiles"))))
+    return kept.groupBy(key).agg(F.count("*").alias("tiles"), *[F.percentile(r, F.lit(q / 100)).alias(f"{r}_p{q}") for r in RATIOS for q in (10, 50, 90)])
 
 
 METRICS = ["brightness", "black_clip", "white_clip", "benefit", "geometry_preserved", "detail_retention", "edge_recall", "sharpness_ratio", "noise_ratio", "edge_density_ratio", "extra_clip", "lab_shift", "saturation_shift", *[f"{r}_p{q}" for r in RATIOS for q in (10, 50, 90)]]
 
 
-def evaluate(image: np.ndarray) -> list[dict]:
-    """One row per mode but the raw baseline: its risk, its place among the modes, and its metrics."""
-    image = as_bgr(image)
-    base = quality(image)
-    out = []
-    for priority, (mode, risk) in enumerate(MODES.items()):
-        made = TRANSFORMS[mode](image)
-        q = quality(made)
-        benefit = sum(w * (q[k] - base[k]) for k, w in BENEFIT_WEIGHTS.items())
-        out.append({"mode": mode, "risk": risk, "priority": priority, "benefit": benefit, **{k: q[k] for k in ("brightness", "black_clip", "white_clip")}, **structure(image, made, base, q)})
-    return out
-
+def benefit(quality_: Callable[[str], Column], raw: Callable[[str], Column]) -> Column:
+    """The weighted gains of a candidate's quality over the raw image's."""
+    return weighted_sum([(quality_(k) - raw(k), w) for k, w in BENEFIT_WEIGHTS.items()])
 
-def pixels_of(data: bytes | None, height: int | None, width: int | None) -> np.ndarray | None:
-    """An image in BGR from its bytes: three channels as they are, one repeated, of four the first three; else none."""
-    if not data or not height or not width or height < 0 or width < 0 or len(data) not in (height * width, 3 * height * width, 4 * height * width):
-        return None
-    x = np.frombuffer(data, np.uint8).reshape(height, width, -1)
-    return np.ascontiguousarray(np.repeat(x, 3, axis=2) if x.shape[2] == 1 else x[..., :3])
 
+def structure(rated: DataFrame) -> DataFrame:
+    """Adds how far candidates keep the structure of the raw image, to their quality, the raw one's (``raw_``) and the whole pair's ratios (``w_``).
 
-def region_ratios(raw: np.ndarray, made: np.ndarray, box: tuple[int, int, int, int]) -> dict[str, float] | None:
-    """Ratios of a candidate inside one region (left, top, right, bottom); none for one below three pixels."""
-    left, top, right, bottom = box
-    a, b = raw[top:bottom, left:right], made[top:bottom, left:right]
-    if min(a.shape[:2]) < 3:
-        return None
-    found = dict(zip(RATIOS, local_ratios(gray(a), gray(b), gradient(gray(a)), gradient(gray(b))), strict=True))
-    return found | {"lab": float(np.linalg.norm(to_lab(shrink(a)) - to_lab(shrink(b)), axis=-1).mean())}
-
-
-def scene_profile(image: np.ndarray) -> dict[str, float]:
-    """Brightness, contrast, sharpness and colour cast of a scene."""
-    g, means = gray(image), image.reshape(-1, 3).mean(axis=0)
-    return {"brightness": float(g.mean() / 255), "contrast": float(g.std()), "sharpness": laplacian_variance(g), "colour_cast": float(means.std() / max(means.mean(), 1e-6))}
+    A candidate of another size keeps nothing: its ratios are infinite.
+    """
+    same, inf = F.col("same_shape") == 1, F.lit(float("inf"))
+    of = lambda c, other: F.when(same, c).otherwise(other)
+    r = lambda k: F.col(f"raw_{k}")
+    more = lambda k: F.greatest(F.col(k) - r(k), F.lit(0.0))
+    return rated.withColumns({
+        "geometry_preserved": F.col("same_shape"), "detail_retention": of(F.col("w_detail"), F.lit(0.0)), "edge_recall": of(F.col("w_edge"), F.lit(0.0)),
+        "sharpness_ratio": of(safe_ratio(F.col("sharpness"), r("sharpness"), 1.0), inf), "noise_ratio": of(safe_ratio(F.col("noise"), r("noise"), 0.25), inf),
+        "edge_density_ratio": of(safe_ratio(F.col("edge_density"), r("edge_density"), 1e-4), inf), "extra_clip": of(more("black_clip") + more("white_clip"), F.lit(1.0)),
+        "lab_shift": of(F.col("lab"), inf), "saturation_shift": of(F.abs(F.col("saturation") - r("saturation")), F.lit(1.0)),
+    })
+
+
+def evaluate_sums(sums: DataFrame) -> DataFrame:
+    """``image``, ``mode``, ``risk``, ``priority`` and the metrics of every candidate but the raw image, from ``area_sums``.
+
+    The sums and the qualities are written once: the pixels are not worked through again for each use of them. All
+    groupings and joins are by image. Without tiles each local ratio is 1.
+    """
+    sums = materialize(sums, "area-sums")
+    rated = materialize(quality(sums), "quality")
+    raw = rated.filter(F.col("mode") == RAW).select("image", *[F.col(k).alias(f"raw_{k}") for k in QUALITY])
+    whole = with_ratios(sums.filter("grid = 1")).select("image", "mode", F.col("detail").alias("w_detail"), F.col("edge").alias("w_edge"))
+    out = rated.filter(F.col("mode") != RAW).join(raw, "image").join(whole, ["image", "mode"], "left").join(local_detail(sums), ["image", "mode"], "left")
+    out = structure(out).withColumn("benefit", benefit(F.col, lambda k: F.col(f"raw_{k}")))
+    local = {f"{r}_p{q}": F.coalesce(f"{r}_p{q}", F.lit(1.0)) for r in RATIOS for q in (10, 50, 90)}
+    told = F.create_map(*[F.lit(x) for i, m in enumerate(MODES) for x in (m, i)])
+    risk = F.create_map(*[F.lit(x) for m, r in MODES.items() for x in (m, r)])
+    rows = out.withColumns(local).select("image", "mode", F.element_at(risk, F.col("mode")).alias("risk"), F.element_at(told, F.col("mode")).alias("priority"), *METRICS)
+    return materialize(rows, "evaluations")  # the rules that come next would repeat each metric's expression many times over
 
 
-def _per_image(images: DataFrame, more: list[str], make: Callable[..., list[dict]], schema: str) -> DataFrame:
-    """Rows that ``make`` gives for each decodable image, from its pixels and the columns ``more``."""
-    kinds = pa.schema([(n, {"string": pa.string(), "int": pa.int32(), "double": pa.float64()}[t]) for n, t in (x.split() for x in schema.split(", "))])
+def evaluate_images(images: DataFrame) -> DataFrame:
+    """``image``, ``mode``, ``risk``, ``priority`` and the metrics of every decodable image."""
+    return evaluate_sums(area_sums(images))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for key, h, w, data, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if (image := pixels_of(data, h, w)) is not None:
-                    yield pa.RecordBatch.from_pylist([r | {"image": key} for r in make(image, *rest)], kinds)
 
-    return images.select(F.col("image").cast("string"), "height", "width", "data", *more).mapInArrow(run, schema)
+def profile_images(images: DataFrame) -> DataFrame:
+    """``image``, brightness, contrast, sharpness and colour cast of the scene, for every decodable image."""
+    kinds, schema = _schema({"image": pa.string(), "n": pa.float64(), "b": pa.float64(), "g": pa.float64(), "r": pa.float64(), "lap_sum": pa.float64(), "lap_sq": pa.float64(), "gray_sum": pa.float64(), "gray_sq": pa.float64()})
 
+    def make(key: str, image: np.ndarray) -> Iterator[pa.RecordBatch]:
+        side = Side(gray(image)[None])
+        b, g, r = (float(image[..., i].sum(dtype=np.int64)) for i in range(3))
+        row = {"image": key, "n": float(image.size // 3), "b": b, "g": g, "r": r} | {k: float(v[0]) for k, v in side.sums.items() if k in kinds.names}
+        yield pa.RecordBatch.from_pylist([row], kinds)
 
-def evaluate_images(images: DataFrame) -> DataFrame:
-    """``image``, ``mode``, ``risk``, ``priority`` and the metrics of every decodable image.
+    n, mean = F.col("n"), (F.col("b") + F.col("g") + F.col("r")) / (3 * F.col("n"))
+    cast = F.sqrt(sum(((F.col(c) / n - mean) ** 2 for c in "gr"), (F.col("b") / n - mean) ** 2) / 3) / F.greatest(mean, F.lit(1e-6))
+    return _per_image(images, [], make, schema).select("image", (F.col("gray_sum") / n / 255).alias("brightness"), _sd(F.col("gray_sum"), F.col("gray_sq"), n).alias("contrast"), (_sd(F.col("lap_sum"), F.col("lap_sq"), n) ** 2).alias("sharpness"), cast.alias("colour_cast"))
 
-    ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (bytes), as the readers of
-    ``sources.images`` give them. Each image is decoded once for all modes; rows with a null or short
-    ``data`` or fewer than one pixel are left out.
-    """
-    schema = "image string, mode string, risk string, priority int, " + ", ".join(f"{m} double" for m in METRICS)
-    return _per_image(images, [], evaluate, schema)
 
+def profile_records(records: DataFrame, profiles: DataFrame) -> DataFrame:
+    """Records (``image``, ``boxes``, ``width``, ``height``) with their scene's profile and how many boxes of each size they have."""
+    from ..functions.boxes import size_counts
 
-def profile_images(images: DataFrame) -> DataFrame:
-    """``image`` and its scene profile, for every decodable image."""
-    return _per_image(images, [], lambda image: [scene_profile(image)], "image string, brightness double, contrast double, sharpness double, colour_cast double")
+    counts = size_counts(F.col("boxes"), F.col("width"), F.col("height"))
+    sized = records.withColumn("sizes_", counts).select("*", *[F.col(f"sizes_.{k}").alias(n) for k, n in (("tiny", "tiny_count"), ("small", "small_count"), ("medium_large", "medium_large_count"))]).drop("sizes_")
+    return sized.join(profiles, "image")
 
 
 #: Weights of regions by the size of their boxes.
@@ -376,27 +250,35 @@ def region_metrics(images: DataFrame, boxes: DataFrame) -> DataFrame:
     ``boxes``: ``image`` and ``bbox`` (x, y, width, height), any number per image. Boxes that are not four
     numbers are skipped; each other counts by size, and is measured with its surroundings unless those are
     below three pixels. ``any_*`` weighs tiny and small boxes more, ``tiny_*`` is the mean over tiny ones;
-    both are null without such boxes. Regions leave the tasks as rows and are averaged map-side.
+    both are null without such boxes. Regions leave the tasks as rows of sums and are averaged map-side.
     """
     sized = images.select("image", F.col("height").alias("h_"), F.col("width").alias("w_"))
     box = boxes.filter(F.size("bbox") == 4).filter(~F.exists("bbox", lambda v: v.isNull() | F.isnan(v))).join(sized, "image")
     size = size_class(area_ratio(F.col("bbox"), F.col("w_"), F.col("h_")))
     region = protected_region(F.col("bbox"), F.col("w_"), F.col("h_"))
     lists = box.select("image", F.struct(region.alias("at"), size.alias("size")).alias("b")).groupBy("image").agg(F.collect_list("b").alias("regions"))  # the boxes of one image
-
-    def measure(image: np.ndarray, regions: list[dict]) -> list[dict]:
-        out = []
-        for mode in MODES:
-            made = TRANSFORMS[mode](image)
-            for r in regions:
-                at = tuple(max(int(r["at"][k]), 0) for k in ("left", "top", "right", "bottom"))
-                out.append({"mode": mode, "size": r["size"], **(region_ratios(image, made, at) or {})})
-        return out
+    kinds, schema = _schema({"image": pa.string(), "mode": pa.string(), "size": pa.string(), "lab": pa.float64(), **{f"p_{k}": pa.float64() for k in PAIR_SUMS}})
+
+    def make(key: str, image: np.ndarray, regions: list[dict]) -> Iterator[pa.RecordBatch]:
+        areas = [np.s_[max(int(r["at"]["top"]), 0) : max(int(r["at"]["bottom"]), 0), max(int(r["at"]["left"]), 0) : max(int(r["at"]["right"]), 0)] for r in regions]
+        wide = [min(image[a].shape[:2]) >= 3 for a in areas]
+        raw = [Side(gray(image[a])[None]) if ok else None for a, ok in zip(areas, wide, strict=True)]
+        for mode, made in candidates(image):
+            if mode == RAW:
+                continue
+            rows = []
+            for r, a, side in zip(regions, areas, raw, strict=True):
+                row = {"image": key, "mode": mode, "size": r["size"]}
+                if side:
+                    small = shrink(image[a], WORK_SIDE), shrink(made[a], WORK_SIDE)
+                    row |= {"lab": lab_distance(*small) / (small[0].size // 3)} | {f"p_{k}": float(v[0]) for k, v in pair_sums(side, Side(gray(made[a])[None])).items()}
+                rows.append(row)
+            yield pa.RecordBatch.from_pylist(rows, kinds)
 
     names = [*RATIOS, "lab"]
-    rows = _per_image(images.join(lists, "image"), ["regions"], measure, "image string, mode string, size string, " + ", ".join(f"{n} double" for n in names))
+    rows = with_ratios(_per_image(images.join(lists, "image"), ["regions"], make, schema))
     weight = F.coalesce(*[F.when(F.col("size") == k, w) for k, w in REGION_WEIGHTS.items()])
-    seen = F.col("detail").isNotNull()
-    rows = rows.withColumn("weight", F.when(seen, weight)).withColumn("tiny_weight", F.when(seen & (F.col("size") == "tiny"), 1.0))
-    means = [weighted_mean(F.col(n), F.col("weight")).alias(f"any_{n}") for n in names] + [weighted_mean(F.when(F.col("size") == "tiny", F.col(n)), F.col("tiny_weight")).alias(f"tiny_{n}") for n in names]
+    seen, tiny = F.col("p_n").isNotNull(), F.col("size") == "tiny"
+    rows = rows.withColumn("weight", F.when(seen, weight)).withColumn("tiny_weight", F.when(seen & tiny, 1.0))
+    means = [weighted_mean(F.when(seen, F.col(n)), F.col("weight")).alias(f"any_{n}") for n in names] + [weighted_mean(F.when(seen & tiny, F.col(n)), F.col("tiny_weight")).alias(f"tiny_{n}") for n in names]
     return rows.groupBy("image", "mode").agg(F.count_if(seen).alias("boxes"), *[F.count_if(F.col("size") == k).alias(f"{k}_boxes") for k in REGION_WEIGHTS], *means)

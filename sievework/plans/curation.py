@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 from ..functions.naming import group_name
 from ..operators import decide, dedup, split
 from ..operators.certify import canonical_hash, require_policy, require_verified, valid_checkpoints, verify
-from ..operators.pixels import TRANSFORMS, evaluate_images, pixels_of, region_metrics
+from ..operators.kernels import TRANSFORMS, pixels_of
+from ..operators.pixels import evaluate_images, region_metrics
 from ..shared import materialize
 from ..sources.images import encode_png, list_images, read_files, read_images, remove_files, write_files
 from ..sources.progress import latest

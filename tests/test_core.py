@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions import boxes, naming, rules
-from sievework.operators import certify, decide, pixels, sampling, split
+from sievework.operators import certify, decide, kernels, pixels, sampling, split
 from sievework.plans import curation
 from sievework.plans.registry import QUERIES, SQL
 from sievework import __main__ as command
@@ -143,21 +143,105 @@ def picture(seed=0, h=48, w=64):
     return np.clip(base, 0, 255).astype(np.uint8)
 
 
+def plain_gradient(g):
+    p = np.pad(g, 1, mode="reflect")
+    k = np.array([[-1, 0, 1], [-2, 0, 2], [-1, 0, 1]])
+    at = lambda k: sum(k[i, j] * p[i : i + g.shape[0], j : j + g.shape[1]] for i in range(3) for j in range(3))
+    return np.sqrt(at(k) ** 2 + at(k.T) ** 2)
+
+
+def plain_filter(g, k):
+    p = np.pad(g, 1, mode="reflect")
+    return sum(k[i][j] * p[i : i + g.shape[0], j : j + g.shape[1]] for i in range(3) for j in range(3))
+
+
+LAPLACE, BLUR = [[0, 1, 0], [1, -4, 1], [0, 1, 0]], np.outer([1, 2, 1], [1, 2, 1]) / 16
+
+
+def plain_gray(image):
+    return ((image.astype(int) @ [114, 587, 299] + 500) // 1000).astype(float)
+
+
+def plain_quality(image):
+    g, unit = plain_gray(image), lambda v: min(max(float(v), 0.0), 1.0)
+    b, gr, r = (image[..., i].astype(float) for i in range(3))
+    means, rg, yb = image.reshape(-1, 3).mean(axis=0), r - gr, 0.5 * (r + gr) - b
+    lab = np.clip(np.rint(kernels.to_lab(image)), 0, 255).astype(float)
+    chroma = np.hypot(lab[..., 1] - 128, lab[..., 2] - 128)
+    share = np.bincount(g.astype(int).ravel()) / g.size
+    q = {"brightness": g.mean() / 255, "contrast": g.std(), "sharpness": plain_filter(g, LAPLACE).var(), "noise": (g - plain_filter(g, BLUR)).std(), "black_clip": (g <= 5).mean(), "white_clip": (g >= 250).mean()}
+    q["entropy"] = -sum(x * np.log2(x) for x in share if x)
+    q["color_balance"] = unit(1 - means.std() / means.mean())
+    q["colorfulness"] = unit((np.hypot(rg.std(), yb.std()) + 0.3 * np.hypot(rg.mean(), yb.mean())) / 100)
+    q["uciqe_proxy"] = unit(0.468 * unit(chroma.std() / 64) + 0.2745 * np.subtract(*np.percentile(lab[..., 0] / 255, [99, 1])) + 0.2576 * (chroma / (np.hypot(chroma, lab[..., 0]) + 1e-6)).mean())
+    q |= {"brightness_quality": unit(1 - abs(q["brightness"] - 0.5) / 0.5), "contrast_quality": unit(q["contrast"] / 64), "sharpness_quality": unit(np.log1p(q["sharpness"]) / np.log1p(1500)), "entropy_quality": unit(q["entropy"] / 8)}
+    q["uiqm_proxy"] = unit(0.35 * q["colorfulness"] + 0.35 * q["sharpness_quality"] + 0.3 * q["contrast_quality"])
+    return q
+
+
+def plain_ratios(a, b):
+    """Detail, edge, sharpness, noise and contrast of two gray areas."""
+    ga, gb = plain_gradient(a), plain_gradient(b)
+    strong = lambda g: g >= (np.percentile(g[g > 0], 75) if (g > 0).any() else np.inf)
+    flat = ga.std() * gb.std() < 1e-9
+    detail = float(np.allclose(ga, gb)) if flat else min(max(np.corrcoef(ga.ravel(), gb.ravel())[0, 1], 0), 1)
+    wide = np.pad(strong(gb), 1)
+    near = np.any([wide[i : i + a.shape[0], j : j + a.shape[1]] for i in range(3) for j in range(3)], axis=0)
+    edge = (strong(ga) & near).sum() / strong(ga).sum() if strong(ga).any() else 1.0
+    var = lambda g: plain_filter(g, LAPLACE).var()
+    noise = lambda g: (g - plain_filter(g, BLUR)).std()
+    return [detail, edge, var(b) / max(var(a), 1), noise(b) / max(noise(a), 0.25), b.std() / max(a.std(), 1)]
+
+
+def as_table(spark, *pictures):
+    return spark.createDataFrame([(f"i{i}", *x.shape[:2], x.tobytes()) for i, x in enumerate(pictures)], "image string, height int, width int, data binary")
+
+
+def test_metrics_equal_plain_numpy(spark):
+    made = [picture(), picture(5, 96, 70) // 3, np.full((40, 40, 3), 77, np.uint8), picture(7, 6, 5)]
+    table = as_table(spark, *made)
+    sums = pixels.area_sums(table).cache()
+    got = {(r["image"], r["mode"]): r for r in pixels.quality(sums).collect()}
+    found = {(r["image"], r["mode"]): r for r in pixels.evaluate_sums(sums).collect()}
+    assert len(got) == 4 * 8 and len(found) == 4 * 7
+    for i, raw in enumerate(made):
+        base = plain_quality(raw)
+        for mode, image in kernels.TRANSFORMS.items():
+            q, r, other = plain_quality(image(raw)), found[(f"i{i}", mode)], image(raw)
+            for k, v in q.items():
+                assert got[(f"i{i}", mode)][k] == pytest.approx(v, rel=1e-4, abs=1e-5), (mode, k)
+            assert r["benefit"] == pytest.approx(sum(w * (q[k] - base[k]) for k, w in pixels.BENEFIT_WEIGHTS.items()), abs=1e-5)
+            a, b = plain_gray(raw), plain_gray(other)
+            detail, edge, *_ = plain_ratios(a, b)
+            assert (r["detail_retention"], r["edge_recall"]) == pytest.approx((detail, edge), abs=1e-4)
+            tiles = []
+            for n in pixels.GRIDS:
+                for y0, y1, x0, x1 in kernels.tile_bounds(*a.shape, n, pixels.TILE_SIDE):
+                    tiles.append((-plain_gradient(a[y0:y1, x0:x1]).mean(), len(tiles), plain_ratios(a[y0:y1, x0:x1], b[y0:y1, x0:x1])))
+            kept = [t[2] for t in sorted(tiles)[: max(8, int(np.ceil(0.6 * len(tiles))))]] or [[1.0] * 5]
+            for name, column in zip(pixels.RATIOS, zip(*kept, strict=True), strict=True):
+                for p in (10, 50, 90):
+                    assert r[f"{name}_p{p}"] == pytest.approx(np.percentile(column, p), rel=2e-3, abs=2e-4), (i, mode, name, p)
+    profile = {r["image"]: r for r in pixels.profile_images(table).collect()}
+    q = plain_quality(made[0])
+    means = made[0].reshape(-1, 3).mean(axis=0)
+    assert [profile["i0"][k] for k in ("brightness", "contrast", "sharpness", "colour_cast")] == pytest.approx([q["brightness"], q["contrast"], q["sharpness"], means.std() / means.mean()], rel=1e-4)
+
+
 def test_kernels():
     image = picture()
-    for make in pixels.TRANSFORMS.values():
+    for make in kernels.TRANSFORMS.values():
         assert make(image).shape == image.shape and make(image).dtype == np.uint8
     flat = np.full((20, 20, 3), 77, np.uint8)
     for mode in ("bilateral_denoise_mild", "white_balance_conservative"):
-        assert (pixels.TRANSFORMS[mode](flat) == flat).all()
-    assert np.abs(pixels.from_lab(pixels.to_lab(image)).astype(int) - image).max() <= 1
-    q = pixels.quality(image)
-    assert all(0 <= q[k] <= 1 for k in pixels.BENEFIT_WEIGHTS) and pixels.quality(flat)["entropy"] == 0
-    same = pixels.structure(image, image, q, q)
-    assert same["detail_retention"] == pytest.approx(1) and same["edge_recall"] == 1 and same["lab_shift"] == 0 and same["noise_p90"] == pytest.approx(1)
-    assert pixels.shrink(np.ones((1280, 640))).shape == (640, 320) and np.allclose(pixels.shrink(np.ones((1281, 7))), 1)
+        assert (kernels.TRANSFORMS[mode](flat) == flat).all()
+    assert np.abs(kernels.from_lab(kernels.to_lab(image)).astype(int) - image).max() <= 1
+    assert kernels.shrink(np.full((1280, 640, 3), 9, np.uint8), 640).shape == (640, 320, 3) and (kernels.shrink(np.full((1281, 7, 3), 9, np.uint8), 640) == 9).all()
+    square = np.full((30, 30), 20, np.float32)
+    square[10:20, 10:20] = 220
+    assert 30 <= kernels.edge_pixels(square) <= 48 and kernels.edge_pixels(np.full((9, 9), 5, np.float32)) == 0
     with pytest.raises(ValueError):
-        pixels.as_bgr(np.zeros((3, 3)))
+        kernels.as_bgr(np.zeros((3, 3)))
 
 
 def test_images_from_file_to_processed_file(spark, tmp_path):
@@ -214,16 +298,19 @@ def test_regions_are_weighed_by_size(spark, tmp_path):
     got = {r["mode"]: r for r in pixels.region_metrics(table, spark.createDataFrame([("a", x) for x in given], "image string, bbox array<double>")).collect()}
     assert set(got) == set(decide.MODES)
     for mode in ("clahe_very_mild", "mild_dehaze_low"):
-        made, r = pixels.TRANSFORMS[mode](raw), got[mode]
+        made, r = kernels.TRANSFORMS[mode](raw), got[mode]
         assert (r["image"], r["boxes"], r["tiny_boxes"], r["small_boxes"], r["medium_large_boxes"]) == ("a", 3, 1, 1, 1)
         parts = []
         for (x, y, w, h), weight in zip(given[:3], (2.0, 1.5, 1.0), strict=True):
             px, py = max(0.2 * w, 24), max(0.2 * h, 24)
             at = (int(max(np.floor(x - px), 0)), int(max(np.floor(y - py), 0)), int(min(np.ceil(x + w + px), 800)), int(min(np.ceil(y + h + py), 64)))
-            parts.append((pixels.region_ratios(raw, made, at), weight))
+            left, top, right, bottom = at
+            a, b = raw[top:bottom, left:right], made[top:bottom, left:right]
+            told = dict(zip(pixels.RATIOS, plain_ratios(plain_gray(a), plain_gray(b)), strict=True))
+            parts.append((told | {"lab": kernels.lab_distance(a, b) / a[..., 0].size}, weight))
         for name in (*pixels.RATIOS, "lab"):
-            assert r[f"any_{name}"] == pytest.approx(sum(p[name] * w for p, w in parts) / 4.5)
-            assert r[f"tiny_{name}"] == pytest.approx(parts[0][0][name])
+            assert r[f"any_{name}"] == pytest.approx(sum(p[name] * w for p, w in parts) / 4.5, rel=1e-3)
+            assert r[f"tiny_{name}"] == pytest.approx(parts[0][0][name], rel=1e-3)
     evaluations = pixels.evaluate_images(table)
     audited = {(r["image"], r["mode"]): r for r in curation.audited_regions(evaluations, table, spark.createDataFrame([("a", x) for x in given], "image string, bbox array<double>")).collect()}
     assert all(r["region_passed"] for (image, _), r in audited.items() if image == "b") and len(audited) == 14
@@ -240,10 +327,10 @@ def test_region_limits(spark):
 
 def test_other_numbers_of_channels():
     g = np.arange(12, dtype=np.uint8).reshape(3, 4)
-    assert (pixels.pixels_of(g.tobytes(), 3, 4) == g[..., None]).all()
+    assert (kernels.pixels_of(g.tobytes(), 3, 4) == g[..., None]).all()
     four = np.arange(48, dtype=np.uint8).reshape(3, 4, 4)
-    assert (pixels.pixels_of(four.tobytes(), 3, 4) == four[..., :3]).all()
-    assert pixels.pixels_of(b"12", 3, 4) is None and pixels.pixels_of(None, -1, -1) is None
+    assert (kernels.pixels_of(four.tobytes(), 3, 4) == four[..., :3]).all()
+    assert kernels.pixels_of(b"12", 3, 4) is None and kernels.pixels_of(None, -1, -1) is None
 
 
 def test_trial_and_calibration_samples(spark):
