@@ -10,9 +10,15 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder in ``spark.checkpoint.dir``; a local one only where that is unset, as in tests."""
+    """The folder in ``spark.checkpoint.dir``.
+
+    Where that is unset, a local folder is made, but only for a local master, as in tests: the executors of a cluster
+    would not see it, so there a missing setting is an error.
+    """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
         spark.sparkContext.setCheckpointDir(path)
@@ -35,10 +41,11 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Rows of ids that may be broadcast (some 16 bytes each); larger tables are joined by shuffle.
-BROADCAST_ROWS = 2_000_000
+#: Rows of ids that may be broadcast; larger tables are joined by shuffle. A row of a few numbers was measured at some
+#: 60 bytes in a broadcast, so this is about 30 MB.
+BROADCAST_ROWS = 500_000
 
 
 def broadcast_if_small(ids: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """``ids`` with a broadcast hint if it has been counted to hold at most ``most`` rows."""
+    """``ids``, rows of a few numbers or short names, with a broadcast hint if it has been counted to hold at most ``most``."""
     return F.broadcast(ids) if ids.limit(most + 1).count() <= most else ids
