@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import group_name
@@ -16,8 +16,8 @@ from ..operators import decide, dedup, split
 from ..operators.certify import canonical_hash, require_policy, require_verified, valid_checkpoints, verify
 from ..operators.kernels import TRANSFORMS, pixels_of
 from ..operators.pixels import evaluate_images, region_metrics
-from ..shared import materialize
-from ..sources.images import encode_png, list_images, read_files, read_images, remove_files, write_files
+from ..shared import broadcast_if_small, materialize
+from ..sources.images import encode_png, hash_images, list_images, read_files, read_images, remove_files, write_files
 from ..sources.progress import latest
 from ..sources.reports import write_json, write_manifest
 
@@ -66,10 +66,9 @@ def process(images: DataFrame, won: DataFrame, folder: str, files: DataFrame | N
     """
     base = F.regexp_replace(F.element_at(F.split("image", "/"), -1), r"(?<=.)\.[^.]*$", "")
     won = won.select("image", "mode", (F.col("name") if "name" in won.columns else base).alias("name"))
-    if twice := won.groupBy("name").count().filter("count > 1").limit(1).collect():
-        raise ValueError(f"several images would be written to {twice[0]['name']}")
-    kept = won.filter(F.lit(files is not None) & (F.col("mode") == decide.RAW))
-    made = won.join(kept.select("image"), "image", "left_anti")
+    _once(won, "name")
+    as_it_is = F.lit(files is not None) & (F.col("mode") == decide.RAW)
+    kept, made = broadcast_if_small(won.filter(as_it_is)), broadcast_if_small(won.filter(~as_it_is))  # names, so that pixels stay where they are
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -98,8 +97,8 @@ def run(spark: SparkSession, records: DataFrame, root: str, out: str, threshold:
     """Select and write the winner of every record's image; a run that was stopped goes on where it ended.
 
     ``records``: ``image`` (path below ``root``), ``split``, ``group``, ``target_count``, ``width``, ``height``, ``label`` (text). Outputs go to
-    ``out``/``split``/images and labels, the manifest to ``out``/manifest. Finished records whose files and labels are
-    unchanged are kept, others are done anew; records of another policy stop the run. At the end all outputs are
+    ``out``/``split``/images and labels, the manifest to ``out``/manifest, batch by batch. Finished records whose files and
+    labels are unchanged are kept, others are done anew; records of another policy stop the run. At the end all outputs are
     read back and compared. Returns the manifest; any failure leaves a report and is raised.
     """
     rules, began = policy(threshold), time.time()
@@ -120,6 +119,12 @@ def run(spark: SparkSession, records: DataFrame, root: str, out: str, threshold:
         raise
 
 
+def _once(rows: DataFrame, name: str) -> None:
+    """A name that comes twice is an error."""
+    if twice := rows.groupBy(name).count().filter("count > 1").limit(1).collect():
+        raise ValueError(f"several images would be written to {twice[0][name]}")
+
+
 def _is_file(uri: str) -> bool:
     fs, path = pyarrow.fs.FileSystem.from_uri(uri)
     return fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound
@@ -134,8 +139,37 @@ def _clear(out: str, splits: list[str]) -> None:
 
 
 def _output_files(spark: SparkSession, out: str) -> DataFrame:
-    found = list_images(spark, out)
-    return found.select(F.regexp_extract("path", r"([^/]+/images/[^/]+)$", 1).alias("name"), "sha256")
+    return hash_images(spark, out).select(_output_name(F.col("path")).alias("name"), "sha256")
+
+
+def _output_name(path: Column) -> Column:
+    return F.regexp_extract(path, r"([^/]+/images/[^/]+)$", 1)
+
+
+#: Records that are selected, written and recorded together, about: what a stopped run has to do again. Their paths,
+#: and nothing else of them, meet at the driver.
+BATCH = 10_000
+
+
+def _batch(spark: SparkSession, todo: DataFrame, out: str, rules: dict) -> DataFrame:
+    """Selects and writes the winners of some records, and gives their progress, to be appended once all is written.
+
+    Each image is decoded for its evaluation; only those that change are decoded once more, the others are copied.
+    """
+    paths = [r["image"] for r in todo.select("image").collect()]
+    gated = materialize(evaluated(read_images(spark, paths)), "evaluated")
+    grid = spark.createDataFrame([(float(rules["threshold"]),)], "threshold double")
+    won = materialize(decide.winners(gated, grid).drop("threshold").join(todo.select("image", F.col("output").alias("name")), "image"), "won")
+    changed = [r["image"] for r in won.filter(F.col("mode") != decide.RAW).select("image").collect()]
+    written = process(read_images(spark, changed), won, out, read_files(spark, sorted({*paths} - {*changed})))
+    labels = write_files(todo.select(F.col("label_output").alias("name"), F.coalesce("label", F.lit("")).cast("binary").alias("content"), "image"), out, ["image"])
+    marked = todo.select("image", "split", F.col("group").alias("deployment"), "target_count", "width", "height", "source_sha256", "label_sha256")
+    return (
+        written.withColumnRenamed("mode", "selected_mode").drop("length").join(marked, "image").join(won.select("image", "benefit", "margin"), "image")
+        .join(labels.select("image", F.col("name").alias("output_label"), F.col("sha256").alias("output_label_sha256")), "image")
+        .join(decide.rejections(gated), "image", "left")
+        .withColumn("policy_fingerprint_sha256", F.lit(rules["policy_fingerprint_sha256"])).withColumn("finished", F.current_timestamp())
+    )
 
 
 def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rules: dict, reset: bool) -> tuple[DataFrame, int]:
@@ -153,29 +187,25 @@ def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rul
         earlier = require_policy(latest(spark.read.parquet(place), "image", ["finished"]), rules["policy_fingerprint_sha256"])
         done = materialize(valid_checkpoints(earlier, full, _output_files(spark, out), "image", MARKS), "resumed")
         todo = full.join(done.select("image"), "image", "left_anti")
-    todo = materialize(todo, "todo")
-    images = read_images(spark, root).join(todo.select("image"), "image", "left_semi")
-    gated = materialize(evaluated(images), "evaluated")
-    grid = spark.createDataFrame([(float(rules["threshold"]),)], "threshold double")
-    won = decide.winners(gated, grid).drop("threshold").join(todo.select("image", F.concat_ws("/", "split", F.lit("images"), stem).alias("name")), "image")
-    written = process(images, won, out, files)
     label_name = F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt")))
-    labels = write_files(todo.select(label_name.alias("name"), F.coalesce("label", F.lit("")).cast("binary").alias("content"), "image"), out, ["image"])
-    marked = todo.select("image", "split", F.col("group").alias("deployment"), "target_count", "width", "height", "source_sha256", "label_sha256")
-    fresh = (
-        written.withColumnRenamed("mode", "selected_mode").drop("length").join(marked, "image").join(won.select("image", "benefit", "margin"), "image")
-        .join(labels.select("image", F.col("name").alias("output_label"), F.col("sha256").alias("output_label_sha256")), "image")
-        .join(decide.rejections(gated), "image", "left")
-        .withColumn("policy_fingerprint_sha256", F.lit(rules["policy_fingerprint_sha256"])).withColumn("finished", F.current_timestamp())
-    )
-    fresh.write.mode("overwrite" if reset else "append").parquet(place)
+    todo = todo.withColumns({"output": F.concat_ws("/", "split", F.lit("images"), stem), "label_output": label_name})
+    _once(full.select(F.concat_ws("/", "split", stem).alias("output")), "output")
+    n = -(-todo.count() // BATCH)
+    todo = materialize(todo.withColumn("batch", F.pmod(F.xxhash64("image"), F.lit(max(n, 1)))), "todo")
+    if reset and _is_file(place):
+        fs, path = pyarrow.fs.FileSystem.from_uri(place)
+        fs.delete_dir(path)
+    for b in range(n):
+        _batch(spark, todo.filter(F.col("batch") == b), out, rules).write.mode("append").parquet(place)
+    if not n and not _is_file(place):
+        raise ValueError("there is no record with an image")
     manifest = latest(spark.read.parquet(place), "image", ["finished"]).join(full.select("image"), "image", "left_semi")
     renamed = {"source_prepared_image": "image", "output_image": "name", "winner_benefit_score": "benefit", "winner_safety_margin": "margin", "source_image_sha256": "source_sha256", "output_image_sha256": "sha256", "source_label_sha256": "label_sha256"}
     manifest = manifest.withColumn("processed", F.col("selected_mode") != decide.RAW).withColumnsRenamed({v: k for k, v in renamed.items()})
     # An image that was written anew may have another suffix than before: its earlier file goes.
     stem_of = lambda c: F.regexp_replace(c, r"\.[^./]*$", "")
     stems = manifest.select(stem_of(F.col("output_image")).alias("stem"), F.col("output_image").alias("now"))
-    stale = _output_files(spark, out).withColumn("stem", stem_of(F.col("name"))).join(stems, "stem").filter("name <> now")
+    stale = list_images(spark, out).select(_output_name(F.col("path")).alias("name")).withColumn("stem", stem_of(F.col("name"))).join(stems, "stem").filter("name <> now")
     remove_files(stale, out)
     return manifest, 0 if done is None else done.count()
 

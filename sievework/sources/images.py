@@ -16,16 +16,26 @@ EXTENSIONS = "*.{jpg,jpeg,png,bmp,JPG,JPEG,PNG,BMP}"
 
 
 def list_images(spark: SparkSession, root: str) -> DataFrame:
+    """``path`` and ``length`` of every image file below ``root``; no file is opened."""
+    return _binary(spark, root).select("path", "length")
+
+
+def hash_images(spark: SparkSession, root: str) -> DataFrame:
     """``path``, ``length`` and ``sha256`` of every image file below ``root``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
-    return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
+    return _binary(spark, root).select("path", "length", F.sha2("content", 256).alias("sha256"))
+
+
+def _binary(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
 
 
-def read_images(spark: SparkSession, root: str) -> DataFrame:
-    """``image`` (path), ``height``, ``width`` and ``data`` (bytes of one, three or four channels, BGR first).
+def read_images(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """Of all image files below ``root``, or of the files that it lists, ``image`` (path), ``height``, ``width`` and ``data`` (bytes of one, three or four channels, BGR first).
 
     Undecodable files have null data.
     """
+    if root == []:
+        return spark.createDataFrame([], "image string, height int, width int, data binary")
     read = spark.read.format("image").option("dropInvalid", "false").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
     return read.select(_uri(F.col("image.origin")).alias("image"), "image.height", "image.width", F.when(F.col("image.height") > 0, F.col("image.data")).alias("data"))
 
@@ -35,10 +45,11 @@ def _uri(path: Column) -> Column:
     return F.regexp_replace(path, "^file:/+", "file:/")
 
 
-def read_files(spark: SparkSession, root: str) -> DataFrame:
-    """``image`` (path) and ``content`` of every image file below ``root``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", EXTENSIONS).load(root)
-    return files.select(_uri(F.col("path")).alias("image"), "content")
+def read_files(spark: SparkSession, root: str | list[str]) -> DataFrame:
+    """``image`` (path) and ``content`` of every image file below ``root``, or of the files that it lists."""
+    if root == []:
+        return spark.createDataFrame([], "image string, content binary")
+    return _binary(spark, root).select(_uri(F.col("path")).alias("image"), "content")
 
 
 def encode_png(image: np.ndarray, level: int = 3) -> bytes:

@@ -251,7 +251,7 @@ def test_images_from_file_to_processed_file(spark, tmp_path):
     read = images.read_images(spark, f"file://{tmp_path}").cache()
     found = {r["image"].rsplit("/", 1)[-1]: r for r in read.collect()}
     assert bytes(found["im1.png"]["data"]) == picture(1).tobytes() and found["broken.png"]["data"] is None
-    assert images.list_images(spark, f"file://{tmp_path}").count() == 4
+    assert images.list_images(spark, f"file://{tmp_path}").count() == images.hash_images(spark, f"file://{tmp_path}").count() == 4
     gated = curation.evaluated(read)
     assert gated.count() == 3 * len(decide.MODES) and gated.filter("margin < 0 OR margin > 1").count() == 0
     won = decide.winners(gated, spark.createDataFrame([(0.02,)], "threshold double"))
@@ -388,7 +388,7 @@ def test_preflight_tells_the_check_that_fails(spark):
         certify.require_passed(certify.preflight(TRIAL, CALIBRATION | {"calibration_safe": False}, SAMPLING, records, config))
 
 
-def test_run_goes_on_where_it_ended(spark, tmp_path):
+def test_run_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
     root, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
     rows = []
     for i in range(6):
@@ -397,7 +397,23 @@ def test_run_goes_on_where_it_ended(spark, tmp_path):
         (tmp_path / "in" / split_ / "images" / f"i{i}.png").write_bytes(images.encode_png(picture(i) // 4 if i % 2 else np.full((48, 64, 3), 122, np.uint8)))
         rows.append((f"{split_}/images/i{i}.png", f"{split_}/labels/i{i}.txt", f"0 0.5 0.5 0.{i + 1} 0.1\n", split_, f"g{i}", 1, 64, 48))
     records = spark.createDataFrame(rows, "image string, label_path string, label string, split string, group string, target_count int, width int, height int")
+    monkeypatch.setattr(curation, "BATCH", 2)
+    whole, parts = curation._batch, []
+
+    def dying(*given):
+        parts.append(given)
+        if len(parts) == 2:
+            raise RuntimeError("the power went")
+        return whole(*given)
+
+    monkeypatch.setattr(curation, "_batch", dying)
+    with pytest.raises(RuntimeError, match="the power went"):
+        curation.run(spark, records, root, out, 0.005)
+    done = spark.read.parquet(f"{out}/manifest").count()
+    assert 0 < done < 6
+    monkeypatch.setattr(curation, "_batch", whole)
     first = {r["output_image"]: r for r in curation.run(spark, records, root, out, 0.005).collect()}
+    assert reports.read_json(f"{out}/reports/run.json")["resumed"] == done
     assert len(first) == 6 and any(r["processed"] for r in first.values()) and not all(r["processed"] for r in first.values())
     for name, r in first.items():
         same = (tmp_path / "out" / name).read_bytes() == (tmp_path / "in" / name).read_bytes()
