@@ -157,14 +157,51 @@ def winners_by_split(won: DataFrame, modes: list[str]) -> DataFrame:
     return won.groupBy("split").pivot("mode", modes).count().na.fill(0)
 
 
+def winner_distribution(won: DataFrame) -> DataFrame:
+    """How many images each mode won, and their percentage; modes without any have zero."""
+    total = won.agg(F.count("*").alias("n")).scalar()
+    modes = won.sparkSession.createDataFrame([(m,) for m in [RAW, *MODES]], "mode string")
+    counts = won.groupBy("mode").agg(F.count("*").alias("n"))
+    n = F.coalesce("n", F.lit(0))
+    return modes.join(F.broadcast(counts), "mode", "left").select("mode", n.alias("n"), F.when(total > 0, 100.0 * n / total).otherwise(0.0).alias("percent"))
+
+
+def with_baseline(evaluations: DataFrame) -> DataFrame:
+    """The evaluations with the neutral row of each image's raw baseline: passed, benefit 0, margin 1."""
+    kinds = {f.name: f.dataType for f in evaluations.schema}
+    fixed = {"mode": F.lit(RAW), "risk": F.lit("baseline"), "passed": F.lit(True), "benefit": F.lit(0.0), "margin": F.lit(1.0), "region_passed": F.lit(True)}
+    fixed |= {c: F.array().cast(kinds[c]) for c in ("reasons", "region_reasons") if c in kinds}
+    given = {c: fixed.get(c, F.lit(None)).cast(t).alias(c) for c, t in kinds.items() if c != "image"}
+    return evaluations.unionByName(evaluations.select("image").distinct().select("image", *given.values()))
+
+
+def compact(evaluations: DataFrame) -> DataFrame:
+    """What a replay of thresholds needs of each evaluation; no metrics. What the rows lack is null."""
+    has = lambda c, kind: F.col(c) if c in evaluations.columns else F.lit(None).cast(kind)
+    return evaluations.select(
+        "image", "mode", F.col("risk").alias("risk_class"), F.col("passed").alias("runtime_gate_passed"), has("reasons", "array<string>").alias("runtime_rejection_reasons"), F.col("benefit").alias("benefit_score"),
+        F.col("margin").alias("safety_margin_score"), has("region_passed", "boolean").alias("offline_roi_audit_passed"), has("region_reasons", "array<string>").alias("offline_roi_reasons"),
+    )
+
+
+def rejection_sums(rejected: DataFrame) -> DataFrame:
+    """Over all images, how often each reason stands in their maps (``rejections``)."""
+    return rejected.select(F.explode("rejections").alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n"))
+
+
 def rejections(gated: DataFrame) -> DataFrame:
     """Per image, how often each reason rejected one of its modes, as a map."""
     counts = gated.select("image", F.explode("reasons").alias("reason")).groupBy("image", "reason").agg(F.count("*").alias("n"))
     return counts.groupBy("image").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("reason", "n")))).alias("rejections"))
 
 
-def run_status(calibration_safe: bool, damaged: int) -> str:
+def status(calibration_safe: Column, damaged: Column) -> Column:
     """The status of a trial run: an unsafe calibration goes before damaged regions; else people review it."""
+    return F.when(~calibration_safe, "CALIBRATION_NOT_APPROVABLE").when(damaged > 0, "DETAIL_AUDIT_FAILED").otherwise("REVIEW_REQUIRED")
+
+
+def run_status(calibration_safe: bool, damaged: int) -> str:
+    """The same of a finished run."""
     if not calibration_safe:
         return "CALIBRATION_NOT_APPROVABLE"
     return "DETAIL_AUDIT_FAILED" if damaged else "REVIEW_REQUIRED"

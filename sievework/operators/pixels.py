@@ -29,14 +29,14 @@ IMAGE_SUMS = ("n", "b_sum", "g_sum", "r_sum", "edges", "light_1", "light_99", *[
 PAIR_SUMS = ("n", *[f"{side}_{k}_{s}" for side in "ab" for k in ("gray", "lap", "noise", "size") for s in ("sum", "sq")], "size_both", "alike", "strong", "strong_kept")
 
 
-def candidates(image: np.ndarray) -> Iterator[tuple[str, np.ndarray]]:
+def candidates(image: np.ndarray, modes: tuple[str, ...] = tuple(MODES)) -> Iterator[tuple[str, np.ndarray]]:
     """The raw image and each candidate, one at a time."""
     yield RAW, image
-    for mode in MODES:
+    for mode in modes:
         yield mode, TRANSFORMS[mode](image)
 
 
-def _image_rows(image: np.ndarray, grids: tuple[int, ...]) -> Iterator[dict]:
+def _image_rows(image: np.ndarray, grids: tuple[int, ...], modes: tuple[str, ...]) -> Iterator[dict]:
     """Columns of rows: the whole sums of each candidate (grid 0), and its sums with the raw image over the areas of each grid."""
     work = shrink(image, WORK_SIDE)
     areas: dict[tuple, list] = {}
@@ -45,7 +45,7 @@ def _image_rows(image: np.ndarray, grids: tuple[int, ...]) -> Iterator[dict]:
             areas.setdefault((n, at[1] - at[0], at[3] - at[2]), []).append((i, at))
     stack = lambda g, group: Side(np.stack([g[a:b, c:d] for _, (a, b, c, d) in group]))
     raw = None
-    for mode, made in candidates(image):
+    for mode, made in candidates(image, modes):
         sums = image_sums(made)
         if made.shape != image.shape:
             yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 0.0, "whole": sums}
@@ -89,7 +89,7 @@ def _schema(fields: dict[str, pa.DataType]) -> tuple[pa.Schema, str]:
     return pa.schema(list(fields.items())), ", ".join(f"{k} {names[t]}" for k, t in fields.items())
 
 
-def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS)) -> DataFrame:
+def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS), modes: tuple[str, ...] = tuple(MODES)) -> DataFrame:
     """Rows of raw sums: per image and mode one of the whole image (grid 0, columns ``w_``) and those of areas (``p_``).
 
     ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (bytes), as the readers of ``sources.images`` give
@@ -98,7 +98,7 @@ def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS)) -> DataFr
     fields = {"image": pa.string(), "mode": pa.string(), "grid": pa.int32(), "tile": pa.int32(), "same_shape": pa.float64(), "lab": pa.float64()}
     fields |= {f"w_{k}": pa.float64() for k in IMAGE_SUMS} | {"w_hist": pa.list_(pa.int64())} | {f"p_{k}": pa.float64() for k in PAIR_SUMS}
     kinds, schema = _schema(fields)
-    return _per_image(images, [], lambda key, image: _records(key, _image_rows(image, grids), kinds), schema)
+    return _per_image(images, [], lambda key, image: _records(key, _image_rows(image, grids, modes), kinds), schema)
 
 
 def _sd(total: Column, square: Column, n: Column) -> Column:

@@ -36,6 +36,11 @@ def split_stats(stats: DataFrame) -> DataFrame:
     return sums.select("split", "n_groups", "images", "boxes", share("images").alias("image_percent"), share("boxes").alias("box_percent"))
 
 
+def split_counters(records: DataFrame) -> DataFrame:
+    """Images, targets and images without a target of each split (``split``, ``target_count``)."""
+    return records.groupBy("split").agg(F.count("*").alias("images"), F.sum("target_count").alias("targets"), F.count_if(F.col("target_count") == 0).alias("negatives"))
+
+
 def _attempt(groups: list[tuple[str, int, int]], number: int, seed: int, ratios: tuple[float, ...]) -> tuple[float, dict[str, str]] | None:
     """One greedy assignment: large groups first, each to the split that is filled least."""
     rng = random.Random(seed + number)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
-from .analogues import QUERIES, SQL
+from . import analogues, imaging
 
-__all__ = ["QUERIES", "SQL"]
+QUERIES = {**analogues.QUERIES, **imaging.QUERIES}
+SQL = {**analogues.SQL, **imaging.SQL}

@@ -7,6 +7,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -60,6 +61,15 @@ def encode_png(image: np.ndarray, level: int = 3) -> bytes:
     return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", w, h, 8, 2, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(raw, level)) + chunk(b"IEND", b"")
 
 
+def png(height: Column, width: Column, data: Column) -> Column:
+    """The PNG of each image of three channels, from its bytes."""
+
+    def encode(h: pd.Series, w: pd.Series, d: pd.Series) -> pd.Series:
+        return pd.Series([encode_png(np.frombuffer(x, np.uint8).reshape(y, z, 3)) for y, z, x in zip(h, w, d, strict=True)])
+
+    return F.pandas_udf(encode, "binary")(height, width, data)
+
+
 def write_files(files: DataFrame, folder: str, keep: list[str] | None = None) -> DataFrame:
     """Write each row's ``content`` to ``folder``/``name``, whole or not at all; returns name, length, SHA-256 and the text columns ``keep``.
 
