@@ -53,6 +53,13 @@ def label_problem(line: Column) -> Column:
     ])
 
 
+def label_file_problem(text: Column, boxes: Column) -> Column:
+    """What is wrong with a label file's text: too few or many lines for its boxes, or the first line that is wrong."""
+    lines = F.filter(F.split(F.coalesce(text, F.lit("")), "\n"), lambda x: F.trim(x) != "")
+    problems = F.filter(F.transform(lines, label_problem), lambda x: x.isNotNull())
+    return F.when(F.size(lines) != boxes, "line_count").otherwise(F.get(problems, F.lit(0)))
+
+
 def area_ratio(box: Column, width: Column, height: Column) -> Column:
     return safe_ratio(F.get(box, 2) * F.get(box, 3), (width * height).cast("double"), 1.0)
 

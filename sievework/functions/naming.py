@@ -40,3 +40,20 @@ def prepared_name(split: Column, image_id: Column, path: Column) -> Column:
 def required_group(group: Column) -> Column:
     """The group; a blank one is an error."""
     return F.when(F.trim(F.coalesce(group, F.lit(""))) == "", F.raise_error(F.lit("a record has no group"))).otherwise(group)
+
+
+def source_path(root: Column, split: Column, file_name: Column) -> Column:
+    """Where a source image lies."""
+    return posix_path(F.concat_ws("/", root, split, file_name))
+
+
+def relative_path(path: Column, root: Column) -> Column:
+    """The path below ``root``, or the path itself where it is not below it."""
+    under = F.concat(F.regexp_replace(posix_path(root), "/$", ""), F.lit("/"))
+    plain = posix_path(path)
+    return F.when(F.startswith(plain, under), F.substring(plain, F.length(under) + 1, F.length(plain))).otherwise(plain)
+
+
+def numbered(n: Column, digits: int = 2) -> Column:
+    """A number padded with zeros to a width."""
+    return F.format_string(f"%0{digits}d", n)

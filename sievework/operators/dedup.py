@@ -17,6 +17,15 @@ def canonical_members(records: DataFrame, key: str, content: str) -> DataFrame:
     return hashed.join(groups, "content_sha")
 
 
+def duplicate_sources(records: DataFrame, key: str, content: str) -> DataFrame:
+    """One row for each content that comes more than once: ``canonical``, the smallest key, and ``duplicates``, how many others.
+
+    The others are rows of ``canonical_members``, not one list: a group may hold any share of all records.
+    """
+    members = canonical_members(records, key, content)
+    return members.filter(F.col("copies") > 1).groupBy("content_sha").agg(F.min("canonical").alias("canonical"), (F.count("*") - 1).alias("duplicates"), F.max(key).alias("last"))
+
+
 def signature(boxes: Column, digits: int = 4) -> Column:
     """An order-insensitive signature of box arrays, rounded."""
     return F.to_json(F.array_sort(F.transform(boxes, lambda b: F.transform(b, lambda v: F.bround(v, digits)))))

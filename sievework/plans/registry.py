@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import analogues, imaging
+from . import analogues, imaging, records
 
-QUERIES = {**analogues.QUERIES, **imaging.QUERIES}
-SQL = {**analogues.SQL, **imaging.SQL}
+QUERIES = {**analogues.QUERIES, **imaging.QUERIES, **records.QUERIES}
+SQL = {**analogues.SQL, **imaging.SQL, **records.SQL}

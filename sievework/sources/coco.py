@@ -38,6 +38,13 @@ def read_documents(spark: SparkSession, root: str) -> DataFrame:
     return parsed.select("split", "d.*")
 
 
+def missing_parts(root: str) -> list[str]:
+    """Splits without a folder or a document; none if the layout is whole. Reading stops at the first of them."""
+    fs, path = pa.fs.FileSystem.from_uri(root)
+    found = {i.path: i.type for s in SPLITS for i in fs.get_file_info([f"{path}/{s}", f"{path}/{s}/{FILE}"])}
+    return [s for s in SPLITS if found[f"{path}/{s}"] != pa.fs.FileType.Directory or found[f"{path}/{s}/{FILE}"] != pa.fs.FileType.File]
+
+
 def images(docs: DataFrame) -> DataFrame:
     return docs.select("split", F.explode("images").alias("i")).select("split", F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
 
@@ -67,6 +74,35 @@ def file_issues(docs: DataFrame, files: DataFrame) -> DataFrame:
     return missing.unionByName(files.select("split", "file_name").join(listed, ["split", "file_name"], "left_anti").withColumn("issue", F.lit("unlisted_file")))
 
 
+#: Kinds of issues that stop a preparation, in the order of the report.
+FATAL = ("missing_image", "undecodable_image", "unlisted_file", "orphan_annotation", "unknown_category", "invalid_box", "size_mismatch", "missing_target_category")
+
+
+def image_counts(docs: DataFrame, targets: list[str]) -> DataFrame:
+    """Each image with its sound boxes: of every target, all targets and all others; zero without any."""
+    sound = audited(docs).filter(F.col("problem").isNull())
+    is_target = F.col("category").isin(targets)
+    counts = sound.groupBy("split", "image_id").agg(*[F.count_if(F.col("category") == t).alias(f"{t}_count") for t in targets], F.count_if(is_target).alias("target_count"), F.count_if(~is_target).alias("non_target_count"))
+    return images(docs).join(counts, ["split", "image_id"], "left").na.fill(0)
+
+
+def issue_counts(docs: DataFrame, files: DataFrame, targets: list[str]) -> DataFrame:
+    """``issue`` and ``n`` for each kind that is fatal, also of those that do not occur, and their total.
+
+    ``files``: ``split``, ``file_name``, and the decoded ``width`` and ``height`` (null or below one if undecodable).
+    """
+    problem = F.col("problem")
+    boxes = audited(docs).filter(problem.isNotNull()).select(F.when(problem.isin("orphan_annotation", "unknown_category"), problem).otherwise("invalid_box").alias("issue"))
+    both = images(docs).join(files.select("split", "file_name", F.col("width").alias("w_"), F.col("height").alias("h_")), ["split", "file_name"])
+    bad = F.coalesce(F.col("w_") < 1, F.lit(True))
+    sizes = both.select(F.when(bad, "undecodable_image").when((F.col("width") != F.col("w_")) | (F.col("height") != F.col("h_")), "size_mismatch").alias("issue")).filter("issue IS NOT NULL")
+    wanted = docs.select("split", F.explode(F.array(*[F.lit(t) for t in targets])).alias("category"))
+    lacking = wanted.join(categories(docs), ["split", "category"], "left_anti").select(F.lit("missing_target_category").alias("issue"))
+    found = boxes.unionByName(sizes).unionByName(lacking).unionByName(file_issues(docs, files).select("issue")).groupBy("issue").agg(F.count("*").alias("n"))
+    every = docs.sparkSession.createDataFrame([(k,) for k in FATAL], "issue string").join(found, "issue", "left").select("issue", F.coalesce("n", F.lit(0)).alias("n"))
+    return every.unionByName(every.agg(F.sum("n").alias("n")).select(F.lit("total").alias("issue"), "n"))
+
+
 def label_files(docs: DataFrame, targets: list[str]) -> DataFrame:
     """``split``, ``file_name`` and ``label``: a line per sound target box, in annotation order; empty without one."""
     sound = audited(docs).filter(F.col("problem").isNull() & F.col("category").isin(targets))
