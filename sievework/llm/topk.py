@@ -90,12 +90,20 @@ def _survivors(pair: _Pair, rows: slice, own: np.ndarray, cutoff: np.ndarray) ->
     """
     share, last = cutoff / len(pair.parts) - 1, len(pair.parts) - 1
     total, listed, q, i = 0, np.zeros(own.shape, bool), None, None
+    near = np.float32 if pair.parts[0][0].dtype == np.float32 else np.float64  # for bounds, which have room for rounding
     for j, ((part_q, part_v), (rest_q, rest_v)) in enumerate(zip(pair.parts, pair.rests, strict=True)):
         if q is None:
             part = part_q[rows] @ part_v
             total = total + part
-            listed |= part >= share[:, None]
-            alive = total >= cutoff[:, None] - rest_q[rows][:, None] * rest_v[None, :]
+            listed |= part >= share[:, None].astype(part.dtype if near == np.float32 else float)
+            if j == last:
+                alive = total >= cutoff[:, None].astype(near)
+            elif 2 * j + 2 >= last:  # before, the rest is too large to tell
+                most = np.multiply.outer(rest_q[rows].astype(near), (-1.00001 * rest_v).astype(near))
+                most += (cutoff[:, None] - 1).astype(near)
+                alive = total >= most
+            else:
+                continue
             if j == last or np.count_nonzero(alive) <= FEW * alive.size:
                 q, i = np.nonzero(alive & ~own)
                 total, listed = total[q, i], listed[q, i]
