@@ -9,22 +9,27 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from .operators import certify, decide, sampling
-from .plans import curation
+from .plans import curation, stages
 from .sources.reports import read_object
 
 
 def arguments(given: list[str]) -> argparse.Namespace:
     p = argparse.ArgumentParser(prog="sievework", description=__doc__)
     mode = p.add_mutually_exclusive_group(required=True)
+    mode.add_argument("--prepare", metavar="SOURCE", help="audit and prepare an annotated source: records, labels and reports go to --out")
+    mode.add_argument("--calibrate", action="store_true", help="calibrate the threshold and try the selector: its reports go to --reports")
     mode.add_argument("--preflight", action="store_true", help="check the reports and records, and stop")
     mode.add_argument("--smoke-test", type=int, metavar="N", help="process N records of each split, anew")
     mode.add_argument("--full", action="store_true", help="process all records, going on where a stopped run ended")
     p.add_argument("--reset", action="store_true", help="forget what an earlier full run has finished")
-    p.add_argument("--records", required=True, help="Parquet table: image, label_path, label (its text), split, group, target_count, width, height")
-    p.add_argument("--images", required=True, help="folder of the images, as a URI")
-    p.add_argument("--reports", required=True, help="folder with trial.json, calibration.json, sampling.json and config.json, as a URI")
-    p.add_argument("--out", required=True, help="folder of the outputs, as a URI")
+    p.add_argument("--records", help="Parquet table: image, label_path, label (its text), split, group, target_count, width, height")
+    p.add_argument("--images", help="folder of the images, as a URI")
+    p.add_argument("--reports", help="folder with trial.json, calibration.json, sampling.json and config.json, as a URI")
+    p.add_argument("--out", help="folder of the outputs, as a URI")
     told = p.parse_args(given)
+    needed = ["out"] if told.prepare else ["records", "images", "reports"] + ["out"] * (not told.calibrate)
+    if lacking := [f"--{n}" for n in needed if getattr(told, n) is None]:
+        p.error(f"{', '.join(lacking)} must be given")
     if told.smoke_test is not None and told.smoke_test < 1:
         p.error("--smoke-test takes a positive number")
     if told.reset and not told.full:
@@ -35,7 +40,13 @@ def arguments(given: list[str]) -> argparse.Namespace:
 def main(given: list[str], spark: SparkSession | None = None) -> int:
     told = arguments(given)
     spark = spark or SparkSession.builder.appName("sievework").getOrCreate()
+    if told.prepare:
+        stages.prepare_dataset(spark, told.prepare, told.out, copy=True)
+        return 0
     records = spark.read.parquet(told.records)
+    if told.calibrate:
+        print(stages.try_out(spark, records, told.images, told.reports)["approval_status"])
+        return 0
     trial, calibration, independence, config = (read_object(f"{told.reports}/{n}.json") for n in ("trial", "calibration", "sampling", "config"))
     named = records.withColumn("label", F.col("label_path")) if "label_path" in records.columns else records
     checks = certify.preflight(trial, calibration, independence, named, config | {"modes": 1 + len(decide.MODES)})

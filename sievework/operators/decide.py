@@ -40,6 +40,8 @@ REGION_LIMITS = {
 }
 #: What a threshold needs to be eligible, and the one to fall back on.
 LEAST_PROCESSED, LEAST_RATE, DEFAULT_THRESHOLD = 10, 0.05, 0.020
+#: Fixed thresholds that a calibration replays.
+THRESHOLD_GRID = (0.0005, 0.001, 0.0015, 0.002, 0.003, 0.004, 0.005, 0.006, 0.008, 0.01, 0.012, 0.014, 0.016, 0.018, 0.02, 0.022, 0.025, 0.03)
 #: Thresholds that one replay takes, for each image is held once for each; more are an error.
 MAX_THRESHOLDS = 1000
 

@@ -2,12 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from ..shared import materialize
 
 
+def by_key(key: str) -> WindowSpec:
+    """The order of a sample by its key, for numbers; a sample is a few hundred rows at most."""
+    return Window.partitionBy(F.lit(0)).orderBy(key)
+
+
 def random_key(seed: int | str, key: Column) -> Column:
     """A reproducible random order: the MD5 of seed and key."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), key.cast("string")).cast("binary"))
@@ -32,11 +37,6 @@ def random_fill(records: DataFrame, chosen: DataFrame, key: str, n: int, seed: i
     return records.join(chosen.select(key), key, "left_anti").orderBy(random_key(seed, F.col(key)), key).limit(n)
 
 
-def ranked_pick(records: DataFrame, taken: list, key: str, order: list[Column]) -> DataFrame:
-    """The first record in the order whose key is not among those taken."""
-    return records.filter(~F.col(key).isin(taken)).orderBy(*order, key).limit(1)
-
-
 def evenly_spaced(records: DataFrame, key: str, k: int) -> DataFrame:
     """``k`` records at equal distances in the order of ``key``, which is unique: one is the middle, ``k`` or fewer are all.
 

@@ -41,6 +41,13 @@ def split_counters(records: DataFrame) -> DataFrame:
     return records.groupBy("split").agg(F.count("*").alias("images"), F.sum("target_count").alias("targets"), F.count_if(F.col("target_count") == 0).alias("negatives"))
 
 
+def score(held: dict[str, tuple[int, int]], ratios: tuple[float, ...]) -> float:
+    """How far splits, with their images and boxes, are from the ratios."""
+    images, boxes = (sum(x[i] for x in held.values()) for i in (0, 1))
+    off = lambda i, total: sum(abs(held[s][i] / total - r) for s, r in zip(SPLITS, ratios, strict=True))
+    return off(0, max(images, 1)) + (BOX_SCORE * off(1, boxes) if boxes else 0.0)
+
+
 def _attempt(groups: list[tuple[str, int, int]], number: int, seed: int, ratios: tuple[float, ...]) -> tuple[float, dict[str, str]] | None:
     """One greedy assignment: large groups first, each to the split that is filled least."""
     rng = random.Random(seed + number)
@@ -64,10 +71,7 @@ def _attempt(groups: list[tuple[str, int, int]], number: int, seed: int, ratios:
         held[best] = [held[best][0] + i, held[best][1] + b, held[best][2] + 1]
     if any(not x[2] for x in held.values()):
         return None
-    score = sum(abs(held[s][0] / images - r) for s, r in zip(SPLITS, ratios, strict=True))
-    if boxes:
-        score += BOX_SCORE * sum(abs(held[s][1] / boxes - r) for s, r in zip(SPLITS, ratios, strict=True))
-    return score, chosen
+    return score({s: (x[0], x[1]) for s, x in held.items()}, ratios), chosen
 
 
 def balanced_split(stats: DataFrame, attempts: int = 300, seed: int = 42, ratios: tuple[float, ...] = RATIOS) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import inspect
 import re
 import time
 from collections.abc import Iterator
@@ -12,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.naming import group_name
-from ..operators import decide, dedup, split
+from ..operators import decide, kernels, pixels, split
 from ..operators.certify import canonical_hash, require_policy, require_verified, valid_checkpoints, verify
 from ..operators.kernels import TRANSFORMS, pixels_of
-from ..operators.pixels import evaluate_images, region_metrics
+from ..operators.pixels import BENEFIT_WEIGHTS, evaluate_images, region_metrics
 from ..shared import broadcast_if_small, materialize
 from ..sources.images import encode_png, hash_images, list_images, read_files, read_images, remove_files, write_files
 from ..sources.progress import latest
@@ -51,9 +53,17 @@ def calibrate(evaluations: DataFrame, thresholds: DataFrame) -> DataFrame:
     return decide.choose_threshold(decide.replay(decide.winners(evaluations, thresholds), evaluations))
 
 
+def _source_hash() -> str:
+    """The hash of the code that selects: a run under other code is a run under another policy."""
+    return hashlib.sha256("".join(inspect.getsource(m) for m in (decide, kernels, pixels)).encode()).hexdigest()
+
+
 def policy(threshold: float) -> dict:
     """The frozen rules of a run and their fingerprint."""
-    rules = {"threshold": threshold, "modes": decide.MODES, "global": decide.GLOBAL_LIMITS, "local": decide.LOCAL_LIMITS, "near_tie": decide.NEAR_TIE, "higher_extra": decide.HIGHER_EXTRA, "higher_over_safe": decide.HIGHER_OVER_SAFE}
+    rules = {
+        "threshold": threshold, "modes": decide.MODES, "global": decide.GLOBAL_LIMITS, "local": decide.LOCAL_LIMITS, "near_tie": decide.NEAR_TIE, "higher_extra": decide.HIGHER_EXTRA, "higher_over_safe": decide.HIGHER_OVER_SAFE,
+        "regions": decide.REGION_LIMITS, "benefit_weights": BENEFIT_WEIGHTS, "least_processed": decide.LEAST_PROCESSED, "least_rate": decide.LEAST_RATE, "selector_source_sha256": _source_hash(),
+    }
     return rules | {"policy_fingerprint_sha256": canonical_hash(rules)}
 
 
@@ -227,6 +237,3 @@ def _faults(spark: SparkSession, records: DataFrame, manifest: DataFrame, root:
     changed = changed.unionByName(manifest.filter("NOT processed AND source_image_sha256 <> output_image_sha256").select(F.col("output_image").alias("key"), F.lit("raw image differs").alias("reason")))
     return listed.withColumnRenamed("image", "key").unionByName(verify(named, now, "name", ["sha256", "width", "height"]).withColumnRenamed("name", "key")).unionByName(changed)
 
-
-def duplicates(records: DataFrame) -> DataFrame:
-    return dedup.canonical_members(records, "path", "content")

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from sievework.functions import boxes, naming, rules
 from sievework.operators import certify, decide, kernels, pixels, sampling, split
-from sievework.plans import curation
+from sievework.plans import curation, stages
 from sievework.plans.registry import QUERIES, SQL
 from sievework import __main__ as command
 from sievework.sources import coco, images, progress, reports
@@ -436,3 +436,52 @@ def test_run_goes_on_where_it_ended(spark, tmp_path, monkeypatch):
     assert (tmp_path / "out-smoke/train/images/i3.png").exists() and not (tmp_path / "out-smoke/train/images/i0.png").exists()
     with pytest.raises(SystemExit):
         command.arguments(["--preflight", "--full", *given])
+
+
+def test_published_split_score():
+    """The published counts of the split give the published score."""
+    counts = {"train": (10181, 10370), "val": (2273, 1930), "test": (2220, 1820)}
+    assert split.score(counts, split.RATIOS) == pytest.approx(0.04679489382272545, abs=1e-15)
+
+
+def test_a_source_is_prepared_and_the_selector_tried(spark, tmp_path):
+    root, out = tmp_path / "source", f"file://{tmp_path}/prepared"
+    rng, n = np.random.default_rng(3), 0
+    for s in coco.SPLITS:
+        (root / s).mkdir(parents=True)
+        doc = {"categories": [{"id": 1, "name": "Fish"}, {"id": 2, "name": "small_fish"}, {"id": 3, "name": "crab"}], "images": [], "annotations": []}
+        for i in range(30):
+            n += 1
+            name = f"reef{n % 60}-{n}_jpg.rf.x.png"
+            dark = picture(n, 64, 80) // (3 if n % 3 else 1)
+            (root / s / name).write_bytes(images.encode_png(dark))
+            doc["images"].append({"id": i, "file_name": name, "width": 80, "height": 64})
+            if n % 3:
+                doc["annotations"] += [{"id": 10 * n + k, "image_id": i, "category_id": 1 + k % 3, "bbox": [float(rng.integers(0, 40)), 5.0, *([2.0, 2.0] if n % 2 else [6.0, 5.0])]} for k in range(3)]
+        (root / s / coco.FILE).write_text(json.dumps(doc))
+    (root / "train" / "reef1-900_jpg.rf.x.png").write_bytes((root / "train" / "reef1-1_jpg.rf.x.png").read_bytes())
+    doc = json.loads((root / "train" / coco.FILE).read_text())
+    (root / "train" / coco.FILE).write_text(json.dumps(doc | {"images": [*doc["images"], {"id": 90, "file_name": "reef1-900_jpg.rf.x.png", "width": 80, "height": 60}]}))
+    with pytest.raises(ValueError, match="fatal issues"):
+        stages.prepare_dataset(spark, f"file://{root}", out, attempts=20)
+    assert reports.read_json(f"{out}/reports/source_audit.json")["fatal_issues"]["size_mismatch"] == 1
+    twin = [{**a, "id": 9000 + a["id"], "image_id": 90} for a in doc["annotations"] if a["image_id"] == 0]
+    (root / "train" / coco.FILE).write_text(json.dumps(doc | {"images": [*doc["images"], {"id": 90, "file_name": "reef1-900_jpg.rf.x.png", "width": 80, "height": 64}], "annotations": doc["annotations"] + twin}))
+    assert command.main(["--prepare", f"file://{root}", "--out", out], spark) == 0
+    index = spark.read.parquet(f"{out}/records")
+    report = reports.read_json(f"{out}/reports/preparation_report.json")
+    assert index.count() == 90 and report["status"] == "PASS" and report["copies"] == {"groups_of_copies": 1, "copies_dropped": 1}
+    assert index.groupBy("group").agg(F.count_distinct("split").alias("n")).filter("n > 1").count() == 0
+    one = index.filter("target_count > 0").first()
+    assert (tmp_path / "prepared" / one["label_path"]).read_text() == one["label"] and len(one["label"].splitlines()) == one["target_count"] == 2
+    assert (tmp_path / "prepared" / one["image"]).exists() and (tmp_path / "prepared" / "dataset.yaml").exists()
+
+    shape = {"positives": 8, "negatives": 4, "with_tiny": 3, "with_small": 2, "cap": 6}
+    policy = stages.try_out(spark, index, out, f"file://{tmp_path}/reports", **shape)
+    told = {name: reports.read_json(f"file://{tmp_path}/reports/{name}.json") for name in ("trial", "calibration", "sampling", "policy_candidate")}
+    assert policy["policy_fingerprint_sha256"] == told["policy_candidate"]["policy_fingerprint_sha256"] and told["sampling"]["status"] == "PASS"
+    assert told["calibration"]["selected_threshold"] in decide.THRESHOLD_GRID and len(told["calibration"]["threshold_analysis"]) == 18 and len(told["trial"]["decisions"]) == told["sampling"]["counts"]["smoke_images"] > 10
+    assert sum(told["trial"]["winners"].values()) == len(told["trial"]["decisions"])
+    config = {"policy_version": stages.VERSION, "threshold": told["calibration"]["selected_threshold"], "modes": 8, "cap": 6, "splits": {r["split"]: r["n"] for r in index.groupBy("split").agg(F.count("*").alias("n")).collect()}}
+    checks = certify.preflight(told["trial"], told["calibration"], told["sampling"], index.withColumn("label", F.col("label_path")), config)
+    assert {n for n, _, ok in checks if not ok} <= {8, 9}  # these depend on what the pictures allow
