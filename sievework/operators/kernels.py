@@ -63,8 +63,18 @@ def dilate3(x: np.ndarray) -> np.ndarray:
 
 
 def erode(x: np.ndarray, size: int) -> np.ndarray:
-    p = np.pad(x, size // 2, mode="constant", constant_values=np.inf)
-    return sliding_window_view(np.ascontiguousarray(sliding_window_view(p, size, axis=0).min(axis=-1)), size, axis=1).min(axis=-1)
+    """The least value within a square of ``size`` about each pixel; beyond the edges there is none."""
+    for axis in (0, 1):
+        least, have = np.pad(x, [(size // 2,) * 2 if i == axis else (0, 0) for i in (0, 1)], mode="constant", constant_values=np.inf), 1
+        while have < size:  # least values of longer and longer runs
+            step = min(have, size - have)
+            least, have = _least_of(least, step, axis), have + step
+        x = least
+    return x
+
+
+def _least_of(x: np.ndarray, step: int, axis: int) -> np.ndarray:
+    return np.minimum(x[:-step], x[step:]) if axis == 0 else np.minimum(x[:, :-step], x[:, step:])
 
 
 def gray(image: np.ndarray) -> np.ndarray:
@@ -89,12 +99,18 @@ def to_lab(image: np.ndarray) -> np.ndarray:
     return np.stack([lum * np.float32(2.55), 500 * (f[..., 0] - f[..., 1]) + 128, 200 * (f[..., 1] - f[..., 2]) + 128], axis=-1)
 
 
+def whole_lab(image: np.ndarray) -> np.ndarray:
+    """Lab in whole numbers from 0 to 255."""
+    return np.clip(np.rint(to_lab(image)), 0, 255)
+
+
 def from_lab(lab: np.ndarray) -> np.ndarray:
-    fy = (lab[..., 0] / 2.55 + 16) / 116
+    lab = lab.astype(np.float32)
+    fy = (lab[..., 0] / np.float32(2.55) + 16) / 116
     f = np.stack([fy + (lab[..., 1] - 128) / 500, fy, fy - (lab[..., 2] - 128) / 200], axis=-1)
-    xyz = np.where(f**3 > 0.008856, f**3, (f - 16 / 116) / 7.787)
-    x = xyz @ _FROM_XYZ.T
-    x = np.where(x > 0.0031308, 1.055 * np.maximum(x, 0) ** (1 / 2.4) - 0.055, 12.92 * x)
+    cube = f * f * f
+    x = np.where(cube > 0.008856, cube, (f - np.float32(16 / 116)) / np.float32(7.787)) @ _FROM_XYZ.T.astype(np.float32)
+    x = np.where(x > 0.0031308, np.float32(1.055) * np.power(np.maximum(x, 0), np.float32(1 / 2.4)) - np.float32(0.055), np.float32(12.92) * x)
     return np.clip(np.rint(x[..., ::-1] * 255), 0, 255).astype(np.uint8)
 
 
@@ -150,14 +166,25 @@ def bilateral(image: np.ndarray, sigma: float = 20.0) -> np.ndarray:
     return np.clip(np.rint(total / weights), 0, 255).astype(np.uint8)
 
 
+_HAZE: list = [None, None]
+
+
+def _haze(image: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The image from 0 to 1, its air light and its dark channel over that light; kept for the last image, which has two dehazed candidates."""
+    if _HAZE[0] is not image:
+        x = image.astype(np.float32) / np.float32(255)
+        dark = erode(x.min(axis=2), 15)
+        n = max(1, int(dark.size * 0.001))
+        air = np.maximum(x.reshape(-1, 3)[np.argsort(-dark.ravel(), kind="stable")[:n]].mean(axis=0), np.float32(0.10))
+        _HAZE[:] = image, (x, air, erode((x / air).min(axis=2), 15))
+    return _HAZE[1]
+
+
 def dehaze(image: np.ndarray, blend: float, omega: float) -> np.ndarray:
-    x = image.astype(np.float32) / np.float32(255)
-    dark = erode(x.min(axis=2), 15)
-    n = max(1, int(dark.size * 0.001))
-    air = np.maximum(x.reshape(-1, 3)[np.argsort(-dark.ravel(), kind="stable")[:n]].mean(axis=0), np.float32(0.10))
-    through = np.clip(blur(1 - np.float32(omega) * erode((x / air).min(axis=2), 15), TAPS_5), 0.6, 1.0)[..., None]
+    x, air, dark = _haze(image)
+    through = np.clip(blur(1 - np.float32(omega) * dark, TAPS_5), 0.6, 1.0)[..., None]
     clear = np.clip((x - air) / through + air, 0, 1)
-    return np.clip(((1 - blend) * x + blend * clear) * 255, 0, 255).astype(np.uint8)
+    return np.clip((np.float32(1 - blend) * x + np.float32(blend) * clear) * 255, 0, 255).astype(np.uint8)
 
 
 TRANSFORMS: dict[str, Callable[[np.ndarray], np.ndarray]] = {
@@ -198,9 +225,8 @@ def _moments(x: np.ndarray) -> tuple[float, float]:
     return float(x.sum()), float(x @ x)
 
 
-def image_sums(image: np.ndarray) -> dict:
-    """Sums over a whole image of what its quality is worked out from, and the histogram of its gray values."""
-    g, lab = gray(image), np.clip(np.rint(to_lab(image)), 0, 255)
+def image_sums(image: np.ndarray, g: np.ndarray, lab: np.ndarray) -> dict:
+    """Sums over a whole image (with its gray values and its Lab) of what its quality is worked out from, and the histogram of its gray values."""
     b, gr, r = (image[..., i].astype(np.float32) for i in range(3))
     chroma = np.hypot(lab[..., 1] - 128, lab[..., 2] - 128)
     top = image.max(axis=2).astype(np.float32)
@@ -270,6 +296,6 @@ def tile_bounds(h: int, w: int, n: int, least: int) -> list[tuple[int, int, int,
 
 
 def lab_distance(a: np.ndarray, b: np.ndarray) -> float:
-    """Sum over pixels of the distance of two images in Lab."""
-    x, y = (np.clip(np.rint(to_lab(i)), 0, 255) for i in (a, b))
-    return float(np.sqrt(((x - y) ** 2).sum(axis=-1)).sum(dtype=float))
+    """Mean distance of the pixels of two images in Lab."""
+    d = (a - b).reshape(-1, 3)
+    return float(np.sqrt(np.einsum("ij,ij->i", d, d)).mean(dtype=float))

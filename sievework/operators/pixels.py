@@ -17,7 +17,7 @@ from ..functions.boxes import area_ratio, protected_region, size_class
 from ..functions.rules import clamp, safe_ratio, weighted_mean, weighted_sum
 from ..shared import materialize
 from .decide import MODES, RAW
-from .kernels import TRANSFORMS, Side, gray, image_sums, lab_distance, pair_sums, pixels_of, shrink, tile_bounds
+from .kernels import TRANSFORMS, Side, gray, image_sums, lab_distance, pair_sums, pixels_of, shrink, tile_bounds, whole_lab
 
 #: Fixed weights of the benefit score.
 BENEFIT_WEIGHTS = {"uciqe_proxy": 0.24, "uiqm_proxy": 0.18, "brightness_quality": 0.16, "contrast_quality": 0.14, "entropy_quality": 0.10, "color_balance": 0.10, "sharpness_quality": 0.08}
@@ -44,16 +44,18 @@ def _image_rows(image: np.ndarray, grids: tuple[int, ...], modes: tuple[str, ...
         for i, at in enumerate(tile_bounds(*work.shape[:2], n, 1 if n == 1 else TILE_SIDE)):
             areas.setdefault((n, at[1] - at[0], at[3] - at[2]), []).append((i, at))
     stack = lambda g, group: Side(np.stack([g[a:b, c:d] for _, (a, b, c, d) in group]))
-    raw = None
+    raw = raw_lab = None
     for mode, made in candidates(image, modes):
-        sums = image_sums(made)
+        g, lab = gray(made), whole_lab(made)
+        sums = image_sums(made, g, lab)
         if made.shape != image.shape:
             yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 0.0, "whole": sums}
             continue
         small = shrink(made, WORK_SIDE)
-        lab = lab_distance(work, small) / (small.size // 3) if mode != RAW else 0.0
-        yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 1.0, "whole": sums, "lab": lab}
-        g = gray(small)
+        if small is not made:
+            g, lab = gray(small), whole_lab(small)
+        raw_lab = lab if mode == RAW else raw_lab
+        yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 1.0, "whole": sums, "lab": lab_distance(raw_lab, lab)}
         sides = {key: stack(g, group) for key, group in areas.items()}
         raw = raw or sides
         if mode != RAW:
@@ -271,7 +273,7 @@ def region_metrics(images: DataFrame, boxes: DataFrame) -> DataFrame:
                 row = {"image": key, "mode": mode, "size": r["size"]}
                 if side:
                     small = shrink(image[a], WORK_SIDE), shrink(made[a], WORK_SIDE)
-                    row |= {"lab": lab_distance(*small) / (small[0].size // 3)} | {f"p_{k}": float(v[0]) for k, v in pair_sums(side, Side(gray(made[a])[None])).items()}
+                    row |= {"lab": lab_distance(whole_lab(small[0]), whole_lab(small[1]))} | {f"p_{k}": float(v[0]) for k, v in pair_sums(side, Side(gray(made[a])[None])).items()}
                 rows.append(row)
             yield pa.RecordBatch.from_pylist(rows, kinds)
 

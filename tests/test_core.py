@@ -236,6 +236,9 @@ def test_kernels():
     for mode in ("bilateral_denoise_mild", "white_balance_conservative"):
         assert (kernels.TRANSFORMS[mode](flat) == flat).all()
     assert np.abs(kernels.from_lab(kernels.to_lab(image)).astype(int) - image).max() <= 1
+    x = np.random.default_rng(1).normal(size=(23, 17)).astype(np.float32)
+    wide = np.pad(x, 7, constant_values=np.inf)
+    assert (kernels.erode(x, 15) == np.array([[wide[i : i + 15, j : j + 15].min() for j in range(17)] for i in range(23)])).all()
     assert kernels.shrink(np.full((1280, 640, 3), 9, np.uint8), 640).shape == (640, 320, 3) and (kernels.shrink(np.full((1281, 7, 3), 9, np.uint8), 640) == 9).all()
     square = np.full((30, 30), 20, np.float32)
     square[10:20, 10:20] = 220
@@ -307,7 +310,7 @@ def test_regions_are_weighed_by_size(spark, tmp_path):
             left, top, right, bottom = at
             a, b = raw[top:bottom, left:right], made[top:bottom, left:right]
             told = dict(zip(pixels.RATIOS, plain_ratios(plain_gray(a), plain_gray(b)), strict=True))
-            parts.append((told | {"lab": kernels.lab_distance(a, b) / a[..., 0].size}, weight))
+            parts.append((told | {"lab": np.sqrt(((kernels.whole_lab(a) - kernels.whole_lab(b)) ** 2).sum(axis=-1)).mean()}, weight))
         for name in (*pixels.RATIOS, "lab"):
             assert r[f"any_{name}"] == pytest.approx(sum(p[name] * w for p, w in parts) / 4.5, rel=1e-3)
             assert r[f"tiny_{name}"] == pytest.approx(parts[0][0][name], rel=1e-3)
