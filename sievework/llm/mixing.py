@@ -10,8 +10,8 @@ from .text import hash_unit, n_words
 
 #: Bins of the sampling order to one unit of the logarithm of the ranking variable. Sizes are first summed by bin, and
 #: only the bin that holds a cut is sorted. Logarithms of random odds are densest about even odds, one in four to a unit,
-#: so a bin holds one in 4,096 of the documents of equal inclusion odds at most.
-BINS = 1024
+#: so a bin holds one in 1,024 of the documents of equal inclusion odds at most, and a source has some thousands of bins.
+BINS = 256
 #: Weight of a document's inclusion odds: this, and the tilt times the binary digits of its size.
 LEAST_LEAN, TILT = 8, 1
 #: Rows up to which the plan, one for each source and binary length of a size, is broadcast to the documents; more are joined by shuffle.

@@ -31,8 +31,3 @@ def hash_unit(*keys: Column) -> Column:
     text = F.concat_ws("\x1f", *[F.coalesce(k.cast("string"), F.lit("\x00")) for k in keys])
     bits = F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double")
     return (bits + F.lit(0.5)) / F.lit(4503599627370496.0)
-
-
-def split_words(data: bytes) -> list[bytes]:
-    """Words of UTF-8 bytes: ``bytes.split`` divides at just the six characters of ``SPACE``."""
-    return data.split()
