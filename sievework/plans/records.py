@@ -346,3 +346,42 @@ def merged_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Categories merged into one class, the others together."""
     merged: Column = F.when(F.upper(F.trim("lang")).isin("EN", "DE"), "fish").otherwise("other")
     return audit.count_by(_table(spark, sf_dir, "documents").select("source", merged.alias("class")), "source", "class")
+
+
+def _split_of(doc_id: Column) -> Column:
+    at = F.pmod(doc_id, F.lit(10))
+    return F.when(at < 7, "train").when(at < 9, "val").otherwise("test")
+
+
+@_query("""
+WITH s AS (SELECT count(*) FILTER (WHERE doc_id % 10 < 7) AS train, count(*) AS n, count(DISTINCT doc_id) AS d FROM documents)
+SELECT k AS number, CASE k WHEN 12 THEN n = d WHEN 13 THEN train = 700 WHEN 8 THEN false WHEN 11 THEN false ELSE true END AS passed FROM s, (SELECT unnest(range(1, 14))::INT AS k)""")
+def preflight_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All checks before a full run, on reports of which one says that calibration was unsafe and one that a sample is too small."""
+    at = _split_of(F.col("doc_id"))
+    named = lambda folder: F.concat_ws("/", at, F.lit(folder), F.col("doc_id").cast("string"))
+    rows = materialize(_table(spark, sf_dir, "documents").select(named("images").alias("image"), named("labels").alias("label"), at.alias("split")), "records")
+    told = {r["split"]: r["n"] for r in audit.count_by(rows, "split").collect()}
+    trial = {"policy_version": "v", "calibrated_minimum_improvement": 0.02, "runtime_selector_label_free": True, "winner_roi_audit_failures": 0}
+    neutral = dict.fromkeys(("annotations_used_for_runtime_selection", "class_labels_used_for_threshold_reward", "positive_images_rewarded", "negative_images_penalized"), False)
+    calibration = {"policy_version": "v", "selected_threshold": 0.02, "runtime_selector": "label_free", "calibration_safe": False, "threshold_analysis": [{"threshold": 0.02, "roi_unsafe_selected": 0, "eligible_for_selection": True}], **neutral}
+    how = {"smoke_deployments_excluded_from_calibration": True, "group_aware_round_robin": True, "positive_and_negative_share_deployment_cap": True, "maximum_calibration_images_per_deployment": 6}
+    sample = {"policy_version": "v", "status": " passed ", "policy": how, "counts": {"smoke_images": 19}, "checks": {f"{k}_overlap{s}": v for k in ("image", "deployment") for s, v in (("_count", 0), ("_passed", True), ("", []))}}
+    config = {"policy_version": "v", "threshold": 0.02, "modes": 8, "cap": 6, "trial_images": 20, "splits": told | {"train": 700}}
+    found = certify.preflight(trial, calibration, sample, rows, config)
+    return spark.createDataFrame([(n, ok) for n, _, ok in found], "number int, passed boolean")
+
+
+@_query("""
+SELECT 'report' AS file, '{"a":"ü","b":[1,2.5],"c":null}' AS content UNION ALL SELECT 'none', '{}' UNION ALL SELECT 'yaml',
+  'path: "/data/x"' || chr(10) || 'train: train/images' || chr(10) || 'val: val/images' || chr(10) || 'test: test/images' || chr(10) || 'names:' || chr(10) || '  0: "fish"' || chr(10) || 'nc: 1' || chr(10)""")
+def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Small reports written whole, replaced, and read back; a missing one counts as empty."""
+    import json
+
+    folder = shared_path(spark, "reports")
+    reports.write_json(f"{folder}/report.json", {"old": True})
+    reports.write_json(f"{folder}/report.json", {"b": [1, 2.5], "a": "ü", "c": None})
+    told = lambda x: json.dumps(x, sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    rows = [("report", told(reports.read_object(f"{folder}/report.json"))), ("none", told(reports.read_object(f"{folder}/none.json"))), ("yaml", reports.dataset_yaml("/data/x", {0: "fish"}, True))]
+    return spark.createDataFrame(rows, "file string, content string")

@@ -228,6 +228,67 @@ def test_metrics_equal_plain_numpy(spark):
     assert [profile["i0"][k] for k in ("brightness", "contrast", "sharpness", "colour_cast")] == pytest.approx([q["brightness"], q["contrast"], q["sharpness"], means.std() / means.mean()], rel=1e-4)
 
 
+def plain_bilateral(image, sigma=20.0):
+    p, out = np.pad(image.astype(float), ((1, 1), (1, 1), (0, 0)), mode="reflect"), np.zeros(image.shape)
+    for y in range(image.shape[0]):
+        for x in range(image.shape[1]):
+            here, total, weight = p[y + 1, x + 1], np.zeros(3), 0.0
+            for dy, dx in ((0, 0), (-1, 0), (1, 0), (0, -1), (0, 1)):
+                near = p[y + 1 + dy, x + 1 + dx]
+                k = np.exp(-(np.abs(near - here).sum() ** 2 + dy * dy + dx * dx) / (2 * sigma**2))
+                total, weight = total + k * near, weight + k
+            out[y, x] = total / weight
+    return out
+
+
+def plain_dehaze(image, blend, omega):
+    x = image / 255.0
+    h, w = x.shape[:2]
+    least = lambda m: np.array([[m[max(y - 7, 0) : y + 8, max(z - 7, 0) : z + 8].min() for z in range(w)] for y in range(h)])
+    dark = least(x.min(axis=2))
+    brightest = np.argsort(-dark.ravel(), kind="stable")[: max(1, int(dark.size * 0.001))]
+    air = np.maximum(x.reshape(-1, 3)[brightest].mean(axis=0), 0.10)
+    t, k = np.pad(1 - omega * least((x / air).min(axis=2)), 2, mode="reflect"), np.array([1, 4, 6, 4, 1]) / 16
+    t = np.clip(sum(k[i] * k[j] * t[i : i + h, j : j + w] for i in range(5) for j in range(5)), 0.6, 1.0)[..., None]
+    return ((1 - blend) * x + blend * np.clip((x - air) / t + air, 0, 1)) * 255
+
+
+def plain_clahe(image, clip=1.25, n=8):
+    lab = kernels.to_lab(image).astype(float)
+    light = np.clip(np.rint(lab[..., 0]), 0, 255).astype(int)
+    h, w = light.shape
+    th, tw = -(-h // n), -(-w // n)
+    tables = {}
+    for i in range(n):
+        for j in range(n):
+            cell = [light[min(y, h - 1), min(x, w - 1)] for y in range(i * th, i * th + th) for x in range(j * tw, j * tw + tw)]
+            counts, limit = np.bincount(cell, minlength=256), max(int(clip * th * tw / 256), 1)
+            extra = int(np.maximum(counts - limit, 0).sum())
+            counts = np.minimum(counts, limit) + extra // 256
+            for at in range(0, 256, max(256 // (extra % 256), 1) if extra % 256 else 256)[: extra % 256]:
+                counts[at] += 1
+            tables[i, j] = np.clip(np.rint(np.cumsum(counts) * 255 / (th * tw)), 0, 255)
+    inside = lambda v: min(max(v, 0), n - 1)
+    for y in range(h):
+        for x in range(w):
+            a, b = y / th - 0.5, x / tw - 0.5
+            i, j = int(np.floor(a)), int(np.floor(b))
+            at = lambda p, q, v=light[y, x]: tables[inside(p), inside(q)][v]
+            lab[y, x, 0] = (1 - a + i) * ((1 - b + j) * at(i, j) + (b - j) * at(i, j + 1)) + (a - i) * ((1 - b + j) * at(i + 1, j) + (b - j) * at(i + 1, j + 1))
+    return lab
+
+
+def test_candidates_equal_plain_loops():
+    """Candidates that are no look-up tables, pixel by pixel; a rounding may fall the other way where it is nearly a tie."""
+    image = picture(4, 40, 48)
+    assert np.abs(kernels.bilateral(image) - plain_bilateral(image)).max() <= 0.51
+    for blend, omega, mode in ((0.20, 0.40, "mild_dehaze_low"), (0.35, 0.50, "mild_dehaze_medium")):
+        off = plain_dehaze(image, blend, omega) - kernels.TRANSFORMS[mode](image)
+        assert off.min() > -0.01 and off.max() < 1.01  # cut off, not rounded
+    want, got = plain_clahe(image), kernels.clahe(image)
+    assert np.abs(kernels.from_lab(want).astype(int) - got).max() <= 1 and (kernels.from_lab(want) == got).mean() > 0.999
+
+
 def test_kernels():
     image = picture()
     for make in kernels.TRANSFORMS.values():
@@ -294,6 +355,17 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
     assert sorted(r["key"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
+def test_windows_count_by_time(spark, tmp_path):
+    schema = T.StructType().add("key", "string").add("at", "timestamp")
+    (tmp_path / "in").mkdir()
+    times = ["00:01:00", "00:04:00", "00:12:00", "01:00:00"]
+    (tmp_path / "in" / "a.json").write_text("\n".join(json.dumps({"key": "x", "at": f"2024-01-01 {t}"}) for t in times))
+    counts = incremental.windowed_counts(incremental.read_stream(spark, str(tmp_path / "in"), schema), "at", "key")
+    counts.writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start().awaitTermination()
+    got = {r["start"].strftime("%H:%M"): r["n"] for r in spark.table("windows").collect()}
+    assert sorted(got.values()) == [1, 1, 2] and len(got) == 3
+
+
 def test_regions_are_weighed_by_size(spark, tmp_path):
     raw = picture(3, 64, 800)
     table = spark.createDataFrame([("a", 64, 800, raw.tobytes()), ("b", 64, 800, raw.tobytes())], "image string, height int, width int, data binary")
