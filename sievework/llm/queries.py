@@ -16,4 +16,4 @@ QUERIES = {
     "op9_substring": substring.op9_substring,
     "op10_pack": packing.op10_pack,
 }
-SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op5_warc": warc.OP5_SQL}
+SQL = {"op1_topk": topk.OP1_SQL, "op2_mix": mixing.OP2_SQL, "op5_warc": warc.OP5_SQL, "op9_substring": substring.OP9_SQL}

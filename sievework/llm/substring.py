@@ -312,3 +312,14 @@ def drop_repeats(docs: DataFrame, window: int = 20) -> DataFrame:
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeats(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"), 20)
     return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+OP9_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, -9223372036854775808) AS id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+k AS (SELECT r, id, i, array_to_string(w[i + 1:i + 20], ' ') AS words FROM (SELECT *, unnest(range(len(w) - 19)) AS i FROM d WHERE len(w) >= 20)),
+f AS (SELECT words, min({'id': id, 'i': i}) AS first FROM k GROUP BY 1),
+g AS (SELECT DISTINCT r, i + j AS at FROM (SELECT r, i FROM k JOIN f USING (words) WHERE {'id': id, 'i': i} > first), (SELECT unnest(range(20)) AS j)),
+t AS (SELECT r, unnest(w) AS word, unnest(range(len(w))) AS at FROM d),
+s AS (SELECT t.r, count(g.at) AS n_removed, string_agg(word, ' ' ORDER BY t.at) FILTER (WHERE g.at IS NULL) AS kept FROM t LEFT JOIN g ON t.r = g.r AND t.at = g.at GROUP BY 1)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM d LEFT JOIN s USING (r)
+"""
