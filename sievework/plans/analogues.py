@@ -9,6 +9,7 @@ from ..functions import naming
 from ..functions.boxes import size_class
 from ..functions.rules import clamp, first_failing, safe_ratio, weighted_mean
 from ..operators import arrays, audit, decide, dedup, sampling, split
+from ..shared import materialize
 
 TARGETS = ("SMALL", "PROMO")
 THRESHOLDS = [round(0.002 * i, 3) for i in range(1, 19)]
@@ -250,6 +251,7 @@ def _evaluations(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _grid(spark, sf_dir).select(F.col("vec_id").alias("image"), "grid", modes).select("image", "grid", "m.*")
     at = lambda k: F.get("grid", F.col("priority") + k)
     rows = rows.select("image", "mode", "risk", "priority", (at(0) * 0.1).alias("benefit"), F.abs(at(8)).alias("margin"), (1 - F.abs(at(16))).alias("detail"), (1 + 4 * F.abs(at(24))).alias("noise"), (100 * F.abs(at(32))).alias("lab"), (at(40) < 0.25).alias("region_passed"))
+    rows = materialize(rows, "evaluations")  # each use has several branches
     return decide.gate(rows, [(n, F.col(c) < v if side == "<" else F.col(c) > v) for n, c, side, v in _GATES])
 
 
@@ -306,7 +308,8 @@ def winner_by_benefit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_WON} SELECT * FROM told")
 def threshold_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decide.replay(_won(spark, sf_dir, THRESHOLDS), _evaluations(spark, sf_dir))
+    rows = _evaluations(spark, sf_dir)
+    return decide.replay(decide.winners(rows, spark.createDataFrame([(t,) for t in THRESHOLDS], "threshold double")), rows)
 
 
 @_query(f"""
@@ -359,7 +362,15 @@ def set_equality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.set_difference(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), "doc_id")
 
 
-@_query()
+_PARTS = [f"sum(('0x' || substr(h, {1 + 12 * i}, 12))::BIGINT::HUGEINT * n)::VARCHAR" for i in range(5)]
+
+
+@_query(f"""
+WITH r AS (SELECT sha256('{{"path":"' || doc_id::VARCHAR || '","sha":"' || sha256(coalesce(text, '')) || '","split":"' || CASE WHEN slot < 70 THEN 'train' WHEN slot < 85 THEN 'val' ELSE 'test' END || '"}}') AS h
+  FROM (SELECT *, ('0x' || substr(md5(coalesce(source, '')), 1, 8))::BIGINT % 100 AS slot FROM documents)),
+c AS (SELECT h, count(*) AS n FROM r GROUP BY 1), g AS (SELECT substr(h, 1, 4) AS g, sum(n)::BIGINT AS n, sha256(concat_ws('|', substr(h, 1, 4), sum(n)::VARCHAR, {', '.join(_PARTS)})) AS h FROM c GROUP BY 1),
+b AS (SELECT substr(g, 1, 2) AS b, sha256(string_agg(h, '' ORDER BY h)) AS h, sum(n)::BIGINT AS n FROM g GROUP BY 1)
+SELECT sum(n)::BIGINT AS records, sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM b""")
 def canonical_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.certify import fingerprint
 
