@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .text import held_out, hash_unit
+from .text import held_out, hash_unit, slices
 
 #: Characters of an n-gram; each takes 16 bits of its key.
 ORDER, BITS = 4, 16
@@ -24,7 +24,7 @@ MAX_LANGUAGES = 200
 #: which a language's own deviation is taken; with fewer, it is the largest of all languages.
 REJECT_AT, CALIBRATORS = 10.0, 5
 #: Probabilities that a worker remembers (one for each n-gram and language), and characters scored at a time.
-MEMO, CHUNK = 4_000_000, 1 << 17
+MEMO, CHUNK = 2_000_000, 1 << 16
 
 _SPACE, _WIDE = 32, 0xFFFF
 _CLASSES: list[np.ndarray] = []
@@ -181,7 +181,7 @@ class Scorer:
     def _remember(self, hashes: np.ndarray, keys: np.ndarray, values: np.ndarray) -> None:
         bits = max(4, int(len(hashes)).bit_length() + 2)
         self.hashes, self.keys, self.values, self.shift = hashes, keys, values, np.uint64(64 - bits)
-        self.start = np.zeros((1 << bits) + 1, np.int64)
+        self.start = np.zeros((1 << bits) + 1, np.int32)
         np.cumsum(np.bincount((hashes >> self.shift).astype(np.int64), minlength=1 << bits), out=self.start[1:])
 
     def _add(self, keys: np.ndarray, values: np.ndarray) -> None:
@@ -195,7 +195,7 @@ class Scorer:
     def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of each hash in the sorted array, and which are not there."""
         top = (hashes >> self.shift).astype(np.int64)
-        at, n = self.start.take(top, mode="clip"), len(self.hashes)
+        at, n = self.start.take(top, mode="clip").astype(np.int64), len(self.hashes)
         missing = np.flatnonzero(self.hashes.take(at, mode="clip") != hashes) if n else np.arange(len(hashes))
         end = self.start[top[missing] + 1]
         none = []
@@ -352,7 +352,7 @@ def drop_unidentified(docs: DataFrame, model: Model) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(sent.value)
-        for batch in batches:
+        for batch in slices(batches):
             yield batch.filter(pa.array([not scorer.predict(t.as_py())[3] for t in batch.column(at)], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..shared import materialize
 
 #: Words whose tokens a worker remembers; more are encoded again each time they come.
-MEMO_WORDS = 200_000
+MEMO_WORDS = 120_000
 #: Share of the lower bound by which the linear program's solution may exceed it, the rounds in a row that
 #: must better nothing to end it sooner, and the strength with which empty room raises prices.
 GAP, STALL, STEP = 0.002, 20, 1.0

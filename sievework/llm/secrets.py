@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..shared import shared_path
+from .text import slices
 
 #: Candidates besides private key blocks: a credential in a URL, a value assigned to a telling name, or a long run.
 PATTERN = re.compile(
@@ -273,7 +274,7 @@ def redact(docs: DataFrame, forest: Forest, cut: float = 0.5, mark: str = "[SECR
     at = docs.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for value, path in zip(batch.column(at), batch.column(len(batch.columns) - 1).to_pylist(), strict=True):
                 text = value.as_py()

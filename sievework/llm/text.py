@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -21,6 +24,17 @@ def words(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE + "+"))
 
 
+#: Rows of a batch that are worked on at a time where texts go out again: a task holds few texts besides the batch itself.
+ROWS_AT_A_TIME = 256
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of few rows."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS_AT_A_TIME):
+            yield batch.slice(at, ROWS_AT_A_TIME)
+
+
 def held_out(doc_id: Column) -> Column:
     """Documents from which nothing is learnt: one in five, by the CRC-32 of the id as text."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(False))
