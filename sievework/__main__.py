@@ -22,6 +22,7 @@ def arguments(given: list[str]) -> argparse.Namespace:
     mode.add_argument("--smoke-test", type=int, metavar="N", help="process N records of each split, anew")
     mode.add_argument("--full", action="store_true", help="process all records, going on where a stopped run ended")
     p.add_argument("--reset", action="store_true", help="forget what an earlier full run has finished")
+    p.add_argument("--take-over", action="store_true", help="go on in the place of a run that died and left its lock")
     p.add_argument("--records", help="Parquet table: image, label_path, label (its text), split, group, target_count, width, height")
     p.add_argument("--images", help="folder of the images, as a URI")
     p.add_argument("--reports", help="folder with trial.json, calibration.json, sampling.json and config.json, as a URI")
@@ -34,6 +35,8 @@ def arguments(given: list[str]) -> argparse.Namespace:
         p.error("--smoke-test takes a positive number")
     if told.reset and not told.full:
         p.error("--reset goes with --full")
+    if told.take_over and not (told.full or told.smoke_test):
+        p.error("--take-over goes with --full or --smoke-test")
     return told
 
 
@@ -55,12 +58,13 @@ def main(given: list[str], spark: SparkSession | None = None) -> int:
     certify.require_passed(checks)
     if told.preflight:
         return 0
+    about = read_object(f"{told.images}/metadata/dataset_info.json")
     if told.full:
-        curation.run(spark, records, told.images, told.out, config["threshold"], told.reset)
+        curation.run(spark, records, told.images, told.out, config["threshold"], told.reset, told.take_over, about)
         return 0
     known = spark.createDataFrame([(d["prepared_image"],) for d in trial.get("decisions", []) if d.get("processed_selected")], "image string")
     some = sampling.per_split_sample(records, known, told.smoke_test)
-    curation.run(spark, some, told.images, f"{told.out.rstrip('/')}-smoke", config["threshold"], reset=True)
+    curation.run(spark, some, told.images, f"{told.out.rstrip('/')}-smoke", config["threshold"], True, told.take_over, about)
     return 0
 
 

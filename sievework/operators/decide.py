@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.rules import Rules, all_failing, clamp, closeness_to_one
+from ..shared import materialize
+from .percentiles import exact_percentiles
 
 RAW = "raw_baseline"
 #: The candidate modes in order of preference, and the risk class of each.
@@ -124,13 +126,16 @@ def replay(won: DataFrame, evaluations: DataFrame) -> DataFrame:
     """Per threshold: images, processed ones, their rate, mean, median and least benefit, and damaged ones."""
     damage = evaluations.select(F.col("image").alias("i_"), F.col("mode").alias("m_"), (~F.col("region_passed")).alias("damaged"))
     chosen = won.join(damage, (F.col("image") == F.col("i_")) & (F.col("mode") == F.col("m_")), "left")
+    chosen = materialize(chosen.select("threshold", "mode", "benefit", "damaged"), "replayed")  # summed up and ordered
     processed = F.col("mode") != RAW
     gain = F.when(processed, F.col("benefit"))
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     out = chosen.groupBy("threshold").agg(
         F.count("*").alias("images"), F.count_if(processed).alias("processed"), zero(F.avg(gain)).alias("mean_benefit"),
-        zero(F.percentile(gain, F.lit(0.5))).alias("median_benefit"), zero(F.min(gain)).alias("min_benefit"), F.count_if(F.col("damaged")).alias("damaged"),
+        zero(F.min(gain)).alias("min_benefit"), F.count_if(F.col("damaged")).alias("damaged"),
     )
+    medians = exact_percentiles(chosen.select("threshold", gain.alias("gain")), ["threshold"], "gain", {"median_benefit": 0.5})
+    out = out.join(F.broadcast(medians), "threshold").withColumn("median_benefit", zero(F.col("median_benefit")))  # a row for each threshold, few by contract
     rate = F.col("processed") / F.col("images")
     return out.withColumn("rate", rate).withColumn("eligible", (F.col("processed") >= LEAST_PROCESSED) & (F.col("rate") >= LEAST_RATE) & (F.col("damaged") == 0))
 
@@ -150,8 +155,8 @@ def reason_histogram(gated: DataFrame) -> DataFrame:
 
 def mode_report(gated: DataFrame) -> DataFrame:
     """Per mode: passes, rejections, and the spread of the benefit."""
-    p = lambda q: F.percentile("benefit", F.lit(q))
-    return gated.groupBy("mode").agg(F.count_if("passed").alias("n_passed"), F.count_if(~F.col("passed")).alias("n_rejected"), F.min("benefit").alias("benefit_min"), F.avg("benefit").alias("benefit_mean"), p(0.5).alias("benefit_median"), p(0.9).alias("benefit_p90"), F.max("benefit").alias("benefit_max"))
+    sums = gated.groupBy("mode").agg(F.count_if("passed").alias("n_passed"), F.count_if(~F.col("passed")).alias("n_rejected"), F.min("benefit").alias("benefit_min"), F.avg("benefit").alias("benefit_mean"), F.max("benefit").alias("benefit_max"))
+    return sums.join(exact_percentiles(gated, ["mode"], "benefit", {"benefit_median": 0.5, "benefit_p90": 0.9}), "mode")
 
 
 def winners_by_split(won: DataFrame, modes: list[str]) -> DataFrame:

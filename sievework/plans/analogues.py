@@ -9,6 +9,7 @@ from ..functions import naming
 from ..functions.boxes import size_class
 from ..functions.rules import clamp, first_failing, safe_ratio, weighted_mean
 from ..operators import arrays, audit, decide, dedup, sampling, split
+from ..operators.percentiles import exact_percentiles
 from ..shared import materialize
 
 TARGETS = ("SMALL", "PROMO")
@@ -235,6 +236,13 @@ def gradient_corr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.join(after, "vec_id").select("vec_id", arrays.correlation(F.col("g"), F.col("g_next")).alias("detail_retention"))
 
 
+@_query("""
+SELECT l_returnflag, l_linestatus, quantile_cont(l_extendedprice, 0.05) AS p05, quantile_cont(l_extendedprice, 0.5) AS p50, quantile_cont(l_extendedprice, 0.99) AS p99 FROM lineitem GROUP BY 1, 2""")
+def price_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact percentiles of few groups that hold all rows."""
+    return exact_percentiles(_table(spark, sf_dir, "lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", {"p05": 0.05, "p50": 0.5, "p99": 0.99})
+
+
 @_query("""
 SELECT l_linestatus, l_returnflag, sum(l_discount * l_quantity) / sum(l_quantity) AS weighted_discount FROM lineitem GROUP BY 1, 2""")
 def weighted_mean_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:

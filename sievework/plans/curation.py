@@ -19,9 +19,11 @@ from ..operators.certify import canonical_hash, require_policy, require_verified
 from ..operators.kernels import TRANSFORMS, pixels_of
 from ..operators.pixels import BENEFIT_WEIGHTS, evaluate_images, region_metrics
 from ..shared import broadcast_if_small, materialize
+from ..sources import runlog
+from ..sources.filesink import recover
 from ..sources.images import encode_png, hash_images, list_images, read_files, read_images, remove_files, write_files
 from ..sources.progress import latest
-from ..sources.reports import write_json, write_manifest
+from ..sources.reports import dataset_yaml, read_object, write_json, write_manifest, write_text
 
 
 def prepare(records: DataFrame, attempts: int = 300, seed: int = 42) -> DataFrame:
@@ -103,30 +105,56 @@ def process(images: DataFrame, won: DataFrame, folder: str, files: DataFrame | N
 MARKS = {"source_sha256": "source_sha256", "label_sha256": "label_sha256"}
 
 
-def run(spark: SparkSession, records: DataFrame, root: str, out: str, threshold: float = decide.DEFAULT_THRESHOLD, reset: bool = False) -> DataFrame:
+def run(spark: SparkSession, records: DataFrame, root: str, out: str, threshold: float = decide.DEFAULT_THRESHOLD, reset: bool = False, take_over: bool = False, told: dict | None = None) -> DataFrame:
     """Select and write the winner of every record's image; a run that was stopped goes on where it ended.
 
     ``records``: ``image`` (path below ``root``), ``split``, ``group``, ``target_count``, ``width``, ``height``, ``label`` (text). Outputs go to
     ``out``/``split``/images and labels, the manifest to ``out``/manifest, batch by batch. Finished records whose files and
     labels are unchanged are kept, others are done anew; records of another policy stop the run. At the end all outputs are
     read back and compared. Returns the manifest; any failure leaves a report and is raised.
+
+    Before the first batch ``out``/metadata tells the policy, the dataset (``told``, as its preparation had it) and the
+    run. The run holds a lock: a second one on the same ``out`` is refused, unless it takes over from one that died; what
+    that one had begun to write is ended or dropped.
     """
     rules, began = policy(threshold), time.time()
-    try:
-        manifest, resumed = _continued(spark, records, root, out, rules, reset)
-        require_verified(_faults(spark, records, manifest, root, out))
-        won = manifest.select("split", F.col("selected_mode").alias("mode"))
-        by_split = decide.winners_by_split(won, [decide.RAW, *decide.MODES]).orderBy("split")
-        reasons = manifest.select(F.explode("rejections").alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")
-        write_manifest(manifest.withColumn("rejections", F.to_json("rejections")), f"{out}/manifests")
-        write_json(f"{out}/reports/run.json", {
-            "status": "PASS", "seconds": round(time.time() - began, 3), "resumed": resumed, "policy": rules,
-            "winners_by_split": [r.asDict() for r in by_split.collect()], "rejections": {r["reason"]: r["n"] for r in reasons.collect()},
-        })
-        return manifest
-    except Exception as failure:
-        write_json(f"{out}/reports/failure.json", {"status": "FAIL", "seconds": round(time.time() - began, 3), "error": f"{type(failure).__name__}: {failure}"[:4000]})
-        raise
+    with runlog.locked(spark, out, take_over) as holder:
+        try:
+            _begin(spark, out, rules, told or {}, {"reset": reset, **holder})
+            manifest, resumed = _continued(spark, records, root, out, rules, reset)
+            return _ended(spark, records, manifest, root, out, rules, resumed, began)
+        except Exception as failure:
+            write_json(f"{out}/reports/failure.json", {"status": "FAIL", "seconds": round(time.time() - began, 3), "error": f"{type(failure).__name__}: {failure}"[:4000]})
+            raise
+
+
+def _begin(spark: SparkSession, out: str, rules: dict, told: dict, run_: dict) -> None:
+    """The metadata of a run, before it does anything; the keys and values of its configuration are fixed."""
+    before = read_object(f"{out}/metadata/frozen_policy.json")
+    if before and not run_["reset"] and before.get("policy_fingerprint_sha256") != rules["policy_fingerprint_sha256"]:
+        raise ValueError("records of another policy: start anew or restore that policy")
+    left = recover(spark, out)
+    write_json(f"{out}/metadata/frozen_policy.json", rules)
+    write_json(f"{out}/metadata/source_dataset_info.json", told)
+    write_json(f"{out}/metadata/run_configuration.json", {
+        "run_mode": "full", "frozen_threshold": rules["threshold"], "selector_source_sha256": rules["selector_source_sha256"], "runtime_selector_label_free": True, "annotations_used_at_runtime": False,
+        "raw_image_handling": "byte_for_byte_copy", "processed_image_handling": "lossless_png", "label_handling": "byte_for_byte_copy", "geometry_changes_allowed": False, "threshold_recalibration_allowed": False,
+        "batch_records": BATCH, "left_by_earlier_runs": left, **run_,
+    })
+    write_text(f"{out}/dataset.yaml", dataset_yaml(out, {0: "fish"}))
+
+
+def _ended(spark: SparkSession, records: DataFrame, manifest: DataFrame, root: str, out: str, rules: dict, resumed: int, began: float) -> DataFrame:
+    require_verified(_faults(spark, records, manifest, root, out))
+    won = manifest.select("split", F.col("selected_mode").alias("mode"))
+    by_split = decide.winners_by_split(won, [decide.RAW, *decide.MODES]).orderBy("split")
+    reasons = manifest.select(F.explode("rejections").alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")
+    write_manifest(manifest.withColumn("rejections", F.to_json("rejections")), f"{out}/manifests")
+    write_json(f"{out}/reports/run.json", {
+        "status": "PASS", "seconds": round(time.time() - began, 3), "resumed": resumed, "policy": rules,
+        "winners_by_split": [r.asDict() for r in by_split.collect()], "rejections": {r["reason"]: r["n"] for r in reasons.collect()},
+    })
+    return manifest
 
 
 def _once(rows: DataFrame, name: str) -> None:
@@ -140,12 +168,15 @@ def _is_file(uri: str) -> bool:
     return fs.get_file_info(path).type != pyarrow.fs.FileType.NotFound
 
 
-def _clear(out: str, splits: list[str]) -> None:
-    """Removes the outputs of an earlier run, split by split, and nothing else."""
-    for split_ in splits:
-        fs, path = pyarrow.fs.FileSystem.from_uri(f"{out}/{split_}")
-        if fs.get_file_info(path).type == pyarrow.fs.FileType.Directory:
+def remove(out: str, names: list[str] | tuple[str, ...]) -> None:
+    """Removes these files and folders below ``out``, those that are there, and nothing else."""
+    for name in names:
+        fs, path = pyarrow.fs.FileSystem.from_uri(f"{out}/{name}")
+        kind = fs.get_file_info(path).type
+        if kind == pyarrow.fs.FileType.Directory:
             fs.delete_dir(path)
+        elif kind == pyarrow.fs.FileType.File:
+            fs.delete_file(path)
 
 
 def _output_files(spark: SparkSession, out: str) -> DataFrame:
@@ -192,7 +223,7 @@ def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rul
     full = full.join(files.select("image", F.sha2("content", 256).alias("source_sha256")), "image").withColumn("label_sha256", sha(F.col("label")))
     todo, done = full, None
     if reset:
-        _clear(out, [r["split"] for r in records.select("split").distinct().collect()])
+        remove(out, [r["split"] for r in records.select("split").distinct().collect()])
     if not reset and _is_file(place):
         earlier = require_policy(latest(spark.read.parquet(place), "image", ["finished"]), rules["policy_fingerprint_sha256"])
         done = materialize(valid_checkpoints(earlier, full, _output_files(spark, out), "image", MARKS), "resumed")
@@ -200,14 +231,12 @@ def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rul
     label_name = F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt")))
     todo = todo.withColumns({"output": F.concat_ws("/", "split", F.lit("images"), stem), "label_output": label_name})
     _once(full.select(F.concat_ws("/", "split", stem).alias("output")), "output")
-    n = -(-todo.count() // BATCH)
-    todo = materialize(todo.withColumn("batch", F.pmod(F.xxhash64("image"), F.lit(max(n, 1)))), "todo")
     if reset and _is_file(place):
         fs, path = pyarrow.fs.FileSystem.from_uri(place)
         fs.delete_dir(path)
-    for b in range(n):
-        _batch(spark, todo.filter(F.col("batch") == b), out, rules).write.mode("append").parquet(place)
-    if not n and not _is_file(place):
+    for part in runlog.in_batches(todo, "image", BATCH, "todo"):
+        _batch(spark, part, out, rules).write.mode("append").parquet(place)
+    if not _is_file(place):
         raise ValueError("there is no record with an image")
     manifest = latest(spark.read.parquet(place), "image", ["finished"]).join(full.select("image"), "image", "left_semi")
     renamed = {"source_prepared_image": "image", "output_image": "name", "winner_benefit_score": "benefit", "winner_safety_margin": "margin", "source_image_sha256": "source_sha256", "output_image_sha256": "sha256", "source_label_sha256": "label_sha256"}

@@ -224,11 +224,9 @@ def index_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     image = F.struct(key.alias("prepared_image"), F.lit("train").alias("split"), F.col("s_nationkey").alias("width"), F.array(F.lit("x")).alias("duplicate_sources"))
     note = F.struct(F.lit(0).alias("class_id"), F.lit("fish").alias("class_name"), F.array(F.col("s_suppkey") * 0.5, F.lit(1.0), F.lit(2.0), F.lit(3.0)).alias("bbox_xywh"))
     some = supplier.filter(F.pmod("s_suppkey", F.lit(4)) != 0)
-    first = supplier.agg(F.to_json(F.collect_list(image)).alias("t")).select(F.lit("image_index.json").alias("name"), F.col("t").cast("binary").alias("content"))
-    entry = F.struct(key.alias("k"), F.array_repeat(note, (1 + F.pmod("s_suppkey", F.lit(3))).cast("int")).alias("v"))
-    second = some.agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("t")).select(F.lit("annotation_index.json").alias("name"), F.col("t").cast("binary").alias("content"))
-    materialize(write_files(first.unionByName(second), folder), "written")
-    joined = indexes.with_annotations(indexes.read_image_index(spark, f"{folder}/image_index.json"), indexes.read_annotation_index(spark, f"{folder}/annotation_index.json"))
+    indexes.write_image_index(supplier.select(image.alias("i")).select("i.*"), f"{folder}/images")
+    indexes.write_annotation_index(some.select(key.alias("image"), F.array_repeat(note, (1 + F.pmod("s_suppkey", F.lit(3))).cast("int")).alias("annotations")), f"{folder}/annotations")
+    joined = indexes.with_annotations(indexes.read_image_index(spark, f"{folder}/images"), indexes.read_annotation_index(spark, f"{folder}/annotations"))
     return joined.select("prepared_image", F.size("annotations").alias("n"), F.get(F.get("annotations", F.lit(0))["bbox_xywh"], F.lit(0)).alias("first_x"), "width")
 
 
@@ -274,10 +272,10 @@ def candidate_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query("SELECT user_id AS key, max(event_id) AS n, arg_max(event_type, event_id) AS kind FROM events GROUP BY 1 UNION ALL SELECT -1, 2, 'late'")
 def progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A log of JSON lines with repeated keys, and one whose last line is torn, read as each key's last record."""
+    """A log of JSON lines with repeated keys, in files by the order of events, and one whose last line is torn, read as each key's last record."""
     folder = shared_path(spark, "log")
     lines = F.to_json(F.struct(F.col("user_id").alias("key"), F.col("event_id").alias("n"), F.col("event_type").alias("kind")))
-    _table(spark, sf_dir, "events").coalesce(1).sortWithinPartitions("event_id").select(lines.alias("value")).write.text(f"{folder}/a")
+    _table(spark, sf_dir, "events").repartitionByRange("event_id").sortWithinPartitions("event_id").select(lines.alias("value")).write.text(f"{folder}/a")
     torn = spark.createDataFrame([("z.txt", b'{"key": -1, "n": 1, "kind": "early"}\n{"key": -1, "n": 2, "kind": "late"}\n{"key": -1, "n"')], "name string, content binary")
     materialize(write_files(torn, f"{folder}/b"), "written")
     schema = spark.createDataFrame([], "key long, n long, kind string").schema

@@ -7,12 +7,12 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.boxes import label_file_problem, size_counts
+from ..functions.boxes import label_file_problem, size_counts, to_yolo
 from ..functions.naming import base_name, prepared_name
 from ..operators import audit, certify, decide, dedup, pixels, sampling, split
 from ..shared import materialize
-from ..sources import coco, reports
-from ..sources.images import hash_images, read_files, read_images, write_files
+from ..sources import coco, indexes, reports
+from ..sources.images import hash_images, read_files, read_images, read_texts, write_files
 from . import curation
 
 #: Fixed: the categories that are targets, and the one class that they become.
@@ -44,8 +44,9 @@ def prepare_dataset(spark: SparkSession, source: str, out: str, targets: list[st
     found = coco.issue_counts(docs, sizes, targets)
     issues = {r["issue"]: r["n"] for r in found.collect()}  # a row per kind
     sound = coco.audited(docs).filter("problem IS NULL OR problem NOT IN ('orphan_annotation', 'unknown_category')")
+    audited_at = now()
     reports.write_json(f"{out}/reports/source_audit.json", {
-        "created_at_utc": now(), "status": "FAIL" if issues["total"] else "PASS", "fatal_issues": issues,
+        "created_at_utc": audited_at, "status": "FAIL" if issues["total"] else "PASS", "fatal_issues": issues,
         "annotations_by_category": _counts(sound, "category"), "images_by_split": _counts(coco.images(docs), "split"),
     })
     if issues["total"]:
@@ -71,28 +72,94 @@ def prepare_dataset(spark: SparkSession, source: str, out: str, targets: list[st
         "source_path", "path", "source_split", F.col("image_id").alias("source_image_id"), "width", "height", "sha256", "target_count", "non_target_count", *[f"{t}_count" for t in targets], F.col("bboxes").alias("boxes"),
     ).withColumn("sizes", size_counts(F.col("boxes"), F.col("width"), F.col("height")))
     index = index.select("*", F.col("sizes.tiny").alias("tiny_count"), F.col("sizes.small").alias("small_count")).drop("sizes")
+    clear_prepared(out)
     index.write.mode("overwrite").parquet(f"{out}/records")
     index = spark.read.parquet(f"{out}/records")
     materialize(write_files(index.select(F.col("label_path").alias("name"), F.col("label").cast("binary").alias("content")), out), "labels")
     if copy:
         files = read_files(spark, source).join(index.select(F.col("source_path").alias("image"), F.col("image").alias("name")), "image")
         materialize(write_files(files.select("name", "content"), out), "images")
-    bad = index.withColumn("problem", label_file_problem(F.col("label"), F.col("target_count"))).filter("problem IS NOT NULL").select("image", "problem")
-    certify.require_verified(bad)
+    faults = materialize(prepared_faults(spark, index, out, copy), "faults")
+    errors = faults.count()
+    certify.require_verified(faults)
 
     stats = split.split_stats(split.group_stats(chosen.withColumn("g", F.concat_ws("|", "split", "group")), "g", F.col("target_count")).withColumn("split", F.substring_index("group", "|", 1)))
     by_split = {r["split"]: r.asDict() for r in stats.collect()}
     counters = {r["split"]: r.asDict() for r in split.split_counters(index).collect()}
     print_ = certify.fingerprint(index, ["sha256", "split", "path", "label"]).first()["fingerprint"]
     told = {"dataset_fingerprint_sha256": print_, "version": VERSION, "class_names": {0: CLASS_NAME}, "source_categories": targets, "splits": counters, "materialization": "copy" if copy else "reference"}
+    sums = index.agg(F.count("*").alias("images"), F.sum("target_count").alias("boxes"), F.count_if(F.col("target_count") == 0).alias("negative"), F.sum("non_target_count").alias("others")).first()
     reports.write_text(f"{out}/dataset.yaml", reports.dataset_yaml(out, {0: CLASS_NAME}))
-    reports.write_json(f"{out}/metadata/dataset_info.json", told | {"created_at_utc": now()})
+    reports.write_json(f"{out}/metadata/dataset_info.json", {
+        **told, "preparation_version": VERSION, "prepared_at_utc": now(), "source_root": source, "prepared_root": out, "final_classes": {"0": CLASS_NAME}, "source_target_mapping": dict.fromkeys(targets, CLASS_NAME),
+        "split_seed": seed, "requested_split_ratios": dict(zip(split.SPLITS, split.RATIOS, strict=True)), "images": sums["images"], "target_boxes": sums["boxes"], "negative_images": sums["negative"], "non_target_annotations": sums["others"],
+    })
+    reports.write_json(f"{out}/metadata/dataset_provenance.json", {
+        "source_root": source, "audited_at_utc": audited_at, "preparation_version": VERSION, "target_categories": sorted(targets), "final_class": CLASS_NAME, "split_seed": seed, "split_ratios": dict(zip(split.SPLITS, split.RATIOS, strict=True)),
+    })
+    _write_indexes(docs, index, targets, out)
     gone = {"groups_of_copies": copies.count(), "copies_dropped": copies.agg(F.coalesce(F.sum("duplicates"), F.lit(0))).first()[0]}
     score = split.score({k: (v["images"], v["boxes"]) for k, v in by_split.items()}, split.RATIOS)
-    reports.write_json(f"{out}/reports/preparation_report.json", {"status": "PASS", "created_at_utc": now(), "copies": gone, "split": {"seed": seed, "search_attempts": attempts, "score": score, "stats": by_split}, **told})
+    reports.write_json(f"{out}/reports/preparation_report.json", {"status": "PASS", "created_at_utc": now(), "verification": {"error_count": errors, "images": sums["images"]}, "copies": gone, "split": {"seed": seed, "search_attempts": attempts, "score": score, "stats": by_split}, **told})
     return index
 
 
+#: What a preparation writes below its folder besides the folders of the splits; the names are fixed.
+PREPARED = ("records", "metadata", "reports/preparation_report.json", "dataset.yaml")
+
+
+def clear_prepared(out: str) -> None:
+    """Removes what an earlier preparation has written, and nothing else, so that no label or image of it stays beside new ones."""
+    curation.remove(out, [*(f"{s}/{kind}" for s in split.SPLITS for kind in ("images", "labels")), *PREPARED])
+
+
+def prepared_faults(spark: SparkSession, index: DataFrame, out: str, copied: bool) -> DataFrame:
+    """(key, reason) of whatever of a prepared dataset is not as its index has it; empty if all is right.
+
+    Labels are read back and held against the index and their own rules. Images (those in ``out`` if they were copied,
+    else the sources) are read back for hash, decoded for size, and none may be missing or extra. An empty label file
+    that is too many is not seen: Spark's listings leave empty files out.
+    """
+    text = index.withColumn("problem", label_file_problem(F.col("label"), F.col("target_count"))).filter("problem IS NOT NULL").select(F.col("image").alias("key"), F.concat(F.lit("label: "), "problem").alias("reason"))
+    found = read_texts(index.select(F.col("label_path").alias("name")), out).filter("text IS NOT NULL").select(F.col("name").alias("label_path"), F.col("text").alias("label"))
+    wrong = certify.verify(index, found, "label_path", ["label"]).withColumnRenamed("label_path", "key")
+    there = [f"{out}/{s}/labels" for s in split.SPLITS if curation._is_file(f"{out}/{s}/labels")]
+    if there:
+        labels = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", "*.txt").load(there)
+        more = labels.select(F.regexp_extract("path", r"([^/]+/labels/[^/]+)$", 1).alias("label_path")).join(index, "label_path", "left_anti")
+        wrong = wrong.unionByName(more.select(F.col("label_path").alias("key"), F.lit("extra").alias("reason")))
+    root = [f"{out}/{s}/images" for s in split.SPLITS if curation._is_file(f"{out}/{s}/images")] if copied else sorted({r["p"] for r in index.select(F.regexp_extract("source_path", "^(.*)/[^/]+$", 1).alias("p")).distinct().collect()})  # a folder for each split
+    name = F.regexp_extract("image", r"([^/]+/images/[^/]+)$", 1) if copied else F.col("image")
+    hashes = read_files(spark, root).select(name.alias("key"), F.sha2("content", 256).alias("sha256"))
+    sizes = read_images(spark, root).select(name.alias("key"), "width", "height")
+    wanted = index.withColumn("key", F.col("image") if copied else F.col("source_path"))
+    actual = hashes.join(sizes, "key", "left")
+    if not copied:  # copies that were dropped stay in the source
+        actual = actual.join(wanted.select("key"), "key", "left_semi")
+    return text.unionByName(wrong).unionByName(certify.verify(wanted, actual, "key", ["sha256", "width", "height"]))
+
+
+def _write_indexes(docs: DataFrame, index: DataFrame, targets: list[str], out: str) -> None:
+    """The indexes of the prepared dataset, its images and their annotations, as JSON; the names of fields are fixed."""
+    images = index.select(
+        F.col("image").alias("prepared_image"), F.col("label_path").alias("prepared_label"), "split", F.col("path").alias("source_relative_path"), "source_split", "source_image_id", "width", "height",
+        F.col("group").alias("deployment"), "sha256", "target_count", *[f"{t}_count" for t in targets], "non_target_count",
+    )
+    indexes.write_image_index(images, f"{out}/metadata/image_index")
+    sound = coco.audited(docs).filter(F.col("problem").isNull() & F.col("category").isin(targets)).withColumnsRenamed({"split": "source_split", "image_id": "source_image_id"}).select("source_split", "source_image_id", "annotation_id", "category", "bbox")
+    note = F.struct(
+        F.col("annotation_id").alias("source_annotation_id"), F.lit(0).alias("class_id"), F.lit(CLASS_NAME).alias("class_name"), F.col("category").alias("source_category"), F.col("bbox").alias("bbox_xywh"),
+        to_yolo(F.col("bbox"), F.col("width"), F.col("height")).alias("bbox_yolo"),
+    )
+    joined = index.select("image", "source_split", "source_image_id", "width", "height").join(sound, ["source_split", "source_image_id"], "left")
+    lists = joined.groupBy("image").agg(F.array_sort(F.collect_list(F.when(F.col("annotation_id").isNotNull(), note))).alias("annotations"))
+    indexes.write_annotation_index(lists, f"{out}/metadata/annotation_index")
+
+
+#: What a trial writes below its folder; the names are fixed.
+TRIED = ("decisions", "sampling.json", "calibration.json", "trial.json", "policy_candidate.json")
+
+
 def _boxes(records: DataFrame) -> DataFrame:
     return records.select("image", F.explode("boxes").alias("bbox"))
 
@@ -104,6 +171,7 @@ def try_out(spark: SparkSession, records: DataFrame, root: str, out: str, thresh
     records are used. No label takes part in a selection: boxes only judge winners. ``sizes`` are those of
     ``calibration_sample``. Returns the policy candidate, which people have to review.
     """
+    curation.remove(out, TRIED)
     train = records.filter("split = 'train'")
     uri = lambda c: F.concat(F.lit(curation._plain(root) + "/"), c)
     pixels_of = lambda rows: read_images(spark, [r["p"] for r in rows.select(uri(F.col("image")).alias("p")).collect()])  # a sample's paths

@@ -2,40 +2,31 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.boxes import box_problem, label_line, to_yolo
+from . import bigjson
 
 SPLITS = ("train", "valid", "test")
 FILE = "_annotations.coco.json"
-SCHEMA = (
-    "categories array<struct<id:bigint,name:string>>, images array<struct<id:bigint,file_name:string,width:int,height:int>>, "
-    "annotations array<struct<id:bigint,image_id:bigint,category_id:bigint,bbox:array<double>>>"
-)
+#: The members of a document that are read, and the fields of their items.
+ITEMS = {
+    "categories": "id bigint, name string", "images": "id bigint, file_name string, width int, height int",
+    "annotations": "id bigint, image_id bigint, category_id bigint, bbox array<double>",
+}
 
 
-def read_documents(spark: SparkSession, root: str) -> DataFrame:
-    """One row per split's document, with its ``split``; a split without one is an error.
+def read_documents(spark: SparkSession, root: str, chunk: int = bigjson.CHUNK) -> DataFrame:
+    """A row for each item of the splits' documents: ``split`` and one of ``categories``, ``images`` and ``annotations``, the others null.
 
-    The file's name begins with an underscore, which Spark's readers pass over as hidden, so a task for
-    each document reads its text; it is parsed and exploded by Spark.
+    A split without a document is an error, as is a damaged one. Several tasks read a large document.
     """
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for split in batch.column(0).to_pylist():
-                fs, path = pa.fs.FileSystem.from_uri(f"{root}/{split}/{FILE}")
-                with fs.open_input_stream(path) as f:
-                    yield pa.RecordBatch.from_pylist([{"split": split, "text": f.read().decode()}])
-
-    splits = spark.createDataFrame([(s,) for s in SPLITS], "split string").repartition(len(SPLITS))
-    parsed = splits.mapInArrow(run, "split string, text string").select("split", F.from_json("text", SCHEMA, {"mode": "FAILFAST"}).alias("d"))
-    return parsed.select("split", "d.*")
+    items = bigjson.json_items(spark, [f"{root}/{s}/{FILE}" for s in SPLITS], 2, chunk).filter(F.col("key").isin(*ITEMS))
+    split = F.element_at(F.split("file", "/"), -2).alias("split")
+    return items.select(split, *[F.when(F.col("key") == k, F.from_json("text", fields, {"mode": "FAILFAST"})).alias(k) for k, fields in ITEMS.items()])
 
 
 def missing_parts(root: str) -> list[str]:
@@ -46,15 +37,15 @@ def missing_parts(root: str) -> list[str]:
 
 
 def images(docs: DataFrame) -> DataFrame:
-    return docs.select("split", F.explode("images").alias("i")).select("split", F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
+    return docs.select("split", F.col("images").alias("i")).filter("i IS NOT NULL").select("split", F.col("i.id").alias("image_id"), "i.file_name", "i.width", "i.height")
 
 
 def categories(docs: DataFrame) -> DataFrame:
-    return docs.select("split", F.explode("categories").alias("c")).select("split", F.col("c.id").alias("category_id"), F.lower(F.trim("c.name")).alias("category"))
+    return docs.select("split", F.col("categories").alias("c")).filter("c IS NOT NULL").select("split", F.col("c.id").alias("category_id"), F.lower(F.trim("c.name")).alias("category"))
 
 
 def annotations(docs: DataFrame) -> DataFrame:
-    return docs.select("split", F.explode("annotations").alias("a")).select("split", F.col("a.id").alias("annotation_id"), "a.image_id", "a.category_id", "a.bbox")
+    return docs.select("split", F.col("annotations").alias("a")).filter("a IS NOT NULL").select("split", F.col("a.id").alias("annotation_id"), "a.image_id", "a.category_id", "a.bbox")
 
 
 def audited(docs: DataFrame) -> DataFrame:
@@ -96,7 +87,7 @@ def issue_counts(docs: DataFrame, files: DataFrame, targets: list[str]) -> DataF
     both = images(docs).join(files.select("split", "file_name", F.col("width").alias("w_"), F.col("height").alias("h_")), ["split", "file_name"])
     bad = F.coalesce(F.col("w_") < 1, F.lit(True))
     sizes = both.select(F.when(bad, "undecodable_image").when((F.col("width") != F.col("w_")) | (F.col("height") != F.col("h_")), "size_mismatch").alias("issue")).filter("issue IS NOT NULL")
-    wanted = docs.select("split", F.explode(F.array(*[F.lit(t) for t in targets])).alias("category"))
+    wanted = docs.sparkSession.createDataFrame([(s, t) for s in SPLITS for t in targets], "split string, category string")
     lacking = wanted.join(categories(docs), ["split", "category"], "left_anti").select(F.lit("missing_target_category").alias("issue"))
     found = boxes.unionByName(sizes).unionByName(lacking).unionByName(file_issues(docs, files).select("issue")).groupBy("issue").agg(F.count("*").alias("n"))
     every = docs.sparkSession.createDataFrame([(k,) for k in FATAL], "issue string").join(found, "issue", "left").select("issue", F.coalesce("n", F.lit(0)).alias("n"))

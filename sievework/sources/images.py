@@ -13,6 +13,8 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .filesink import publish, stage
+
 EXTENSIONS = "*.{jpg,jpeg,png,bmp,JPG,JPEG,PNG,BMP}"
 
 
@@ -71,30 +73,26 @@ def png(height: Column, width: Column, data: Column) -> Column:
 
 
 def write_files(files: DataFrame, folder: str, keep: list[str] | None = None) -> DataFrame:
-    """Write each row's ``content`` to ``folder``/``name``, whole or not at all; returns name, length, SHA-256 and the text columns ``keep``.
+    """Write each row's ``content`` to ``folder``/``name``; returns name, length, SHA-256 and the text columns ``keep``.
 
-    A task that runs again replaces what it wrote, so lost executors do no harm.
+    Files become visible together once all are written; a job that fails leaves none. Tasks that run again do no harm.
     """
-    import hashlib
-    import uuid
+    return publish(files.sparkSession, folder, stage(files, folder, keep), keep)
+
 
-    keep = keep or []
+def read_texts(names: DataFrame, folder: str) -> DataFrame:
+    """``name`` and the ``text`` of the file ``folder``/``name`` of each row, null where there is none; empty files too, which Spark's readers leave out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, root = pa.fs.FileSystem.from_uri(folder)
         for batch in batches:
             out = []
-            for name, content, *rest in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                to = f"{root}/{name}"
-                fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
-                part = f"{to}.{uuid.uuid4().hex}.part"
-                with fs.open_output_stream(part) as f:
-                    f.write(content)
-                fs.move(part, to)
-                out.append({"name": name, "length": len(content), "sha256": hashlib.sha256(content).hexdigest(), **dict(zip(keep, rest, strict=True))})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("name", pa.string()), ("length", pa.int64()), ("sha256", pa.string()), *[(k, pa.string()) for k in keep]]))
-
-    return files.select("name", "content", *keep).mapInArrow(run, "name string, length long, sha256 string" + "".join(f", {k} string" for k in keep))
+            for name in batch.column(0).to_pylist():
+                there = fs.get_file_info(f"{root}/{name}").type == pa.fs.FileType.File
+                out.append({"name": name, "text": fs.open_input_stream(f"{root}/{name}").readall().decode(errors="replace") if there else None})
+            yield pa.RecordBatch.from_pylist(out, pa.schema([("name", pa.string()), ("text", pa.string())]))
+
+    return names.select("name").mapInArrow(run, "name string, text string")
 
 
 def remove_files(names: DataFrame, folder: str) -> int:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import bigjson
+from .images import write_files
+
 #: Fixed fields of an image of the index, and of an annotation.
 IMAGE_SCHEMA = (
     "prepared_image string, prepared_label string, split string, source_relative_path string, source_split string, source_image_id bigint, width int, height int, deployment string, "
@@ -13,19 +18,53 @@ IMAGE_SCHEMA = (
 ANNOTATION_SCHEMA = "struct<class_id:int,class_name:string,source_category:string,source_annotation_id:bigint,bbox_xywh:array<double>,bbox_yolo:array<double>>"
 
 
-def read_image_index(spark: SparkSession, path: str) -> DataFrame:
-    """One row per image; a missing file or a damaged one is an error."""
-    return spark.read.schema(IMAGE_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
+#: Items of one document that is written here, about: an index is one document or a folder of several.
+ITEMS = 10_000
+
+
+def _documents(path: str) -> list[str]:
+    """The document, or those in the folder."""
+    fs, plain = pa.fs.FileSystem.from_uri(path)
+    if fs.get_file_info(plain).type != pa.fs.FileType.Directory:
+        return [path]
+    return [f"{path.rstrip('/')}/{i.base_name}" for i in fs.get_file_info(pa.fs.FileSelector(plain)) if i.base_name.endswith(".json")]
+
 
+def read_image_index(spark: SparkSession, path: str, chunk: int = bigjson.CHUNK) -> DataFrame:
+    """One row per image; a missing file or a damaged one is an error. Several tasks read a large document."""
+    items = bigjson.json_items(spark, _documents(path), 1, chunk)
+    return items.select(F.from_json("text", IMAGE_SCHEMA, {"mode": "FAILFAST"}).alias("i")).select("i.*")
 
-def read_annotation_index(spark: SparkSession, path: str) -> DataFrame:
+
+def read_annotation_index(spark: SparkSession, path: str, chunk: int = bigjson.CHUNK) -> DataFrame:
     """``image`` and ``annotations`` of every image of the index; a missing file or a damaged one is an error.
 
-    The file is one object with a key for each image, so it is parsed as a map, never by an inferred schema.
+    A document is one object with a key for each image, which is parsed as a map of one entry, never by an inferred
+    schema. Several tasks read a large one.
     """
-    text = spark.read.option("wholetext", True).text(path)
-    parsed = text.select(F.from_json("value", f"map<string,array<{ANNOTATION_SCHEMA}>>", {"mode": "FAILFAST"}).alias("m"))
-    return parsed.select(F.explode("m").alias("image", "annotations"))
+    items = bigjson.json_items(spark, _documents(path), 1, chunk).withColumn("text", F.concat(F.lit("{"), "text", F.lit("}")))
+    entry = F.from_json("text", f"map<string,array<{ANNOTATION_SCHEMA}>>", {"mode": "FAILFAST"})
+    return items.select(F.explode(entry).alias("image", "annotations"))
+
+
+def _bucketed(rows: DataFrame, key: str) -> DataFrame:
+    return rows.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows.count() // ITEMS)))))
+
+
+def _write(texts: DataFrame, folder: str) -> None:
+    named = F.concat(F.lit("part-"), F.lpad(F.col("_part").cast("string"), 6, "0"), F.lit(".json"))
+    write_files(texts.select(named.alias("name"), F.col("text").cast("binary").alias("content")), folder)
+
+
+def write_image_index(images: DataFrame, folder: str) -> None:
+    """Writes the rows as documents of about ``ITEMS`` objects each, however many there are."""
+    _write(_bucketed(images, "prepared_image").groupBy("_part").agg(F.to_json(F.array_sort(F.collect_list(F.struct(*images.columns)))).alias("text")), folder)
+
+
+def write_annotation_index(annotations: DataFrame, folder: str) -> None:
+    """Writes ``image`` and ``annotations``, a row for each image, as objects of about ``ITEMS`` keys each."""
+    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("image", "annotations"))))
+    _write(_bucketed(annotations, "image").groupBy("_part").agg(F.to_json(entries).alias("text")), folder)
 
 
 def with_annotations(images: DataFrame, annotations: DataFrame, key: str = "prepared_image") -> DataFrame:

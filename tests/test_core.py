@@ -1,6 +1,11 @@
 """The relational core, sources, pixels, stages and streams."""
 
+import hashlib
 import json
+import os
+import shutil
+import subprocess
+import sys
 from pathlib import Path
 
 import duckdb
@@ -10,12 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sievework.functions import boxes, naming, rules
-from sievework.operators import certify, decide, kernels, pixels, sampling, split
+from sievework.operators import certify, decide, kernels, percentiles, pixels, sampling, split
 from sievework.plans import curation, stages
 from sievework.plans.registry import QUERIES, SQL
 from sievework import __main__ as command
-from sievework.sources import coco, images, progress, reports
+from sievework.sources import bigjson, coco, filesink, images, indexes, progress, reports, runlog
 from sievework.streaming import incremental
+from sievework.streaming import progress as live
 
 SF = "/root/testdata/sf0.001"
 
@@ -355,6 +361,24 @@ def test_stream_goes_on_where_it_ended(spark, tmp_path):
     assert sorted(r["key"] for r in spark.read.parquet(str(tmp_path / "out")).collect()) == ["a", "b", "c"]
 
 
+def test_a_log_as_a_stream_is_what_the_reader_of_logs_has(spark, tmp_path):
+    """Over restarts, with keys that come again and torn last lines."""
+    schema = T.StructType().add("key", "string").add("n", "integer")
+    (tmp_path / "log").mkdir()
+    where = [f"{tmp_path}/{x}" for x in ("log", "out", "mark")]
+    files = ([("a", 1), ("b", 2), ("a", 3)], [("b", 4), ("c", 5)], [("a", 6), ("d", 7), ("d", 8)])
+    for i, lines in enumerate(files):
+        (tmp_path / "log" / f"{i}.jsonl").write_text("\n".join(json.dumps({"key": k, "n": n}) for k, n in lines) + '\n{"key": "z", "n"' * (i != 1) + "\n")
+        records = live.latest_records(live.read_log(spark, where[0], schema, "key"), "key")
+        live.keep_latest(records, where[1], where[2]).awaitTermination()
+        got = {tuple(r) for r in live.read_latest(spark, where[1], "key").collect()}
+        assert got == {tuple(r) for r in progress.read_progress(spark, where[0], schema, "key").collect()}
+    assert got == {("a", 6), ("b", 4), ("c", 5), ("d", 8)}
+    (tmp_path / "log" / "3.jsonl").write_text('{"key": "a"\n{"key": "a", "n": 9}\n')
+    with pytest.raises(Exception, match="damaged"):
+        live.keep_latest(live.latest_records(live.read_log(spark, where[0], schema, "key"), "key"), where[1], where[2]).awaitTermination()
+
+
 def test_windows_count_by_time(spark, tmp_path):
     schema = T.StructType().add("key", "string").add("at", "timestamp")
     (tmp_path / "in").mkdir()
@@ -560,3 +584,172 @@ def test_a_source_is_prepared_and_the_selector_tried(spark, tmp_path):
     config = {"policy_version": stages.VERSION, "threshold": told["calibration"]["selected_threshold"], "modes": 8, "cap": 6, "splits": {r["split"]: r["n"] for r in index.groupBy("split").agg(F.count("*").alias("n")).collect()}}
     checks = certify.preflight(told["trial"], told["calibration"], told["sampling"], index.withColumn("label", F.col("label_path")), config)
     assert {n for n, _, ok in checks if not ok} <= {8, 9}  # these depend on what the pictures allow
+
+
+def test_exact_percentiles_narrow_to_the_same_values(spark):
+    """Groups of all kinds, one of which has nearly all rows, with few digits a round so that many rounds are needed."""
+    rng = np.random.default_rng(2)
+    values = [*rng.normal(0, 1e-3, 900), *rng.normal(1e300, 1e299, 20), 0.0, -0.0, 5e-324, -5e-324, float("inf"), float("-inf"), *[0.25] * 500]
+    rows = [("a", float(v)) for v in values] + [("b", 7.0), ("c", None), ("d", None), ("d", 1.5), (None, 2.0), (None, 4.0)]
+    table = spark.createDataFrame(rows, "g string, v double")
+    shares = {"lo": 0.0, "p10": 0.1, "mid": 0.5, "p9": 0.937, "hi": 1.0}
+    want = {r["g"]: tuple(r)[1:] for r in table.groupBy("g").agg(*[F.percentile("v", F.lit(q)).alias(n) for n, q in shares.items()]).collect()}
+    for digits in (8, 16):
+        got = {r["g"]: tuple(r)[1:] for r in percentiles.exact_percentiles(table, ["g"], "v", shares, digits).collect()}
+        assert got == want, digits
+    assert percentiles.exact_percentiles(table.filter("g = 'b'"), [], "v", shares).first()["mid"] == 7.0
+    assert percentiles.exact_percentiles(table.limit(0), ["g"], "v", shares).collect() == []
+    back = table.filter("v IS NOT NULL").select("v", percentiles.unsortable(percentiles.sortable(F.col("v"))).alias("w")).collect()
+    assert all(r["v"] == r["w"] for r in back)
+    nan = spark.createDataFrame([(float(x),) for x in ("nan", "1", "2")], "v double")
+    assert np.isnan(percentiles.exact_percentiles(nan, [], "v", {"hi": 1.0}).first()["hi"]) and percentiles.exact_percentiles(nan, [], "v", {"mid": 0.5}).first()["mid"] == 2.0
+
+
+def test_no_group_keeps_its_values_in_one_map(spark):
+    """No aggregate that collects values stands in the plans of the reports by mode and threshold."""
+    rows = spark.range(100).select(F.col("id").cast("string").alias("image"), F.lit("m").alias("mode"), F.lit(True).alias("passed"), (F.col("id") / 7).alias("benefit"))
+    plan = decide.mode_report(rows)._jdf.queryExecution().toString()
+    assert "percentile(" not in plan
+
+
+def test_json_is_read_in_parts(spark, tmp_path, monkeypatch):
+    odd = ['a"b', "\\", '\\\\"', "}{", "[,]", "", ",\"", "漢", None, 1.5, True, {"x": [1, {"y": "]"}]}, [], {}]
+    docs = {f"k{i}": [odd[(i + j) % len(odd)] for j in range(i)] for i in range(9)} | {'q"\\': {"m": 1, "n": [2]}, "none": [], "scalar": 3}
+    whole = [{"id": i, "v": odd[i % len(odd)]} for i in range(40)]
+    for name, doc, indent in (("object", docs, None), ("pretty", docs, 2), ("array", whole, 1)):
+        (tmp_path / f"{name}.json").write_text(json.dumps(doc, indent=indent, ensure_ascii=False))
+    uri = lambda name: f"file://{tmp_path}/{name}.json"
+    monkeypatch.setattr(bigjson, "MORE", 5)
+    for chunk in (23, 1 << 20):
+        items = bigjson.json_items(spark, [uri("array")], 1, chunk).orderBy("at").collect()
+        assert [json.loads(r["text"]) for r in items] == whole
+        members = {}
+        for r in bigjson.json_items(spark, [uri("object")], 1, chunk).collect():
+            members |= json.loads("{" + r["text"] + "}")
+        assert members == docs
+        got = bigjson.json_items(spark, [uri("object"), uri("pretty")], 2, chunk).orderBy("file", "at").collect()
+        for name in ("object", "pretty"):
+            for key, value in docs.items():
+                texts = [r["text"] for r in got if r["file"] == uri(name) and r["key"] == key]
+                assert [json.loads(t if isinstance(value, list) else "{" + t + "}") for t in texts] == (value if isinstance(value, list) else [{k: v} for k, v in value.items()] if isinstance(value, dict) else [])
+    starts = bigjson.chunk_states(spark, [uri("array")], 17)
+    assert starts.count() == -(-(tmp_path / "array.json").stat().st_size // 17) and starts.rdd.getNumPartitions() >= 1
+    (tmp_path / "torn.json").write_text('{"a": [1, 2')
+    with pytest.raises(Exception, match="damaged"):
+        bigjson.json_items(spark, [uri("torn")]).collect()
+    with pytest.raises(FileNotFoundError):
+        bigjson.json_items(spark, [uri("absent")])
+
+
+def test_indexes_are_read_and_written_in_parts(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(indexes, "ITEMS", 7)
+    rows = spark.range(30).select(F.concat("id", F.lit(".png")).alias("prepared_image"), F.lit("train").alias("split"), F.col("id").cast("int").alias("width"))
+    indexes.write_image_index(rows, f"file://{tmp_path}/images")
+    assert len(list((tmp_path / "images").glob("*.json"))) > 2
+    read = indexes.read_image_index(spark, f"file://{tmp_path}/images", 50)
+    assert sorted((r["prepared_image"], r["width"]) for r in read.collect()) == sorted((f"{i}.png", i) for i in range(30))
+    (tmp_path / "one.json").write_text(json.dumps({f"{i}.png": [{"class_id": 0, "bbox_xywh": [1.0, 2.0, 3.0, float(i)]}] * i for i in range(5)}, indent=2))
+    notes = {r["image"]: r["annotations"] for r in indexes.read_annotation_index(spark, f"file://{tmp_path}/one.json", 30).collect()}
+    assert {k: len(v) for k, v in notes.items()} == {f"{i}.png": i for i in range(5)} and notes["3.png"][0]["bbox_xywh"][3] == 3.0
+    (tmp_path / "bad.json").write_text('[{"prepared_image": 1}, {"prepared_image": ]')
+    with pytest.raises(Exception):  # noqa: B017
+        indexes.read_image_index(spark, f"file://{tmp_path}/bad.json").collect()
+
+
+def test_files_become_visible_together_or_not_at_all(spark, tmp_path):
+    folder = f"file://{tmp_path}/out"
+    files = spark.range(20).select(F.format_string("s%d/f%d.txt", F.col("id") % 3, F.col("id")).alias("name"), F.col("id").cast("string").cast("binary").alias("content"), F.lit("k").alias("kind"))
+    seen = lambda: sorted(str(p.relative_to(tmp_path / "out")) for p in (tmp_path / "out").rglob("*.txt") if "_staging" not in p.parts)
+    broken = files.withColumn("content", F.when(F.col("name") == "s1/f13.txt", F.raise_error(F.lit("the disk went"))).otherwise(F.col("content")))
+    with pytest.raises(Exception, match="the disk went"):
+        images.write_files(broken, folder)
+    assert seen() == []
+    filesink.recover(spark, folder)  # a task that was still writing may have left something that no one sees
+    assert not (tmp_path / "out" / "_staging").exists()
+    job = filesink.stage(files.repartition(3), folder, ["kind"])
+    assert seen() == []  # committed, and the driver died before the move
+    filesink.stage(files, folder)
+    (tmp_path / "out" / "_staging" / "torn" / "x" / "files").mkdir(parents=True)
+    assert filesink.recover(spark, folder) == {"published": 2, "dropped": 1}
+    assert len(seen()) == 20 and not (tmp_path / "out" / "_staging").exists()
+    told = images.write_files(files.withColumn("content", F.lit("new").cast("binary")), folder, ["kind"]).collect()
+    assert {r["name"] for r in told} == set(seen()) and {(r["length"], r["kind"]) for r in told} == {(3, "k")}
+    assert all((tmp_path / "out" / n).read_text() == "new" for n in seen()) and len({r["sha256"] for r in told}) == 1
+    job = filesink.stage(files, folder)
+    place = next((tmp_path / "out" / "_staging" / job).glob("*/files/s0/f0.txt"))
+    place.rename(tmp_path / "out" / "s0" / "f0.txt")  # the first move was done, then the driver died
+    assert filesink.publish(spark, folder, job).count() == 20 and (tmp_path / "out" / "s0" / "f0.txt").read_text() == "0"
+    assert images.write_files(files.limit(0), folder).count() == 0
+
+
+def test_one_run_at_a_time_and_what_it_tells_first(spark, tmp_path, monkeypatch):
+    root, out = f"file://{tmp_path}/in", f"file://{tmp_path}/out"
+    for i in range(4):
+        (tmp_path / "in" / "train" / "images").mkdir(parents=True, exist_ok=True)
+        (tmp_path / "in" / "train" / "images" / f"i{i}.png").write_bytes(images.encode_png(picture(i)))
+    records = spark.createDataFrame([(f"train/images/i{i}.png", "", "train", f"g{i}", 0, 64, 48) for i in range(4)], "image string, label string, split string, group string, target_count int, width int, height int")
+
+    def dying(spark, todo, out_, rules):
+        told = reports.read_json(f"{out}/metadata/run_configuration.json")
+        assert told["runtime_selector_label_free"] and told["frozen_threshold"] == 0.02 and reports.read_json(f"{out}/metadata/frozen_policy.json") == json.loads(json.dumps(rules))
+        assert reports.read_json(f"{out}/metadata/source_dataset_info.json") == {"about": 1}
+        with pytest.raises(runlog.Locked, match=told["run"]):
+            curation.run(spark, records, root, out)
+        raise RuntimeError("stopped")
+
+    monkeypatch.setattr(curation, "_batch", dying)
+    with pytest.raises(RuntimeError, match="stopped"):
+        curation.run(spark, records, root, out, told={"about": 1})
+    assert not (tmp_path / "out" / runlog.LOCK).exists()
+    (tmp_path / "out" / runlog.LOCK).write_text('{"run": "dead"}')
+    with pytest.raises(runlog.Locked, match="dead"):
+        curation.run(spark, records, root, out, told={"about": 1})
+    with pytest.raises(RuntimeError, match="stopped"):
+        curation.run(spark, records, root, out, take_over=True, told={"about": 1})
+    assert not (tmp_path / "out" / runlog.LOCK).exists()
+
+
+def test_a_batch_reads_its_own_records_only(spark):
+    rows = spark.range(100).withColumn("image", F.concat(F.lit("i"), "id"))
+    parts = runlog.in_batches(rows, "image", 15, "todo")
+    assert 2 < len(parts) <= 7 and sorted(r["id"] for p in parts for r in p.collect()) == list(range(100))
+    files = [set(p.inputFiles()) for p in parts]
+    assert all(len(f) == 1 for f in files) and len(set().union(*files)) == len(parts)
+    assert runlog.in_batches(rows.limit(0), "image", 15, "todo") == []
+
+
+def test_a_prepared_set_is_verified_and_made_anew(spark, tmp_path):
+    out = f"file://{tmp_path}/out"
+    rows = []
+    for i in range(4):
+        data = images.encode_png(picture(i))
+        for kind, name, content in (("images", f"i{i}.png", data), ("labels", f"i{i}.txt", b"0 0.5 0.5 0.1 0.1\n")):
+            (tmp_path / "out" / "train" / kind).mkdir(parents=True, exist_ok=True)
+            (tmp_path / "out" / "train" / kind / name).write_bytes(content)
+        rows.append((f"train/images/i{i}.png", f"train/labels/i{i}.txt", "0 0.5 0.5 0.1 0.1\n", 1, 64, 48, hashlib.sha256(data).hexdigest()))
+    index = spark.createDataFrame(rows, "image string, label_path string, label string, target_count int, width int, height int, sha256 string")
+    faults = lambda: {tuple(r) for r in stages.prepared_faults(spark, index, out, True).collect()}
+    assert faults() == set()
+    (tmp_path / "out/train/labels/i0.txt").write_text("0 0.5 0.5 0.1 0.2\n")
+    (tmp_path / "out/train/labels/i1.txt").unlink()
+    (tmp_path / "out/train/labels/more.txt").write_text("0")
+    (tmp_path / "out/train/images/i2.png").write_bytes(images.encode_png(picture(9, 40, 64)))
+    (tmp_path / "out/train/images/i3.png").write_bytes(b"no image")
+    got = faults()
+    assert {("train/labels/i0.txt", "label differs"), ("train/labels/i1.txt", "missing"), ("train/labels/more.txt", "extra"), ("train/images/i2.png", "sha256 differs"), ("train/images/i2.png", "height differs"), ("train/images/i3.png", "sha256 differs"), ("train/images/i3.png", "width differs")} <= got
+    (tmp_path / "out" / "kept.txt").write_text("of someone else")
+    stages.clear_prepared(out)
+    assert not list((tmp_path / "out" / "train").rglob("*.txt")) and (tmp_path / "out" / "kept.txt").exists()
+
+
+def test_the_entry_works_without_the_text_operators(tmp_path):
+    """From a copy that lacks their folders, with and without the pipeline's file."""
+    root = Path(__file__).parents[1]
+    shutil.copytree(root / "sievework", tmp_path / "sievework", ignore=shutil.ignore_patterns("llm", "__pycache__"))
+    shutil.copy(root / "__spark_entry__.py", tmp_path)
+    code = "import __spark_entry__ as e; names = set(e.queries()); assert names > set(e.oracle_sql()) and len(names) > 80 and not any(n.startswith('op') or n == 'pipeline' for n in names)"
+    for name in ("", "corpus_pipeline.py"):
+        if name and (root / name).exists():
+            shutil.copy(root / name, tmp_path)
+        told = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
+        assert told.returncode == 0, told.stderr
