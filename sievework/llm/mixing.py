@@ -14,6 +14,8 @@ from .text import hash_unit, n_words
 BINS = 256
 #: Weight of a document's inclusion odds: this, and the tilt times the binary digits of its size.
 LEAST_LEAN, TILT = 8, 1
+#: Share of its target by which a source may miss it unmended, and documents at most that are put in or out to mend it.
+NEAR, SWAPS = 0.002, 6
 #: Rows up to which the plan, one for each source and binary length of a size, is broadcast to the documents; more are joined by shuffle.
 BROADCAST_PLAN = 100_000
 
@@ -87,55 +89,74 @@ def _ordered(sized: DataFrame, plan: DataFrame, few: bool) -> DataFrame:
     return out.withColumn("bin", F.floor(F.log("v") * BINS).cast("int"))
 
 
-def _cut(open_docs: DataFrame, budget: str) -> DataFrame:
-    """Per source, the last place in the order up to which all sizes together stay within ``budget``.
+def _key() -> Column:
+    return F.struct("v", "id", "size")
 
-    Rows: source, bin (all earlier bins are within), place (last key within that bin; null: none).
+
+def _cut(open_docs: DataFrame) -> DataFrame:
+    """Per source, the place in the order up to which all sizes together come nearest to ``rest``.
+
+    Rows: cut_source, bin (all earlier bins are within; null: all bins are), place (last key within that bin; null: none)
+    and used, the sizes up to there. The document that crosses ``rest`` is within if that is nearer.
     Sizes are summed by bin first, so a source that holds most rows is never sorted in one task.
     """
-    bins = open_docs.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"), F.first(budget).alias("budget"))
+    bins = open_docs.groupBy("source", "bin").agg(F.sum("size").alias("bin_size"), F.first("rest").alias("rest"))
     running = Window.partitionBy("source").orderBy("bin")
-    first = (
-        bins.withColumn("upto", F.sum("bin_size").over(running))
-        .filter(F.col("upto") > F.col("budget"))
-        .groupBy("source")
-        .agg(F.min(F.struct("bin", F.expr("upto - bin_size").alias("before"))).alias("at"))
-        .select(F.col("source").alias("cut_source"), F.col("at.bin").alias("cut_bin"), F.col("at.before").alias("before"))
-    )
-    inside = open_docs.join(first, F.col("source").eqNullSafe(F.col("cut_source")) & (F.col("bin") == F.col("cut_bin")))
-    within = Window.partitionBy("cut_source", "cut_bin").orderBy("v", "id", "size")
-    place = F.max(F.when(F.col("before") + F.col("upto") <= F.col(budget), F.struct("v", "id", "size")))
-    return inside.withColumn("upto", F.sum("size").over(within)).groupBy("cut_source", "cut_bin").agg(place.alias("place"))
+    crossing = F.when(F.col("upto") > F.col("rest"), F.struct("bin", F.expr("upto - bin_size").alias("before")))
+    first = bins.withColumn("upto", F.sum("bin_size").over(running)).groupBy("source").agg(F.min(crossing).alias("at"), F.sum("bin_size").alias("all"))
+    first = materialize(first.select(F.col("source").alias("cut_source"), F.col("at.bin").alias("cut_bin"), F.col("at.before").alias("before"), "all"), "mix-bins")
+    some = first.select(F.col("cut_source").alias("source_"), F.col("cut_bin").alias("bin_"), F.col("before").alias("before_")).filter("bin_ IS NOT NULL")
+    inside = open_docs.join(some, F.col("source").eqNullSafe(F.col("source_")) & (F.col("bin") == F.col("bin_")))
+    upto = F.col("before_") + F.sum("size").over(Window.partitionBy("source_", "bin_").orderBy("v", "id", "size"))
+    reached = F.struct(_key().alias("place"), F.col("upto"))
+    ends = inside.withColumn("upto", upto).groupBy("source_").agg(F.max(F.when(F.col("upto") <= F.col("rest"), reached)).alias("last"), F.min(F.when(F.col("upto") > F.col("rest"), reached)).alias("next"), F.first("rest").alias("rest"))
+    joined = first.join(ends, F.col("cut_source").eqNullSafe(F.col("source_")), "left")
+    short = F.coalesce(F.col("last.upto"), F.col("before"))
+    nearer = F.col("next.upto") - F.col("rest") < F.col("rest") - short
+    place = F.when(nearer, F.col("next.place")).otherwise(F.col("last.place"))
+    used = F.when(F.col("cut_bin").isNull(), F.col("all")).when(nearer, F.col("next.upto")).otherwise(short)
+    return joined.select("cut_source", F.col("cut_bin").alias("bin_1"), place.alias("place_1"), used.alias("used"))
 
 
 def _within(bin_: Column, cut_bin: Column, place: Column) -> Column:
-    key = F.struct(F.col("v"), F.col("id"), F.col("size"))
-    return F.col("v").isNotNull() & (cut_bin.isNull() | (bin_ < cut_bin) | ((bin_ == cut_bin) & F.coalesce(key <= place, F.lit(False))))
+    return F.col("v").isNotNull() & (cut_bin.isNull() | (bin_ < cut_bin) | ((bin_ == cut_bin) & F.coalesce(_key() <= place, F.lit(False))))
+
+
+def _first_choice() -> Column:
+    return _within(F.col("bin"), F.col("bin_1"), F.col("place_1"))
+
+
+def _swapped(open_docs: DataFrame) -> DataFrame:
+    """Per source that misses its target by more than ``NEAR``, the document that, put in or out, brings it nearest."""
+    change = F.when(_first_choice(), -F.col("size")).otherwise(F.col("size"))
+    off = F.abs(F.col("gap") - change)
+    able = (F.abs("gap") > NEAR * F.col("target")) & (off < F.abs("gap")) & ~F.array_contains("swaps", _key())
+    best = open_docs.filter(able).groupBy(F.col("source").alias("swap_source")).agg(F.min(F.struct(off.alias("off"), _key().alias("key"), change.alias("change"))).alias("best"))
+    return best.select("swap_source", F.col("best.key").alias("swap"), F.col("best.change").alias("change"))
 
 
 def mixing_plan(sized: DataFrame, weights: tuple[float, ...], share: float, cap: float, tilt: int) -> DataFrame:
-    """One row per source and kind: target, whole copies that are certain, odds of one more, and the cuts of the order.
+    """One row per source and kind: target, whole copies that are certain, odds of one more, the cut of the order, and swaps.
 
-    ``sized``: source, id, size, kind, unit. A second cut takes from what the first left, among documents no
-    larger than the gap, so the words taken come near the target.
+    ``sized``: source, id, size, kind, unit. After the cut, documents are put in or out one by one, each the one that
+    brings its source nearest to its target, until all are near or nothing helps, ``SWAPS`` times at most.
     """
     kinds = materialize(sized.groupBy("source", "kind").agg(F.sum("size").alias("kind_size")), "mix-kinds")
     targets = source_targets(kinds.groupBy("source").agg(F.sum("kind_size").alias("source_size")), weights, share, cap).withColumnRenamed("source", "target_source")
     rated = kinds.join(targets, F.col("source").eqNullSafe(F.col("target_source"))).drop("target_source")
     plan = materialize(inclusion_rates(rated, cap, tilt), "mix-plan")
     few = _few(plan)
-    for n in (1, 2):
-        open_docs = _ordered(sized, plan, few).filter(F.col("p") > 0)
-        if n == 2:
-            open_docs = open_docs.filter(~_within(F.col("bin"), F.col("bin_1"), F.col("place_1")) & (F.col("size") <= F.col("gap_1")))
-        cut = _cut(open_docs, "rest" if n == 1 else "gap_1").select("cut_source", F.col("cut_bin").alias(f"bin_{n}"), F.col("place").alias(f"place_{n}"))
-        plan = plan.join(cut, F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
-        if n == 1:
-            taken = _ordered(sized, plan, few).filter(_within(F.col("bin"), F.col("bin_1"), F.col("place_1")))
-            taken = taken.groupBy(F.col("source").alias("taken_source")).agg(F.sum("size").alias("taken_1"))
-            plan = plan.join(taken, F.col("source").eqNullSafe(F.col("taken_source")), "left").drop("taken_source")
-            plan = plan.withColumn("gap_1", F.col("rest") - F.coalesce(F.col("taken_1"), F.lit(0)))
-        plan = materialize(plan, f"mix-cut-{n}")
+    open_docs = lambda: _ordered(sized, plan, few).filter(F.col("p") > 0)
+    plan = plan.join(_cut(open_docs()), F.col("source").eqNullSafe(F.col("cut_source")), "left").drop("cut_source")
+    none = F.array().cast("array<struct<v:double,id:bigint,size:bigint>>")
+    plan = materialize(plan.withColumns({"gap": F.col("rest") - F.coalesce("used", F.lit(0)), "swaps": none}).drop("used"), "mix-cut")
+    for _ in range(SWAPS):
+        swaps = materialize(_swapped(open_docs()), "mix-swap")
+        if swaps.isEmpty():
+            break
+        plan = plan.join(swaps, F.col("source").eqNullSafe(F.col("swap_source")), "left").drop("swap_source")
+        more = F.when(F.col("swap").isNotNull(), F.array_append("swaps", F.col("swap"))).otherwise(F.col("swaps"))
+        plan = materialize(plan.withColumns({"gap": F.col("gap") - F.coalesce("change", F.lit(0)), "swaps": more}).drop("swap", "change"), "mix-plan")
     return plan
 
 
@@ -145,12 +166,13 @@ def mix(docs: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0), share: fl
     Each source's target is dealt to its documents as expected copies, more to long ones: in proportion to
     ``LEAST_LEAN`` and ``tilt`` times the binary digits of the size (0: alike), up to ``cap``. The whole part is
     certain; for the rest, documents are ranked by Pareto's variable, random odds over their own inclusion odds,
-    and taken in that order while their sizes fit. A last cut among documents that fit the gap adds a few more
-    than their odds say. Only the plan, a few rows per source, is joined to the documents.
+    and taken in that order up to the place nearest to the target. Then a few documents are put in or out, up to
+    ``SWAPS`` a source, whatever their odds, until it is within ``NEAR`` of its target. Only the plan, a few rows per
+    source, is joined to the documents.
 
     A null text has size 0, a null source is a source of its own, a null id counts as the smallest.
-    Rows with equal id and size have one place in the order and are taken or left together. An empty
-    table gives an empty one. Other columns are kept; those four names are replaced.
+    Rows with equal id and size have one place in the order and are taken or left together (one that is put in or
+    out counts once). An empty table gives an empty one. Other columns are kept; those four names are replaced.
     """
     docs = docs.drop("size", "source_size", "target", "copies")
     row = _sized(docs, seed, F.struct("*").alias("row"))
@@ -165,9 +187,9 @@ def _sized(docs: DataFrame, seed: str, more: Column) -> DataFrame:
 
 
 def _copies(sized: DataFrame, plan: DataFrame) -> DataFrame:
-    first = _within(F.col("bin"), F.col("bin_1"), F.col("place_1"))
-    second = (F.col("size") <= F.col("gap_1")) & _within(F.col("bin"), F.col("bin_2"), F.col("place_2"))
-    return _ordered(sized, plan, _few(plan)).withColumn("copies", (F.col("whole") + F.coalesce(first | second, F.lit(False)).cast("int")).cast("long"))
+    swapped = F.array_contains("swaps", _key())
+    more = F.coalesce(_first_choice() != swapped, F.lit(False))
+    return _ordered(sized, plan, _few(plan)).withColumn("copies", (F.col("whole") + more.cast("int")).cast("long"))
 
 
 def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +199,18 @@ def op2_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
-_OPEN_2 = "NOT coalesce(t1, false) AND p > 0 AND size <= gap"
+def _sql_swap(n: int) -> str:
+    """The swap after ``n`` earlier ones: ``t`` tells whether a document is in by the cut, ``o`` whether it was put in or out since."""
+    return f"""
+best{n} AS (
+  SELECT source, arg_min({{'v': v, 'id': id, 'size': size}}, {{'o': abs(gap - CASE WHEN t THEN -size ELSE size END), 'v': v, 'i': id, 's': size}}) AS swap FROM state{n}
+  WHERE p > 0 AND NOT o AND abs(gap) > {NEAR}::DOUBLE * target AND abs(gap - CASE WHEN t THEN -size ELSE size END) < abs(gap) GROUP BY source),
+state{n + 1} AS (
+  SELECT s.* EXCLUDE (o, gap), o OR coalesce(v = swap.v AND id = swap.id AND size = swap.size, false) AS o,
+    gap - coalesce(max(CASE WHEN v = swap.v AND id = swap.id AND size = swap.size THEN CASE WHEN t THEN -size ELSE size END END) OVER (PARTITION BY s.source), 0) AS gap
+  FROM state{n} s LEFT JOIN best{n} b ON s.source IS NOT DISTINCT FROM b.source),"""
+
+
 OP2_SQL = f"""
 WITH counted AS (
   SELECT doc_id, source, coalesce(doc_id, -9223372036854775808) AS id,
@@ -214,10 +247,12 @@ ordered AS (
   SELECT s.*, plan.source_size, target, whole, p, rest,
     CASE WHEN p > 0 THEN (unit / (1.0::DOUBLE - unit)) / (p / (1.0::DOUBLE - p)) END AS v
   FROM sized s JOIN plan ON s.source IS NOT DISTINCT FROM plan.source AND s.kind = plan.kind),
-first AS (
-  SELECT *, p > 0 AND sum(size) OVER (PARTITION BY source, p > 0 ORDER BY v, id, size) <= rest AS t1 FROM ordered),
-gaps AS (SELECT *, rest - coalesce(sum(size) FILTER (WHERE t1) OVER (PARTITION BY source), 0) AS gap FROM first),
-second AS (
-  SELECT *, {_OPEN_2} AND sum(size) OVER (PARTITION BY source, {_OPEN_2} ORDER BY v, id, size) <= gap AS t2 FROM gaps)
-SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN coalesce(t1, false) OR coalesce(t2, false) THEN 1 ELSE 0 END))::BIGINT AS taken FROM second
+first AS (SELECT *, sum(size) OVER (PARTITION BY source, p > 0 ORDER BY v, id, size) AS upto FROM ordered),
+cuts AS (
+  SELECT source, coalesce(max(upto) FILTER (WHERE p > 0 AND upto <= rest), 0) AS short, min(upto) FILTER (WHERE p > 0 AND upto > rest) AS long, any_value(rest) AS r FROM first GROUP BY source),
+state0 AS (
+  SELECT f.*, coalesce(p > 0 AND upto <= CASE WHEN long - r < r - short THEN long ELSE short END, false) AS t, false AS o, rest - CASE WHEN long - r < r - short THEN long ELSE short END AS gap
+  FROM first f JOIN cuts c ON f.source IS NOT DISTINCT FROM c.source),{"".join(map(_sql_swap, range(SWAPS)))}
+last AS (SELECT * FROM state{SWAPS})
+SELECT doc_id, size, source_size, target, (size * (whole + CASE WHEN t <> o THEN 1 ELSE 0 END))::BIGINT AS taken FROM last
 """
