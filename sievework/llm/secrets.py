@@ -21,12 +21,19 @@ from .text import slices
 
 #: Candidates besides private key blocks: a credential in a URL, a value assigned to a telling name, or a long run.
 PATTERN = re.compile(
-    r"(?<=://)[^\s:/@]*:[^\s:/@]{3,}(?=@)"
+    r"(?<=://)[^\s:/@]*:[^\s:/@]+(?=@)"
     r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}"
     r"|(?<=[:=])[ \t]*[\"'][^\"'\s]{6,}[\"']"
 )
-#: The first and the last line of a private key block; all between is the key, headers and hyphens too.
-KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z ]*PRIVATE KEY-----")
+#: A value given to a telling name, of any form and length: quoted to the end of the quotes, else to the next space or bracket.
+NAMED = re.compile(
+    r"(?i)(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?)[A-Za-z0-9_-]*[\"']?"
+    r"[ \t]*(?:=>|:=|[:=])[ \t]*(\"[^\"\n]+\"|'[^'\n]+'|[^\s\"'<>,;(){}\[\]]+)"
+)
+#: The first and the last line of a private key block; all between is the key, headers and hyphens too. Without a last
+#: line the key is what follows in lines of its letters.
+KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
+_KEY_LINES = re.compile(r"(?:\r?\n[A-Za-z0-9+/=]{16,})*")
 KINDS = ("private_key", "url_credential", "assigned", "token")
 #: Prefixes by which issuers mark their keys.
 ISSUED = ("AKIA", "ASIA", "ghp_", "gho_", "ghs_", "github_pat_", "glpat-", "sk_live_", "sk-", "rk_live_", "xoxb-", "xoxp-", "AIza", "eyJ", "npm_", "pypi-", "SG.", "hf_")
@@ -103,14 +110,26 @@ def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
             begin = None
         else:
             if begin:
-                yield begin.span()
+                yield begin.start(), _KEY_LINES.match(text, begin.end(), m.start()).end()
             begin = m
     if begin:
-        yield begin.span()
+        yield begin.start(), _KEY_LINES.match(text, begin.end()).end()
 
 
 def _others(text: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
-    """Candidates of the other kinds between two places."""
+    """Candidates of the other kinds between two places: values of telling names, and what lies between these."""
+    for m in NAMED.finditer(text, start, stop):
+        a, b = m.span(1)
+        if "://" in text[a:b]:
+            continue
+        yield from _unnamed(text, start, a)
+        quoted = text[a] in "\"'"
+        yield a + quoted, b - quoted, KINDS[2]
+        start = b
+    yield from _unnamed(text, start, stop)
+
+
+def _unnamed(text: str, start: int, stop: int) -> Iterator[tuple[int, int, str]]:
     for m in PATTERN.finditer(text, start, stop):
         a, b = m.span()
         if b < len(text) and text[b] == "@" and ":" in text[a:b] and text[max(0, a - 3) : a] == "://":
@@ -127,8 +146,8 @@ def example_findings(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
     """Labelled findings (text with one candidate, path, 1 for a secret), made by rule from a seed.
 
     They stand in for a table of reviewed findings: keys of the common issuers, random hexadecimal and
-    base64 keys behind telling names, passwords in URLs and assignments; against them checksums, commit
-    ids, UUIDs, placeholders, identifiers, file names, paths, versions and words.
+    base64 keys behind telling names, passwords in URLs and assignments, short and unquoted ones too; against them
+    checksums, commit ids, UUIDs, placeholders, identifiers, file names, paths, versions, words and code.
     """
     r = random.Random(seed)
     pick = lambda letters, k: "".join(r.choice(letters) for _ in range(k))
@@ -137,7 +156,15 @@ def example_findings(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
     word = lambda: "".join(r.choice(syllables) for _ in range(r.randint(1, 4)))
     name = lambda: r.choice(["token", "secret", "password", "api_key", "apikey", "access_key", "auth_token", "client_secret", "passwd", "SECRET_KEY", "aws_secret_access_key", "bearer"])
     plain = lambda: r.choice(["id", "name", "value", "ref", "title", "class", "href", "file", "label", "lang"])
+    loud = lambda: r.choice(["DB_PASSWORD", "PASSWORD", "ADMIN_PWD", "API_KEY", "SMTP_PASSWORD", "JWT_SECRET", "password", "passwd", "pwd", "secret", "api_key", "user_password"])
+    mark = lambda: r.choice("!#$%&*?@-_.")
+    short = lambda: r.choice([f"{word()}{r.randint(0, 9999)}", pick(alnum, r.randint(5, 14)), f"{word().title()}{r.randint(1, 99)}{mark()}", f"{word()}{mark()}{word()}{r.randint(0, 99)}", pick(alnum + "!#$%&*?", r.randint(5, 10)), pick(hexa, r.randint(8, 16))])
     good = [
+        lambda: f"{loud()}{r.choice(['=', ': ', ' = ', ':'])}{short()}",
+        lambda: f"export {loud().upper()}={short()}",
+        lambda: f'{loud()}{r.choice(["=", ": ", " = "])}"{short()}"',
+        lambda: f"{loud()}{r.choice(['=', ': '])}'{word()} {word()} {word()} {r.randint(1, 999)}'",
+        lambda: f"{r.choice(['ftp', 'https', 'redis', 'smtp'])}://{word()}:{short()}@{word()}.example.org",
         lambda: f'{name()} = "{pick(hexa, r.choice([32, 40, 48, 64]))}"',
         lambda: f"{name()}={pick(alnum, r.randint(20, 64))}",
         lambda: f'{name()}: "{pick(alnum + "+/", r.choice([40, 44, 64]))}"',
@@ -151,7 +178,11 @@ def example_findings(n: int = EXAMPLES, seed: int = 11) -> list[tuple[str, str,
         lambda: f"-----BEGIN {r.choice(['RSA ', 'EC ', ''])}PRIVATE KEY-----\n{pick(alnum + '+/', 64)}\n{pick(alnum + '+/', 64)}\n-----END RSA PRIVATE KEY-----",
         lambda: f'{name()} = "{pick(alnum + "!#%&*", r.randint(10, 24))}"',
     ]
+    code = ["None", "null", "nil", "true", "false", "string", "str", "undefined", "required", "optional", "os.environ", "self.token", "config.get", "${TOKEN}", "$1", "%s", "?", "***", "...", "request.form", "process.env.TOKEN", "hidden", "redacted", "TODO", "changeme", "password", "secret"]
     bad = [
+        lambda: f"{loud()}{r.choice(['=', ': ', ' = ', ':'])}{r.choice(code)}",
+        lambda: f"{loud()}: {word()} {word()}",
+        lambda: f'{loud()} = "{r.choice(code)}"',
         lambda: f"{r.choice(['commit', 'sha1', 'revision', 'checksum:'])} {pick(hexa, 40)}",
         lambda: f"{r.choice(['md5', 'etag', 'digest', 'hash'])}: {pick(hexa, 32)}",
         lambda: f"sha256-{pick(hexa, 64)}",
