@@ -5,11 +5,13 @@ from __future__ import annotations
 import argparse
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .operators import certify, decide, sampling
 from .plans import curation, stages
+from .sources import indexes
+from .sources.images import read_texts
 from .sources.reports import read_object
 
 
@@ -23,7 +25,7 @@ def arguments(given: list[str]) -> argparse.Namespace:
     mode.add_argument("--full", action="store_true", help="process all records, going on where a stopped run ended")
     p.add_argument("--reset", action="store_true", help="forget what an earlier full run has finished")
     p.add_argument("--take-over", action="store_true", help="go on in the place of a run that died and left its lock")
-    p.add_argument("--records", help="Parquet table: image, label_path, label (its text), split, group, target_count, width, height")
+    p.add_argument("--records", help="Parquet table, or image index as JSON: image, label_path, label (its text), split, group, target_count, width, height")
     p.add_argument("--images", help="folder of the images, as a URI")
     p.add_argument("--reports", help="folder with trial.json, calibration.json, sampling.json and config.json, as a URI")
     p.add_argument("--out", help="folder of the outputs, as a URI")
@@ -40,13 +42,22 @@ def arguments(given: list[str]) -> argparse.Namespace:
     return told
 
 
+def read_records(spark: SparkSession, path: str, images: str | None) -> DataFrame:
+    """The records of a prepared dataset: a Parquet table, or its image index as JSON (a document, or a folder of several), with the labels' texts from below ``images``."""
+    if not indexes.is_index(path):
+        return spark.read.parquet(path)
+    index = indexes.read_image_index(spark, path).withColumnsRenamed({"prepared_image": "image", "prepared_label": "label_path", "deployment": "group"})
+    labels = read_texts(index.select(F.col("label_path").alias("name")), images).withColumnRenamed("text", "label")
+    return index.join(labels, index["label_path"] == labels["name"], "left").drop("name")
+
+
 def main(given: list[str], spark: SparkSession | None = None) -> int:
     told = arguments(given)
     spark = spark or SparkSession.builder.appName("sievework").getOrCreate()
     if told.prepare:
         stages.prepare_dataset(spark, told.prepare, told.out, copy=True)
         return 0
-    records = spark.read.parquet(told.records)
+    records = read_records(spark, told.records, told.images)
     if told.calibrate:
         print(stages.try_out(spark, records, told.images, told.reports)["approval_status"])
         return 0

@@ -57,3 +57,9 @@ def relative_path(path: Column, root: Column) -> Column:
 def numbered(n: Column, digits: int = 2) -> Column:
     """A number padded with zeros to a width."""
     return F.format_string(f"%0{digits}d", n)
+
+
+def merged_class(category: Column, targets: list[str], name: str, other: str = "other") -> Column:
+    """The one class that all target categories become, whatever their case and spaces; all else, null too, is ``other``."""
+    wanted = [t.strip().upper() for t in targets]
+    return F.when(F.upper(F.trim(category)).isin(wanted), name).otherwise(other)

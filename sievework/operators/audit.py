@@ -26,6 +26,15 @@ def count_by(records: DataFrame, *keys: str | Column, name: str = "n") -> DataFr
     return records.groupBy(*keys).agg(F.count("*").alias(name))
 
 
+def required_values(records: DataFrame, group: str, value: str, wanted: list[str]) -> DataFrame:
+    """Per group whether it has every wanted value (``has_all``), and its number of records; values are told apart within tasks first."""
+    has = [F.bool_or(F.coalesce(F.col(value) == w, F.lit(False))) for w in wanted]
+    whole = has[0]
+    for one in has[1:]:
+        whole = whole & one
+    return records.groupBy(group).agg(whole.alias("has_all"), F.count("*").alias("n"))
+
+
 def target_counts(children: DataFrame, key: str, is_target: Column) -> DataFrame:
     """Children of each key that are targets, and the others."""
     return children.groupBy(key).agg(F.count_if(is_target).alias("target_count"), F.count_if(~is_target).alias("other_count"))

@@ -65,6 +65,17 @@ def gate(evaluations: DataFrame, rules: Rules) -> DataFrame:
     return evaluations.withColumn("reasons", all_failing(rules)).withColumn("passed", F.size("reasons") == 0)
 
 
+def with_modes(records: DataFrame) -> DataFrame:
+    """Each record with every candidate mode: its name, risk class and ``priority``, the place in the order of preference."""
+    modes = F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(r).alias("risk"), F.lit(i).alias("priority")) for i, (m, r) in enumerate(MODES.items())])
+    return records.select("*", F.explode(modes).alias("mode_")).select("*", "mode_.*").drop("mode_")
+
+
+def passed_by_image(evaluations: DataFrame) -> DataFrame:
+    """Per image whether any mode passed the gate, whether all did, and whether all left the regions whole."""
+    return evaluations.groupBy("image").agg(F.bool_or("passed").alias("any_passed"), F.bool_and("passed").alias("all_passed"), F.bool_and("region_passed").alias("all_regions_passed"))
+
+
 def region_audit(evaluations: DataFrame) -> DataFrame:
     """Adds ``region_reasons`` and ``region_passed`` from ``boxes``, ``tiny_boxes``, ``any_*`` and ``tiny_*`` metrics.
 

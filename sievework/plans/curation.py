@@ -13,7 +13,7 @@ import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.naming import group_name
+from ..functions.naming import group_name, required_group
 from ..operators import decide, kernels, pixels, split
 from ..operators.certify import canonical_hash, require_policy, require_verified, valid_checkpoints, verify
 from ..operators.kernels import TRANSFORMS, pixels_of
@@ -34,7 +34,7 @@ def prepare(records: DataFrame, attempts: int = 300, seed: int = 42) -> DataFram
     """
     signs = records.groupBy("sha256").agg(F.min("path").alias("path"), F.count_distinct("sign").alias("signs"), F.count("*").alias("copies"))
     sound = F.when(F.col("signs") > 1, F.raise_error(F.concat(F.lit("equal files with different boxes: "), F.col("path")))).otherwise(F.col("path"))
-    kept = records.join(signs.select(sound.alias("path"), "copies"), "path", "left_semi").withColumn("group", group_name(F.col("path")))
+    kept = records.join(signs.select(sound.alias("path"), "copies"), "path", "left_semi").withColumn("group", required_group(group_name(F.col("path"))))
     chosen = split.balanced_split(split.group_stats(kept, "group", F.col("boxes")), attempts, seed).select("group", "split")
     return kept.join(chosen, "group")
 

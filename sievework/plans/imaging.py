@@ -80,8 +80,11 @@ stats AS (SELECT image, mode, tile, avg(size) AS energy, var_pop(lap) AS lap_var
 strong AS (SELECT image, mode, tile, p, size >= coalesce(q, 'inf'::DOUBLE) AS s FROM sized JOIN stats USING (image, mode, tile)),
 edge AS (SELECT a.image, b.mode, a.tile, count(*) AS n, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM strong c WHERE c.image = a.image AND c.mode = b.mode AND c.tile = a.tile AND c.s AND abs(c.p // 8 - a.p // 8) <= 1 AND abs(c.p % 8 - a.p % 8) <= 1)) AS kept
   FROM strong a, (SELECT DISTINCT mode FROM strong WHERE mode <> '{decide.RAW}') b WHERE a.mode = '{decide.RAW}' AND a.s GROUP BY 1, 2, 3),
-ratios AS (SELECT b.image, b.mode, b.tile, a.energy, coalesce(e.kept::DOUBLE / e.n, 1.0::DOUBLE) AS edge, b.lap_var / greatest(a.lap_var, 1) AS sharpness, b.noise_sd / greatest(a.noise_sd, 0.25::DOUBLE) AS noise, b.gray_sd / greatest(a.gray_sd, 1) AS contrast
-  FROM stats b JOIN stats a ON a.image = b.image AND a.tile = b.tile AND a.mode = '{decide.RAW}' LEFT JOIN edge e ON e.image = b.image AND e.mode = b.mode AND e.tile = b.tile WHERE b.mode <> '{decide.RAW}')"""
+kin AS (
+  SELECT b.image, b.mode, b.tile, covar_pop(a.size, b.size) AS cov, stddev_pop(a.size) * stddev_pop(b.size) AS under, bool_and(abs(a.size - b.size) <= 1e-8::DOUBLE + 1e-5::DOUBLE * abs(b.size)) AS alike
+  FROM sized b JOIN sized a ON a.image = b.image AND a.tile = b.tile AND a.p = b.p AND a.mode = '{decide.RAW}' WHERE b.mode <> '{decide.RAW}' GROUP BY 1, 2, 3),
+ratios AS (SELECT b.image, b.mode, b.tile, a.energy, CASE WHEN under < 1e-9::DOUBLE THEN alike::INT ELSE least(greatest(cov / under, 0), 1) END AS detail, coalesce(e.kept::DOUBLE / e.n, 1.0::DOUBLE) AS edge, b.lap_var / greatest(a.lap_var, 1) AS sharpness, b.noise_sd / greatest(a.noise_sd, 0.25::DOUBLE) AS noise, b.gray_sd / greatest(a.gray_sd, 1) AS contrast
+  FROM stats b JOIN stats a ON a.image = b.image AND a.tile = b.tile AND a.mode = '{decide.RAW}' JOIN kin k ON k.image = b.image AND k.mode = b.mode AND k.tile = b.tile LEFT JOIN edge e ON e.image = b.image AND e.mode = b.mode AND e.tile = b.tile WHERE b.mode <> '{decide.RAW}')"""
 
 
 @_query(f"""
@@ -111,21 +114,21 @@ def candidate_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sums.select("image", "mode", F.col("w_b_sum").alias("b_sum"), F.col("w_g_sum").alias("g_sum"), F.col("w_r_sum").alias("r_sum"), F.array_min(levels).alias("darkest"), F.array_max(levels).alias("brightest"))
 
 
-@_query(f"WITH {_cells(8)}, areas AS (SELECT image, mode, 0 AS tile, list(y ORDER BY i) AS l FROM grays GROUP BY 1, 2), {_FILTERED} SELECT image, mode, edge, sharpness, noise, contrast FROM ratios")
+@_query(f"WITH {_cells(8)}, areas AS (SELECT image, mode, 0 AS tile, list(y ORDER BY i) AS l FROM grays GROUP BY 1, 2), {_FILTERED} SELECT image, mode, round(detail, 6) AS detail, edge, sharpness, noise, contrast FROM ratios")
 def structure_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Edges, sharpness, noise and contrast that candidates keep over the whole image."""
+    """Detail, edges, sharpness, noise and contrast that candidates keep over the whole image."""
     areas = pixels.area_sums(_images(spark, sf_dir, 8), (1,), _BY_TABLE[1:]).filter("grid = 1")
-    return pixels.with_ratios(areas).select("image", "mode", "edge", "sharpness", "noise", "contrast")
+    return pixels.with_ratios(areas).select("image", "mode", F.round("detail", 6).alias("detail"), "edge", "sharpness", "noise", "contrast")
 
 
 @_query(f"""
 WITH {_cells(32)}, areas AS (SELECT image, mode, (i // 256) * 4 + (i % 32) // 8 AS tile, list(y ORDER BY i) AS l FROM grays WHERE mode IN ('{decide.RAW}', 'adaptive_gamma_standard') GROUP BY 1, 2, 3), {_FILTERED},
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image, mode ORDER BY energy DESC, tile) AS n FROM ratios) WHERE n <= 10)
-SELECT image, count(*) AS tiles, {', '.join(f"quantile_cont({r}, {q / 100}) AS {r}_p{q}" for r in pixels.RATIOS[1:] for q in (10, 50, 90))} FROM k GROUP BY 1""")
+SELECT image, count(*) AS tiles, {', '.join(f"quantile_cont({r}, {q / 100}) AS {r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90))} FROM k GROUP BY 1""")
 def local_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles over the most detailed tiles: of 16 tiles of 8 pixels ten count."""
     areas = materialize(pixels.area_sums(_images(spark, sf_dir, 32), (4,), _BY_TABLE[3:]).filter("grid = 4"), "area-sums")
-    return pixels.local_detail(areas).select("image", "tiles", *[f"{r}_p{q}" for r in pixels.RATIOS[1:] for q in (10, 50, 90)])
+    return pixels.local_detail(areas).select("image", "tiles", *[f"{r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90)])
 
 
 @_query(f"WITH {_cells(8)} SELECT image, avg(y) / 255 AS brightness, stddev_pop(y) AS contrast FROM grays WHERE mode = '{decide.RAW}' GROUP BY 1")
@@ -257,7 +260,7 @@ def rejection_sums(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query(f"WITH {_EVAL} SELECT image, bool_or(passed) AS any_passed, bool_and(passed) AS all_passed, bool_and(region_passed) AS all_regions_passed FROM evals GROUP BY 1")
 def passed_at_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _evaluations(spark, sf_dir).groupBy("image").agg(F.bool_or("passed").alias("any_passed"), F.bool_and("passed").alias("all_passed"), F.bool_and("region_passed").alias("all_regions_passed"))
+    return decide.passed_by_image(_evaluations(spark, sf_dir))
 
 
 @_query(f"WITH {_WON} SELECT threshold, CASE WHEN NOT eligible THEN 'CALIBRATION_NOT_APPROVABLE' WHEN damaged > 0 THEN 'DETAIL_AUDIT_FAILED' ELSE 'REVIEW_REQUIRED' END AS status FROM told")

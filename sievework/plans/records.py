@@ -11,8 +11,9 @@ from ..functions import boxes, naming, rules
 from ..operators import audit, certify, decide, dedup, split
 from ..shared import broadcast_if_small, materialize, shared_path
 from ..sources import coco, indexes, reports
-from ..sources.images import write_files
+from ..sources.images import read_texts, write_files
 from ..sources.progress import read_progress
+from ..streaming import progress as live
 from .analogues import _table
 
 QUERIES: dict[str, Callable] = {}
@@ -230,6 +231,26 @@ def index_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select("prepared_image", F.size("annotations").alias("n"), F.get(F.get("annotations", F.lit(0))["bbox_xywh"], F.lit(0)).alias("first_x"), "width")
 
 
+@_query("SELECT doc_id::VARCHAR AS prepared_image, md5(coalesce(text, '')) AS text_md5, source AS deployment, n_chars::INT AS width FROM documents")
+def json_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with quotes, brackets and escapes in JSON documents, each of which several tasks read."""
+    folder = shared_path(spark, "texts")
+    named = {"prepared_image": F.col("doc_id").cast("string"), "source_relative_path": F.coalesce("text", F.lit("")), "deployment": F.col("source"), "width": F.col("n_chars").cast("int")}
+    indexes.write_image_index(_table(spark, sf_dir, "documents").select(*[c.alias(n) for n, c in named.items()]), folder)
+    read = indexes.read_image_index(spark, folder, 1 << 18)
+    return read.select("prepared_image", F.md5(F.col("source_relative_path").cast("binary")).alias("text_md5"), "deployment", "width")
+
+
+@_query("SELECT source || '/' || doc_id::VARCHAR || '.txt' AS name, octet_length(encode(coalesce(text, ''))) AS length, sha256(coalesce(text, '')) AS sha256, sha256(coalesce(text, '')) AS read_back FROM documents")
+def published_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file for each text, all of which become visible together; the manifest, and what is then read from the files."""
+    folder = shared_path(spark, "published")
+    texts = _table(spark, sf_dir, "documents").select(F.format_string("%s/%d.txt", "source", "doc_id").alias("name"), F.coalesce("text", F.lit("")).cast("binary").alias("content"))
+    manifest = write_files(texts, folder)
+    read = read_texts(manifest, folder).select("name", F.sha2("text", 256).alias("read_back"))
+    return manifest.join(read, "name")
+
+
 # Copies, splits and sets
 
 
@@ -250,21 +271,19 @@ def assigned_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @_query("""
-SELECT source, count(DISTINCT lang) FILTER (WHERE lang IN ('en', 'de')) = 2 AS has_all, count(*) AS n FROM (SELECT source, lang FROM documents WHERE doc_id % 3 = 0 UNION ALL SELECT source, lang FROM documents WHERE doc_id % 3 = 1) GROUP BY 1""")
+SELECT source, count(DISTINCT lang) FILTER (WHERE lang IN ('en', 'de')) = 2 AS has_all, count(*) AS n FROM documents GROUP BY 1""")
 def required_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two parts united, and whether each group has all that is required."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "lang")
-    both = docs.filter(F.pmod("doc_id", F.lit(3)) == 0).unionByName(docs.filter(F.pmod("doc_id", F.lit(3)) == 1))
-    wanted = F.array(F.lit("en"), F.lit("de"))
-    return both.groupBy("source").agg((F.size(F.array_except(wanted, F.collect_set("lang"))) == 0).alias("has_all"), F.count("*").alias("n"))
+    both = docs.filter(F.pmod("doc_id", F.lit(3)) == 0).unionByName(docs.filter(F.pmod("doc_id", F.lit(3)) != 0))
+    return audit.required_values(both, "source", "lang", ["en", "de"])
 
 
 @_query(f"SELECT doc_id, m.mode, m.risk FROM documents, (VALUES {', '.join(f'({chr(39)}{m}{chr(39)}, {chr(39)}{r}{chr(39)})' for m, r in decide.MODES.items())}) m(mode, risk) WHERE doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
 def candidate_pool(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A pool of records by look-up, and each of them with all modes."""
     pool = _table(spark, sf_dir, "documents").select("doc_id").join(_table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"), "doc_id", "left_semi")
-    modes = F.array(*[F.struct(F.lit(m).alias("mode"), F.lit(r).alias("risk")) for m, r in decide.MODES.items()])
-    return pool.select("doc_id", F.explode(modes).alias("m")).select("doc_id", "m.*")
+    return decide.with_modes(pool).select("doc_id", "mode", "risk")
 
 
 # Logs, checkpoints, reports
@@ -282,16 +301,28 @@ def progress_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_progress(spark, f"{folder}/*", schema, "key").select("key", "n", "kind")
 
 
+@_query("SELECT user_id AS key, max(event_id) AS n, arg_max(event_type, event_id) AS kind FROM events GROUP BY 1")
+def streamed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same of a log that is read as a stream: one half of its files, then, after a restart, the other."""
+    folder = shared_path(spark, "stream")
+    rows = _table(spark, sf_dir, "events").select(F.col("user_id").alias("key"), F.col("event_id").alias("n"), F.col("event_type").alias("kind"))
+    half = rows.agg(F.max("n")).first()[0] // 2
+    schema = spark.createDataFrame([], "key long, n long, kind string").schema
+    for part, some in (("0", rows.filter(F.col("n") <= half)), ("1", rows.filter(F.col("n") > half))):
+        some.repartitionByRange("n").sortWithinPartitions("n").select(F.to_json(F.struct("key", "n", "kind")).alias("value")).write.text(f"{folder}/log/{part}")
+        live.keep_latest(live.latest_records(live.read_log(spark, f"{folder}/log/*", schema, "key"), "key"), f"{folder}/out", f"{folder}/mark").awaitTermination()
+    return live.read_latest(spark, f"{folder}/out", "key").select("key", "n", "kind")
+
+
 @_query("""
-WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS m FROM documents), x AS (SELECT doc_id, m, CASE WHEN doc_id % 7 = 0 THEN 'old' ELSE m END AS was, CASE WHEN doc_id % 11 = 0 THEN 'gone' ELSE md5(m) END AS out FROM d WHERE doc_id % 2 = 0)
+WITH d AS (SELECT doc_id, md5(coalesce(text, '')) AS m FROM documents), x AS (SELECT doc_id, m, CASE WHEN doc_id % 7 = 0 THEN 'old' ELSE m END AS was, CASE WHEN doc_id % 11 = 0 THEN 'gone' ELSE md5(m) END AS out FROM d)
 SELECT doc_id FROM x WHERE was = m AND out = md5(m)""")
 def valid_checkpoints(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished records whose source and output are as the log has them."""
     rows = _table(spark, sf_dir, "documents").select("doc_id", F.md5(F.coalesce("text", F.lit("")).cast("binary")).alias("m"))
     out = F.md5(F.col("m").cast("binary"))
-    even = rows.filter(F.pmod("doc_id", F.lit(2)) == 0)
-    done = even.select("doc_id", F.when(F.pmod("doc_id", F.lit(7)) == 0, "old").otherwise(F.col("m")).alias("mark"), F.col("doc_id").cast("string").alias("name"), out.alias("sha256"))
-    files = even.select(F.col("doc_id").cast("string").alias("name"), F.when(F.pmod("doc_id", F.lit(11)) == 0, "gone").otherwise(out).alias("sha256"))
+    done = rows.select("doc_id", F.when(F.pmod("doc_id", F.lit(7)) == 0, "old").otherwise(F.col("m")).alias("mark"), F.col("doc_id").cast("string").alias("name"), out.alias("sha256"))
+    files = rows.select(F.col("doc_id").cast("string").alias("name"), F.when(F.pmod("doc_id", F.lit(11)) == 0, "gone").otherwise(out).alias("sha256"))
     return certify.valid_checkpoints(done, rows, files, "doc_id", {"mark": "m"}).select("doc_id")
 
 
@@ -320,12 +351,12 @@ def manifest_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return csv.join(lines, "source_prepared_image")
 
 
-@_query("SELECT p_partkey AS sample_number, 'positive' AS sample_type, p_name AS selection_reason, p_size::BIGINT AS target_count, p_retailprice AS winner_benefit_score FROM part WHERE p_partkey <= 40")
+@_query("SELECT p_partkey AS sample_number, 'positive' AS sample_type, p_name AS selection_reason, p_size::BIGINT AS target_count, p_retailprice AS winner_benefit_score FROM part")
 def decision_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The decisions of a trial, written as one CSV file and read back."""
+    """Decisions written as CSV and read back."""
     folder = shared_path(spark, "decisions")
     given = {"sample_number": F.col("p_partkey"), "sample_type": F.lit("positive"), "selection_reason": F.col("p_name"), "target_count": F.col("p_size"), "winner_benefit_score": F.col("p_retailprice")}
-    rows = _table(spark, sf_dir, "part").filter("p_partkey <= 40").select(*[given.get(c, F.lit("-")).alias(c) for c in reports.DECISION_COLUMNS])
+    rows = _table(spark, sf_dir, "part").select(*[given.get(c, F.lit("-")).alias(c) for c in reports.DECISION_COLUMNS])
     reports.write_decisions(rows, folder)
     read = spark.read.option("header", True).csv(folder)
     return read.select(F.col("sample_number").cast("long").alias("sample_number"), "sample_type", "selection_reason", F.col("target_count").cast("long").alias("target_count"), F.col("winner_benefit_score").cast("double").alias("winner_benefit_score"))
@@ -342,8 +373,7 @@ def object_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT source, CASE WHEN upper(trim(lang)) IN ('EN', 'DE') THEN 'fish' ELSE 'other' END AS class, count(*) AS n FROM documents GROUP BY 1, 2""")
 def merged_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Categories merged into one class, the others together."""
-    merged: Column = F.when(F.upper(F.trim("lang")).isin("EN", "DE"), "fish").otherwise("other")
-    return audit.count_by(_table(spark, sf_dir, "documents").select("source", merged.alias("class")), "source", "class")
+    return audit.count_by(_table(spark, sf_dir, "documents").select("source", naming.merged_class(F.col("lang"), ["EN", "DE"], "fish").alias("class")), "source", "class")
 
 
 def _split_of(doc_id: Column) -> Column:

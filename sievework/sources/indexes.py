@@ -30,6 +30,11 @@ def _documents(path: str) -> list[str]:
     return [f"{path.rstrip('/')}/{i.base_name}" for i in fs.get_file_info(pa.fs.FileSelector(plain)) if i.base_name.endswith(".json")]
 
 
+def is_index(path: str) -> bool:
+    """Whether a path names a JSON document or a folder of such, rather than a table."""
+    return any(d.endswith(".json") for d in _documents(path))
+
+
 def read_image_index(spark: SparkSession, path: str, chunk: int = bigjson.CHUNK) -> DataFrame:
     """One row per image; a missing file or a damaged one is an error. Several tasks read a large document."""
     items = bigjson.json_items(spark, _documents(path), 1, chunk)

@@ -59,8 +59,8 @@ def dataset_yaml(path: str, names: dict[int, str], with_count: bool = False) ->
 
 
 def write_decisions(decisions: DataFrame, uri: str) -> None:
-    """The decisions of a trial, a few dozen rows, as one CSV file with a header."""
-    decisions.select(DECISION_COLUMNS).coalesce(1).sortWithinPartitions("sample_number").write.mode("overwrite").option("header", True).csv(uri)
+    """Decisions as CSV with a header, in their order; those of a trial, a few dozen, are one file."""
+    decisions.select(DECISION_COLUMNS).orderBy("sample_number").write.mode("overwrite").option("header", True).csv(uri)
 
 
 def write_manifest(manifest: DataFrame, uri: str) -> None:

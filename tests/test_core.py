@@ -575,6 +575,15 @@ def test_a_source_is_prepared_and_the_selector_tried(spark, tmp_path):
     assert (tmp_path / "prepared" / one["label_path"]).read_text() == one["label"] and len(one["label"].splitlines()) == one["target_count"] == 2
     assert (tmp_path / "prepared" / one["image"]).exists() and (tmp_path / "prepared" / "dataset.yaml").exists()
 
+    info = reports.read_json(f"{out}/metadata/dataset_info.json")
+    assert (info["images"], info["source_target_mapping"], info["split_seed"]) == (90, {"fish": "fish", "small_fish": "fish"}, 42) and info["target_boxes"] == index.agg(F.sum("target_count")).first()[0]
+    assert reports.read_json(f"{out}/metadata/dataset_provenance.json")["final_class"] == "fish"
+    as_json = command.read_records(spark, f"{out}/metadata/image_index", out)
+    names = ["image", "label_path", "label", "split", "group", "width", "height", "target_count", "sha256"]
+    assert sorted(map(tuple, as_json.select(names).collect())) == sorted(map(tuple, index.select(names).collect()))
+    notes = indexes.read_annotation_index(spark, f"{out}/metadata/annotation_index")
+    assert {r["image"]: len(r["annotations"]) for r in notes.collect()} == {r["image"]: r["target_count"] for r in index.collect()}
+
     shape = {"positives": 8, "negatives": 4, "with_tiny": 3, "with_small": 2, "cap": 6}
     policy = stages.try_out(spark, index, out, f"file://{tmp_path}/reports", **shape)
     told = {name: reports.read_json(f"file://{tmp_path}/reports/{name}.json") for name in ("trial", "calibration", "sampling", "policy_candidate")}
@@ -753,3 +762,20 @@ def test_the_entry_works_without_the_text_operators(tmp_path):
             shutil.copy(root / name, tmp_path)
         told = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env={**os.environ, "PYTHONPATH": str(tmp_path)}, capture_output=True, text=True)
         assert told.returncode == 0, told.stderr
+
+
+def test_limits_are_the_published_ones():
+    """Written out here once more: SQL that is made from the limits would not notice a wrong one."""
+    of = lambda table: {k: v[1:] for k, v in table.items()}
+    assert of(decide.GLOBAL_LIMITS) == {
+        "geometry_changed": ("<", 1.0), "global_detail_loss": ("<", 0.85), "global_edge_loss": ("<", 0.72), "global_blur": ("<", 0.65), "global_over_sharpening": (">", 3.0), "global_noise_increase": (">", 2.0),
+        "edge_explosion_or_artifacts": (">", 2.5), "excessive_black_clipping": (">", 0.1), "excessive_white_clipping": (">", 0.1), "added_clipping_above_limit": (">", 0.05),
+        "image_too_dark": ("<", 0.06), "image_too_bright": (">", 0.94), "extreme_colour_shift": (">", 55.0), "extreme_saturation_shift": (">", 0.25),
+    }
+    local = of(decide.LOCAL_LIMITS)
+    assert [local[k][:2] for k in ("local_detail_loss", "local_edge_loss", "local_blur", "local_over_sharpening", "local_noise_increase")] == [("<", 0.78), ("<", 0.72), ("<", 0.72), (">", 2.4), (">", 1.8)]
+    assert pixels.BENEFIT_WEIGHTS == {"uciqe_proxy": 0.24, "uiqm_proxy": 0.18, "brightness_quality": 0.16, "contrast_quality": 0.14, "entropy_quality": 0.1, "color_balance": 0.1, "sharpness_quality": 0.08}
+    assert (decide.NEAR_TIE, decide.HIGHER_EXTRA, decide.HIGHER_OVER_SAFE, decide.LEAST_PROCESSED, decide.LEAST_RATE, decide.DEFAULT_THRESHOLD) == (0.0005, 0.003, 0.002, 10, 0.05, 0.02)
+    assert decide.THRESHOLD_GRID == (0.0005, 0.001, 0.0015, 0.002, 0.003, 0.004, 0.005, 0.006, 0.008, 0.01, 0.012, 0.014, 0.016, 0.018, 0.02, 0.022, 0.025, 0.03)
+    assert (pixels.GRIDS, pixels.TILE_SHARE) == ((4, 8), 0.6)
+    assert {m for m, r in decide.MODES.items() if r == "higher"} == {"bilateral_denoise_mild", "clahe_very_mild", "white_balance_conservative"} and len(decide.MODES) == 7
