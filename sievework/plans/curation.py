@@ -19,7 +19,7 @@ from ..operators.certify import canonical_hash, require_policy, require_verified
 from ..operators.kernels import TRANSFORMS, pixels_of
 from ..operators.pixels import BENEFIT_WEIGHTS, evaluate_images, region_metrics
 from ..shared import broadcast_if_small, materialize
-from ..sources import runlog
+from ..sources import filecache, runlog
 from ..sources.filesink import recover
 from ..sources.images import encode_png, hash_images, list_images, read_files, read_images, remove_files, write_files
 from ..sources.progress import latest
@@ -146,6 +146,7 @@ def _begin(spark: SparkSession, out: str, rules: dict, told: dict, run_: dict) -
 
 def _ended(spark: SparkSession, records: DataFrame, manifest: DataFrame, root: str, out: str, rules: dict, resumed: int, began: float) -> DataFrame:
     require_verified(_faults(spark, records, manifest, root, out))
+    filecache.remember(spark, out, manifest.select(F.col("output_image").alias("name"), F.col("output_image_sha256").alias("sha256")), f"{out}/{VERIFIED}")
     won = manifest.select("split", F.col("selected_mode").alias("mode"))
     by_split = decide.winners_by_split(won, [decide.RAW, *decide.MODES]).orderBy("split")
     reasons = manifest.select(F.explode("rejections").alias("reason", "n")).groupBy("reason").agg(F.sum("n").alias("n")).orderBy("reason")
@@ -183,6 +184,16 @@ def _output_files(spark: SparkSession, out: str) -> DataFrame:
     return hash_images(spark, out).select(_output_name(F.col("path")).alias("name"), "sha256")
 
 
+#: Where a run keeps the hashes of its verified outputs with their lengths and times.
+VERIFIED = "metadata/verified_outputs"
+
+
+def _resumed_files(spark: SparkSession, out: str) -> DataFrame:
+    """The outputs there are, with hashes; those that the last whole run has verified and that no one touched are not read."""
+    remembered = spark.read.parquet(f"{out}/{VERIFIED}") if _is_file(f"{out}/{VERIFIED}/_SUCCESS") else None
+    return filecache.hashes(spark, out, remembered)
+
+
 def _output_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]+/images/[^/]+)$", 1)
 
@@ -226,7 +237,7 @@ def _continued(spark: SparkSession, records: DataFrame, root: str, out: str, rul
         remove(out, [r["split"] for r in records.select("split").distinct().collect()])
     if not reset and _is_file(place):
         earlier = require_policy(latest(spark.read.parquet(place), "image", ["finished"]), rules["policy_fingerprint_sha256"])
-        done = materialize(valid_checkpoints(earlier, full, _output_files(spark, out), "image", MARKS), "resumed")
+        done = materialize(valid_checkpoints(earlier, full, _resumed_files(spark, out), "image", MARKS), "resumed")
         todo = full.join(done.select("image"), "image", "left_anti")
     label_name = F.concat_ws("/", "split", F.lit("labels"), F.concat(stem, F.lit(".txt")))
     todo = todo.withColumns({"output": F.concat_ws("/", "split", F.lit("images"), stem), "label_output": label_name})

@@ -19,7 +19,7 @@ from sievework.operators import certify, decide, kernels, percentiles, pixels, s
 from sievework.plans import curation, stages
 from sievework.plans.registry import QUERIES, SQL
 from sievework import __main__ as command
-from sievework.sources import bigjson, coco, filesink, images, indexes, progress, reports, runlog
+from sievework.sources import bigjson, coco, filecache, filesink, images, indexes, progress, reports, runlog
 from sievework.streaming import incremental
 from sievework.streaming import progress as live
 
@@ -779,3 +779,25 @@ def test_limits_are_the_published_ones():
     assert decide.THRESHOLD_GRID == (0.0005, 0.001, 0.0015, 0.002, 0.003, 0.004, 0.005, 0.006, 0.008, 0.01, 0.012, 0.014, 0.016, 0.018, 0.02, 0.022, 0.025, 0.03)
     assert (pixels.GRIDS, pixels.TILE_SHARE) == ((4, 8), 0.6)
     assert {m for m, r in decide.MODES.items() if r == "higher"} == {"bilateral_denoise_mild", "clahe_very_mild", "white_balance_conservative"} and len(decide.MODES) == 7
+
+
+def test_unchanged_files_are_not_read_again(spark, tmp_path, monkeypatch):
+    root = f"file://{tmp_path}/out"
+    folder = tmp_path / "out" / "train" / "images"
+    folder.mkdir(parents=True)
+    sha = lambda x: hashlib.sha256(x).hexdigest()
+    for i in range(12):
+        (folder / f"i{i}.png").write_bytes(b"picture %d" % i)
+    now = lambda: {r["name"].rsplit("/", 1)[-1]: r["sha256"] for r in filecache.hashes(spark, root, spark.read.parquet(str(tmp_path / "kept"))).collect()}
+    first = filecache.hashes(spark, root, None)
+    assert {r["sha256"] for r in first.collect()} == {sha(b"picture %d" % i) for i in range(12)}
+    filecache.remember(spark, root, first.withColumn("sha256", F.lit("remembered")), str(tmp_path / "kept"))
+    for buckets in (1, 4, 4096):  # with one bucket, a change makes all files be compared
+        monkeypatch.setattr(filecache, "BUCKETS", buckets)
+        assert set(now().values()) == {"remembered"}
+    (folder / "i3.png").write_bytes(b"other 3")
+    (folder / "i5.png").unlink()
+    (folder / "new.png").write_bytes(b"new")
+    for buckets in (1, 4, 4096):
+        monkeypatch.setattr(filecache, "BUCKETS", buckets)
+        assert now() == {f"i{i}.png": "remembered" for i in range(12) if i not in (3, 5)} | {"i3.png": sha(b"other 3"), "new.png": sha(b"new")}
