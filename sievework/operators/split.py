@@ -9,11 +9,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+from .percentiles import exact_percentiles
+
 SPLITS = ("train", "val", "test")
 RATIOS = (0.70, 0.15, 0.15)
 #: Weights of images and boxes in the filling, and of boxes in the score.
 IMAGE_WEIGHT, BOX_WEIGHT, BOX_SCORE = 0.75, 0.25, 0.5
-#: Groups that one task may hold; the search needs all groups' sizes, not their records.
+#: Groups that one task may hold; the search needs all groups' sizes, not their records. Where there are more, only the
+#: largest stand alone, half as many, and the others are dealt to as many bundles.
 MAX_GROUPS = 100_000
 
 
@@ -74,15 +78,32 @@ def _attempt(groups: list[tuple[str, int, int]], number: int, seed: int, ratios:
     return score({s: (x[0], x[1]) for s, x in held.items()}, ratios), chosen
 
 
+def bundled(stats: DataFrame) -> DataFrame:
+    """``stats`` with the ``bundle`` of each group, ``MAX_GROUPS`` at most: the largest groups alone, the rest by a hash of their names.
+
+    What is large is told by an exact percentile of the sizes, so no list of groups meets anywhere. A group lies in one
+    bundle, so it never lies in two splits; bundles are small beside the splits, and alike.
+    """
+    half, n = max(MAX_GROUPS // 2, 2), stats.count()
+    name = F.coalesce("group", F.lit(""))
+    if n <= MAX_GROUPS:
+        return stats.withColumn("bundle", name)
+    cut = exact_percentiles(stats, [], "images", {"cut": 1 - half / n}).first()["cut"]
+    dealt = F.concat(F.lit("bundle "), F.pmod(F.xxhash64(name), F.lit(half)).cast("string"))
+    return stats.withColumn("bundle", F.when(F.col("images") > cut, F.concat(F.lit("group "), name)).otherwise(dealt))
+
+
 def balanced_split(stats: DataFrame, attempts: int = 300, seed: int = 42, ratios: tuple[float, ...] = RATIOS) -> DataFrame:
     """``group``, ``split`` and ``score`` of the best of many greedy assignments, tried in parallel.
 
-    ``stats`` has ``group``, ``images``, ``boxes``: one row per group, so it is small beside the records;
-    more than ``MAX_GROUPS`` groups are an error, as are fewer than three. The earliest of equal scores wins.
+    ``stats`` has ``group``, ``images``, ``boxes``: one row per group. Of more than ``MAX_GROUPS`` groups the small ones
+    are assigned in bundles; fewer than three are an error. The earliest of equal scores wins.
     """
-    rows = sorted((r["group"] or "", int(r["images"]), int(r["boxes"])) for r in stats.select("group", "images", "boxes").limit(MAX_GROUPS + 1).collect())
-    if not 3 <= len(rows) <= MAX_GROUPS:
-        raise ValueError(f"the search takes 3 to {MAX_GROUPS} groups, not {len(rows)}")
+    named = materialize(bundled(stats), "bundles")
+    sums = named.groupBy("bundle").agg(F.sum("images").alias("images"), F.sum("boxes").alias("boxes"))
+    rows = sorted((r["bundle"], int(r["images"]), int(r["boxes"])) for r in sums.collect())  # ``MAX_GROUPS`` at most
+    if len(rows) < 3:
+        raise ValueError(f"the search takes three groups or more, not {len(rows)}")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -94,7 +115,8 @@ def balanced_split(stats: DataFrame, attempts: int = 300, seed: int = 42, ratios
     if best is None:
         raise ValueError("every attempt left a split empty")
     chosen = _attempt(rows, best["attempt"], seed, ratios)[1]
-    return spark.createDataFrame([(g, s, best["score"]) for g, s in sorted(chosen.items())], "group string, split string, score double")
+    told = spark.createDataFrame([(g, s, best["score"]) for g, s in sorted(chosen.items())], "bundle string, split string, score double")
+    return named.join(F.broadcast(told), "bundle").select(F.coalesce("group", F.lit("")).alias("group"), "split", "score")
 
 
 def shared_between_splits(records: DataFrame, kinds: dict[str, Column]) -> DataFrame:

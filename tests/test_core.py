@@ -801,3 +801,16 @@ def test_unchanged_files_are_not_read_again(spark, tmp_path, monkeypatch):
     for buckets in (1, 4, 4096):
         monkeypatch.setattr(filecache, "BUCKETS", buckets)
         assert now() == {f"i{i}.png": "remembered" for i in range(12) if i not in (3, 5)} | {"i3.png": sha(b"other 3"), "new.png": sha(b"new")}
+
+
+def test_more_groups_than_a_task_holds_are_split_in_bundles(spark, monkeypatch):
+    monkeypatch.setattr(split, "MAX_GROUPS", 60)
+    stats = spark.createDataFrame([(f"g{i}", 400 if i < 9 else 1 + i % 5, i % 4) for i in range(2000)], "group string, images long, boxes long")
+    bundles = {r["group"]: r["bundle"] for r in split.bundled(stats).collect()}
+    assert len(bundles) == 2000 and len(set(bundles.values())) <= 60 and all(bundles[f"g{i}"] == f"group g{i}" for i in range(9))
+    got = split.balanced_split(stats, 30).collect()
+    assert len(got) == 2000 and {r["group"] for r in got} == set(bundles)
+    by = {}
+    for r in got:
+        assert by.setdefault(bundles[r["group"]], r["split"]) == r["split"]
+    assert got[0]["score"] < 0.05
