@@ -25,10 +25,11 @@ PATTERN = re.compile(
     r"|(?<![A-Za-z0-9+/_.-])[A-Za-z0-9+/_.-]{16,}={0,2}"
     r"|(?<=[:=])[ \t]*[\"'][^\"'\s]{6,}[\"']"
 )
-#: A value given to a telling name, of any form and length: quoted to the end of the quotes, else to the next space or bracket.
+#: A value given to a telling name, of any form and length: quoted to the end of the quotes, else to the next space or
+#: bracket. A name is tried once, from its beginning, so the work grows with the length of a text.
 NAMED = re.compile(
-    r"(?i)(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credentials?)[A-Za-z0-9_-]*[\"']?"
-    r"[ \t]*(?:=>|:=|[:=])[ \t]*(\"[^\"\n]+\"|'[^'\n]+'|[^\s\"'<>,;(){}\[\]]+)"
+    r"(?i)(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential))"
+    r"[A-Za-z0-9_-]++[\"']?[ \t]*+(?:=>|:=|[:=])[ \t]*+(\"[^\"\n]+\"|'[^'\n]+'|[^\s\"'<>,;(){}\[\]]+)"
 )
 #: The first and the last line of a private key block; all between is the key, headers and hyphens too. Without a last
 #: line the key is what follows in lines of its letters.

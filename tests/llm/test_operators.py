@@ -4,6 +4,7 @@ import bisect
 import hashlib
 import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -381,6 +382,14 @@ def test_findings_labelled_by_hand(spark):
     assert caught >= 0.9 * len(LABELLED) and alone >= 0.9 * len(HARMLESS_ROWS)
 
 
+def test_long_names_cost_no_more_than_their_length():
+    began = time.perf_counter()
+    for text_ in ("token_" * 200_000, "pwd" * 300_000 + "=x", "secret: " * 50_000, 'token="' * 50_000, "a" * 500_000 + " password = b"):
+        for a, b, _ in secrets.candidates(text_):
+            assert 0 <= a < b <= len(text_)
+    assert time.perf_counter() - began < 60
+
+
 def test_arrays_of_the_forest_are_mllibs_own_model(spark, monkeypatch):
     """Probabilities by the arrays in tasks equal those of the fitted model's transform."""
     from pyspark.ml.classification import RandomForestClassificationModel
