@@ -213,11 +213,29 @@ def edge_pixels(g: np.ndarray, low: float = 50, high: float = 150) -> int:
         a, b = p[1 + dy : 1 + dy + h, 1 + dx : 1 + dx + w], p[1 - dy : 1 - dy + h, 1 - dx : 1 - dx + w]
         peak |= (turn == k) & (size >= a) & (size > b)
     weak, edges = peak & (size > low), peak & (size > high)
+    return int(np.count_nonzero(_joined(weak, edges)))
+
+
+def _joined(weak: np.ndarray, strong: np.ndarray) -> np.ndarray:
+    """The weak pixels whose connected region, corners included, has a strong one. Labels run to the least of a region, each
+    round also along the labels themselves, so rounds grow with the logarithm of the longest path."""
+    number = np.full((weak.shape[0] + 2, weak.shape[1] + 2), -1)
+    inner = number[1:-1, 1:-1]
+    inner[weak] = np.arange(np.count_nonzero(weak))
+    near = [(number[1 + dy : 1 + dy + weak.shape[0], 1 + dx : 1 + dx + weak.shape[1]], inner) for dy, dx in ((0, 1), (1, -1), (1, 0), (1, 1))]
+    u, v = (np.concatenate([x[(a >= 0) & (b >= 0)] for a, b in near for x in [(a, b)[side]]]) for side in (0, 1))
+    root = np.arange(np.count_nonzero(weak))
     while True:
-        grown = dilate3(edges) & weak
-        if np.count_nonzero(grown) == np.count_nonzero(edges):
-            return int(np.count_nonzero(edges))
-        edges = grown
+        new, least = root.copy(), np.minimum(root[u], root[v])
+        np.minimum.at(new, root[u], least)
+        np.minimum.at(new, root[v], least)
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    kept = np.zeros(len(root), bool)
+    kept[root[strong[weak]]] = True
+    return kept[root]
 
 
 def _moments(x: np.ndarray) -> tuple[float, float]:

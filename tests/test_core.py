@@ -314,6 +314,28 @@ def test_kernels():
         kernels.as_bgr(np.zeros((3, 3)))
 
 
+def test_weak_edges_join_strong_ones_however_long_the_way():
+    def grown(weak, strong):
+        while True:
+            more = kernels.dilate3(strong) & weak
+            if (more == strong).all():
+                return strong
+            strong = more
+
+    rng = np.random.default_rng(6)
+    spiral = np.zeros((41, 41), bool)
+    for k in range(0, 20, 2):
+        spiral[k, k : 41 - k] = spiral[k : 41 - k, 40 - k] = spiral[40 - k, k : 41 - k] = spiral[k + 2 : 41 - k, k] = spiral[k + 2, k : k + 2] = True
+    cases = [(spiral, np.arange(41 * 41).reshape(41, 41) == 0)]
+    for share in (0.0, 0.1, 0.35, 0.5, 1.0):
+        weak = rng.random((rng.integers(1, 40), rng.integers(1, 40))) < share
+        cases.append((weak, weak & (rng.random(weak.shape) < 0.03)))
+    for weak, strong in cases:
+        got = np.zeros(weak.shape, bool)
+        got[weak] = kernels._joined(weak, strong)
+        assert (got == grown(weak, strong)).all()
+
+
 def test_images_from_file_to_processed_file(spark, tmp_path):
     for i in range(3):
         (tmp_path / f"im{i}.png").write_bytes(images.encode_png(picture(i)))
