@@ -31,6 +31,8 @@ NAMED = re.compile(
     r"(?i)(?<![A-Za-z0-9_-])(?=[A-Za-z0-9_-]*?(?:password|passwd|passphrase|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential))"
     r"[A-Za-z0-9_-]++[\"']?[ \t]*+(?:=>|:=|[:=])[ \t]*+(\"[^\"\n]+\"|'[^'\n]+'|[^\s\"'<>,;(){}\[\]]+)"
 )
+#: Parts of which each telling name has one: most texts have none, and are not searched for names.
+_STEMS = ("passw", "passphrase", "pwd", "secret", "token", "credential", *(f"{a}{mark}key" for a in ("api", "access", "private") for mark in ("", "_", "-")))
 #: The first and the last line of a private key block; all between is the key, headers and hyphens too. Without a last
 #: line the key is what follows in lines of its letters.
 KEY_MARK = re.compile(r"-----(BEGIN|END) [A-Z0-9 ]*PRIVATE KEY(?: BLOCK)?-----")
@@ -93,12 +95,14 @@ def describe(value: str, kind: str, before: str, after: str, path: str) -> list[
 
 def candidates(text: str) -> Iterator[tuple[int, int, str]]:
     """(start, end, kind) of everything in the text that might be a secret."""
+    low = text.lower()
+    others = _others if any(stem in low for stem in _STEMS) else _unnamed
     at = 0
     for a, b in _key_blocks(text):
-        yield from _others(text, at, a)
+        yield from others(text, at, a)
         yield a, b, KINDS[0]
         at = b
-    yield from _others(text, at, len(text))
+    yield from others(text, at, len(text))
 
 
 def _key_blocks(text: str) -> Iterator[tuple[int, int]]:
