@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..shared import materialize
+
 
 def orphans(children: DataFrame, parents: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Children whose key is null or names no parent."""
@@ -40,6 +42,17 @@ def target_counts(children: DataFrame, key: str, is_target: Column) -> DataFrame
     return children.groupBy(key).agg(F.count_if(is_target).alias("target_count"), F.count_if(~is_target).alias("other_count"))
 
 
+def written_and_counted(rows: DataFrame, counts: dict[str, Column], name: str) -> tuple[DataFrame, dict[str, int]]:
+    """The rows, written once, and how many of them meet each condition, counted as they pass to the table.
+
+    The counts cost no scan of their own. They are taken in the tasks that write, each of which counts once however
+    often it is tried, so lost executors do not change them. A null condition is not met.
+    """
+    seen = Observation()
+    out = materialize(rows.observe(seen, *[F.count_if(c).alias(k) for k, c in counts.items()]), name)
+    return out, {k: int(n) for k, n in seen.get.items()}
+
+
 def issue_totals(issues: dict[str, DataFrame], spark) -> DataFrame:
     """One row per kind of issue, also of those that never occur, and the total over all kinds."""
     counts = None

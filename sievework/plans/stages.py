@@ -41,9 +41,10 @@ def prepare_dataset(spark: SparkSession, source: str, out: str, targets: list[st
     docs = materialize(coco.read_documents(spark, source), "documents")
     parts = lambda c: {"split": F.regexp_extract(c, r"([^/]+)/[^/]+$", 1), "file_name": base_name(F.col(c))}
     sizes = materialize(read_images(spark, source).select("image", "width", "height").withColumns(parts("image")), "sizes")
-    found = coco.issue_counts(docs, sizes, targets)
-    issues = {r["issue"]: r["n"] for r in found.collect()}  # a row per kind
-    sound = coco.audited(docs).filter("problem IS NULL OR problem NOT IN ('orphan_annotation', 'unknown_category')")
+    items, issues = coco.audit_source(docs, sizes, targets)
+    issues["total"] = sum(issues.values())
+    notes = coco.audited_annotations(items)
+    sound = notes.filter("problem IS NULL OR problem NOT IN ('orphan_annotation', 'unknown_category')")
     audited_at = now()
     reports.write_json(f"{out}/reports/source_audit.json", {
         "created_at_utc": audited_at, "status": "FAIL" if issues["total"] else "PASS", "fatal_issues": issues,
@@ -54,9 +55,9 @@ def prepare_dataset(spark: SparkSession, source: str, out: str, targets: list[st
 
     hashes = hash_images(spark, source).withColumns(parts("path")).select("split", "file_name", "sha256", F.regexp_replace("path", "^file:/+", "file:/").alias("source_path"))
     is_target = F.col("category").isin(targets)
-    lists = coco.audited(docs).filter(F.col("problem").isNull() & is_target).groupBy("split", "image_id").agg(F.collect_list("bbox").alias("boxes"))
-    counted = coco.image_counts(docs, targets).join(lists, ["split", "image_id"], "left").withColumn("boxes", F.coalesce("boxes", F.array().cast("array<array<double>>")))
-    labelled = counted.join(coco.label_files(docs, targets), ["split", "file_name"]).join(hashes, ["split", "file_name"])
+    lists = notes.filter(F.col("problem").isNull() & is_target).groupBy("split", "image_id").agg(F.collect_list("bbox").alias("boxes"))
+    counted = coco.image_counts(docs, targets, notes).join(lists, ["split", "image_id"], "left").withColumn("boxes", F.coalesce("boxes", F.array().cast("array<array<double>>")))
+    labelled = counted.join(coco.label_files(docs, targets, notes), ["split", "file_name"]).join(hashes, ["split", "file_name"])
     records = labelled.withColumnRenamed("split", "source_split").withColumn("path", F.concat_ws("/", "source_split", "file_name")).withColumn("sign", dedup.signature(F.col("boxes")))
     records = materialize(records, "records")
     copies = materialize(dedup.duplicate_sources(records.withColumnRenamed("sha256", "content"), "path", "content"), "copies")
@@ -97,7 +98,7 @@ def prepare_dataset(spark: SparkSession, source: str, out: str, targets: list[st
     reports.write_json(f"{out}/metadata/dataset_provenance.json", {
         "source_root": source, "audited_at_utc": audited_at, "preparation_version": VERSION, "target_categories": sorted(targets), "final_class": CLASS_NAME, "split_seed": seed, "split_ratios": dict(zip(split.SPLITS, split.RATIOS, strict=True)),
     })
-    _write_indexes(docs, index, targets, out)
+    _write_indexes(notes, index, targets, out)
     gone = {"groups_of_copies": copies.count(), "copies_dropped": copies.agg(F.coalesce(F.sum("duplicates"), F.lit(0))).first()[0]}
     score = split.score({k: (v["images"], v["boxes"]) for k, v in by_split.items()}, split.RATIOS)
     reports.write_json(f"{out}/reports/preparation_report.json", {"status": "PASS", "created_at_utc": now(), "verification": {"error_count": errors, "images": sums["images"]}, "copies": gone, "split": {"seed": seed, "search_attempts": attempts, "score": score, "stats": by_split}, **told})
@@ -139,14 +140,14 @@ def prepared_faults(spark: SparkSession, index: DataFrame, out: str, copied: boo
     return text.unionByName(wrong).unionByName(certify.verify(wanted, actual, "key", ["sha256", "width", "height"]))
 
 
-def _write_indexes(docs: DataFrame, index: DataFrame, targets: list[str], out: str) -> None:
+def _write_indexes(notes: DataFrame, index: DataFrame, targets: list[str], out: str) -> None:
     """The indexes of the prepared dataset, its images and their annotations, as JSON; the names of fields are fixed."""
     images = index.select(
         F.col("image").alias("prepared_image"), F.col("label_path").alias("prepared_label"), "split", F.col("path").alias("source_relative_path"), "source_split", "source_image_id", "width", "height",
         F.col("group").alias("deployment"), "sha256", "target_count", *[f"{t}_count" for t in targets], "non_target_count",
     )
     indexes.write_image_index(images, f"{out}/metadata/image_index")
-    sound = coco.audited(docs).filter(F.col("problem").isNull() & F.col("category").isin(targets)).withColumnsRenamed({"split": "source_split", "image_id": "source_image_id"}).select("source_split", "source_image_id", "annotation_id", "category", "bbox")
+    sound = notes.filter(F.col("problem").isNull() & F.col("category").isin(targets)).withColumnsRenamed({"split": "source_split", "image_id": "source_image_id"}).select("source_split", "source_image_id", "annotation_id", "category", "bbox")
     note = F.struct(
         F.col("annotation_id").alias("source_annotation_id"), F.lit(0).alias("class_id"), F.lit(CLASS_NAME).alias("class_name"), F.col("category").alias("source_category"), F.col("bbox").alias("bbox_xywh"),
         to_yolo(F.col("bbox"), F.col("width"), F.col("height")).alias("bbox_yolo"),

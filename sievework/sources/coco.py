@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.boxes import box_problem, label_line, to_yolo
+from ..operators.audit import written_and_counted
 from . import bigjson
 
 SPLITS = ("train", "valid", "test")
@@ -69,34 +70,59 @@ def file_issues(docs: DataFrame, files: DataFrame) -> DataFrame:
 FATAL = ("missing_image", "undecodable_image", "unlisted_file", "orphan_annotation", "unknown_category", "invalid_box", "size_mismatch", "missing_target_category")
 
 
-def image_counts(docs: DataFrame, targets: list[str]) -> DataFrame:
-    """Each image with its sound boxes: of every target, all targets and all others; zero without any."""
-    sound = audited(docs).filter(F.col("problem").isNull())
+def source_items(docs: DataFrame, files: DataFrame, targets: list[str]) -> DataFrame:
+    """All that an audit looks at as rows, each with its ``issue``, null if it has none.
+
+    ``item`` tells what they are: an annotation (with the columns of ``audited``), a picture that is listed or has a
+    file, or a target category that its split lacks.
+
+    ``files``: ``split``, ``file_name``, and the decoded ``width`` and ``height`` (null or below one if undecodable).
+    """
+    problem, w, h = F.col("problem"), F.col("w_"), F.col("h_")
+    notes = audited(docs).withColumn("issue", F.when(problem.isin("orphan_annotation", "unknown_category"), problem).when(problem.isNotNull(), "invalid_box"))
+    listed = images(docs).select("split", "file_name", "width", "height", F.lit(True).alias("listed_"))
+    there = files.select("split", "file_name", F.col("width").alias("w_"), F.col("height").alias("h_"), F.lit(True).alias("there_"))
+    issue = F.when(F.col("there_").isNull(), "missing_image").when(F.col("listed_").isNull(), "unlisted_file").when(F.coalesce(w < 1, F.lit(True)), "undecodable_image").when((F.col("width") != w) | (F.col("height") != h), "size_mismatch")
+    pictures = listed.join(there, ["split", "file_name"], "full").select("split", "file_name", "width", "height", issue.alias("issue"))
+    wanted = docs.sparkSession.createDataFrame([(s, t) for s in SPLITS for t in targets], "split string, category string")
+    lacking = wanted.join(categories(docs), ["split", "category"], "left_anti").withColumn("issue", F.lit("missing_target_category"))
+    kinds = [rows.withColumn("item", F.lit(k)) for k, rows in (("annotation", notes), ("picture", pictures), ("category", lacking))]
+    return kinds[0].unionByName(kinds[1], True).unionByName(kinds[2], True)
+
+
+def audit_source(docs: DataFrame, files: DataFrame, targets: list[str]) -> tuple[DataFrame, dict[str, int]]:
+    """The items of a source, written once, and how many have each fatal issue (also 0), counted as they are written."""
+    return written_and_counted(source_items(docs, files, targets), {k: F.col("issue") == k for k in FATAL}, "source-items")
+
+
+def audited_annotations(items: DataFrame) -> DataFrame:
+    """Of the written items those that are annotations, with the columns of ``audited``: no document is read or joined again."""
+    return items.filter("item = 'annotation'").drop("item", "issue")
+
+
+def image_counts(docs: DataFrame, targets: list[str], found: DataFrame | None = None) -> DataFrame:
+    """Each image with its sound boxes: of every target, all targets and all others; zero without any.
+
+    ``found`` are the audited annotations, where they are at hand.
+    """
+    sound = (audited(docs) if found is None else found).filter(F.col("problem").isNull())
     is_target = F.col("category").isin(targets)
     counts = sound.groupBy("split", "image_id").agg(*[F.count_if(F.col("category") == t).alias(f"{t}_count") for t in targets], F.count_if(is_target).alias("target_count"), F.count_if(~is_target).alias("non_target_count"))
     return images(docs).join(counts, ["split", "image_id"], "left").na.fill(0)
 
 
 def issue_counts(docs: DataFrame, files: DataFrame, targets: list[str]) -> DataFrame:
-    """``issue`` and ``n`` for each kind that is fatal, also of those that do not occur, and their total.
+    """``issue`` and ``n`` for each kind that is fatal, also of those that do not occur, and their total."""
+    counts = audit_source(docs, files, targets)[1]
+    return docs.sparkSession.createDataFrame([*counts.items(), ("total", sum(counts.values()))], "issue string, n bigint")
 
-    ``files``: ``split``, ``file_name``, and the decoded ``width`` and ``height`` (null or below one if undecodable).
-    """
-    problem = F.col("problem")
-    boxes = audited(docs).filter(problem.isNotNull()).select(F.when(problem.isin("orphan_annotation", "unknown_category"), problem).otherwise("invalid_box").alias("issue"))
-    both = images(docs).join(files.select("split", "file_name", F.col("width").alias("w_"), F.col("height").alias("h_")), ["split", "file_name"])
-    bad = F.coalesce(F.col("w_") < 1, F.lit(True))
-    sizes = both.select(F.when(bad, "undecodable_image").when((F.col("width") != F.col("w_")) | (F.col("height") != F.col("h_")), "size_mismatch").alias("issue")).filter("issue IS NOT NULL")
-    wanted = docs.sparkSession.createDataFrame([(s, t) for s in SPLITS for t in targets], "split string, category string")
-    lacking = wanted.join(categories(docs), ["split", "category"], "left_anti").select(F.lit("missing_target_category").alias("issue"))
-    found = boxes.unionByName(sizes).unionByName(lacking).unionByName(file_issues(docs, files).select("issue")).groupBy("issue").agg(F.count("*").alias("n"))
-    every = docs.sparkSession.createDataFrame([(k,) for k in FATAL], "issue string").join(found, "issue", "left").select("issue", F.coalesce("n", F.lit(0)).alias("n"))
-    return every.unionByName(every.agg(F.sum("n").alias("n")).select(F.lit("total").alias("issue"), "n"))
 
+def label_files(docs: DataFrame, targets: list[str], found: DataFrame | None = None) -> DataFrame:
+    """``split``, ``file_name`` and ``label``: a line per sound target box, in annotation order; empty without one.
 
-def label_files(docs: DataFrame, targets: list[str]) -> DataFrame:
-    """``split``, ``file_name`` and ``label``: a line per sound target box, in annotation order; empty without one."""
-    sound = audited(docs).filter(F.col("problem").isNull() & F.col("category").isin(targets))
+    ``found`` are the audited annotations, where they are at hand.
+    """
+    sound = (audited(docs) if found is None else found).filter(F.col("problem").isNull() & F.col("category").isin(targets))
     line = label_line(to_yolo(F.col("bbox"), F.col("width"), F.col("height")))
     lines = sound.select("split", "image_id", F.struct("annotation_id", line.alias("line")).alias("x")).groupBy("split", "image_id").agg(F.array_sort(F.collect_list("x")).alias("x"))
     text = F.coalesce(F.array_join(F.transform("x", lambda v: F.concat(v["line"], F.lit("\n"))), ""), F.lit(""))

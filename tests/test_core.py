@@ -142,6 +142,25 @@ def test_coco_audit_and_labels(spark, tmp_path):
     assert {tuple(r) for r in coco.file_issues(docs, files).filter("split = 'train'").collect()} == {("train", "b.png", "missing_image"), ("train", "c.png", "unlisted_file")}
 
 
+def test_an_audit_counts_while_it_writes(spark, tmp_path):
+    doc = {"categories": [{"id": 1, "name": " Fish "}], "images": [{"id": i, "file_name": f"{n}.png", "width": 100, "height": 50} for i, n in enumerate("abcd")], "annotations": [{"id": 1, "image_id": 1, "category_id": 1, "bbox": [10, 5, 20, 10]}, {"id": 2, "image_id": 9, "category_id": 9, "bbox": [0, 0, 1, 1]}, {"id": 3, "image_id": 1, "category_id": 9, "bbox": [0, 0, 1, 1]}, {"image_id": 1, "category_id": 1, "bbox": [0, 0, 0, 1]}, {"id": 5, "image_id": 2, "category_id": 1, "bbox": [0, 0, 1]}]}
+    for s in coco.SPLITS:
+        (tmp_path / s).mkdir()
+        (tmp_path / s / coco.FILE).write_text(json.dumps(doc if s == "train" else {"categories": [], "images": [], "annotations": []}))
+    docs = coco.read_documents(spark, str(tmp_path))
+    files = spark.createDataFrame([("train", "a.png", 100, 50), ("train", "b.png", 100, 51), ("train", "c.png", None, None), ("valid", "z.png", 1, 1)], "split string, file_name string, width int, height int")
+    items, counts = coco.audit_source(docs, files, ["fish", "whale"])
+    assert counts == {"missing_image": 1, "undecodable_image": 1, "unlisted_file": 1, "orphan_annotation": 1, "unknown_category": 1, "invalid_box": 2, "size_mismatch": 1, "missing_target_category": 5}
+    assert counts == {k: items.filter(F.col("issue") == k).count() for k in coco.FATAL}
+    rows = lambda df: sorted(map(str, df.select(sorted(df.columns)).collect()))
+    assert rows(coco.audited_annotations(items)) == rows(coco.audited(docs))  # one without an id too
+    for made in (coco.image_counts, coco.label_files):
+        assert rows(made(docs, ["fish"], coco.audited_annotations(items))) == rows(made(docs, ["fish"]))
+    assert {r["issue"]: r["n"] for r in coco.issue_counts(docs, files, ["fish", "whale"]).collect()} == counts | {"total": 13}
+    none, zero = coco.audit_source(docs.limit(0), files.limit(0), [])
+    assert none.count() == 0 and set(zero.values()) == {0}
+
+
 def picture(seed=0, h=48, w=64):
     rng = np.random.default_rng(seed)
     y, x = np.mgrid[:h, :w]
