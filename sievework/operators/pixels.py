@@ -246,7 +246,7 @@ def profile_records(records: DataFrame, profiles: DataFrame) -> DataFrame:
 REGION_WEIGHTS = {"tiny": 2.0, "small": 1.5, "medium_large": 1.0}
 
 
-def region_metrics(images: DataFrame, boxes: DataFrame) -> DataFrame:
+def region_metrics(images: DataFrame, boxes: DataFrame, modes: tuple[str, ...] = tuple(MODES)) -> DataFrame:
     """Per image and mode: ``boxes`` (measured), boxes of each size class, and weighted means of the region ratios.
 
     ``boxes``: ``image`` and ``bbox`` (x, y, width, height), any number per image. Boxes that are not four
@@ -265,7 +265,7 @@ def region_metrics(images: DataFrame, boxes: DataFrame) -> DataFrame:
         areas = [np.s_[max(int(r["at"]["top"]), 0) : max(int(r["at"]["bottom"]), 0), max(int(r["at"]["left"]), 0) : max(int(r["at"]["right"]), 0)] for r in regions]
         wide = [min(image[a].shape[:2]) >= 3 for a in areas]
         raw = [Side(gray(image[a])[None]) if ok else None for a, ok in zip(areas, wide, strict=True)]
-        for mode, made in candidates(image):
+        for mode, made in candidates(image, modes):
             if mode == RAW:
                 continue
             rows = []

@@ -62,23 +62,25 @@ grays AS (SELECT *, (114 * b + 587 * g + 299 * r + 500) // 1000 AS y FROM made)"
 _BY_TABLE = (decide.RAW, "white_balance_conservative", "adaptive_gamma_light", "adaptive_gamma_standard")
 
 
-def _near(dy: int, dx: int, side: int = 8) -> str:
-    """SQL of a neighbour within an area of ``side`` pixels, mirrored about its edge pixels."""
-    fold = lambda c: f"({side - 1} - abs({side - 1} - abs({c})))"
-    return f"l[({fold(f'p // {side} + {dy}')} * {side} + {fold(f'p % {side} + {dx}')} + 1)::INT]"
-
-
-#: SQL of filters within areas given as lists ``l`` of 64 gray values, one row for each pixel ``p``.
-_FILTERED = f"""filtered AS (
-  SELECT *, {_near(0, 0)} AS y, {_near(-1, 0)} + {_near(1, 0)} + {_near(0, -1)} + {_near(0, 1)} - 4 * {_near(0, 0)} AS lap,
-    {_near(0, 0)} - ({' + '.join(f"{(2 - abs(dy)) * (2 - abs(dx))} * {_near(dy, dx)}" for dy in (-1, 0, 1) for dx in (-1, 0, 1))}) / 16.0::DOUBLE AS noise,
-    {_near(-1, 1)} + 2 * {_near(0, 1)} + {_near(1, 1)} - {_near(-1, -1)} - 2 * {_near(0, -1)} - {_near(1, -1)} AS gx,
-    {_near(1, -1)} + 2 * {_near(1, 0)} + {_near(1, 1)} - {_near(-1, -1)} - 2 * {_near(-1, 0)} - {_near(-1, 1)} AS gy
-  FROM areas, (SELECT unnest(range(64))::INT AS p)),
+def _near(dy: int, dx: int, h: str = "8", w: str = "8") -> str:
+    """SQL of a neighbour within an area of ``h`` x ``w`` pixels, mirrored about its edge pixels."""
+    fold = lambda c, n: f"({n} - 1 - abs({n} - 1 - abs({c})))"
+    return f"l[({fold(f'p // {w} + {dy}', h)} * {w} + {fold(f'p % {w} + {dx}', w)} + 1)::INT]"
+
+
+def _filtered(h: str, w: str) -> str:
+    """SQL of filters within areas given as lists ``l`` of ``h`` x ``w`` gray values, one row for each pixel ``p``, and the ratios of areas."""
+    near = lambda dy, dx: _near(dy, dx, h, w)
+    return f"""filtered AS (
+  SELECT *, {near(0, 0)} AS y, {near(-1, 0)} + {near(1, 0)} + {near(0, -1)} + {near(0, 1)} - 4 * {near(0, 0)} AS lap,
+    {near(0, 0)} - ({' + '.join(f"{(2 - abs(dy)) * (2 - abs(dx))} * {near(dy, dx)}" for dy in (-1, 0, 1) for dx in (-1, 0, 1))}) / 16.0::DOUBLE AS noise,
+    {near(-1, 1)} + 2 * {near(0, 1)} + {near(1, 1)} - {near(-1, -1)} - 2 * {near(0, -1)} - {near(1, -1)} AS gx,
+    {near(1, -1)} + 2 * {near(1, 0)} + {near(1, 1)} - {near(-1, -1)} - 2 * {near(-1, 0)} - {near(-1, 1)} AS gy
+  FROM (SELECT *, unnest(range({h} * {w}))::INT AS p FROM areas)),
 sized AS (SELECT *, sqrt((gx * gx + gy * gy)::DOUBLE) AS size FROM filtered),
 stats AS (SELECT image, mode, tile, avg(size) AS energy, var_pop(lap) AS lap_var, stddev_pop(noise) AS noise_sd, stddev_pop(y) AS gray_sd, quantile_cont(size, 0.75) FILTER (WHERE size > 0) AS q FROM sized GROUP BY 1, 2, 3),
-strong AS (SELECT image, mode, tile, p, size >= coalesce(q, 'inf'::DOUBLE) AS s FROM sized JOIN stats USING (image, mode, tile)),
-edge AS (SELECT a.image, b.mode, a.tile, count(*) AS n, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM strong c WHERE c.image = a.image AND c.mode = b.mode AND c.tile = a.tile AND c.s AND abs(c.p // 8 - a.p // 8) <= 1 AND abs(c.p % 8 - a.p % 8) <= 1)) AS kept
+strong AS (SELECT image, mode, tile, p // {w} AS y0, p % {w} AS x0, size >= coalesce(q, 'inf'::DOUBLE) AS s FROM sized JOIN stats USING (image, mode, tile)),
+edge AS (SELECT a.image, b.mode, a.tile, count(*) AS n, count(*) FILTER (WHERE EXISTS (SELECT 1 FROM strong c WHERE c.image = a.image AND c.mode = b.mode AND c.tile = a.tile AND c.s AND abs(c.y0 - a.y0) <= 1 AND abs(c.x0 - a.x0) <= 1)) AS kept
   FROM strong a, (SELECT DISTINCT mode FROM strong WHERE mode <> '{decide.RAW}') b WHERE a.mode = '{decide.RAW}' AND a.s GROUP BY 1, 2, 3),
 kin AS (
   SELECT b.image, b.mode, b.tile, covar_pop(a.size, b.size) AS cov, stddev_pop(a.size) * stddev_pop(b.size) AS under, bool_and(abs(a.size - b.size) <= 1e-8::DOUBLE + 1e-5::DOUBLE * abs(b.size)) AS alike
@@ -87,6 +89,9 @@ ratios AS (SELECT b.image, b.mode, b.tile, a.energy, CASE WHEN under < 1e-9::DOU
   FROM stats b JOIN stats a ON a.image = b.image AND a.tile = b.tile AND a.mode = '{decide.RAW}' JOIN kin k ON k.image = b.image AND k.mode = b.mode AND k.tile = b.tile LEFT JOIN edge e ON e.image = b.image AND e.mode = b.mode AND e.tile = b.tile WHERE b.mode <> '{decide.RAW}')"""
 
 
+_FILTERED = _filtered("8", "8")
+
+
 @_query(f"""
 WITH {_cells(8)}, areas AS (SELECT image, mode, 0 AS tile, list(y ORDER BY i) AS l FROM grays GROUP BY 1, 2), {_FILTERED},
 h AS (SELECT image, mode, y, count(*) AS c FROM grays GROUP BY 1, 2, 3),
@@ -131,6 +136,46 @@ def local_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.local_detail(areas).select("image", "tiles", *[f"{r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90)])
 
 
+#: SQL of the share of edge pixels: peaks of the gradient along its direction, those over 150, and those over 50 that a way of such leads to.
+_EDGES = f"""turned AS (SELECT image, mode, p, gx, gy, abs(gx) + abs(gy) AS size, CASE WHEN abs(gy) < 0.41421356::DOUBLE * abs(gx) THEN 0 WHEN abs(gy) > 2.41421356::DOUBLE * abs(gx) THEN 3 WHEN (gx < 0) = (gy < 0) THEN 1 ELSE 2 END AS turn FROM filtered),
+ways AS (SELECT * FROM (VALUES (0, 0, 1), (1, 1, 1), (2, 1, -1), (3, 1, 0)) w(turn, dy, dx)),
+beside AS (SELECT t.*, coalesce(a.size, 0) AS after, coalesce(b.size, 0) AS before FROM turned t JOIN ways USING (turn)
+  LEFT JOIN turned a ON a.image = t.image AND a.mode = t.mode AND a.p // 8 = t.p // 8 + dy AND a.p % 8 = t.p % 8 + dx LEFT JOIN turned b ON b.image = t.image AND b.mode = t.mode AND b.p // 8 = t.p // 8 - dy AND b.p % 8 = t.p % 8 - dx),
+weak AS (SELECT image, mode, p, size FROM beside WHERE size >= after AND size > before AND size > 50),
+edges AS (SELECT image, mode, p FROM weak WHERE size > 150
+  UNION SELECT w.image, w.mode, w.p FROM edges e JOIN weak w ON w.image = e.image AND w.mode = e.mode AND abs(w.p // 8 - e.p // 8) <= 1 AND abs(w.p % 8 - e.p % 8) <= 1)"""
+
+
+@_query(f"""
+WITH RECURSIVE {_cells(8)}, areas AS (SELECT image, mode, 0 AS tile, list(y ORDER BY i) AS l FROM grays GROUP BY 1, 2), {_FILTERED}, {_EDGES}
+SELECT a.image, a.mode, count(e.p) / 64.0::DOUBLE AS edge_density FROM areas a LEFT JOIN edges e ON e.image = a.image AND e.mode = a.mode GROUP BY 1, 2""")
+def edge_shares(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The share of edge pixels of raw images and of the candidates that are look-up tables."""
+    return pixels.quality(pixels.area_sums(_images(spark, sf_dir, 8), (), _BY_TABLE[1:])).select("image", "mode", "edge_density")
+
+
+_REGION_MODES = _BY_TABLE[1:3]
+
+
+@_query(f"""
+WITH {_cells(32)}, given AS (SELECT vec_id::VARCHAR AS image, unnest([[vec_id % 9, 0, 1, 1], [29 - vec_id % 5, 30, 2, 1], [vec_id % 20, vec_id % 23, 5, 2 + vec_id % 7]]) AS b, unnest([0, 1, 2]) AS tile FROM embeddings),
+boxes AS (SELECT image, tile, CASE WHEN b[3] * b[4] / 1024.0::DOUBLE < 0.0015 THEN 'tiny' WHEN b[3] * b[4] / 1024.0::DOUBLE < 0.0075 THEN 'small' ELSE 'medium_large' END AS size,
+  greatest(b[1] - 24, 0) AS x0, greatest(b[2] - 24, 0) AS y0, least(b[1] + b[3] + 24, 32) AS x1, least(b[2] + b[4] + 24, 32) AS y1 FROM given),
+areas AS (SELECT image, mode, tile, any_value(y1 - y0)::INT AS h, any_value(x1 - x0)::INT AS w, list(y ORDER BY i) AS l FROM boxes JOIN grays USING (image)
+  WHERE mode IN ('{decide.RAW}', '{_REGION_MODES[0]}', '{_REGION_MODES[1]}') AND i % 32 >= x0 AND i % 32 < x1 AND i // 32 >= y0 AND i // 32 < y1 GROUP BY 1, 2, 3), {_filtered('h', 'w')},
+weighed AS (SELECT *, CASE size WHEN 'tiny' THEN 2.0::DOUBLE WHEN 'small' THEN 1.5::DOUBLE ELSE 1.0::DOUBLE END AS k FROM ratios JOIN boxes USING (image, tile))
+SELECT image, mode, count(*) AS boxes, {', '.join(f"count(*) FILTER (WHERE size = '{k}') AS {k}_boxes" for k in ('tiny', 'small', 'medium_large'))},
+  {', '.join(f"round(sum({r} * k) / sum(k), 6) AS any_{r}, round(avg({r}) FILTER (WHERE size = 'tiny'), 6) AS tiny_{r}" for r in pixels.RATIOS)} FROM weighed GROUP BY 1, 2""")
+def region_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What candidates keep in the regions around three boxes of each image, weighed by the size of the box; Lab is left to tests."""
+    images = _images(spark, sf_dir, 32)
+    n = F.col("image").cast("long")
+    parts = lambda *c: F.array(*[F.lit(x).cast("double") for x in c])
+    given = [parts(F.pmod(n, F.lit(9)), 0, 1, 1), parts(29 - F.pmod(n, F.lit(5)), 30, 2, 1), parts(F.pmod(n, F.lit(20)), F.pmod(n, F.lit(23)), 5, 2 + F.pmod(n, F.lit(7)))]
+    found = pixels.region_metrics(images, images.select("image", F.explode(F.array(*given)).alias("bbox")), _REGION_MODES)
+    return found.select("image", "mode", "boxes", "tiny_boxes", "small_boxes", "medium_large_boxes", *[F.round(f"{who}_{r}", 6).alias(f"{who}_{r}") for r in pixels.RATIOS for who in ("any", "tiny")])
+
+
 @_query(f"WITH {_cells(8)} SELECT image, avg(y) / 255 AS brightness, stddev_pop(y) AS contrast FROM grays WHERE mode = '{decide.RAW}' GROUP BY 1")
 def scene_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pixels.profile_images(_images(spark, sf_dir, 8)).select("image", "brightness", "contrast")
