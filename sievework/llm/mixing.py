@@ -20,29 +20,42 @@ NEAR, SWAPS = 0.002, 6
 BROADCAST_PLAN = 100_000
 
 
+def _running(rows: DataFrame, order: list[Column], before: dict[str, Column], upward: dict[str, Column], name: str) -> DataFrame:
+    """Adds each row's ``place`` in ``order`` from 0, the sums ``before`` it, and the sums from it ``upward``; ``order`` leaves no ties.
+
+    Rows are dealt to partitions by ranges of the order and written. Sums are taken within a range, and those of the
+    ranges before or after it are added: no task sees more than a range, and one row for each range meets in one place.
+    """
+    dealt = materialize(rows.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
+    before = {"place": F.lit(1).cast("long")} | before
+    ranges = dealt.groupBy("_range").agg(*[F.sum(c).alias(f"_{k}") for k, c in (before | upward).items()])
+    to = {k: Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1) for k in before} | {k: Window.orderBy("_range").rowsBetween(1, Window.unboundedFollowing) for k in upward}
+    ranges = ranges.select("_range", *[F.coalesce(F.sum(f"_{k}").over(w), F.lit(0)).alias(f"_{k}") for k, w in to.items()])
+    inside = Window.partitionBy("_range").orderBy(*order)
+    sums = {k: F.coalesce(F.sum(c).over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) for k, c in before.items()}
+    sums |= {k: F.sum(c).over(inside.rowsBetween(0, Window.unboundedFollowing)) for k, c in upward.items()}
+    return dealt.join(F.broadcast(ranges), "_range").select(*rows.columns, *[(F.col(f"_{k}") + c).alias(k) for k, c in sums.items()])
+
+
 def source_targets(totals: DataFrame, weights: tuple[float, ...], share: float, cap: float) -> DataFrame:
     """Adds ``target`` to one row per source (``source``, ``source_size``).
 
     Sources by code point, null last, take the weights in turn. ``share`` times all sizes is dealt by
     weight; no target exceeds ``cap`` times its source's size, and the excess is dealt again by weight.
     In order of the level at which a source fills up, each is full if the level without those before
-    it reaches that far, so one pass of running sums finds the final level.
+    it reaches that far, so one pass of running sums finds the final level. Both orders are kept in ranges,
+    so any number of sources is dealt with by many tasks.
     """
-    by_name = Window.orderBy(F.col("source").asc_nulls_last())
-    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), ((F.row_number().over(by_name) - 1) % len(weights) + 1).cast("int"))
-    limit, everything = F.col("source_size") * F.lit(float(cap)), Window.partitionBy()
-    by_fill = Window.orderBy("fills_at", F.col("source").asc_nulls_last())
-    level = (
-        totals.withColumn("weight", weight)
-        .withColumn("fills_at", limit / F.col("weight"))
-        .withColumn("wanted", F.sum("source_size").over(everything) * F.lit(float(share)))
-        .withColumn("before", F.coalesce(F.sum(limit).over(by_fill.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0)))
-        .withColumn("weight_left", F.sum("weight").over(by_fill.rowsBetween(0, Window.unboundedFollowing)))
-        .withColumn("level", (F.col("wanted") - F.col("before")) / F.col("weight_left"))
-        .withColumn("full", F.col("level") >= F.col("fills_at"))
-        .withColumn("final", F.min(F.when(~F.col("full"), F.struct("fills_at", "source", "level"))).over(everything)["level"])
-    )
-    return level.select("source", "source_size", F.when(F.col("full"), limit).otherwise(F.least(limit, F.col("final") * F.col("weight"))).alias("target"))
+    by_name = F.col("source").asc_nulls_last()
+    named = _running(totals, [by_name], {}, {}, "mix-sources")
+    weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), (F.col("place") % len(weights) + 1).cast("int"))
+    limit = F.col("source_size") * F.lit(float(cap))
+    weighed = named.withColumn("weight", weight).drop("place").withColumn("fills_at", limit / F.col("weight"))
+    wanted = float(totals.agg(F.sum("source_size")).first()[0] or 0) * float(share)
+    level = _running(weighed, [F.col("fills_at").asc(), by_name], {"before": limit}, {"weight_left": F.col("weight")}, "mix-levels")
+    level = level.withColumn("level", (F.lit(wanted) - F.col("before")) / F.col("weight_left")).withColumn("full", F.col("level") >= F.col("fills_at"))
+    last = level.filter(~F.col("full")).agg(F.min(F.struct("fills_at", "source", "level"))["level"]).first()[0]  # one number
+    return level.select("source", "source_size", F.when(F.col("full"), limit).otherwise(F.least(limit, F.lit(last).cast("double") * F.col("weight"))).alias("target"))
 
 
 def size_kind(size: Column) -> Column:

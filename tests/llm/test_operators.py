@@ -156,6 +156,32 @@ def test_excess_is_dealt_again(spark):
     assert got["a"] == 20 and got["b"] == pytest.approx(2995 * 2 / 3) and got[None] == pytest.approx(2995 / 3)
 
 
+@pytest.mark.parametrize("n", [0, 1, 700])
+def test_targets_of_many_sources_are_dealt_in_ranges(spark, n):
+    """Water filled to a level by a plain loop, against sums over several ranges of sources; many sources are of equal size."""
+    sizes = {f"s{i:03}" if i else None: int(x) for i, x in enumerate(np.random.default_rng(5).integers(0, 40, n) ** 2)}
+    order = sorted(sizes, key=lambda k: (k is None, k or ""))
+    weight = {k: (5.0, 2.0, 1.0)[i % 3] for i, k in enumerate(order)}
+    left, open_, want = 1.5 * sum(sizes.values()), set(order), {}
+    while open_:
+        level = left / sum(weight[k] for k in open_)
+        full = {k for k in open_ if 2.0 * sizes[k] <= level * weight[k]}
+        if not full:
+            want |= {k: level * weight[k] for k in open_}
+            break
+        want |= {k: 2.0 * sizes[k] for k in full}
+        left, open_ = left - sum(want[k] for k in full), open_ - full
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # small ranges stay apart
+    try:
+        totals = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        got = mixing.source_targets(totals, (5.0, 2.0, 1.0), 1.5, 2.0).collect()
+        placed = mixing._running(totals, [F.col("source").asc_nulls_last()], {}, {}, "places").orderBy("place").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert {r["source"]: r["target"] for r in got} == pytest.approx(want) and len(got) == n
+    assert [r["source"] for r in placed] == order and [r["place"] for r in placed] == list(range(n))
+
+
 # 3
 
 
