@@ -129,11 +129,11 @@ def structure_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query(f"""
 WITH {_cells(32)}, areas AS (SELECT image, mode, (i // 256) * 4 + (i % 32) // 8 AS tile, list(y ORDER BY i) AS l FROM grays WHERE mode IN ('{decide.RAW}', 'adaptive_gamma_standard') GROUP BY 1, 2, 3), {_FILTERED},
 k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY image, mode ORDER BY energy DESC, tile) AS n FROM ratios) WHERE n <= 10)
-SELECT image, count(*) AS tiles, {', '.join(f"quantile_cont({r}, {q / 100}) AS {r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90))} FROM k GROUP BY 1""")
+SELECT image, count(*) AS tiles, {', '.join(f"round(quantile_cont({r}, {q / 100}), 6) AS {r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90))} FROM k GROUP BY 1""")
 def local_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles over the most detailed tiles: of 16 tiles of 8 pixels ten count."""
     areas = materialize(pixels.area_sums(_images(spark, sf_dir, 32), (4,), _BY_TABLE[3:]).filter("grid = 4"), "area-sums")
-    return pixels.local_detail(areas).select("image", "tiles", *[f"{r}_p{q}" for r in pixels.RATIOS for q in (10, 50, 90)])
+    return pixels.local_detail(areas).select("image", "tiles", *[F.round(f"{r}_p{q}", 6).alias(f"{r}_p{q}") for r in pixels.RATIOS for q in (10, 50, 90)])  # gradients are of single precision
 
 
 #: SQL of the share of edge pixels: peaks of the gradient along its direction, those over 150, and those over 50 that a way of such leads to.
