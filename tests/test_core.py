@@ -420,6 +420,26 @@ def test_a_log_as_a_stream_is_what_the_reader_of_logs_has(spark, tmp_path):
         live.keep_latest(live.latest_records(live.read_log(spark, where[0], schema, "key"), "key"), where[1], where[2]).awaitTermination()
 
 
+def test_a_large_file_of_a_streamed_log_is_read_by_lines_and_in_parts(spark, tmp_path):
+    """Never whole, also where the torn last line begins in one part and ends in another, in which no line begins."""
+    schema = T.StructType().add("key", "string").add("n", "integer")
+    (tmp_path / "log").mkdir()
+    text = "".join(json.dumps({"key": f"k{i % 7}", "n": i}) + "\n" for i in range(3000))
+    (tmp_path / "log" / "0.jsonl").write_text(text + '{"key": "z", "x": "' + "y" * 9000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        log = live.read_log(spark, f"{tmp_path}/log", schema, "key")
+        query = live.keep_latest(live.latest_records(log, "key"), f"{tmp_path}/out", f"{tmp_path}/mark")
+        query.awaitTermination()
+        got = {tuple(r) for r in live.read_latest(spark, f"{tmp_path}/out", "key").collect()}
+        assert got == {tuple(r) for r in progress.read_progress(spark, f"{tmp_path}/log", schema, "key").collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == {(f"k{i % 7}", i) for i in range(2993, 3000)}
+    assert sum(p["numInputRows"] for p in query.recentProgress) >= 3000  # rows are lines, not files
+
+
 def test_windows_count_by_time(spark, tmp_path):
     schema = T.StructType().add("key", "string").add("at", "timestamp")
     (tmp_path / "in").mkdir()
