@@ -17,7 +17,7 @@ from ..functions.boxes import area_ratio, protected_region, size_class
 from ..functions.rules import clamp, safe_ratio, weighted_mean, weighted_sum
 from ..shared import materialize
 from .decide import MODES, RAW
-from .kernels import TRANSFORMS, Side, gray, image_sums, lab_distance, pair_sums, pixels_of, shrink, tile_bounds, whole_lab
+from .kernels import TRANSFORMS, Side, gray, image_sums, lab_distance, lab_distances, pair_sums, pixels_of, shrink, tile_bounds, whole_lab
 
 #: Fixed weights of the benefit score.
 BENEFIT_WEIGHTS = {"uciqe_proxy": 0.24, "uiqm_proxy": 0.18, "brightness_quality": 0.16, "contrast_quality": 0.14, "entropy_quality": 0.10, "color_balance": 0.10, "sharpness_quality": 0.08}
@@ -36,52 +36,81 @@ def candidates(image: np.ndarray, modes: tuple[str, ...] = tuple(MODES)) -> Iter
         yield mode, TRANSFORMS[mode](image)
 
 
-def _image_rows(image: np.ndarray, grids: tuple[int, ...], modes: tuple[str, ...]) -> Iterator[dict]:
-    """Columns of rows: the whole sums of each candidate (grid 0), and its sums with the raw image over the areas of each grid."""
-    work = shrink(image, WORK_SIDE)
+def _made(images: list[np.ndarray], modes: tuple[str, ...]) -> Iterator[tuple[str, list[np.ndarray]]]:
+    """The raw images and each candidate of all of them; of a single one, which may be large, one candidate at a time."""
+    runs = [candidates(x, modes) for x in images]
+    for step in zip(*(runs if len(runs) == 1 else map(list, runs)), strict=True):
+        yield step[0][0], [x for _, x in step]
+
+
+def _area_rows(images: list[np.ndarray], grids: tuple[int, ...], modes: tuple[str, ...], whole: bool) -> Iterator[dict]:
+    """Columns of rows, of images of one shape: the whole sums of each candidate (grid 0), and its sums with the raw image over the areas of each grid.
+
+    ``of`` is a row's image by its place. Areas of equal size are worked through together, those of all images.
+    """
+    work, k = [shrink(x, WORK_SIDE) for x in images], len(images)
     areas: dict[tuple, list] = {}
     for n in grids:
-        for i, at in enumerate(tile_bounds(*work.shape[:2], n, 1 if n == 1 else TILE_SIDE)):
+        for i, at in enumerate(tile_bounds(*work[0].shape[:2], n, 1 if n == 1 else TILE_SIDE)):
             areas.setdefault((n, at[1] - at[0], at[3] - at[2]), []).append((i, at))
-    stack = lambda g, group: Side(np.stack([g[a:b, c:d] for _, (a, b, c, d) in group]))
-    raw = raw_lab = None
-    for mode, made in candidates(image, modes):
-        g, lab = gray(made), whole_lab(made)
-        sums = image_sums(made, g, lab)
-        if made.shape != image.shape:
-            yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 0.0, "whole": sums}
+    stack = lambda g, group: Side(np.stack([g[:, a:b, c:d] for _, (a, b, c, d) in group], axis=1).reshape(-1, *g[0, slice(*group[0][1][:2]), slice(*group[0][1][2:])].shape))
+    raw, raw_labs = None, [None] * k
+    for mode, made in _made(images, modes):
+        same = np.array([x.shape == image.shape for x, image in zip(made, images, strict=True)])
+        small = [shrink(x, WORK_SIDE) if ok else y for x, y, ok in zip(made, work, same, strict=True)]  # rows of those of another shape are left out below
+        if whole:
+            grays, sums, labs = [], [], []
+            for i, (x, y) in enumerate(zip(made, small, strict=True)):
+                g, lab = gray(x), whole_lab(x)
+                sums.append(image_sums(x, g, lab))
+                if y is not x:
+                    g, lab = gray(y), whole_lab(y)
+                raw_labs[i] = lab if mode == RAW else raw_labs[i]
+                grays.append(g)
+                labs.append(lab_distance(raw_labs[i], lab) if same[i] else None)
+            yield {"of": np.arange(k), "mode": mode, "grid": [0] * k, "tile": [0] * k, "same_shape": same.astype(float), "lab": labs, **{f"w_{c}": [r[c] for r in sums] for c in sums[0]}}
+        if not areas:
             continue
-        small = shrink(made, WORK_SIDE)
-        if small is not made:
-            g, lab = gray(small), whole_lab(small)
-        raw_lab = lab if mode == RAW else raw_lab
-        yield {"mode": mode, "grid": [0], "tile": [0], "same_shape": 1.0, "whole": sums, "lab": lab_distance(raw_lab, lab)}
+        g = np.stack(grays) if whole else gray(np.stack(small))
         sides = {key: stack(g, group) for key, group in areas.items()}
         raw = raw or sides
         if mode != RAW:
             for key, group in areas.items():
-                yield {"mode": mode, "grid": [key[0]] * len(group), "tile": [i for i, _ in group], "pair": pair_sums(raw[key], sides[key])}
+                kept = np.repeat(same, len(group))
+                tiles = np.tile([i for i, _ in group], k)[kept]
+                yield {"of": np.repeat(np.arange(k), len(group))[kept], "mode": mode, "grid": [key[0]] * len(tiles), "tile": tiles, **{f"p_{c}": v[kept] for c, v in pair_sums(raw[key], sides[key]).items()}}
 
 
-def _records(image: str, parts: Iterator[dict], kinds: pa.Schema) -> Iterator[pa.RecordBatch]:
-    for part in parts:
-        n = len(part["grid"])
-        given = {"image": [image] * n, "mode": [part["mode"]] * n, "grid": part["grid"], "tile": part["tile"]}
-        for name in ("same_shape", "lab"):
-            given[name] = [part.get(name)] * n
-        given |= {f"w_{k}": [v] for k, v in part.get("whole", {}).items()} | {f"p_{k}": v for k, v in part.get("pair", {}).items()}
-        yield pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in kinds], schema=kinds)
+def _record(keys: list[str], part: dict, kinds: pa.Schema) -> pa.RecordBatch:
+    """Rows from their columns: ``of`` is the place of a row's key, ``mode`` is the same for all, those that are not given are null."""
+    n = len(part["of"])
+    given = part | {"image": [keys[i] for i in part["of"]], "mode": [part["mode"]] * n}
+    return pa.RecordBatch.from_arrays([pa.array(given[f.name], f.type) if f.name in given else pa.nulls(n, f.type) for f in kinds], schema=kinds)
 
 
-def _per_image(images: DataFrame, more: list[str], make: Callable[..., Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Record batches that ``make`` gives for each decodable image, from its key, its pixels and the columns ``more``."""
+#: Pixels of small images that a task works through together; a larger image is worked through alone.
+PIXELS = 1 << 19
+#: Images are dealt to this many partitions at most.
+PARTITIONS = 10_000
+
+
+def _per_group(images: DataFrame, more: list[str], make: Callable[[list[tuple]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
+    """Record batches that ``make`` gives for groups of decodable images: their keys, pixels and columns ``more``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            group, held = [], 0
             for row in range(len(batch)):
                 key, h, w, data, *rest = (c[row].as_py() for c in batch.columns)
-                if (image := pixels_of(data, h, w)) is not None:
-                    yield from make(key, image, *rest)
+                if (image := pixels_of(data, h, w)) is None:
+                    continue
+                if group and held + h * w > PIXELS:
+                    yield from make(group)
+                    group, held = [], 0
+                group.append((key, image, *rest))
+                held += h * w
+            if group:
+                yield from make(group)
 
     return images.select(F.col("image").cast("string"), "height", "width", "data", *more).mapInArrow(run, schema)
 
@@ -91,16 +120,27 @@ def _schema(fields: dict[str, pa.DataType]) -> tuple[pa.Schema, str]:
     return pa.schema(list(fields.items())), ", ".join(f"{k} {names[t]}" for k, t in fields.items())
 
 
-def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS), modes: tuple[str, ...] = tuple(MODES)) -> DataFrame:
-    """Rows of raw sums: per image and mode one of the whole image (grid 0, columns ``w_``) and those of areas (``p_``).
+def area_sums(images: DataFrame, grids: tuple[int, ...] = (1, *GRIDS), modes: tuple[str, ...] = tuple(MODES), whole: bool = True) -> DataFrame:
+    """Rows of raw sums: per image and mode one of the whole image (grid 0, columns ``w_``; none unless ``whole``) and those of areas (``p_``).
 
     ``images``: ``image`` (its key) and ``height``, ``width``, ``data`` (bytes), as the readers of ``sources.images`` give
-    them. Each image is decoded once for all modes; rows whose pixels are missing or too few give nothing.
+    them. Each image is decoded once for all modes; rows whose pixels are missing or too few give nothing. Small images
+    of one shape are worked through together.
     """
     fields = {"image": pa.string(), "mode": pa.string(), "grid": pa.int32(), "tile": pa.int32(), "same_shape": pa.float64(), "lab": pa.float64()}
     fields |= {f"w_{k}": pa.float64() for k in IMAGE_SUMS} | {"w_hist": pa.list_(pa.int64())} | {f"p_{k}": pa.float64() for k in PAIR_SUMS}
     kinds, schema = _schema(fields)
-    return _per_image(images, [], lambda key, image: _records(key, _image_rows(image, grids, modes), kinds), schema)
+
+    def make(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        shapes: dict[tuple, list] = {}
+        for key, image in group:
+            shapes.setdefault(image.shape, []).append((key, image))
+        for alike in shapes.values():
+            keys, pictures = map(list, zip(*alike, strict=True))
+            for part in _area_rows(pictures, grids, modes, whole):
+                yield _record(keys, part, kinds)
+
+    return _per_group(images, [], make, schema)
 
 
 def _sd(total: Column, square: Column, n: Column) -> Column:
@@ -222,15 +262,17 @@ def profile_images(images: DataFrame) -> DataFrame:
     """``image``, brightness, contrast, sharpness and colour cast of the scene, for every decodable image."""
     kinds, schema = _schema({"image": pa.string(), "n": pa.float64(), "b": pa.float64(), "g": pa.float64(), "r": pa.float64(), "lap_sum": pa.float64(), "lap_sq": pa.float64(), "gray_sum": pa.float64(), "gray_sq": pa.float64()})
 
-    def make(key: str, image: np.ndarray) -> Iterator[pa.RecordBatch]:
-        side = Side(gray(image)[None])
-        b, g, r = (float(image[..., i].sum(dtype=np.int64)) for i in range(3))
-        row = {"image": key, "n": float(image.size // 3), "b": b, "g": g, "r": r} | {k: float(v[0]) for k, v in side.sums.items() if k in kinds.names}
-        yield pa.RecordBatch.from_pylist([row], kinds)
+    def make(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for key, image in group:
+            side = Side(gray(image)[None])
+            b, g, r = (float(image[..., i].sum(dtype=np.int64)) for i in range(3))
+            rows.append({"image": key, "n": float(image.size // 3), "b": b, "g": g, "r": r} | {k: float(v[0]) for k, v in side.sums.items() if k in kinds.names})
+        yield pa.RecordBatch.from_pylist(rows, kinds)
 
     n, mean = F.col("n"), (F.col("b") + F.col("g") + F.col("r")) / (3 * F.col("n"))
     cast = F.sqrt(sum(((F.col(c) / n - mean) ** 2 for c in "gr"), (F.col("b") / n - mean) ** 2) / 3) / F.greatest(mean, F.lit(1e-6))
-    return _per_image(images, [], make, schema).select("image", (F.col("gray_sum") / n / 255).alias("brightness"), _sd(F.col("gray_sum"), F.col("gray_sq"), n).alias("contrast"), (_sd(F.col("lap_sum"), F.col("lap_sq"), n) ** 2).alias("sharpness"), cast.alias("colour_cast"))
+    return _per_group(images, [], make, schema).select("image", (F.col("gray_sum") / n / 255).alias("brightness"), _sd(F.col("gray_sum"), F.col("gray_sq"), n).alias("contrast"), (_sd(F.col("lap_sum"), F.col("lap_sq"), n) ** 2).alias("sharpness"), cast.alias("colour_cast"))
 
 
 def profile_records(records: DataFrame, profiles: DataFrame) -> DataFrame:
@@ -246,39 +288,53 @@ def profile_records(records: DataFrame, profiles: DataFrame) -> DataFrame:
 REGION_WEIGHTS = {"tiny": 2.0, "small": 1.5, "medium_large": 1.0}
 
 
-def region_metrics(images: DataFrame, boxes: DataFrame, modes: tuple[str, ...] = tuple(MODES)) -> DataFrame:
-    """Per image and mode: ``boxes`` (measured), boxes of each size class, and weighted means of the region ratios.
+def region_metrics(images: DataFrame, boxes: DataFrame, modes: tuple[str, ...] = tuple(MODES), lab: bool = True) -> DataFrame:
+    """Per image and mode: ``boxes`` (measured), boxes of each size class, and weighted means of the region ratios and, if wanted, of the distance in Lab.
 
     ``boxes``: ``image`` and ``bbox`` (x, y, width, height), any number per image. Boxes that are not four
     numbers are skipped; each other counts by size, and is measured with its surroundings unless those are
     below three pixels. ``any_*`` weighs tiny and small boxes more, ``tiny_*`` is the mean over tiny ones;
-    both are null without such boxes. Regions leave the tasks as rows of sums and are averaged map-side.
+    both are null without such boxes. Regions leave the tasks as rows of sums and are averaged map-side; those of
+    one shape are worked through together, also of several small images.
     """
-    sized = images.select("image", F.col("height").alias("h_"), F.col("width").alias("w_"))
+    sized = materialize(images.select("image", F.col("height").alias("h_"), F.col("width").alias("w_")), "sizes")
+    total = sized.agg(F.sum(F.greatest(F.col("h_"), F.lit(0)).cast("long") * F.greatest(F.col("w_"), F.lit(0)))).first()[0]
+    tasks = max(1, min((total or 0) // PIXELS, PARTITIONS))  # by pixels, for small images are much work for few bytes
     box = boxes.filter(F.size("bbox") == 4).filter(~F.exists("bbox", lambda v: v.isNull() | F.isnan(v))).join(sized, "image")
     size = size_class(area_ratio(F.col("bbox"), F.col("w_"), F.col("h_")))
     region = protected_region(F.col("bbox"), F.col("w_"), F.col("h_"))
     lists = box.select("image", F.struct(region.alias("at"), size.alias("size")).alias("b")).groupBy("image").agg(F.collect_list("b").alias("regions"))  # the boxes of one image
     kinds, schema = _schema({"image": pa.string(), "mode": pa.string(), "size": pa.string(), "lab": pa.float64(), **{f"p_{k}": pa.float64() for k in PAIR_SUMS}})
 
-    def make(key: str, image: np.ndarray, regions: list[dict]) -> Iterator[pa.RecordBatch]:
-        areas = [np.s_[max(int(r["at"]["top"]), 0) : max(int(r["at"]["bottom"]), 0), max(int(r["at"]["left"]), 0) : max(int(r["at"]["right"]), 0)] for r in regions]
-        wide = [min(image[a].shape[:2]) >= 3 for a in areas]
-        raw = [Side(gray(image[a])[None]) if ok else None for a, ok in zip(areas, wide, strict=True)]
-        for mode, made in candidates(image, modes):
+    def make(group: list[tuple]) -> Iterator[pa.RecordBatch]:
+        keys, pictures, lists = map(list, zip(*group, strict=True))
+        runs: list[list] = []
+        latest: dict[tuple, list] = {}
+        for i, regions in enumerate(lists):
+            for r in regions:
+                top, bottom, left, right = (max(int(r["at"][k]), 0) for k in ("top", "bottom", "left", "right"))
+                shape = pictures[i][top:bottom, left:right].shape[:2]
+                shape = shape if min(shape) >= 3 else (0, 0)
+                if shape not in latest or (len(latest[shape]) + 1) * shape[0] * shape[1] > PIXELS:
+                    latest[shape] = []
+                    runs.append(latest[shape])
+                latest[shape].append((i, np.s_[top:bottom, left:right], r["size"], shape[0] > 0))
+        cut = lambda made, run: [made[i][at] for i, at, *_ in run]
+        labs = lambda parts: whole_lab(np.stack([shrink(x, WORK_SIDE) for x in parts]))
+        raw = raw_labs = []
+        for mode, made in _made(pictures, modes):
+            sides = [Side(gray(np.stack(cut(made, run)))) if run[0][3] else None for run in runs]
             if mode == RAW:
+                raw, raw_labs = sides, [labs(cut(made, run)) if lab and run[0][3] else None for run in runs]
                 continue
-            rows = []
-            for r, a, side in zip(regions, areas, raw, strict=True):
-                row = {"image": key, "mode": mode, "size": r["size"]}
-                if side:
-                    small = shrink(image[a], WORK_SIDE), shrink(made[a], WORK_SIDE)
-                    row |= {"lab": lab_distance(whole_lab(small[0]), whole_lab(small[1]))} | {f"p_{k}": float(v[0]) for k, v in pair_sums(side, Side(gray(made[a])[None])).items()}
-                rows.append(row)
-            yield pa.RecordBatch.from_pylist(rows, kinds)
-
-    names = [*RATIOS, "lab"]
-    rows = with_ratios(_per_image(images.join(lists, "image"), ["regions"], make, schema))
+            for run, a, b, raw_lab in zip(runs, raw, sides, raw_labs, strict=True):
+                part = {"of": [i for i, *_ in run], "mode": mode, "size": [x[2] for x in run]}
+                if a is not None:
+                    part |= {f"p_{k}": v for k, v in pair_sums(a, b).items()} | ({"lab": lab_distances(raw_lab, labs(cut(made, run)))} if lab else {})
+                yield _record(keys, part, kinds)
+
+    names = [*RATIOS, "lab"] if lab else RATIOS
+    rows = with_ratios(_per_group(images.repartition(tasks, "image").join(lists, "image"), ["regions"], make, schema))
     weight = F.coalesce(*[F.when(F.col("size") == k, w) for k, w in REGION_WEIGHTS.items()])
     seen, tiny = F.col("p_n").isNotNull(), F.col("size") == "tiny"
     rows = rows.withColumn("weight", F.when(seen, weight)).withColumn("tiny_weight", F.when(seen & tiny, 1.0))

@@ -253,6 +253,28 @@ def test_metrics_equal_plain_numpy(spark):
     assert [profile["i0"][k] for k in ("brightness", "contrast", "sharpness", "colour_cast")] == pytest.approx([q["brightness"], q["contrast"], q["sharpness"], means.std() / means.mean()], rel=1e-4)
 
 
+def test_small_images_of_one_shape_are_worked_through_together(monkeypatch):
+    made, built = [picture(i, 12, 10) for i in range(20)], []
+    side = pixels.Side
+    monkeypatch.setattr(pixels, "Side", lambda g: built.append(len(g)) or side(g))
+    modes = ("adaptive_gamma_light", "white_balance_conservative")
+    found = [(p["of"][j], p["mode"], {k: v[j] for k, v in p.items() if k[:2] == "p_"}) for p in pixels._area_rows(made, (1,), modes, False) for j in range(len(p["of"]))]
+    assert built == [20, 20, 20]  # of all images at once: raw and each candidate
+    alone = [(i, p["mode"], {k: v[0] for k, v in p.items() if k[:2] == "p_"}) for i, x in enumerate(made) for p in pixels._area_rows([x], (1,), modes, False)]
+    assert sorted(found, key=lambda r: r[:2]) == sorted(alone, key=lambda r: r[:2])
+
+
+def test_regions_of_many_images_are_those_of_each(spark):
+    made = [picture(i, 30 + i % 3, 28) for i in range(12)]
+    boxes = spark.createDataFrame([(f"i{i}", b) for i in range(12) for b in ([1.0, 2.0, 3.0, 1.0 + i % 2], [26.0, 1.0, 1.0, 1.0])], "image string, bbox array<double>")
+    rows = lambda table: {(r["image"], r["mode"]): r for r in pixels.region_metrics(table, boxes, ("clahe_very_mild",)).collect()}
+    table = as_table(spark, *made).repartition(1)
+    together, alone = rows(table), {}
+    for i in (0, 1, 5):
+        alone |= rows(table.filter(F.col("image") == f"i{i}"))
+    assert len(together) == 12 and {k: together[k] for k in alone} == alone
+
+
 def plain_bilateral(image, sigma=20.0):
     p, out = np.pad(image.astype(float), ((1, 1), (1, 1), (0, 0)), mode="reflect"), np.zeros(image.shape)
     for y in range(image.shape[0]):
