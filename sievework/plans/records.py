@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,7 +12,7 @@ from ..functions import boxes, naming, rules
 from ..operators import audit, certify, decide, dedup, split
 from ..shared import broadcast_if_small, materialize, shared_path
 from ..sources import coco, indexes, reports
-from ..sources.images import read_texts, write_files
+from ..sources.images import read_texts, write_files, write_parts
 from ..sources.progress import read_progress
 from ..streaming import progress as live
 from .analogues import _table
@@ -155,7 +156,7 @@ _CATEGORIES = (" Fish", "small_fish", "crab ", "Shrimp", "jellyfish", "starfish"
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents written as JSON, one for each split, and read back."""
+    """Documents written as JSON, one for each split and item by item, and read back."""
     folder = shared_path(spark, "coco")
     splits = F.array(*[F.lit(s) for s in coco.SPLITS])
     of = lambda c: F.get(splits, F.pmod(c, F.lit(3)).cast("int"))
@@ -165,11 +166,15 @@ def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     owner = F.pmod("p_partkey", F.lit(n))
     box = F.array(*[c.cast("double") for c in (F.col("p_size") * 13 - 10, F.pmod("p_partkey", F.lit(400)) - 2, F.pmod("p_size", F.lit(9)) * 8, F.pmod("p_partkey", F.lit(31)))])
     note = F.struct(F.col("p_partkey").alias("id"), owner.alias("image_id"), (1 + F.pmod("p_size", F.lit(7))).cast("long").alias("category_id"), box.alias("bbox"))
-    pictures = supplier.groupBy(of(F.col("s_suppkey")).alias("split")).agg(F.collect_list(image).alias("images"))
-    notes = part.groupBy(of(owner).alias("split")).agg(F.collect_list(note).alias("annotations"))
-    named = F.array(*[F.struct(F.lit(i + 1).cast("long").alias("id"), F.lit(c).alias("name")) for i, c in enumerate(_CATEGORIES)])
-    whole = pictures.join(notes, "split").select(F.concat("split", F.lit("/" + coco.FILE)).alias("name"), F.to_json(F.struct(named.alias("categories"), "images", "annotations")).cast("binary").alias("content"))
-    materialize(write_files(whole, folder), "written")
+    named = json.dumps([{"id": i + 1, "name": c} for i, c in enumerate(_CATEGORIES)])
+    kinds = "split string, kind int, id long, text string"
+    frame = spark.createDataFrame([(s, k, 0, t) for s in coco.SPLITS for k, t in ((0, f'{{"categories":{named},"images":['), (2, '],"annotations":['), (4, "]}"))], kinds)
+    rows = frame.unionByName(supplier.select(of(F.col("s_suppkey")).alias("split"), F.lit(1).alias("kind"), F.col("s_suppkey").cast("long").alias("id"), F.to_json(image).alias("text")))
+    rows = rows.unionByName(part.select(of(owner).alias("split"), F.lit(3).alias("kind"), F.col("p_partkey").cast("long").alias("id"), F.to_json(note).alias("text")))
+    first = rows.filter("kind IN (1, 3)").groupBy("split", "kind").agg(F.min("id").alias("first"))  # no comma goes before it
+    comma = F.when(F.col("id") > F.col("first"), ",").otherwise("")
+    items = rows.join(F.broadcast(first), ["split", "kind"], "left").select(F.concat("split", F.lit("/" + coco.FILE)).alias("name"), "kind", "id", F.concat(comma, "text").cast("binary").alias("content"))
+    materialize(write_parts(items, folder, "kind", "id"), "written")
     if missing := coco.missing_parts(folder):
         raise ValueError(f"no document for {missing}")
     return coco.read_documents(spark, folder)
@@ -405,8 +410,6 @@ SELECT 'report' AS file, '{"a":"ü","b":[1,2.5],"c":null}' AS content UNION ALL
   'path: "/data/x"' || chr(10) || 'train: train/images' || chr(10) || 'val: val/images' || chr(10) || 'test: test/images' || chr(10) || 'names:' || chr(10) || '  0: "fish"' || chr(10) || 'nc: 1' || chr(10)""")
 def report_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small reports written whole, replaced, and read back; a missing one counts as empty."""
-    import json
-
     folder = shared_path(spark, "reports")
     reports.write_json(f"{folder}/report.json", {"old": True})
     reports.write_json(f"{folder}/report.json", {"b": [1, 2.5], "a": "ü", "c": None})

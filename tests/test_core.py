@@ -253,6 +253,16 @@ def test_metrics_equal_plain_numpy(spark):
     assert [profile["i0"][k] for k in ("brightness", "contrast", "sharpness", "colour_cast")] == pytest.approx([q["brightness"], q["contrast"], q["sharpness"], means.std() / means.mean()], rel=1e-4)
 
 
+def test_a_file_is_written_from_its_parts_in_order(spark, tmp_path):
+    rows = spark.createDataFrame([(f"d{i % 2}/x", i, f"{i},".encode()) for i in range(400)], "name string, at int, content binary").repartition(7)
+    folder = f"file://{tmp_path}/out"
+    told = {r["name"]: r for r in images.write_parts(rows, folder, "at").collect()}
+    for k in (0, 1):
+        want = "".join(f"{i}," for i in range(k, 400, 2)).encode()
+        assert (tmp_path / "out" / f"d{k}" / "x").read_bytes() == want
+        assert (told[f"d{k}/x"]["length"], told[f"d{k}/x"]["sha256"]) == (len(want), hashlib.sha256(want).hexdigest())
+
+
 def test_small_images_of_one_shape_are_worked_through_together(monkeypatch):
     made, built = [picture(i, 12, 10) for i in range(20)], []
     side = pixels.Side
