@@ -38,7 +38,8 @@ class Attempt(WriterCommitMessage):
 class _Writer(DataSourceArrowWriter):
     def __init__(self, options: dict):
         self.folder, self.job = options["path"], options["job"]
-        self.keep, self.joined = json.loads(options["keep"]), options["joined"] == "true"
+        self.keep, self.joined = json.loads(options["keep"]), json.loads(options["joined"])
+        self.head, self.between, self.tail = (x.encode() for x in self.joined or ("", "", ""))
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Attempt:
         fs, root = pa.fs.FileSystem.from_uri(self.folder)
@@ -46,23 +47,31 @@ class _Writer(DataSourceArrowWriter):
         fs.create_dir(f"{root}/{place}", recursive=True)
         schema = pa.schema([("name", pa.string()), ("length", pa.int64()), ("sha256", pa.string()), *[(k, pa.string()) for k in self.keep]])
         with fs.open_output_stream(f"{root}/{place}/manifest.parquet") as out, pq.ParquetWriter(out, schema) as manifest:
+            def add(some: bytes | pa.Buffer) -> None:
+                nonlocal length
+                f.write(some)
+                sha.update(some)
+                length += len(some)
+
             def closed() -> dict:
+                add(self.tail)
                 f.close()
                 return {"name": at, "length": length, "sha256": sha.hexdigest(), **dict(zip(self.keep, told, strict=True))}
 
-            at = None
+            at, length = None, 0
             for batch in iterator:
                 rows = []
                 for name, content, *rest in zip(*(batch.column(c) for c in ("name", "content", *self.keep)), strict=True):
                     name, content, rest = name.as_py(), content.as_buffer(), [x.as_py() for x in rest]  # one row at a time
-                    if at is None or name != at or not self.joined:
+                    if at is None or name != at or self.joined is None:
                         rows += [closed()] if at is not None else []
                         to = f"{root}/{place}/files/{name}"
                         fs.create_dir(to.rsplit("/", 1)[0], recursive=True)
                         f, at, told, length, sha = fs.open_output_stream(to), name, rest, 0, hashlib.sha256()
-                    f.write(content)
-                    sha.update(content)
-                    length += content.size
+                        add(self.head)
+                    else:
+                        add(self.between)
+                    add(content)
                 if rows:
                     manifest.write_table(pa.Table.from_pylist(rows, schema))
             if at is not None:
@@ -84,7 +93,8 @@ class _Writer(DataSourceArrowWriter):
 class FileSink(DataSource):
     """Takes rows of ``name`` and ``content``, and the text columns listed in ``keep``; ``path`` is the target and ``job`` a new name.
 
-    With ``joined``, rows of one name that follow each other are parts of one file, which no task holds whole.
+    With ``joined`` (its head, what is between parts, its tail), rows of one name that follow each other are parts of one
+    file, which no task holds whole.
     """
 
     @classmethod
@@ -103,11 +113,11 @@ def _drop(folder: str, job: str) -> None:
         fs.delete_dir(f"{root}/{STAGING}")
 
 
-def stage(files: DataFrame, folder: str, keep: list[str] | None = None, joined: bool = False) -> str:
+def stage(files: DataFrame, folder: str, keep: list[str] | None = None, joined: tuple[str, str, str] | None = None) -> str:
     """Writes each row's ``content`` out of sight and commits; gives the job, which is still to be published."""
     spark, job = files.sparkSession, uuid.uuid4().hex
     spark.dataSource.register(FileSink)
-    files.select("name", "content", *(keep or [])).write.format(FileSink.name()).options(path=folder, job=job, keep=json.dumps(keep or []), joined=str(joined).lower()).mode("append").save()
+    files.select("name", "content", *(keep or [])).write.format(FileSink.name()).options(path=folder, job=job, keep=json.dumps(keep or []), joined=json.dumps(joined)).mode("append").save()
     return job
 
 

@@ -80,12 +80,12 @@ def write_files(files: DataFrame, folder: str, keep: list[str] | None = None) ->
     return publish(files.sparkSession, folder, stage(files, folder, keep), keep)
 
 
-def write_parts(parts: DataFrame, folder: str, *order: str) -> DataFrame:
-    """Write each ``name`` as one file of the ``content`` of all its rows, in the order of the columns ``order``.
+def write_parts(parts: DataFrame, folder: str, *order: str, head: str = "", between: str = "", tail: str = "") -> DataFrame:
+    """Write each ``name`` as one file of the ``content`` of all its rows, in the order of the columns ``order``, with what goes before, between and after them.
 
     The task that writes a file holds a batch of its rows, never the whole; otherwise as :func:`write_files`.
     """
-    return publish(parts.sparkSession, folder, stage(parts.repartition("name").sortWithinPartitions("name", *order), folder, joined=True))
+    return publish(parts.sparkSession, folder, stage(parts.repartition("name").sortWithinPartitions("name", *order), folder, joined=(head, between, tail)))
 
 
 def read_texts(names: DataFrame, folder: str) -> DataFrame:

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import pyarrow as pa
 import pyarrow.fs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import bigjson
-from .images import write_files
+from .images import write_parts
 
 #: Fixed fields of an image of the index, and of an annotation.
 IMAGE_SCHEMA = (
@@ -56,20 +56,24 @@ def _bucketed(rows: DataFrame, key: str) -> DataFrame:
     return rows.withColumn("_part", F.pmod(F.xxhash64(key), F.lit(max(1, -(-rows.count() // ITEMS)))))
 
 
-def _write(texts: DataFrame, folder: str) -> None:
+def _write(texts: DataFrame, key: str, folder: str, head: str, tail: str) -> None:
+    """Writes each ``text`` into the document of its ``_part``, item by item: no task holds a document whole."""
     named = F.concat(F.lit("part-"), F.lpad(F.col("_part").cast("string"), 6, "0"), F.lit(".json"))
-    write_files(texts.select(named.alias("name"), F.col("text").cast("binary").alias("content")), folder)
+    write_parts(texts.select(named.alias("name"), key, F.col("text").cast("binary").alias("content")), folder, key, head=head, between=",", tail=tail)
 
 
 def write_image_index(images: DataFrame, folder: str) -> None:
     """Writes the rows as documents of about ``ITEMS`` objects each, however many there are."""
-    _write(_bucketed(images, "prepared_image").groupBy("_part").agg(F.to_json(F.array_sort(F.collect_list(F.struct(*images.columns)))).alias("text")), folder)
+    rows = _bucketed(images, "prepared_image")
+    _write(rows.select("_part", "prepared_image", F.to_json(F.struct(*images.columns)).alias("text")), "prepared_image", folder, "[", "]")
 
 
 def write_annotation_index(annotations: DataFrame, folder: str) -> None:
-    """Writes ``image`` and ``annotations``, a row for each image, as objects of about ``ITEMS`` keys each."""
-    entries = F.map_from_entries(F.array_sort(F.collect_list(F.struct("image", "annotations"))))
-    _write(_bucketed(annotations, "image").groupBy("_part").agg(F.to_json(entries).alias("text")), folder)
+    """Writes ``image`` and ``annotations``, a row for each image, as objects of about ``ITEMS`` keys each; an image that comes twice is an error."""
+    before = F.lag("image").over(Window.partitionBy("_part").orderBy("image"))
+    once = F.when(before == F.col("image"), F.raise_error(F.concat(F.lit("an image comes twice: "), "image"))).otherwise(F.to_json(F.create_map("image", "annotations")))
+    rows = _bucketed(annotations, "image").select("_part", "image", once.alias("text"))
+    _write(rows.withColumn("text", F.expr("substring(text, 2, length(text) - 2)")), "image", folder, "{", "}")
 
 
 def with_annotations(images: DataFrame, annotations: DataFrame, key: str = "prepared_image") -> DataFrame:

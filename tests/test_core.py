@@ -263,6 +263,21 @@ def test_a_file_is_written_from_its_parts_in_order(spark, tmp_path):
         assert (told[f"d{k}/x"]["length"], told[f"d{k}/x"]["sha256"]) == (len(want), hashlib.sha256(want).hexdigest())
 
 
+def test_documents_of_an_index_are_written_item_by_item(spark, tmp_path, monkeypatch):
+    seen, write = [], indexes.write_parts
+    monkeypatch.setattr(indexes, "write_parts", lambda parts, *a, **k: seen.append(parts.count()) or write(parts, *a, **k))
+    rows = spark.createDataFrame([(f"{i}.png", i, f'a "{i}" [') for i in range(500)], "prepared_image string, width int, deployment string")
+    indexes.write_image_index(rows, f"file://{tmp_path}/images")
+    notes = rows.select(F.col("prepared_image").alias("image"), F.array(F.struct(F.col("width").alias("class_id"), F.lit("fish").alias("class_name"))).alias("annotations"))
+    indexes.write_annotation_index(notes, f"file://{tmp_path}/notes")
+    assert seen == [500, 500]  # a row for each item, none for a whole document
+    read = json.loads((tmp_path / "images" / "part-000000.json").read_text())
+    assert read == [{"prepared_image": f"{i}.png", "width": i, "deployment": f'a "{i}" ['} for i in sorted(range(500), key=lambda i: f"{i}.png")]
+    assert json.loads((tmp_path / "notes" / "part-000000.json").read_text())["7.png"] == [{"class_id": 7, "class_name": "fish"}]
+    with pytest.raises(Exception, match="twice"):
+        indexes.write_annotation_index(notes.unionByName(notes.limit(1)), f"file://{tmp_path}/again")
+
+
 def test_small_images_of_one_shape_are_worked_through_together(monkeypatch):
     made, built = [picture(i, 12, 10) for i in range(20)], []
     side = pixels.Side
